@@ -6,13 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotframe.llm import mixing, quality_rules, sharding
+from lotframe.llm import html_text, mixing, quality_model, quality_rules, sentencepiece, sharding
+
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.encode(_read(spark, sf_dir, "documents"), PIECES)
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_read(spark, sf_dir, "pages"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_read(spark, sf_dir, "documents"))
 
@@ -89,6 +103,9 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op6_html_extraction": op6_html_extraction,
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
