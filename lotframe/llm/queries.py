@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotframe.llm import html_text, mixing, quality_model, quality_rules, sentencepiece, sharding
+from lotframe.llm import html_text, mixing, near_duplicates, quality_model, quality_rules, sentencepiece, sharding
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -27,6 +27,10 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_read(spark, sf_dir, "pages"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_read(spark, sf_dir, "documents"))
 
@@ -106,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_quality_classifier": op3_quality_classifier,
     "op6_html_extraction": op6_html_extraction,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
