@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotframe.llm import html_text, mixing, near_duplicates, quality_model, quality_rules, sentencepiece, sharding
+from lotframe.llm import html_text, mixing, near_duplicates, quality_model, quality_rules, repeats, sentencepiece, sharding
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -23,6 +23,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op4_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digests(_read(spark, sf_dir, "documents"))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_read(spark, sf_dir, "pages"))
 
@@ -109,6 +113,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_suffix_repeats": op4_suffix_repeats,
     "op6_html_extraction": op6_html_extraction,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_sharding": op8_sharding,
