@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotframe.llm import html_text, mixing, near_duplicates, quality_model, quality_rules, repeats, sentencepiece, sharding
+from lotframe.llm import html_text, language_model, mixing, near_duplicates, quality_model, quality_rules, repeats, sentencepiece, sharding
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -19,6 +19,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.encode(_read(spark, sf_dir, "documents"), PIECES)
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(_read(spark, sf_dir, "documents"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -112,6 +116,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_suffix_repeats": op4_suffix_repeats,
     "op6_html_extraction": op6_html_extraction,
