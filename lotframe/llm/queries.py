@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotframe.llm import html_text, language_model, mixing, near_duplicates, quality_model, quality_rules, repeats, sentencepiece, sharding
+from lotframe.llm import html_text, language_model, mixing, near_duplicates, quality_model, quality_rules, repeats, sentencepiece, sharding, vector_search
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -31,6 +31,10 @@ def op4_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digests(_read(spark, sf_dir, "documents"))
 
 
+def op5_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.top_k(_read(spark, sf_dir, "embeddings"))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_read(spark, sf_dir, "pages"))
 
@@ -119,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_lm_scoring": op2_lm_scoring,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_suffix_repeats": op4_suffix_repeats,
+    "op5_top_k_search": op5_top_k_search,
     "op6_html_extraction": op6_html_extraction,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_sharding": op8_sharding,
