@@ -48,39 +48,46 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     )
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, repeats: int = 2, seed: str = SEED) -> DataFrame:
-    """doc_id, size, source_size, target, taken, source and the virtual finish time, one row a document, ordered by that time."""
-    narrow = materialize(
-        docs.select(
-            "doc_id",
-            "source",
-            F.col("source").isNull().alias("no_source"),
-            F.coalesce("source", F.lit("")).alias("source_key"),
-            F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary")).alias("order"),
-        ).withColumn("bucket", F.substring("order", 1, DIGITS)),
-        "mix",
-    )
-    totals = narrow.groupBy(*SOURCE, "bucket").agg(F.sum("size").alias("n"))
+def _queued(docs: DataFrame, seed: str) -> DataFrame:
+    """The rows of ``docs`` in a struct, with size, source and their place in the shuffle."""
+    return docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.col("source").isNull().alias("no_source"),
+        F.coalesce("source", F.lit("")).alias("source_key"),
+        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary")).alias("order"),
+    ).withColumn("bucket", F.substring("order", 1, DIGITS))
+
+
+def _served(queue: DataFrame, totals: DataFrame, weights: tuple[int, ...], share: float, repeats: int) -> DataFrame:
+    """Adds source_size, target, taken and virtual_finish. totals: words by source and bucket."""
     earlier = Window.partitionBy(*SOURCE).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("offset", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-    targets = source_targets(narrow.groupBy(*SOURCE).agg(F.sum("size").alias("source_size")), weights, share, repeats)
+    offsets = totals.withColumn("offset", F.coalesce(F.sum("n").over(earlier), F.lit(0))).select(*SOURCE, "bucket", "offset")
+    targets = source_targets(totals.groupBy(*SOURCE).agg(F.sum("n").alias("source_size")), weights, share, repeats)
     inside = Window.partitionBy(*SOURCE, "bucket").orderBy("order", "size").rowsBetween(Window.unboundedPreceding, 0)
     before = F.col("offset") + F.col("within") - F.col("size")
     whole = F.floor("target")
     taken = sum((F.greatest(F.lit(0), F.least(F.col("size"), whole - F.col("source_size") * r - before)) for r in range(repeats)), F.lit(0))
     return (
-        narrow.withColumn("within", F.sum("size").over(inside))
-        .join(totals.select(*SOURCE, "bucket", "offset"), [*SOURCE, "bucket"])
+        queue.withColumn("within", F.sum("size").over(inside))
+        .join(offsets, [*SOURCE, "bucket"])
         .join(targets, SOURCE)
-        .select(
-            "doc_id",
-            "size",
-            "source_size",
-            "target",
-            taken.cast("long").alias("taken"),
-            "source",
-            F.when(F.col("target") > 0, (before + F.col("size")) / F.col("target")).alias("virtual_finish"),
-        )
-        .orderBy("virtual_finish", "doc_id")
+        .withColumn("taken", taken.cast("long"))
+        .withColumn("virtual_finish", F.when(F.col("target") > 0, (before + F.col("size")) / F.col("target")))
     )
+
+
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, repeats: int = 2, seed: str = SEED) -> DataFrame:
+    """doc_id, size, source_size, target, taken, source and the virtual finish time, one row a document, ordered by that time."""
+    queue = materialize(_queued(docs.select("doc_id", "source", "text"), seed).withColumn("row", F.struct("row.doc_id", "row.source")), "mix")
+    totals = queue.groupBy(*SOURCE, "bucket").agg(F.sum("size").alias("n"))
+    served = _served(queue, totals, weights, share, repeats)
+    return served.select("row.doc_id", "size", "source_size", "target", "taken", "row.source", "virtual_finish").orderBy("virtual_finish", "doc_id")
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, repeats: int = 2, seed: str = SEED) -> DataFrame:
+    """The rows of ``docs`` as the mix serves them, with all their columns: once for each whole time a document is taken,
+    and once more if at least half of it is served when the budget ends."""
+    totals = materialize(_queued(docs.select("doc_id", "source", "text"), seed).groupBy(*SOURCE, "bucket").agg(F.sum("size").alias("n")), "mix")
+    served = _served(_queued(docs, seed), totals, weights, share, repeats).where("taken > 0")
+    return served.withColumn("again", F.explode(F.expr("sequence(0, cast(floor(taken / size + 0.5) as int))"))).where("again > 0").select("row.*")

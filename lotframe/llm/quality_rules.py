@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lotframe.llm import _text
 
@@ -99,8 +100,8 @@ def measure(docs: DataFrame, key: str = "doc_id", text: str = "text", window: in
             if parts:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns)], [key, *MEASURES])
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, F.col(text).cast("string")).mapInArrow(run, f"`{key}` {kind}, " + ", ".join(f"{m} long" for m in MEASURES))
+    schema = T.StructType([T.StructField(key, docs.schema[key].dataType), *(T.StructField(m, T.LongType()) for m in MEASURES)])
+    return docs.select(key, F.col(text).cast("string")).mapInArrow(run, schema)
 
 
 @dataclass(frozen=True)
@@ -172,3 +173,9 @@ def ablation(table: DataFrame, policy: str = "2024.1", rules: tuple[Rule, ...] =
 
 def quality_ledger(docs: DataFrame, policy: str = "2024.1") -> DataFrame:
     return apply_policy(ledger(measure(docs)), policy)
+
+
+def passing_documents(docs: DataFrame, policy: str = "2024.1") -> DataFrame:
+    """The rows of ``docs`` that a policy keeps, with all their columns; map-only."""
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text")
+    return apply_policy(ledger(measure(whole, key="row")), policy).where("kept").select("row.*")

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lotframe.llm import _text
 from lotframe.llm._store import materialize, partitions
@@ -189,17 +190,23 @@ def _dictionary(batches):
             yield _rows(LOOK, kh[shared], sh[shared], doc[shared], lo[shared], hi[shared])
 
 
-def _squeeze(docs: DataFrame) -> DataFrame:
-    """(doc_id, z): texts as zstandard frames, which make less to shuffle. Null keys stay."""
+def _squeeze(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """(doc_id, z): texts as zstandard frames, which make less to shuffle, and all other columns in ``row`` if they are to
+    be carried along. Null keys stay."""
 
     def run(batches):
         import zstandard
 
         for batch in batches:
             z = zstandard.ZstdCompressor(level=1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([z.compress(x.as_buffer()) for x in batch.column(1).cast(pa.binary())], pa.binary())], ["doc_id", "z"])
+            frames = pa.array([z.compress(x.as_buffer()) for x in batch.column(1).cast(pa.binary())], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), frames, *batch.columns[2:]], ["doc_id", "z", "row"][: batch.num_columns])
 
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(run, "doc_id long, z binary")
+    columns = [F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")]
+    if carry:
+        columns.append(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row"))
+    some = docs.select(*columns)
+    return some.mapInArrow(run, T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("z", T.BinaryType()), *some.schema.fields[2:]]))
 
 
 def _opened(column: pa.Array) -> list[bytes]:
@@ -329,10 +336,10 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     return known.where(F.col("kind") == REPEAT).select("doc", "lo", "hi").union(sorted_out.select("doc", "lo", "hi"))
 
 
-def _with_repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, z, found): every row with its document's intervals."""
+def _with_repeats(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """(doc_id, z, found[, row]): every row with its document's intervals."""
     found = repeated_windows(docs).groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct("lo", "hi")).alias("found"))
-    return _squeeze(docs).join(found, "doc_id", "left").select("doc_id", "z", "found")
+    return _squeeze(docs, carry).join(found, "doc_id", "left").select("doc_id", "z", "found", *["row"] * carry)
 
 
 def removed_spans(size: int, found: list | None) -> list[tuple[int, int]]:
@@ -374,13 +381,21 @@ def repeat_digests(docs: DataFrame) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, spans): the texts without repeated bytes. Bytes of a character cut in two go with it."""
+    """The rows of ``docs`` with the repeated bytes cut out of ``text``, and ``removed_spans`` (byte offsets). Bytes of a
+    character cut in two go with it. All other columns stay as they are."""
+    columns = [c for c in docs.columns if c != "text"]
+    name = "removed_spans"
+    while name in columns:
+        name = f"_{name}"
 
     def run(batches):
         for batch in batches:
             rows = [(k.decode("utf-8", "ignore"), [{"start": a, "end": b} for a, b in s]) for _, s, k in _each(batch)]
             texts, spans = zip(*rows, strict=True) if rows else ((), ())
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(spans, kind)], ["doc_id", "text", "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column(3), pa.array(texts, pa.string()), pa.array(spans, kind)], ["row", "text", "spans"])
 
-    return _with_repeats(docs).mapInArrow(run, "doc_id long, text string, spans array<struct<start: long, end: long>>")
+    found = _with_repeats(docs, carry=True)
+    spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+    out = found.mapInArrow(run, T.StructType([found.schema["row"], T.StructField("text", T.StringType()), T.StructField("spans", spans)]))
+    return out.select(*(F.col(f"row.`{c}`") if c != "text" else F.col("text") for c in docs.columns), F.col("spans").alias(name))
