@@ -1,4 +1,7 @@
-"""Queries over the driver's tables, by name."""
+"""Queries over the driver's tables, by name, and the same in SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from lotframe.plans import listing_queries, table_queries
+
+_ALL = {**listing_queries.QUERIES, **table_queries.QUERIES}
+QUERIES = {name: query for name, (query, _) in _ALL.items()}
+ORACLE_SQL = {name: sql for name, (_, sql) in _ALL.items() if sql}

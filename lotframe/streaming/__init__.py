@@ -1,0 +1,31 @@
+"""Arriving pages: the batch jobs run on each micro-batch; no operator of theirs needs state beyond the tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming.query import StreamingQuery
+
+from lotframe.operators import curate
+from lotframe.operators.extract import SiteProfile, extract_listings, quarantine
+from lotframe.sources.pages import read_pages
+
+
+def extract_batch(pages: DataFrame, targets: DataFrame, profile: SiteProfile | None = None) -> tuple[DataFrame, DataFrame]:
+    """(kept listings, quarantined rows) of a table of pages (url, html, slug, ...)."""
+    raw = read_pages(curate.attach_targets(pages, targets))
+    sound, unread = quarantine(raw)
+    judged = curate.skip_reason(extract_listings(sound, profile))
+    good, bad = quarantine(judged)
+    return good.where("skip_reason is null").drop("skip_reason"), unread.select("url", "_error").union(bad.select("url", "_error"))
+
+
+def extract_stream(pages: DataFrame, targets: DataFrame, out: str, checkpoint: str, profile: SiteProfile | None = None) -> StreamingQuery:
+    """Appends kept listings of each micro-batch to ``{out}/listings`` and bad rows to ``{out}/quarantine``, in a folder for
+    each batch that a rerun of the batch overwrites, so that a restart repeats nothing."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        kept, bad = extract_batch(batch, targets, profile)
+        kept.write.mode("overwrite").parquet(f"{out}/listings/batch={number}")
+        bad.write.mode("overwrite").parquet(f"{out}/quarantine/batch={number}")
+
+    return pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
