@@ -7,13 +7,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_OWN: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one is set only where there is none, as in tests."""
+    """The session's checkpoint folder. Only where none is set, as in tests, a temporary one is made for the application."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="lotframe-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        folder = _OWN.get(app) or _OWN.setdefault(app, tempfile.mkdtemp(prefix="lotframe-"))
     return folder.rstrip("/")
 
 

@@ -230,12 +230,13 @@ class Block:
         self.words, self.word = np.unique(token, return_inverse=True)
         self.word_count = np.bincount(self.word, weights=weight, minlength=len(self.words)).astype(np.uint32)
         self.word_shard = (_text.mix(self.words) % np.uint64(shards)).astype(np.int64)
-        # pairs in the order of shard, context and print of the word
+        # pairs in the order of shard, context (with branch) and print of the word
         branch = (token % np.uint64(BRANCHES)).astype(np.uint64)
-        shard = (_text.mix(before + branch * np.uint64(0xD6E8FEB86659FD93)) % np.uint64(shards)).astype(np.uint64)
+        key = _text.mix(before + branch * np.uint64(0xD6E8FEB86659FD93))  # a context's branch is a context of its own
+        shard = (_text.mix(key) % np.uint64(shards)).astype(np.uint64)
         prints = token >> np.uint64(24)
-        order = np.lexsort((prints, before, shard))
-        s, v, p = shard[order], before[order], prints[order]
+        order = np.lexsort((prints, key, shard))
+        s, v, p = shard[order], key[order], prints[order]
         new = np.ones(len(order), bool)
         new[1:] = (s[1:] != s[:-1]) | (v[1:] != v[:-1]) | (p[1:] != p[:-1])
         number = np.cumsum(new) - 1
