@@ -21,10 +21,12 @@ from pyspark.sql import functions as F
 from lotframe.llm._store import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
-HOT = 16
+HOT = 4
 MAX_CELLS = 10_000
 GROUPS_A_CELL = 4096
 DIMENSIONS = ("bytes", "tokens", "rows")
+#: How much each dimension counts in the dot product.
+WEIGHTS = np.array([4.0, 1.0, 1.0])
 
 
 def pack(items: np.ndarray, bins: int) -> np.ndarray:
@@ -34,7 +36,7 @@ def pack(items: np.ndarray, bins: int) -> np.ndarray:
     residual = np.ones((bins, items.shape[1]))
     out = np.zeros(len(items), np.int32)
     for i in np.argsort(-share.max(axis=1), kind="stable") if len(items) else []:
-        best = int(np.argmax(residual @ share[i]))
+        best = int(np.argmax(residual @ (share[i] * WEIGHTS)))
         residual[best] -= share[i]
         out[i] = best
     return out
