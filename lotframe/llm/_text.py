@@ -7,6 +7,7 @@ own), so memory follows the longest document and not the partition. Hashes are 6
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,6 +42,14 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["r"], _POWERS["inv"]
 
 
+def release() -> None:
+    """Gives freed memory back to the system, so that a worker that waits for its next task holds little."""
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 @dataclass
 class Chunk:
     """Bytes of some documents end to end; document i has ``data[offsets[i]:offsets[i + 1]]``."""
@@ -86,6 +95,7 @@ def chunks(column: pa.Array | pa.ChunkedArray, lower: bool = False, limit: int =
         part = data[offsets[at] : offsets[to]]
         yield Chunk(slice(at, to), _LOWER[part] if lower else part, offsets[at : to + 1] - offsets[at])
         at = to
+    release()
 
 
 @dataclass

@@ -146,6 +146,8 @@ def _parse(batches):
                 held, size = [], 0
     if size:
         yield from flush()
+    held.clear()
+    _text.release()
 
 
 def _whole_groups(batches, key: str):
@@ -164,6 +166,7 @@ def _whole_groups(batches, key: str):
         rest = [table.slice(cut)]
     if rest:
         yield pa.concat_tables(rest).combine_chunks()
+    _text.release()
 
 
 def _dictionary(batches):
@@ -201,6 +204,7 @@ def _squeeze(docs: DataFrame, carry: bool = False) -> DataFrame:
             z = zstandard.ZstdCompressor(level=1)
             frames = pa.array([z.compress(x.as_buffer()) for x in batch.column(1).cast(pa.binary())], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), frames, *batch.columns[2:]], ["doc_id", "z", "row"][: batch.num_columns])
+            _text.release()
 
     columns = [F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")]
     if carry:
@@ -273,6 +277,7 @@ def _contents(batches):
                     ["kh", "doc", "lo", "hi", "bytes"],
                 )
             a = b
+        _text.release()
 
 
 def suffix_ranks(data: np.ndarray, depth: int) -> np.ndarray:
