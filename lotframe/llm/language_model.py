@@ -207,6 +207,16 @@ def is_held_out(doc_id: int | None, folds: int) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % folds == 0
 
 
+def _order(context: np.ndarray, prints: np.ndarray) -> np.ndarray:
+    """The order by context and print, by two sorts of single integers."""
+    order = np.argsort(context)
+    by = context[order]
+    rank = np.cumsum(np.append(False, by[1:] != by[:-1])[: len(by)])
+    if len(rank) and rank[-1] >= 1 << 24:
+        return np.lexsort((prints, context))
+    return order[np.argsort(rank.astype(np.uint64) << np.uint64(40) | prints[order])]
+
+
 class Block:
     """The words and pairs of some documents. ``word`` and ``pair`` are the tokens' numbers among the distinct ones."""
 
@@ -215,8 +225,9 @@ class Block:
         self.held = np.array([is_held_out(i, folds) for i in self.ids], bool)
         learn = np.array([i is not None and not h for i, h in zip(self.ids, self.held, strict=True)], bool)
         tokens, sizes = [], []
+        table = table.select(["z"])
         for piece in table.column("z").chunks:
-            for chunk in _text.chunks(pa.array(_opened(piece), pa.binary()).cast(pa.large_string()), lower=True):
+            for chunk in (c for at in range(0, len(piece), 512) for c in _text.chunks(pa.array(_opened(piece.slice(at, 512)), pa.binary()).cast(pa.large_string()), lower=True)):
                 w = _text.words(chunk)
                 h = _text.span_hash(chunk.prefix(), w.starts, w.ends)
                 tokens.append(np.insert(h, w.first[1:], END))
@@ -227,29 +238,34 @@ class Block:
         before[1:] = token[:-1]
         before[np.cumsum(self.sizes) - self.sizes] = START
         weight = np.repeat(learn, self.sizes)
-        self.words, self.word = np.unique(token, return_inverse=True)
+        self.words, word = np.unique(token, return_inverse=True)
+        self.word = word.astype(np.int32)
         self.word_count = np.bincount(self.word, weights=weight, minlength=len(self.words)).astype(np.uint32)
         self.word_shard = (_text.mix(self.words) % np.uint64(shards)).astype(np.int64)
-        # pairs in the order of shard, context (with branch) and print of the word
-        branch = (token % np.uint64(BRANCHES)).astype(np.uint64)
-        key = _text.mix(before + branch * np.uint64(0xD6E8FEB86659FD93))  # a context's branch is a context of its own
-        shard = (_text.mix(key) % np.uint64(shards)).astype(np.uint64)
+        # distinct pairs in the order of context (with branch) and print of the word; shards are ranges of contexts
+        self.branch = (token % np.uint64(BRANCHES)).astype(np.uint8)
+        key = _text.mix(before + self.branch.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))  # a context's branch is a context of its own
         prints = token >> np.uint64(24)
-        order = np.lexsort((prints, key, shard))
-        s, v, p = shard[order], key[order], prints[order]
+        both = _text.mix(key + _text.mix(prints))
+        order = np.argsort(both)
         new = np.ones(len(order), bool)
-        new[1:] = (s[1:] != s[:-1]) | (v[1:] != v[:-1]) | (p[1:] != p[:-1])
-        number = np.cumsum(new) - 1
-        self.pair = np.empty(len(order), np.int64)
-        self.pair[order] = number
-        self.pair_count = np.bincount(number, weights=weight[order], minlength=int(new.sum())).astype(np.uint32)
-        self.prints = p[new]
-        head = np.ones(int(new.sum()), bool)
-        sn, vn = s[new], v[new]
-        head[1:] = (sn[1:] != sn[:-1]) | (vn[1:] != vn[:-1])
+        new[1:] = both[order[1:]] != both[order[:-1]]
+        number = np.empty(len(order), np.int32)
+        number[order] = np.cumsum(new) - 1
+        some = order[new]
+        key, prints = key[some], prints[some]
+        del both, order, new, before, token
+        by_context = _order(key, prints)
+        rank = np.empty(len(some), np.int32)
+        rank[by_context] = np.arange(len(some), dtype=np.int32)
+        self.pair = rank[number]
+        self.pair_count = np.bincount(self.pair, weights=weight, minlength=len(some)).astype(np.uint32)
+        self.prints, key = prints[by_context], key[by_context]
+        head = np.ones(len(some), bool)
+        head[1:] = key[1:] != key[:-1]
         self.owner = np.cumsum(head) - 1  # the context of each pair
-        self.contexts, self.context_shard = vn[head], sn[head].astype(np.int64)
-        self.branch = branch
+        self.contexts = key[head]
+        self.context_shard = (((self.contexts >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
 
     def parts(self, shards: int):
         """(shard, words, contexts, pairs) as index arrays or slices, for every shard concerned."""
@@ -297,7 +313,7 @@ def _answered(key, table):
     p, n = np.concatenate(prints), np.concatenate([x[2] for x in pairs]).astype(np.int64)
     learned = n > 0
     v, p, n = v[learned], p[learned], n[learned]
-    order = np.lexsort((p, v))
+    order = _order(v, p)
     v, p, n = v[order], p[order], n[order]
     new = np.ones(len(v), bool)
     new[1:] = (v[1:] != v[:-1]) | (p[1:] != p[:-1])
