@@ -1,18 +1,21 @@
-"""Near-duplicate documents: MinHash bands find candidates, odd sketches rank and sift them, full sets confirm them.
+"""Near-duplicate documents: MinHash bands find candidates, odd sketches sift them, full sets confirm them.
 
 1. ``signatures``: a map over whole texts gives the set size, a 128-bit fingerprint of the shingle set, the hashes of
-   the MinHash bands and the odd sketch: every MinHash sample flips one bit, so the bits in which two sketches differ
-   count the samples in which they differ, and that estimates high similarities closely.
+   the MinHash bands, and two odd sketches. A sketch folds the shingles of smallest hash (all of them in a set of up to
+   ``SAMPLES``, else those below a bound that halves with each doubling of the size) into a bitmap: each flips one bit.
+   The bits in which two sketches differ count the shingles that only one set has, which estimates high similarities
+   closely. The second sketch has half the bound, so that sets on both sides of a doubling can be compared.
 2. Documents of equal sets form a class; its smallest doc_id stands for it from here on, so copies cost nothing more.
 3. Representatives meet in band buckets. A bucket above ``BLOCK`` members is dealt into blocks, and each pair of blocks
-   is a group of its own. In a group each document names the partners it resembles most by sketch, ``FIRST`` in the first
-   round and twice as many more in each later round; after the first round only partners of another component count.
-   The rounds end when no group has such a partner left, so all candidates are covered without listing all pairs.
+   is a group of its own. Groups of the same members are one. In a group, pairs whose sketches differ by more than chance
+   allows at the threshold (``SIGMAS`` standard deviations) are out. Of the others each document names the partners that
+   have most partners themselves, ``FIRST`` in the first round and eight times as many more in each later one; after the first
+   round only partners of another component count. The rounds end when no group has such a partner left, so all
+   candidates are covered without listing all pairs.
 4. Named pairs are confirmed on the full sets, which are computed again from the texts of the documents concerned.
    Components are smallest labels, spread along links with pointer jumping.
 
-The number of bands makes a linked pair share one with a probability of at least ``1 - MISS``; sketches only sift out
-pairs far below the threshold (``SLACK``).
+The number of bands makes a linked pair share one with a probability of at least ``1 - MISS``.
 
 Defined results: null and empty texts have no shingles, a set size of 0, and are linked with nothing; a text of fewer
 words than a shingle has one shingle, the whole; rows with a null key are linked with nothing and not kept; repeated
@@ -30,26 +33,46 @@ from pyspark.sql import functions as F
 
 from lotframe.llm import _text
 from lotframe.llm._store import materialize, partitions
+from lotframe.llm.repeats import _opened, _squeeze
 
 ROWS = 4
 MISS = 1e-7
-BITS = 512
-SLACK = 0.22
+BITS = 1024
+SAMPLES = 2048
+SIGMAS = 5.0
 BLOCK = 2048
-FIRST = 4
+FIRST = 1
 
 
 def bands_for(threshold: float, rows: int = ROWS) -> int:
     return math.ceil(math.log(MISS) / math.log(1 - threshold**rows))
 
 
+def _level(n: np.ndarray) -> np.ndarray:
+    """How often the bound on hashes is halved in the first sketch of a set of n shingles."""
+    return np.maximum(np.ceil(np.log2(np.maximum(n, 1) / SAMPLES)), 0).astype(np.int64)
+
+
+def _sketches(doc: np.ndarray, h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The two odd sketches of each document, as bytes."""
+    place = _text.mix(h + np.uint64(0x8CB92BA72F3D8DD7))
+    bit = (place >> np.uint64(54)).astype(np.int64)  # BITS places
+    level = _level(n)[doc]
+    out = []
+    for extra in (0, 1):
+        below = (h >> (np.uint64(64) - np.minimum(level + extra, 63).astype(np.uint64))) == 0
+        below |= level + extra == 0
+        flips = np.bincount(doc[below] * BITS + bit[below], minlength=len(n) * BITS) & 1
+        out.append(np.packbits(flips.astype(bool).reshape(len(n), BITS), axis=1))
+    return np.concatenate(out, axis=1)
+
+
 def _signatures(chunk: _text.Chunk, k: int, bands: int) -> tuple[np.ndarray, ...]:
     """Set sizes, fingerprints, band hashes (documents x bands) and sketches (documents x bytes)."""
     doc, h = _text.shingles(chunk, k)
     n = np.bincount(doc, minlength=chunk.n)
     out1, out2 = np.zeros(chunk.n, np.uint64), np.zeros(chunk.n, np.uint64)
     band = np.zeros((chunk.n, bands), np.uint64)
-    sketch = np.zeros((chunk.n, BITS), bool)
     full = np.flatnonzero(n)
     if len(full):
         head = (np.cumsum(n) - n)[full]
@@ -63,12 +86,18 @@ def _signatures(chunk: _text.Chunk, k: int, bands: int) -> tuple[np.ndarray, ...
                 i = b * ROWS + r
                 np.bitwise_xor(h, seeds[2 * i], out=scratch)
                 np.multiply(scratch, seeds[2 * i + 1] | np.uint64(1), out=scratch)
-                low = np.minimum.reduceat(scratch, head)
-                mixed = _text.mix(mixed * np.uint64(0x9E3779B97F4A7C15) + low)
-                bit = (_text.mix(low + np.uint64(i)) >> np.uint64(40)).astype(np.int64) % BITS
-                sketch[full, bit] ^= True
+                mixed = _text.mix(mixed * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(scratch, head))
             band[full, b] = mixed
-    return n, out1.view(np.int64), out2.view(np.int64), band.view(np.int64), np.packbits(sketch, axis=1)
+    sketch = np.concatenate([_sketches(doc[x:y] - a, h[x:y], n[a:c]) for a, c, x, y in _parts(doc, chunk.n)]) if chunk.n else np.zeros((0, BITS // 4), np.uint8)
+    return n, out1.view(np.int64), out2.view(np.int64), band.view(np.int64), sketch
+
+
+def _parts(doc: np.ndarray, n: int, size: int = 512):
+    """(first document, end, first shingle, end) of slices of documents."""
+    for a in range(0, n, size):
+        c = min(a + size, n)
+        x, y = np.searchsorted(doc, (a, c))
+        yield a, c, x, y
 
 
 def signatures(docs: DataFrame, k: int, bands: int) -> DataFrame:
@@ -77,91 +106,116 @@ def signatures(docs: DataFrame, k: int, bands: int) -> DataFrame:
             for chunk in _text.chunks(batch.column(1), lower=True):
                 n, f1, f2, band, sketch = _signatures(chunk, k, bands)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, band.size + 1, bands, dtype=np.int32)), pa.array(band.ravel()))
-                bits = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BITS // 8), chunk.n, [None, pa.py_buffer(sketch.tobytes())]).cast(pa.binary())
+                bits = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BITS // 4), chunk.n, [None, pa.py_buffer(sketch.tobytes())]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0)[chunk.rows], pa.array(n), pa.array(f1), pa.array(f2), lists, bits], ["doc_id", "n", "f1", "f2", "bands", "sketch"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n long, f1 long, f2 long, bands array<long>, sketch binary")
 
 
-def _partners(ids: np.ndarray, sizes: np.ndarray, bits: np.ndarray, comp: np.ndarray, lo: int, hi: int, threshold: float, samples: int):
-    """(u, v) pairs named in a group, and whether partners are left for later rounds."""
-    m = len(ids)
-    most = BITS * (1 - np.exp(-4 * samples * (1 - max(threshold - SLACK, 0.0)) / BITS)) / 2  # differing bits at the lowest similarity
+def _limits(n: np.ndarray, m: np.ndarray, level: int, threshold: float) -> np.ndarray:
+    """The most bits in which sketches of linked sets of n and m shingles differ, but for chance."""
+    sampled = (n + m) * (1 - threshold) / (1 + threshold) * 0.5**level
+    if level:
+        sampled = sampled + SIGMAS * np.sqrt(sampled)
+    # the parities of d flips over BITS places: at most d are odd; mean and variance are those of d balls in BITS bins
+    one, two = (1 - 2 / BITS) ** sampled, (1 - 4 / BITS) ** sampled
+    spread = np.sqrt(np.maximum(BITS + BITS * (BITS - 1) * two - (BITS * one) ** 2, 0)) / 2
+    return np.minimum(BITS * (1 - one) / 2 + SIGMAS * spread, sampled) + 1e-6
+
+
+def _fits(sizes: np.ndarray, bits: np.ndarray, threshold: float) -> np.ndarray:
+    """Which members of a group may be linked, as a matrix."""
+    m = len(sizes)
+    out = np.zeros((m, m), bool)
+    level, half = _level(sizes), bits.shape[1] // 2
+    for at in np.unique(level):
+        own, lower = np.flatnonzero(level == at), np.flatnonzero(level == at - 1)
+        some = np.concatenate([own, lower])
+        sketch = np.concatenate([bits[own, :half], bits[lower, half:]])
+        for a in range(0, len(own), 256):
+            row = own[a : a + 256]
+            differ = np.zeros((len(row), len(some)), np.int32)
+            for w in range(half):
+                differ += np.bitwise_count(sketch[a : a + len(row), w, None] ^ sketch[None, :, w])
+            x, y = sizes[row][:, None].astype(float), sizes[some][None].astype(float)
+            near = (np.minimum(x, y) >= threshold * np.maximum(x, y) - 1e-9) & (differ <= _limits(x, y, int(at), threshold))
+            out[np.ix_(row, some)] |= near
+            out[np.ix_(some, row)] |= near.T
+    return out
+
+
+def _partners(ids: np.ndarray, fits: np.ndarray, comp: np.ndarray, lo: int, hi: int):
+    """(u, v) pairs named in a group, and whether partners are left for later rounds. Members stand in order of doc_id."""
+    fits = fits & (ids[:, None] != ids[None, :])
+    number = fits.sum(1)
+    hubs = np.argsort(-number, kind="stable")  # those with most partners first
     us, vs, left = [], [], False
-    for a in range(0, m, 256):
-        part = slice(a, min(a + 256, m))
-        differ = np.zeros((part.stop - a, m), np.int16)
-        for w in range(bits.shape[1]):
-            differ += np.bitwise_count(bits[part, w, None] ^ bits[None, :, w]).astype(np.int16)
-        small = np.minimum(sizes[part, None], sizes[None, :])
-        fits = (differ <= most) & (small >= threshold * np.maximum(sizes[part, None], sizes[None, :]) - 1e-9) & (ids[part, None] != ids[None, :])
-        number = fits.sum(1)
-        many = number > lo
-        if not many.any():
-            continue
-        rows = np.flatnonzero(many)
-        cost = np.where(fits[rows], differ[rows].astype(np.int32), np.int32(1 << 20))
-        order = np.argsort(cost, axis=1, kind="stable")  # members stand in order of doc_id
-        for row, at in zip(rows, order, strict=True):
-            chosen = at[lo : min(hi, number[row])]
-            other = comp[chosen] != comp[a + row]
-            us.append(np.full(other.sum(), ids[a + row]))
-            vs.append(ids[chosen[other]])
-            rest = at[hi : number[row]]
-            left = left or bool((comp[rest] != comp[a + row]).any())
+    for i in np.flatnonzero(number > lo):
+        at = hubs[fits[i, hubs]]
+        chosen = at[lo:hi]
+        chosen = chosen[comp[chosen] != comp[i]]
+        us.append(np.full(len(chosen), ids[i]))
+        vs.append(ids[chosen])
+        left = left or bool((comp[at[hi:]] != comp[i]).any())
     u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
     return np.minimum(u, v), np.maximum(u, v), left
 
 
-PAIR_ROWS = "u long, v long, g1 long, g2 int, doc_id long, n long, sketch binary"
+def _whole(batches):
+    """(table, edges of its groups) of whole groups (g1, g2): the last group of a batch waits for the next batch."""
+    rest: list[pa.Table] = []
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if not table.num_rows:
+            continue
+        g1, g2 = (table.column(c).to_numpy() for c in ("g1", "g2"))
+        new = np.flatnonzero((g1[1:] != g1[:-1]) | (g2[1:] != g2[:-1])) + 1
+        if rest and (rest[-1].column("g1")[0].as_py(), rest[-1].column("g2")[0].as_py()) != (g1[0], g2[0]):
+            new = np.append(0, new)
+        if not len(new):
+            rest.append(table)
+            continue
+        ready = pa.concat_tables([*rest, table.slice(0, new[-1])])
+        rest = [table.slice(new[-1])]
+        if ready.num_rows:
+            yield ready.combine_chunks(), _edges(ready)
+    if rest:
+        ready = pa.concat_tables(rest)
+        yield ready.combine_chunks(), _edges(ready)
+    _text.release()
 
 
-def _named(groups: DataFrame, lo: int, hi: int, threshold: float, samples: int) -> DataFrame:
-    """Rows (u, v) of named pairs, and all rows of the groups that have partners left. groups: g1, g2 (the group), doc_id, n, sketch, comp; sorted by group inside partitions."""
+def _edges(table: pa.Table) -> np.ndarray:
+    g1, g2 = (table.column(c).to_numpy() for c in ("g1", "g2"))
+    return np.concatenate([[0], np.flatnonzero((g1[1:] != g1[:-1]) | (g2[1:] != g2[:-1])) + 1, [len(g1)]])
 
-    def groups_of(batches):
-        """Tables of whole groups: the last group of a batch waits for the next batch."""
-        rest = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = pa.concat_tables([rest, table]) if rest is not None else table
-            g1, g2 = (table.column(c).to_numpy() for c in ("g1", "g2"))
-            if not len(g1):
-                continue
-            new = np.flatnonzero((g1[1:] != g1[:-1]) | (g2[1:] != g2[:-1])) + 1
-            if len(new):
-                yield table.slice(0, new[-1]), np.append(0, new)
-                rest = table.slice(new[-1])
-            else:
-                rest = table
-        if rest is not None and rest.num_rows:
-            yield rest, np.array([0, rest.num_rows])
+
+PAIR_ROWS = "u long, v long, g1 long, g2 long, doc_id long, n long, sketch binary"
+
+
+def _named(groups: DataFrame, lo: int, hi: int, threshold: float) -> DataFrame:
+    """Rows (u, v) of named pairs, and all rows of the groups that have partners left. groups: g1, g2, doc_id, n, sketch, comp."""
 
     def run(batches):
-        for table, edges in groups_of(batches):
-            table = table.combine_chunks()
+        for table, edges in _whole(batches):
             ids, sizes, comp = (table.column(c).to_numpy() for c in ("doc_id", "n", "comp"))
             us, vs, kept = [], [], []
-            big = np.flatnonzero(np.diff(edges) > 1)
-            for a, b in zip(edges[big], edges[big + 1], strict=True):
+            for a, b in zip(edges, edges[1:], strict=False):
                 if (comp[a:b] == comp[a]).all():
                     continue
                 bits = np.frombuffer(b"".join(table.column("sketch").slice(a, b - a).to_pylist()), np.uint64).reshape(b - a, -1)
-                u, v, left = _partners(ids[a:b], sizes[a:b], bits, comp[a:b], lo, hi, threshold, samples)
+                u, v, left = _partners(ids[a:b], _fits(sizes[a:b], bits, threshold), comp[a:b], lo, hi)
                 us.append(u)
                 vs.append(v)
                 if left:
                     kept.append(table.slice(a, b - a))
-            if us:
-                pair = np.unique(np.stack([np.concatenate(us), np.concatenate(vs)], 1), axis=0)
-                n = len(pair)
-                none = [pa.nulls(n, t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())]
-                if n:
-                    yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1]), *none], ["u", "v", "g1", "g2", "doc_id", "n", "sketch"])
+            pair = np.unique(np.stack([np.concatenate(us), np.concatenate(vs)], 1), axis=0) if us else np.zeros((0, 2), np.int64)
+            if len(pair):
+                none = [pa.nulls(len(pair), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+                yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1]), *none], ["u", "v", "g1", "g2", "doc_id", "n", "sketch"])
             for t in kept:
-                n = t.num_rows
                 columns = [t.column(c).combine_chunks() for c in ("g1", "g2", "doc_id", "n", "sketch")]
-                yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), *columns], ["u", "v", "g1", "g2", "doc_id", "n", "sketch"])
+                yield pa.RecordBatch.from_arrays([pa.nulls(t.num_rows, pa.int64()), pa.nulls(t.num_rows, pa.int64()), *columns], ["u", "v", "g1", "g2", "doc_id", "n", "sketch"])
 
     n = partitions(groups.sparkSession)
     dealt = groups.select("g1", "g2", "doc_id", "n", "sketch", "comp").repartition(n, "g1", "g2").sortWithinPartitions("g1", "g2", "doc_id")
@@ -169,27 +223,56 @@ def _named(groups: DataFrame, lo: int, hi: int, threshold: float, samples: int)
 
 
 def _groups(reps: DataFrame) -> DataFrame:
-    """Bucket groups of representatives; a bucket above BLOCK members makes one group for each pair of its blocks."""
-    rows = reps.select("doc_id", "n", "sketch", F.explode("bands").alias("g1"))
+    """(g1, g2, doc_id): distinct groups of two or more representatives that share a band. A bucket above BLOCK members
+    makes one group for each pair of its blocks."""
+    rows = reps.select("doc_id", F.explode("bands").alias("g1"))
     hot = rows.groupBy("g1").agg(F.count("*").alias("c")).where(F.col("c") > BLOCK).select("g1", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     other = F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = rows.join(hot, "g1", "left").withColumn("own", F.coalesce(own, F.lit(0))).select("*", other.alias("other"))
-    return dealt.withColumn("g2", (F.least("own", "other") * F.coalesce("blocks", F.lit(1)) + F.greatest("own", "other")).cast("int")).select("g1", "g2", "doc_id", "n", "sketch")
-
+    dealt = dealt.withColumn("g2", (F.least("own", "other") * F.coalesce("blocks", F.lit(1)) + F.greatest("own", "other")).cast("long")).select("g1", "g2", "doc_id")
+
+    def distinct(batches):
+        seen: set = set()
+        for table, edges in _whole(batches):
+            ids = table.column("doc_id").to_numpy()
+            size = np.diff(edges)
+            h = _text.mix(ids.view(np.uint64))
+            a = np.add.reduceat(h, edges[:-1]).view(np.int64)
+            b = np.bitwise_xor.reduceat(_text.mix(h + np.uint64(1)), edges[:-1]).view(np.int64)
+            take = [i for i in np.flatnonzero(size > 1) if (a[i], b[i]) not in seen and not seen.add((a[i], b[i]))]
+            if len(seen) > 1_000_000:
+                seen.clear()
+            if take:
+                at = np.concatenate([np.arange(edges[i], edges[i + 1]) for i in take])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(a[take], size[take])), pa.array(np.repeat(b[take], size[take])), pa.array(ids[at])], ["g1", "g2", "doc_id"])
+
+    n = partitions(reps.sparkSession)
+    found = dealt.repartition(n, "g1", "g2").sortWithinPartitions("g1", "g2", "doc_id").mapInArrow(distinct, "g1 long, g2 long, doc_id long")
+    return found.distinct()
+
+
+def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """(id, s): the sorted shingle hashes of the documents named. Texts travel compressed, once."""
 
-def _confirm(docs: DataFrame, pairs: DataFrame, k: int, hundredths: int) -> DataFrame:
-    """The pairs whose full sets have 100 * intersection >= hundredths * union."""
-
-    def sets(batches):
+    def run(batches):
         for batch in batches:
             found = []
-            for chunk in _text.chunks(batch.column(1), lower=True):
-                doc, h = _text.shingles(chunk, k)
-                edge = np.searchsorted(doc, np.arange(chunk.n + 1))
-                found += [h[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)]
+            for at in range(0, batch.num_rows, 256):
+                texts = pa.array(_opened(batch.column(1).slice(at, 256)), pa.binary()).cast(pa.large_string())
+                for chunk in _text.chunks(texts, lower=True):
+                    doc, h = _text.shingles(chunk, k)
+                    edge = np.searchsorted(doc, np.arange(chunk.n + 1))
+                    found += [h[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "s"])
 
+    texts = _squeeze(docs.where("doc_id is not null")).join(ids.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return materialize(texts.select("doc_id", "z").mapInArrow(run, "id long, s binary"), "sets")
+
+
+def _confirm(sets: DataFrame, pairs: DataFrame, hundredths: int) -> DataFrame:
+    """The pairs whose full sets have 100 * intersection >= hundredths * union."""
+
     def linked(batches):
         for batch in batches:
             keep = []
@@ -200,24 +283,24 @@ def _confirm(docs: DataFrame, pairs: DataFrame, k: int, hundredths: int) -> Data
                 shared = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * shared >= hundredths * (len(a) + len(b) - shared))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+        _text.release()
 
-    need = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(need, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    table = materialize(texts.mapInArrow(sets, "id long, s binary"), "sets")
-    left = pairs.join(table.select(F.col("id").alias("u"), F.col("s").alias("a")), "u")
-    return left.join(table.select(F.col("id").alias("v"), F.col("s").alias("b")), "v").select("u", "v", "a", "b").mapInArrow(linked, "u long, v long")
+    left = pairs.join(sets.select(F.col("id").alias("u"), F.col("s").alias("a")), "u")
+    return left.join(sets.select(F.col("id").alias("v"), F.col("s").alias("b")), "v").select("u", "v", "a", "b").mapInArrow(linked, "u long, v long")
 
 
 def components(links: DataFrame) -> DataFrame:
     """(id, comp): the smallest id that each id of the links (u, v) reaches."""
-    edges = materialize(links.select("u", "v").union(links.select("v", "u")).distinct(), "links")
-    labels = materialize(edges.groupBy(F.col("u").alias("id")).agg(F.least(F.min("v"), F.col("id")).alias("comp")), "labels")
+    both = materialize(links.select("u", "v").union(links.select("v", "u")).distinct(), "links")
+    files = both.count() // 200_000 + 1  # links are few; so are the files that each round writes
+    edges = both.select("u", "v")
+    labels = materialize(edges.groupBy(F.col("u").alias("id")).agg(F.least(F.min("v"), F.col("id")).alias("comp")).coalesce(files), "labels")
     total = labels.agg(F.sum(F.col("comp").cast("decimal(38,0)"))).first()[0]
     while total is not None:
         near = edges.join(labels.select(F.col("id").alias("v"), "comp"), "v").select(F.col("u").alias("id"), "comp").union(labels)
         near = near.groupBy("id").agg(F.min("comp").alias("comp"))
         jump = labels.select(F.col("id").alias("comp"), F.col("comp").alias("further"))
-        labels = materialize(near.join(jump, "comp").select("id", F.least("comp", "further").alias("comp")), "labels")
+        labels = materialize(near.join(jump, "comp").select("id", F.least("comp", "further").alias("comp")).coalesce(files), "labels")
         before, total = total, labels.agg(F.sum(F.col("comp").cast("decimal(38,0)"))).first()[0]
         if total == before:
             break
@@ -232,19 +315,22 @@ def near_duplicates(docs: DataFrame, k: int = 3, hundredths: int = 85) -> DataFr
     full = signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = full.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("class_id"))
     reps = full.join(classes, ["f1", "f2", "n"]).where("doc_id = class_id").dropDuplicates(["doc_id"])
-    groups = _groups(reps).withColumn("comp", F.col("doc_id"))
-    lo, hi, links, labels = 0, FIRST, None, None
+    groups = _groups(reps).join(reps.select("doc_id", "n", "sketch"), "doc_id").withColumn("comp", F.col("doc_id"))
+    lo, hi, links, labels, sets = 0, FIRST, None, None, None
     while True:
-        found = materialize(_named(groups, lo, hi, threshold, bands * ROWS), "pairs")
+        found = materialize(_named(groups, lo, hi, threshold), "pairs")
         pairs = found.where("u is not null").select("u", "v").distinct()
-        confirmed = materialize(_confirm(docs, pairs, k, hundredths), "confirmed")
-        links = confirmed if links is None else links.union(confirmed)
-        labels = components(links)
+        if sets is None:  # whoever has a partner names one in the first round
+            sets = _sets(docs, pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), k)
+        confirmed = materialize(_confirm(sets, pairs, hundredths), "confirmed")
+        if labels is None or not confirmed.isEmpty():
+            links = confirmed if links is None else links.union(confirmed)
+            labels = components(links)
         left = found.where("u is null").select("g1", "g2", "doc_id", "n", "sketch")
         if left.isEmpty():
             break
         groups = left.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
-        lo, hi = hi, hi + 2 * (hi - lo)
+        lo, hi = hi, hi + 8 * (hi - lo)
     of_class = classes.join(labels.select(F.col("id").alias("class_id"), "comp"), "class_id", "left").select("f1", "f2", "n", "class_id", F.coalesce("comp", "class_id").alias("comp"))
     out = signed.select("doc_id", "n", "f1", "f2").join(of_class, ["f1", "f2", "n"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
