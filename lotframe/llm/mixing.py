@@ -49,18 +49,22 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 
 
 def _queued(docs: DataFrame, seed: str) -> DataFrame:
-    """The rows of ``docs`` in a struct, with size, source and their place in the shuffle."""
-    return docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+    """doc_id, source, size, and the document's place in the shuffle, without the text but for a hash of it."""
+    queue = docs.select(
+        "doc_id",
+        "source",
         F.col("source").isNull().alias("no_source"),
         F.coalesce("source", F.lit("")).alias("source_key"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary")).alias("order"),
-    ).withColumn("bucket", F.substring("order", 1, DIGITS))
+        F.xxhash64("text").alias("text_hash"),
+    )
+    return materialize(queue.withColumn("bucket", F.substring("order", 1, DIGITS)), "mix")
 
 
-def _served(queue: DataFrame, totals: DataFrame, weights: tuple[int, ...], share: float, repeats: int) -> DataFrame:
-    """Adds source_size, target, taken and virtual_finish. totals: words by source and bucket."""
+def _served(queue: DataFrame, weights: tuple[int, ...], share: float, repeats: int) -> DataFrame:
+    """Adds source_size, target, taken and virtual_finish."""
+    totals = queue.groupBy(*SOURCE, "bucket").agg(F.sum("size").alias("n"))
     earlier = Window.partitionBy(*SOURCE).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("offset", F.coalesce(F.sum("n").over(earlier), F.lit(0))).select(*SOURCE, "bucket", "offset")
     targets = source_targets(totals.groupBy(*SOURCE).agg(F.sum("n").alias("source_size")), weights, share, repeats)
@@ -79,15 +83,18 @@ def _served(queue: DataFrame, totals: DataFrame, weights: tuple[int, ...], share
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, repeats: int = 2, seed: str = SEED) -> DataFrame:
     """doc_id, size, source_size, target, taken, source and the virtual finish time, one row a document, ordered by that time."""
-    queue = materialize(_queued(docs.select("doc_id", "source", "text"), seed).withColumn("row", F.struct("row.doc_id", "row.source")), "mix")
-    totals = queue.groupBy(*SOURCE, "bucket").agg(F.sum("size").alias("n"))
-    served = _served(queue, totals, weights, share, repeats)
-    return served.select("row.doc_id", "size", "source_size", "target", "taken", "row.source", "virtual_finish").orderBy("virtual_finish", "doc_id")
+    served = _served(_queued(docs, seed), weights, share, repeats)
+    return served.select("doc_id", "size", "source_size", "target", "taken", "source", "virtual_finish").orderBy("virtual_finish", "doc_id")
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, repeats: int = 2, seed: str = SEED) -> DataFrame:
-    """The rows of ``docs`` as the mix serves them, with all their columns: once for each whole time a document is taken,
-    and once more if at least half of it is served when the budget ends."""
-    totals = materialize(_queued(docs.select("doc_id", "source", "text"), seed).groupBy(*SOURCE, "bucket").agg(F.sum("size").alias("n")), "mix")
-    served = _served(_queued(docs, seed), totals, weights, share, repeats).where("taken > 0")
-    return served.withColumn("again", F.explode(F.expr("sequence(0, cast(floor(taken / size + 0.5) as int))"))).where("again > 0").select("row.*")
+    """The rows of ``docs`` that the mix serves, with all their columns: once for each whole time a document is taken, and
+    once more if at least half of it is served when the budget ends. Texts are streamed past a hash table of what is
+    taken and never sorted; equal rows share what they take."""
+    served = _served(_queued(docs, seed), weights, share, repeats).where("taken > 0")
+    times = F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int")
+    keys = served.groupBy("doc_id", "text_hash").agg(times.alias("times")).where("times > 0")
+    keys = keys.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "times")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.xxhash64("text").alias("_text"))
+    found = rows.join(keys.hint("shuffle_hash"), F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")))
+    return found.select("row", F.explode(F.sequence(F.lit(1), "times")).alias("time")).select("row.*")
