@@ -35,9 +35,15 @@ def first_of(values: Column, look: Callable[[Column], Column]) -> Column:
     return F.try_element_at(F.filter(F.transform(values, look), lambda x: x.isNotNull()), F.lit(1))
 
 
-def first_match(values: Column, patterns: Sequence[str], group: int = 1, clean: Callable[[Column], Column] = lambda c: c) -> Column:
-    """The first match of any pattern in the first text that has one: texts outside, patterns inside."""
-    return first_of(values, lambda d: F.coalesce(*(rx_first(clean(d), p, group) for p in patterns)))
+def first_match(values: Column, patterns: Sequence[str], group: int = 1, clean: Callable[[Column], Column] = lambda c: c, hint: str = "") -> Column:
+    """The first match of any pattern in the first text that has one: texts outside, patterns inside. hint: lower-case text
+    that every match holds in some case; texts without it are passed over before any pattern runs."""
+
+    def look(d: Column) -> Column:
+        found = F.coalesce(*(rx_first(clean(d), p, group) for p in patterns))
+        return F.when(F.contains(F.translate(F.lower(clean(d)), "ſ", "s"), F.lit(hint)), found) if hint else found
+
+    return first_of(values, look)
 
 
 def unify_dashes(c: Column) -> Column:

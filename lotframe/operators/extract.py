@@ -37,13 +37,14 @@ SOURCE_NAME = "bringatrailer"
 
 @dataclass(frozen=True)
 class FieldRule:
-    """One way to find a field. kind: detail, title, links or comments (which raw column is read)."""
+    """One way to find a field. kind: detail, title, links or comments (which raw column is read); hint: see ``first_match``."""
 
     kind: str
     patterns: tuple[str, ...]
     group: int = 1
     transform: str = "identity"
     dashes: bool = False
+    hint: str = ""
 
 
 @dataclass(frozen=True)
@@ -56,9 +57,9 @@ class SiteProfile:
         default_factory=lambda: {
             "vin": (FieldRule("links", (VIN_TEXT,)), FieldRule("comments", VIN_COMMENTS)),
             "engine": (FieldRule("detail", ENGINE, 0, dashes=True),),
-            "transmission": (FieldRule("detail", TRANSMISSION, 0, dashes=True),),
+            "transmission": (FieldRule("detail", TRANSMISSION, 0, dashes=True, hint="-speed"),),
             "mileage": (
-                FieldRule("detail", MILEAGE_DETAIL, transform="handle_k_miles"),
+                FieldRule("detail", MILEAGE_DETAIL, transform="handle_k_miles", hint="miles"),
                 FieldRule("title", MILEAGE_TITLE, transform="multiply_1000"),
                 FieldRule("comments", MILEAGE_COMMENTS, transform="remove_commas"),
             ),
@@ -82,7 +83,7 @@ def cascade(raw: dict[str, Column], rules: Sequence[FieldRule], check: Callable[
         if rule.kind == "comments" and not enable_comment_rules:
             continue
         texts = KINDS[rule.kind](raw)
-        value = first_match(texts, rule.patterns, rule.group, unify_dashes if rule.dashes else (lambda c: c))
+        value = first_match(texts, rule.patterns, rule.group, unify_dashes if rule.dashes else (lambda c: c), rule.hint)
         value = TRANSFORMS[rule.transform](value)
         found.append(F.when(check(value), value) if check else value)
     return F.coalesce(*found) if found else F.lit(None).cast("string")
@@ -117,7 +118,8 @@ def vin(links: Column, comments: Column | None = None, rules: Sequence[FieldRule
 def colors(details: Column) -> tuple[Column, Column]:
     """(exterior, interior). The interior is the detail after the exterior, whatever it says; failing that, the first
     short detail with an interior word and no word of another part."""
-    marked = F.transform(details, lambda d, i: F.struct(F.coalesce(*(rx_first(d, p) for p in EXTERIOR)).alias("text"), i.alias("at")))
+    painted = lambda d: F.when(F.contains(F.lower(d), F.lit("paint")), F.coalesce(*(rx_first(d, p) for p in EXTERIOR)))
+    marked = F.transform(details, lambda d, i: F.struct(painted(d).alias("text"), i.alias("at")))
     paint = F.try_element_at(F.filter(marked, lambda m: m["text"].isNotNull()), F.lit(1))
     after = F.nullif(py_strip(F.get(details, paint["at"] + 1)), F.lit(""))
 
