@@ -40,7 +40,7 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates.near_duplicates(_read(spark, sf_dir, "documents"))
+    return near_duplicates.near_duplicates(_read(spark, sf_dir, "documents")).drop("class_id")
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +57,58 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
 
 
+OP4_SQL = r"""
+WITH d AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+    SELECT doc_id, unnest(list_transform(range(0, len(h) // 2 - 99), lambda s: {'s': s, 'm': md5_number(substr(h, 2 * s + 1, 200))})) AS x FROM d WHERE len(h) >= 200
+), k AS (
+    SELECT doc_id, x.s AS s, row_number() OVER (PARTITION BY x.m ORDER BY doc_id, x.s) AS r FROM w
+), p AS (
+    SELECT doc_id, s, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS p FROM k WHERE r > 1
+), g AS (
+    SELECT doc_id, s, sum(CASE WHEN s <= p + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY s) AS g FROM p
+), spans AS (
+    SELECT doc_id, min(s) AS a, max(s) + 100 AS b FROM g GROUP BY doc_id, g
+), n AS (
+    SELECT doc_id, a, b, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS next FROM spans
+)
+SELECT doc_id, (any_value(len(h)) // 2)::BIGINT AS n_bytes, coalesce(sum(b - a), 0)::BIGINT AS n_removed, count(a)::BIGINT AS n_spans,
+    sha256(unhex(coalesce(substr(any_value(h), 1, 2 * min(a)) || string_agg(substr(h, 2 * b + 1, 2 * (coalesce(next, len(h) // 2) - b)), '' ORDER BY a), any_value(h)))) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
+OP5_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s QUALIFY rank <= 5
+"""
+
+OP7_SQL = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sh AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: md5_number(array_to_string(w[i:i + 2], ' '))) WHEN len(w) > 0 THEN [md5_number(array_to_string(w, ' '))] ELSE [] END) AS x FROM d
+), n AS (
+    SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
+), pairs AS (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM sh a JOIN sh b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT u, v FROM pairs JOIN n nu ON nu.doc_id = u JOIN n nv ON nv.doc_id = v WHERE 100 * c >= 85 * (nu.n + nv.n - c)
+), e AS (
+    SELECT u, v FROM links UNION ALL SELECT v, u FROM links
+), reach AS (
+    SELECT doc_id, doc_id AS r FROM d UNION SELECT reach.doc_id, e.v FROM reach JOIN e ON e.u = reach.r
+), comp AS (
+    SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM comp LEFT JOIN n USING (doc_id)
+"""
+
 OP9_SQL = r"""
 WITH sized AS (
     SELECT doc_id, source IS NULL AS no_source, coalesce(source, '') AS source_key,
@@ -130,4 +182,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLE_SQL: dict[str, str] = {"op9_mixing": OP9_SQL, "op10_quality_rules": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_suffix_repeats": OP4_SQL, "op5_top_k_search": OP5_SQL, "op7_near_duplicates": OP7_SQL, "op9_mixing": OP9_SQL, "op10_quality_rules": OP10_SQL}
