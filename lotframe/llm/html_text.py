@@ -1,19 +1,24 @@
 """Main text of web pages by tree scoring.
 
 A page becomes a light element tree. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments go by element, role, class or id. Every paragraph left passes points for its length and its commas to
-its ancestors, less to those further up; an element's points are discounted by the share of its text that stands in
-links. The element with most points is the container (an ``article`` or ``main`` around it is preferred); siblings that
-score a fifth of its points, or are plain paragraphs or headings beside it, are kept with it. Character references are
+reader comments go by element or role, and by class or id where they are no more than that: an element so named stays
+if it holds the page's article or main, or more unlinked text than the rest of the page, or, where the name is a loose
+one (``notice``, ``form``), more than a few lines. The header of an article keeps its headings and paragraphs. Every
+paragraph left passes points for its length and its commas to its ancestors, less to those further up; an element's
+points are discounted by the share of its text that stands in links. The element with most points is the container. A
+``main`` or ``article`` around it is preferred; without one, the container grows until it holds every paragraph that is
+left, and all blocks and bare text beside it that are not mostly links are kept with it. Character references are
 decoded, white space becomes one space, blocks are joined in page order by one space.
 
 Defined results: null or empty html gives an empty text; so does a page without text. Broken markup never fails: an
-unclosed comment or script runs to the end, unknown or unmatched end tags are ignored. Repeated rows give repeated
-results, an empty table an empty one; extra columns are ignored.
+unclosed comment, script or style runs to the end, other tags whose content is skipped are ignored if they are unclosed
+or self-closed, unknown or unmatched end tags are ignored. Repeated rows give repeated results, an empty table an empty
+one; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import heapq
 import html as _html
 import re
 
@@ -25,7 +30,7 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^
 ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript template iframe noembed noframes xmp svg math canvas object audio video select".split())
-DROPPED = frozenset("nav header footer aside form menu dialog button label fieldset datalist head map applet".split())
+DROPPED = frozenset("nav header footer aside menu dialog button label fieldset datalist head map applet".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
@@ -33,59 +38,93 @@ PARAGRAPH = frozenset("p pre td blockquote li dd".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES = {"li": ("li", frozenset(("ul", "ol", "menu"))), "dt": ("dt dd", frozenset(("dl",))), "dd": ("dt dd", frozenset(("dl",))), "tr": ("tr td th", frozenset(("table",))), "td": ("td th", frozenset(("tr", "table"))), "th": ("td th", frozenset(("tr", "table")))}
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
-NOISE = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense adslot adbox sponsor sponsored sponsors promo promos promotion promoted banner banners outbrain taboola "
-    "nav navbar navigation menu menus breadcrumb breadcrumbs crumbs pager pagination sidebar sidebars aside rail header masthead topbar footer bottombar toolbar "
-    "cookie cookies consent gdpr notice notices notification alert popup modal overlay dialog toast paywall subscribe subscription newsletter signup login register form search "
-    "share sharing social related recommended recommendations trending comment comments commentlist disqus respond reply replies discussion widget widgets skip copyright".split()
-)
+#: What words of a class or id say of an element; the greater counts. HEAD and LOOSE words also name parts of articles.
+HEAD, LOOSE, FURNITURE, TALK, ADVERT = 1, 2, 3, 4, 5
+NOISE = {
+    word: kind
+    for kind, words in (
+        (HEAD, "banner banners header masthead topbar"),
+        (LOOSE, "promo promos promotion promoted rail notice notices notification alert popup modal overlay dialog toast register form search social related recommended recommendations trending discussion widget widgets skip copyright"),
+        (FURNITURE, "nav navbar navigation menu menus breadcrumb breadcrumbs crumbs pager pagination sidebar sidebars aside footer bottombar toolbar paywall subscribe subscription newsletter signup login share sharing"),
+        (TALK, "comment comments commentlist disqus respond reply replies"),
+        (ADVERT, "ad ads adv advert adverts advertisement advertising adsense adslot adbox sponsor sponsored sponsors outbrain taboola cookie cookies consent gdpr"),
+    )
+    for word in words.split()
+}
+#: An element named by noise holds little up to so many unlinked characters.
+LITTLE = 200
 GOOD = frozenset("article articlebody content main post entry story text body".split())
+ENTRY = frozenset("article articlebody post entry story".split())
 NOT_NOISE_AFTER = frozenset("with has no without".split())
+NOT_NOISE_BEFORE = frozenset("open closed enabled disabled".split())
 #: An element this far above a paragraph still gets points, divided by the distance; beyond, they would not decide anything.
 FARTHEST = 16
 SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "good", "points", "chars", "linked")
+    __slots__ = ("tag", "parent", "children", "dropped", "good", "points", "chars", "linked", "noise", "entry", "inside", "head", "within", "titled")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.children = tag, parent, []
         self.dropped = self.good = False
         self.points, self.chars, self.linked = 0.0, 0, 0
+        #: kind of noise by class or id; an article or the like; below one; cut to headings and paragraphs; nearest noise above; has an h1
+        self.noise, self.entry, self.head, self.titled = 0, False, False, False
+        self.inside = parent is not None and (parent.inside or parent.entry)
+        self.within: Node | None = None
 
 
-def _noise(name: str) -> bool:
-    last = ""
-    for part in SPLIT.split(name):
-        low = part.lower()
-        if low in NOISE and last not in NOT_NOISE_AFTER:
-            return True
-        last = low or last
-    return False
+def _noise(name: str) -> tuple[int, bool]:
+    """The kind of noise that a word of a class or id names, and whether it is the header of an entry."""
+    kind, last, entry = 0, "", False
+    parts = [p.lower() for p in SPLIT.split(name) if p]
+    for part, after in zip(parts, [*parts[1:], ""], strict=True):
+        if part in NOISE and last not in NOT_NOISE_AFTER and after not in NOT_NOISE_BEFORE:
+            if part == "header" and (last in ENTRY or last == "content"):
+                entry = True
+            else:
+                kind = max(kind, NOISE[part])
+        last = part
+    return kind, entry
 
 
-def _judge(node: Node, attributes: str, in_article: bool) -> None:
+def _judge(node: Node, attributes: str) -> None:
     tag = node.tag
-    if tag in DROPPED and not (tag == "header" and in_article):
-        node.dropped = True
+    if tag in DROPPED:
+        node.dropped, node.head = not (tag == "header" and node.inside), tag == "header"
+    elif tag == "form":  # some sites put the whole page into one
+        node.noise = FURNITURE
     if tag in ("article", "main"):
-        node.good = True
+        node.good = node.entry = True
     if not attributes.strip():
         return
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name in ("class", "id") and tag not in ("html", "body"):
             words = value.split()
-            if any(map(_noise, words)) and tag not in ("article", "main"):
-                node.dropped = True
-            elif any(p.lower() in GOOD for w in words for p in SPLIT.split(w)):
-                node.good = node.good or tag in ("div", "section", "td")
+            found = [_noise(w) for w in words]
+            kind = max((k for k, _ in found), default=0)
+            if any(w.lower() in GOOD for w in words):
+                kind = min(kind, LOOSE)
+            if tag in ("article", "main"):
+                kind = kind if tag == "article" and kind == TALK else 0
+            elif tag == "header":
+                kind = kind if kind > HEAD else 0
+            if any(e for _, e in found) and not kind:
+                node.head = True
+                node.dropped &= tag != "header"
+            node.noise = max(node.noise, kind)
+            if not kind and tag in ("div", "section", "td"):
+                parts = {p.lower() for w in words for p in SPLIT.split(w)}
+                node.good = node.good or not parts.isdisjoint(GOOD)
+                node.entry = node.entry or not parts.isdisjoint(ENTRY)
         elif name == "role":
             node.dropped |= value.lower() in ROLES
-            node.good |= value.lower() in ("main", "article")
+            if value.lower() in ("main", "article"):
+                node.good = node.entry = True
         elif name == "itemprop" and value.lower() == "articlebody":
-            node.good = True
+            node.good = node.entry = True
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
             node.dropped = True
 
@@ -93,7 +132,7 @@ def _judge(node: Node, attributes: str, in_article: bool) -> None:
 def parse(page: str) -> Node:
     """The element tree; a child is a Node or a decoded text."""
     root = Node("html", None)
-    at, open_node, end, articles = 0, root, len(page), 0
+    at, open_node, end, unclosed = 0, root, len(page), set()
     while at < end:
         m = TOKEN.search(page, at)
         if not m or m.start() > at:
@@ -110,18 +149,19 @@ def parse(page: str) -> Node:
             while node is not root and node.tag != tag:
                 node = node.parent
             if node is not root:
-                while open_node is not node:
-                    articles -= open_node.tag == "article"
-                    open_node = open_node.parent
-                articles -= tag == "article"
                 open_node = node.parent
             continue
         if tag in RAW:
-            stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            at = stop.end() if stop else end
+            script = tag in ("script", "style")
+            if script or not m[3].endswith("/") and tag not in unclosed:
+                stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
+                if stop or script:
+                    at = stop.end() if stop else end
+                else:
+                    unclosed.add(tag)
             continue
         if tag in ("html", "body"):
-            _judge(root, m[3], False)
+            _judge(root, m[3])
             continue
         closes, walls = CLOSES.get(tag, ("p" if tag in BLOCK else "", BLOCK - {"p"}))
         node = open_node
@@ -134,16 +174,78 @@ def parse(page: str) -> Node:
             node = node.parent
         child = Node(tag, open_node)
         open_node.children.append(child)
-        _judge(child, m[3], articles > 0)
+        _judge(child, m[3])
         if tag not in VOID and not m[3].endswith("/"):
             open_node = child
-            articles += tag == "article"
     return root
 
 
+def _prune(found: list[Node]) -> list[Node]:
+    """Drops the elements named by noise that are no more than that, the largest judged first; what is left in page order."""
+    below: dict = {}
+    for n in found:
+        if n.noise:
+            below.setdefault(n.within, []).append(n)
+        elif n.tag == "h1":
+            up = n.within
+            while up is not None and not up.titled:
+                up.titled, up = True, up.within
+    if not below:
+        return found
+    free = {n: n.chars - n.linked for n in found}
+    articles = [n for n in found if n.tag in ("article", "main") and not n.noise]
+    most = max((free[a] for a in articles), default=0)
+    holders = set()
+    for a in articles:
+        up = a.within if free[a] and 2 * free[a] >= most else None
+        while up is not None and up not in holders:
+            holders.add(up)
+            up = up.within
+    clean = {n: free[n] - sum(free[x] for x in below.get(n, ())) for n in [found[0], *(x for some in below.values() for x in some)]}
+    rest = free[found[0]] - sum(free[x] for x in below.get(None, ()))
+    place = {n: i for i, n in enumerate(found)}
+    queue = [(x not in holders, -free[x], place[x], x) for x in below.get(None, ())]
+    heapq.heapify(queue)
+    while queue:
+        other, size, _, n = heapq.heappop(queue)
+        size = -size
+        if not other:
+            gone = False
+        elif _linky(n):
+            gone = True
+        elif n.noise == TALK:
+            gone = rest >= 25 or size <= rest
+        elif n.noise == ADVERT:
+            gone = size <= max(rest, LITTLE)
+        elif n.noise == FURNITURE:
+            gone = size <= rest
+        else:
+            gone = size <= min(rest, LITTLE)
+        if gone and n.inside and n.noise < TALK and (n.noise == HEAD or n.titled):
+            n.head, gone = True, False
+        elif not gone:
+            rest += clean[n]
+        if gone:
+            up = n
+            n.dropped, chars, linked = True, n.chars, n.linked
+            while up is not None:
+                up.chars, up.linked, up = up.chars - chars, up.linked - linked, up.parent
+            n.parent.children = [c for c in n.parent.children if c is not n]
+        else:
+            for x in below.get(n, ()):
+                heapq.heappush(queue, (x not in holders, -free[x], place[x], x))
+    left, out = [], set()
+    for n in found:
+        if n.dropped and n.parent is not None or n.parent in out:
+            out.add(n)
+        else:
+            left.append(n)
+    return left
+
+
 def _weigh(node: Node) -> list[Node]:
     """Prunes what is dropped, counts characters, gives points; the elements in page order."""
-    found, stack, paragraphs = [], [(node, 0, False)], []
+    found, stack = [], [(node, 0, False)]
     while stack:
         node, i, in_link = stack.pop()
         if i == 0:
@@ -158,6 +260,7 @@ def _weigh(node: Node) -> list[Node]:
                 node.chars += n
                 node.linked += n * in_link
             else:
+                child.within = node if node.noise else node.within
                 stack.append((node, i, in_link))
                 stack.append((child, 0, in_link))
                 break
@@ -165,9 +268,10 @@ def _weigh(node: Node) -> list[Node]:
             if node.parent is not None:
                 node.parent.chars += node.chars
                 node.parent.linked += node.linked
-            if node.chars and (node.tag in PARAGRAPH or node.tag in BLOCK and any(isinstance(c, str) and len(c.strip()) >= 25 for c in node.children)):
-                paragraphs.append(node)
-    for p in paragraphs:
+    found = _prune(found)
+    for p in found:
+        if not (p.chars and _paragraph(p)):
+            continue
         own = "".join(c if isinstance(c, str) else "" for c in p.children) if p.tag not in PARAGRAPH else _text_of([p])
         points = (1.0 if len(own) >= 25 else 0.2) + own.count(",") + min(len(own) / 100, 3)
         points *= 1 - p.linked / p.chars
@@ -199,6 +303,46 @@ def _linky(node: Node) -> bool:
     return node.chars > 0 and node.linked > 0.6 * node.chars
 
 
+def _paragraph(node: Node) -> bool:
+    return node.tag in PARAGRAPH or node.tag in BLOCK and any(isinstance(c, str) and len(c.strip()) >= 25 for c in node.children)
+
+
+def _beside(parent: Node) -> list:
+    """The children of an element without blocks, or runs of bare text, that are mostly links."""
+    keep, run = [], []
+
+    def close():
+        chars = sum(len(c.strip()) if isinstance(c, str) else c.chars for c in run)
+        linked = sum(0 if isinstance(c, str) else c.linked for c in run)
+        if linked <= 0.6 * chars:
+            keep.extend(run)
+        run.clear()
+
+    for c in parent.children:
+        if isinstance(c, str) or c.tag not in BLOCK:
+            run.append(c)
+        else:
+            close()
+            if not _linky(c):
+                keep.append(c)
+    close()
+    return keep
+
+
+def _headings(node: Node) -> list:
+    """The headings and paragraphs below the header of an article, in page order."""
+    out, stack = [], list(reversed(node.children))
+    while stack:
+        c = stack.pop()
+        if isinstance(c, str) or c.dropped:
+            continue
+        if c.tag in HEADING or c.tag == "hgroup" or _paragraph(c) and c.chars >= 25 and not _linky(c):
+            out.append(c)
+        else:
+            stack.extend(reversed(c.children))
+    return out
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
@@ -213,33 +357,51 @@ def main_text(page: str | None) -> str:
 
     best = max(nodes, key=score)  # ties: the first in page order
     up = best
-    while up.parent is not None:
-        up = up.parent
-        if up.tag == "article" or (up.tag == "main" and best.tag != "article"):
+    while up is not None:
+        if up.tag in ("article", "main"):
             best = up
-    keep = [best]
-    if best.parent is not None and best.tag not in ("article", "main"):
-        least = max(2.0, 0.2 * score(best))
-        keep = [
-            s
-            for s in best.parent.children
-            if isinstance(s, Node) and (s is best or not _linky(s) and (score(s) >= least or s.tag in HEADING or s.tag == "p" and s.chars >= 80))
-        ]
-    for n in keep:  # lists and boxes of links inside the article
-        stack = [n]
-        while stack:
-            x = stack.pop()
-            for c in x.children:
-                if isinstance(c, Node):
-                    if c.tag in ("ul", "ol", "dl", "div", "section", "table") and _linky(c):
-                        c.dropped = True
-                    elif c.tag == "header":
-                        c.children = [h for h in c.children if isinstance(h, Node) and (h.tag in HEADING or h.tag == "hgroup")]
-                    else:
-                        stack.append(c)
+        up = up.parent
+    if best.tag in ("article", "main"):
+        keep = [best]
+        if best.tag == "article" and best.parent is not None:  # its title may stand before it
+            keep = [s for s in best.parent.children if s is best or isinstance(s, Node) and s.tag == "h1" and not _linky(s)]
+    else:
+        best = _around([best, *(n for n in nodes if n.chars >= 25 and _paragraph(n) and not _linky(n))])
+        while best.parent is not None and best.parent.chars == best.chars:  # no more than a wrapper
+            best = best.parent
+        keep = _beside(best.parent) if best.parent is not None else [best]
+    stack = [n for n in keep if isinstance(n, Node)]
+    while stack:  # lists and boxes of links inside the article
+        x = stack.pop()
+        if x.head:
+            x.children = _headings(x)
+        for c in x.children:
+            if isinstance(c, Node):
+                if c.tag in ("ul", "ol", "dl", "div", "section", "table") and _linky(c):
+                    c.dropped = True
+                else:
+                    stack.append(c)
     return _text_of(keep)
 
 
+def _around(nodes: list[Node]) -> Node:
+    """The lowest element that holds all of ``nodes``."""
+    path, up = [], nodes[0]
+    while up is not None:
+        path.append(up)
+        up = up.parent
+    level = {n: i for i, n in enumerate(path)}
+    known, most = set(), 0
+    for n in nodes[1:]:
+        up = n
+        while up not in level and up not in known:
+            known.add(up)
+            up = up.parent
+        if up in level:
+            most = max(most, level[up])
+    return path[most]
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars); map-only."""
 

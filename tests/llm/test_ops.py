@@ -358,6 +358,35 @@ def test_main_text(page, want):
     assert html_text.main_text(page) == want
 
 
+Q = "Ut enim ad minim veniam quis nostrud exercitation ullamco laboris nisi ut aliquip ex ea commodo consequat."
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<div class='layout sidebar-right'><article><p>{P}</p></article></div>", P),
+        (f"<div class='layout sidebar-right'><div><p>{P}</p><p>{Q}</p></div></div><div class='sidebar'>{Q}</div>", f"{P} {Q}"),
+        (f"<article><header class='entry-header'><h1>T</h1></header><p>{P}</p></article>", f"T {P}"),
+        (f"<article><div class='banner'><h1>T</h1><span>by me</span></div><p>{P}</p></article>", f"T {P}"),
+        (f"<article><div class='post-header'><h1>T</h1></div><p>{P}</p></article>", f"T {P}"),
+        (f"<div class='post'><div class='post-header'><h1>T</h1></div><p>{P}</p></div>", f"T {P}"),
+        (f"<main><header><div><h1>T</h1><p>{Q}</p></div></header><p>{P}</p></main>", f"T {Q} {P}"),
+        (f"<main><h1>T</h1><article><p>{P}</p></article><article><p>{Q}</p></article></main>", f"T {P} {Q}"),
+        (f"<h1>T</h1><article><p>{P}</p></article>", f"T {P}"),
+        (f"<article><p>{P}</p><div class='notice'><p>{Q}</p><p>{Q}</p></div></article>", f"{P} {Q} {Q}"),
+        (f"<div class='post comments-open'><p>{P}</p></div><div id='comments'><article class='comment'>{Q * 9}</article></div>", P),
+        (f"<article><p>{P * 4}</p></article><div class='related'><article><h3>More</h3><p>{Q}</p></article></div>", P * 4),
+        (f"<div>bare <b>text</b><div><p>{P * 9}</p></div><ul><li>a<li>b</ul><div>short</div> <a href=1>Home</a> | <a href=2>About</a></div>", f"bare text {P * 9} a b short"),
+        (f"<div><div><div><p>{P * 3}</p></div></div><div><div><p>{Q}</p></div></div></div>", f"{P * 3} {Q}"),
+        (f"<form><div><p>{P}</p></div><label>Find</label></form><p>end", f"{P} end"),
+        (f"<p>{P}</p><iframe src='x'/><svg/><p>{Q}</p><textarea><p>end</p>", f"{P} {Q} end"),
+        (f"<p>{P}</p><iframe>no</iframe><textarea>no</textarea><style>no", P),
+    ],
+)
+def test_main_text_is_whole(page, want):
+    assert html_text.main_text(page) == want
+
+
 def test_html_query(spark):
     d = spark.createDataFrame([(1, "u", f"<article><p>{P} é</article>", "x"), (2, None, None, "y")], "page_id bigint, url string, html string, text string")
     assert [tuple(r) for r in html_text.extract(d).orderBy("page_id").collect()] == [(1, "u", f"{P} é", len(P) + 2), (2, None, "", 0)]
