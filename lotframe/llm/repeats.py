@@ -11,8 +11,12 @@ The strings of ``LENGTH`` bytes (windows) of all texts are to be matched without
 * Suffix order. The contents of those phrases, first thinned of windows that the same task holds earlier, are
   shuffled by trigger. Each block of a task's dictionary is suffix-sorted to depth LENGTH by prefix doubling; suffixes
   equal to that depth are one window, and the parse's (doc_id, start) tells its first occurrence in corpus order.
+* Hot triggers. A trigger with more than ``HOT_TASK`` distinct phrases in one flush of a map task has them dealt by
+  (trigger, content), and a mark tells the others of that trigger; one with more than ``HOT`` in all is found by their
+  task. The windows of such phrases, first thinned like the others, are dealt by their own hash and matched by two.
 
-A trigger or a passage shared by any number of documents sends at most one row per map task and distinct phrase.
+A passage shared by any number of documents sends at most one row per map task; no task gathers more phrases of a
+trigger than ``HOT_TASK`` from each flush, nor sorts the contents of more than ``HOT``.
 
 Defined results: null text counts as empty; texts below LENGTH bytes lose nothing; rows with a null doc_id take no
 part and lose nothing; rows of one doc_id are versions of one document and an interval found in one applies to all,
@@ -25,6 +29,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +43,8 @@ FLUSH = 1_000_000
 BLOCK_BYTES = 4 << 20
 PHRASE = ["kind", "kh", "sh", "doc", "lo", "hi"]
 PHRASE_KIND = "kind byte, kh long, sh long, doc long, lo int, hi int"
-ONCE, REPEAT, LOOK = 0, 1, 2
+HOT_TASK, HOT = 256, 4096
+ONCE, REPEAT, LOOK, WIDE, MARK, SPREAD = 0, 1, 2, 3, 4, 5
 
 
 def phrases(chunk: _text.Chunk) -> tuple[np.ndarray, ...]:
@@ -95,7 +101,7 @@ def _merge(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray,
     return doc[first], lo[first], reach[np.append(first[1:], len(doc)) - 1]
 
 
-def _rows(kind: int, kh, sh, doc, lo, hi) -> pa.RecordBatch:
+def _rows(kind: int | np.ndarray, kh, sh, doc, lo, hi) -> pa.RecordBatch:
     n = len(doc)
     return pa.RecordBatch.from_arrays(
         [
@@ -131,7 +137,14 @@ def _parse(batches):
         new[1:] = (kh[1:] != kh[:-1]) | (sh[1:] != sh[:-1])
         first = np.flatnonzero(new)[np.cumsum(new) - 1]
         again = ~new & ((doc != doc[first]) | (lo != lo[first]))
-        yield _rows(ONCE, kh[new], sh[new], doc[new], lo[new], hi[new])
+        once = kh[new]
+        run = np.sort(once)
+        hot = np.unique(run[HOT_TASK:][run[HOT_TASK:] == run[:-HOT_TASK]])
+        kind = np.where(np.isin(once, hot), SPREAD, ONCE) if len(hot) else ONCE
+        yield _rows(kind, once, sh[new], doc[new], lo[new], hi[new])
+        if len(hot):
+            none = np.zeros(len(hot), np.int64)
+            yield _rows(MARK, hot, none, none, none, none)
         if again.any():
             yield _repeat_rows(*_merge(doc[again], lo[again], hi[again]))
 
@@ -176,6 +189,8 @@ def _dictionary(batches):
         passed = kind == REPEAT
         if passed.any():
             yield _rows(REPEAT, kh[passed], sh[passed], doc[passed], lo[passed], hi[passed])
+        marks = np.unique(kh[(kind == MARK) | (kind == SPREAD)])
+        passed |= kind == MARK
         kh, sh, doc, lo, hi = (x[~passed] for x in (kh, sh, doc, lo, hi))
         if not len(kh):
             continue
@@ -188,9 +203,13 @@ def _dictionary(batches):
         if again.any():
             yield _repeat_rows(*_merge(doc[again], lo[again].astype(np.int64), hi[again].astype(np.int64)))
         number = np.cumsum(group) - 1
-        shared = new & (np.bincount(number, weights=new)[number] > 1)
+        distinct = np.bincount(number, weights=new)[number]
+        wide = distinct > HOT
+        if len(marks):
+            wide |= np.isin(kh, marks)
+        shared = new & (wide | (distinct > 1))
         if shared.any():
-            yield _rows(LOOK, kh[shared], sh[shared], doc[shared], lo[shared], hi[shared])
+            yield _rows(np.where(wide[shared], WIDE, LOOK), kh[shared], sh[shared], doc[shared], lo[shared], hi[shared])
 
 
 def _squeeze(docs: DataFrame, carry: bool = False) -> DataFrame:
@@ -221,12 +240,13 @@ def _opened(column: pa.Array) -> list[bytes]:
 
 
 def _contents(batches):
-    """Contents of phrases to look into, without the windows that this batch holds earlier; those are repeats."""
+    """Contents of phrases to look into, without the windows that this batch holds earlier; those are repeats. Of a wide
+    trigger every window is a row: its hash as the key, the hash of its first half as the bytes."""
     for batch in batches:
         ids, lists = batch.column(0).to_numpy(), batch.column(2)
         size = lists.value_lengths().to_numpy(zero_copy_only=False)
         flat = lists.flatten()
-        kh, lo, hi = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("kh", "lo", "hi"))
+        kh, lo, hi, wide = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("kh", "lo", "hi", "wide"))
         first = np.append(0, np.cumsum(size))
         texts = batch.column(1)
         a = 0
@@ -241,16 +261,17 @@ def _contents(batches):
             chunk = _text.Chunk(slice(a, b), data, offsets)
             part = slice(first[a], first[b])
             owner = np.repeat(np.arange(a, b), size[a:b]) - a
-            l, r, trigger = lo[part].astype(np.int64), hi[part].astype(np.int64), kh[part]
+            l, r, trigger, single = lo[part].astype(np.int64), hi[part].astype(np.int64), kh[part], wide[part]
             fits = r + LENGTH <= np.diff(offsets)[owner]  # another version of the document may be shorter
-            l, r, trigger, owner = l[fits], r[fits], trigger[fits], owner[fits]
+            l, r, trigger, single, owner = l[fits], r[fits], trigger[fits], single[fits], owner[fits]
             n = r - l + 1
             phrase = np.repeat(np.arange(len(l)), n)
             inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + l[phrase]
             doc = ids[a:b][owner[phrase]]
             if len(phrase):
                 at = offsets[owner[phrase]] + inside
-                h = _text.span_hash(chunk.prefix(), at, at + LENGTH)
+                prefix = chunk.prefix()
+                h = _text.span_hash(prefix, at, at + LENGTH)
                 order = np.lexsort((inside, doc, h))
                 new = np.ones(len(h), bool)
                 new[1:] = h[order][1:] != h[order][:-1]
@@ -259,13 +280,19 @@ def _contents(batches):
                 gone = np.zeros(len(h), bool)
                 gone[order[again]] = True
                 dup = _runs(doc[gone], inside[gone])
-                keep = ~gone
+                keep = ~gone & ~single[phrase]
                 begin = keep.copy()
                 begin[1:] &= gone[:-1] | (phrase[1:] != phrase[:-1])
                 close = keep.copy()
                 close[:-1] &= gone[1:] | (phrase[1:] != phrase[:-1])
                 begin, close = np.flatnonzero(begin), np.flatnonzero(close)
                 raw = data.tobytes()
+                alone = np.flatnonzero(~gone & single[phrase])
+                if len(alone):
+                    half = np.ascontiguousarray(_text.span_hash(prefix, at[alone], at[alone] + LENGTH // 2))
+                    start = pa.array(inside[alone].astype(np.int32))
+                    halves = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8), len(alone), [None, pa.py_buffer(half)]).cast(pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(h[alone].view(np.int64)), pa.array(doc[alone]), start, start, halves], ["kh", "doc", "lo", "hi", "bytes"])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate([trigger[phrase[begin]], _text.mix(dup[0].view(np.uint64)).view(np.int64)])),
@@ -296,15 +323,29 @@ def suffix_ranks(data: np.ndarray, depth: int) -> np.ndarray:
 
 
 def _suffixes(batches):
-    """Repeated windows among the contents of phrases with equal triggers."""
+    """Repeated windows among the contents of phrases with equal triggers, and among the windows of wide ones."""
     for table in _whole_groups(batches, "kh"):
         empty = table.column("bytes").is_null().to_numpy()
         doc, lo, hi, kh = (table.column(c).to_numpy() for c in ("doc", "lo", "hi", "kh"))
         if empty.any():
             yield _repeat_rows(doc[empty], lo[empty], hi[empty])
-        number = np.cumsum(np.append(0, kh[1:] != kh[:-1]))
-        use = np.flatnonzero(~empty & (np.bincount(number, weights=~empty)[number] > 1))
         contents = table.column("bytes").combine_chunks()
+        alone = pc.fill_null(pc.equal(pc.binary_length(contents), 8), False).to_numpy(zero_copy_only=False)
+        if alone.any():
+            some = contents.filter(pa.array(alone))
+            half = np.frombuffer(b"".join(some.to_pylist()), np.int64)
+            h, d, at = kh[alone], doc[alone], lo[alone].astype(np.int64)
+            order = np.lexsort((at, d, half, h))
+            h, half, d, at = h[order], half[order], d[order], at[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (half[1:] != half[:-1])
+            head = np.flatnonzero(new)[np.cumsum(new) - 1]
+            again = ~new & ((d != d[head]) | (at != at[head]))
+            if again.any():
+                yield _repeat_rows(*_runs(d[again], at[again]))
+        parts = ~empty & ~alone
+        number = np.cumsum(np.append(0, kh[1:] != kh[:-1]))
+        use = np.flatnonzero(parts & (np.bincount(number, weights=parts)[number] > 1))
         sizes = (hi - lo + LENGTH).astype(np.int64)
         a = 0
         while a < len(use):
@@ -333,9 +374,11 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     n = partitions(docs.sparkSession)
     some = docs.where("doc_id is not null")
     parsed = some.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_parse, PHRASE_KIND)
-    dealt = parsed.repartition(n, "kh").sortWithinPartitions("kh", "sh", "doc", "lo")
+    place = F.when(F.col("kind") == SPREAD, F.col("kh").bitwiseXOR(F.col("sh"))).otherwise(F.col("kh"))
+    dealt = parsed.repartition(n, place).sortWithinPartitions("kh", "sh", "doc", "lo")
     known = materialize(dealt.mapInArrow(_dictionary, PHRASE_KIND), "phrases")
-    looks = known.where(F.col("kind") == LOOK).groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct("kh", "lo", "hi")).alias("looks"))
+    look = F.struct("kh", "lo", "hi", (F.col("kind") == WIDE).alias("wide"))
+    looks = known.where(F.col("kind").isin(LOOK, WIDE)).groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(look).alias("looks"))
     contents = _squeeze(some).join(looks, "doc_id").select("doc_id", "z", "looks").mapInArrow(_contents, "kh long, doc long, lo int, hi int, bytes binary")
     sorted_out = contents.repartition(n, "kh").sortWithinPartitions("kh").mapInArrow(_suffixes, PHRASE_KIND)
     return known.where(F.col("kind") == REPEAT).select("doc", "lo", "hi").union(sorted_out.select("doc", "lo", "hi"))

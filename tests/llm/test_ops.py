@@ -302,6 +302,51 @@ def test_repeats_small_blocks(spark, texts, monkeypatch):
     assert {r[0]: tuple(r)[1:] for r in repeats.repeat_digests(d).collect()} == brute_repeats(texts)
 
 
+@pytest.mark.parametrize(("in_task", "in_all"), [(3, 1000), (1000, 5)])
+def test_repeats_of_hot_triggers(spark, texts, monkeypatch, in_task, in_all):
+    """A line in most texts, each with other neighbours: right results, and no task gathers or sorts all of its phrases."""
+    sizes, sort = [], repeats.suffix_ranks
+
+    def ranks(data, depth):
+        sizes.append(len(data))
+        return sort(data, depth)
+
+    line = "Released under the terms of the common licence, all rights kept."
+    rng = random.Random(5)
+    side = ["".join(rng.choice("abcdefgh ") for _ in range(90)) for _ in range(40)]
+    some = {i: f"{side[rng.randrange(40)]}{i}{line}{i}{side[rng.randrange(40)]}" if i % 3 else f"{side[i % 40]}{line}{side[i % 7]}" for i in range(150)}
+    some |= {i + 200: t for i, t in texts.items()}
+    monkeypatch.setattr(repeats, "HOT_TASK", in_task)
+    monkeypatch.setattr(repeats, "HOT", in_all)
+    d = spark.createDataFrame(list(some.items()), "doc_id bigint, text string").repartition(3)
+    assert {r[0]: tuple(r)[1:] for r in repeats.repeat_digests(d).collect()} == brute_repeats(some)
+
+    batches = [pa.RecordBatch.from_arrays([pa.array(list(x)), pa.array([some[i] for i in x])], ["doc_id", "text"]) for x in (range(0, 75), range(75, 150))]
+    rows = pa.concat_tables(pa.Table.from_batches(list(repeats._parse([b]))) for b in batches).sort_by([(c, "ascending") for c in ("kh", "sh", "doc", "lo")])
+    spread = rows.column("kind").to_numpy() == repeats.SPREAD
+    home = collections.Counter(rows.column("kh").to_numpy()[~spread & (rows.column("kind").to_numpy() == repeats.ONCE)].tolist())
+    assert max(home.values()) <= in_task * len(batches)
+    looks = pa.Table.from_batches(list(repeats._dictionary(rows.to_batches())))
+    looks = looks.filter(pa.array(np.isin(looks.column("kind").to_numpy(), (repeats.LOOK, repeats.WIDE))))
+    by_doc = collections.defaultdict(list)
+    for r in looks.to_pylist():
+        by_doc[r["doc"]].append({"kh": r["kh"], "lo": r["lo"], "hi": r["hi"], "wide": r["kind"] == repeats.WIDE})
+    frames = next(iter(_frames([some[i] for i in by_doc])))
+    kind = pa.list_(pa.struct([("kh", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("wide", pa.bool_())]))
+    batch = pa.RecordBatch.from_arrays([pa.array(list(by_doc)), frames, pa.array(list(by_doc.values()), kind)], ["doc_id", "z", "looks"])
+    contents = pa.Table.from_batches(list(repeats._contents([batch]))).sort_by("kh")
+    monkeypatch.setattr(repeats, "suffix_ranks", ranks)
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", 1)
+    list(repeats._suffixes(contents.to_batches()))
+    assert max(sizes, default=0) <= 2 * min(in_task * len(batches), in_all) * (2 * repeats.LENGTH)
+
+
+def _frames(some):
+    import zstandard
+
+    yield pa.array([zstandard.ZstdCompressor().compress(t.encode()) for t in some], pa.binary())
+
+
 def test_suffix_ranks():
     data = np.random.default_rng(0).integers(97, 99, 600).astype(np.uint8)
     data[300:450] = data[:150]
