@@ -3,9 +3,10 @@
 Documents of equal text form a group that stays together. Groups are dealt into cells by hash; in each cell, the
 largest first, a group goes to the bin with the highest dot product of its (bytes, tokens, rows) and the bin's residual
 capacity. The bins of all cells are then placed on the shards by the same rule, on the driver: their number is
-``MAX_CELLS`` times the number of shards at most, whatever the input. A group above ``1 / (HOT * shards)`` of any
-total is split into pieces by a hash of doc_id first; at most ``3 * HOT * shards`` groups can be, which bounds what is
-broadcast.
+``MAX_CELLS`` times the number of shards at most, whatever the input. Only a group above ``1 / shards`` of any total,
+which no shard can hold in its share, is split, into pieces of a part of a shard by a hash of doc_id. The rows of a group
+above ``1 / (HOT * shards)`` of any total are dealt to several tasks by the same hash, whether they stay together or not;
+at most ``3 * HOT * shards`` groups are so large, which bounds what is broadcast.
 
 Defined results: a null text has the size of an empty one; repeated rows each get a slot of their own; an empty table
 gives an empty result; extra columns are ignored. Reruns over the same rows give the same shards.
@@ -34,9 +35,10 @@ def pack(items: np.ndarray, bins: int) -> np.ndarray:
     total = items.sum(axis=0, dtype=float)
     share = items / np.where(total > 0, total, 1.0) * bins
     residual = np.ones((bins, items.shape[1]))
+    least = np.array([-np.inf, *[0.0] * (items.shape[1] - 1)])  # a bin too full of tokens or rows is filled with bytes all the same
     out = np.zeros(len(items), np.int32)
     for i in np.argsort(-share.max(axis=1), kind="stable") if len(items) else []:
-        best = int(np.argmax(residual @ (share[i] * WEIGHTS)))
+        best = int(np.argmax(np.maximum(residual, least) @ (share[i] * WEIGHTS)))
         residual[best] -= share[i]
         out[i] = best
     return out
@@ -61,38 +63,41 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
     totals = groups.agg(F.count("*").alias("n"), *(F.sum(d).alias(d) for d in DIMENSIONS)).first()
     cells = max(1, min(MAX_CELLS, totals["n"] // GROUPS_A_CELL))
     share = F.greatest(*(F.col(d) * float(HOT * shards) / float(totals[d] or 1) for d in DIMENSIONS))
-    hot = groups.where(share > 1).select(*same, F.ceil(share).cast("int").alias("pieces"))
+    hot = groups.where(share > 1).select(*same, F.ceil(share).cast("int").alias("pieces"), (share > HOT).alias("split"))
     dealt = (
         narrow.join(F.broadcast(hot), same, "left")
-        .withColumn("piece", F.when(F.col("pieces").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("pieces"))).cast("int"))
+        .withColumn("part", F.when(F.col("pieces").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("pieces"))).cast("int"))
+        .withColumn("piece", F.when(F.col("split"), F.col("part")).otherwise(0))
         .withColumn("cell", F.pmod(F.xxhash64(*same, "piece"), F.lit(cells)).cast("int"))
     )
     item = [*same, "piece"]
 
     def place(key, pdf):
-        pdf = pdf.sort_values(item, ignore_index=True)
-        return pdf[item].assign(cell=key[0], bin=pack(pdf[list(DIMENSIONS)].to_numpy(np.float64), shards), **{d: pdf[d] for d in DIMENSIONS})
+        pdf = pdf.sort_values([*item, "part"], ignore_index=True)
+        whole = pdf.groupby(item)
+        bins = pack(whole[list(DIMENSIONS)].sum().to_numpy(np.float64), shards)
+        return pdf[[*item, "part"]].assign(cell=key[0], bin=bins[whole.ngroup().to_numpy()], **{d: pdf[d] for d in DIMENSIONS})
 
     placed = materialize(
-        dealt.groupBy("cell", *item).agg(*sums).groupBy("cell").applyInPandas(place, "text_hash long, text_crc32 long, size long, piece int, cell int, bin int, bytes long, tokens long, rows long"),
+        dealt.groupBy("cell", *item, "part").agg(*sums).groupBy("cell").applyInPandas(place, "text_hash long, text_crc32 long, size long, piece int, part int, cell int, bin int, bytes long, tokens long, rows long"),
         "bins",
     )
     loads = placed.groupBy("cell", "bin").agg(*(F.sum(d).alias(d) for d in DIMENSIONS)).toPandas().sort_values(["cell", "bin"], ignore_index=True)
     where = pd.DataFrame({"cell": loads["cell"], "bin": loads["bin"], "shard": pack(loads[list(DIMENSIONS)].to_numpy(np.float64), shards)})
     where = docs.sparkSession.createDataFrame(where.astype("int32"), "cell int, bin int, shard int")
     homes = placed.join(F.broadcast(where), ["cell", "bin"])
-    # slots: the rank inside (cell, shard), after the rows of earlier cells in that shard
+    # slots: the rank inside (cell, part, shard), after the rows of earlier cells and parts in that shard
     offsets = (
-        homes.groupBy("shard", "cell")
+        homes.groupBy("shard", "cell", "part")
         .agg(F.sum("rows").alias("n"))
-        .withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .select("shard", "cell", "before")
+        .withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("cell", "part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        .select("shard", "cell", "part", "before")
     )
-    rank = F.row_number().over(Window.partitionBy("cell", "shard").orderBy("doc_id"))
+    rank = F.row_number().over(Window.partitionBy("cell", "part", "shard").orderBy("doc_id"))
     return (
-        dealt.join(homes.select(*item, "cell", "shard"), [*item, "cell"])
+        dealt.join(homes.select(*item, "part", "cell", "shard"), [*item, "part", "cell"])
         .withColumn("rank", rank)
-        .join(offsets, ["cell", "shard"])
+        .join(offsets, ["cell", "part", "shard"])
         .select(
             "doc_id",
             "size",

@@ -525,6 +525,20 @@ def test_pack_keeps_groups(spark, docs):
     assert sum(len(s) > 1 for s in by_text.values()) == 0
 
 
+def test_sharding_keeps_what_fits_a_shard(spark):
+    """Short copies with 2% and 3% of the rows, a shard holding 4.2%, stay on one shard each."""
+    rng = random.Random(7)
+    rows = [(i, "x" if i % 50 == 0 else "y z" if i % 33 == 1 else f"{i} " + "w " * rng.randint(1, 200)) for i in range(6000)]
+    text, load, home, slots = dict(rows), collections.Counter(), collections.defaultdict(set), collections.defaultdict(list)
+    for r in sharding.shard_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect():
+        load[r["shard"]] += r["size"]
+        home[text[r["doc_id"]]].add(r["shard"])
+        slots[r["shard"]].append(r["slot"])
+    assert max(map(len, home.values())) == 1
+    assert sum(map(len, slots.values())) == 6000 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert len(load) == 24 and max(load.values()) < 1.03 * min(load.values())
+
+
 # 9
 
 
