@@ -2,7 +2,9 @@
 
 A *word* is a maximal run of bytes other than 0x20 and 0x09-0x0D, as ``[^\\x20\\x09-\\x0D]+`` matches on UTF-8 text.
 Every function works on a chunk of whole documents (about ``CHUNK_BYTES``; one larger document makes a chunk of its
-own), so memory follows the longest document and not the partition. Hashes are 64-bit and depend on content alone.
+own), so memory follows the longest document and not the partition. Hashes depend on content alone: they are polynomials
+over the bytes modulo the prime 2 ** 61 - 1, so that two different spans of n bytes have one hash with a probability of
+about n / 2 ** 61, however regular they are.
 """
 
 from __future__ import annotations
@@ -15,8 +17,13 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 2 << 20
-_R = np.uint64(0x9E3779B97F4A7C15 | 1)
-_R_INV = np.uint64(pow(int(_R), -1, 1 << 64))
+_PRIME = (1 << 61) - 1
+_P = np.uint64(_PRIME)
+_R = 0x9E3779B97F4A7C15 % _PRIME
+_LOW31, _LOW30 = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
+_30, _31, _61 = np.uint64(30), np.uint64(31), np.uint64(61)
+#: Elements computed at a time, so that intermediate arrays stay in the processor's cache.
+_BLOCK = 1 << 15
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -32,16 +39,45 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime."""
+    x = (x & _P) + (x >> _61)
+    return np.where(x >= _P, x - _P, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime of numbers below it, by halves of 31 bits (2 ** 61 is 1, so 2 ** 62 is 2)."""
+    a1, a0, b1, b0 = a >> _31, a & _LOW31, b >> _31, b & _LOW31
+    middle = a1 * b0 + a0 * b1
+    return _reduced((a1 * b1 << np.uint64(1)) + (middle >> _30) + ((middle & _LOW30) << _31) + a0 * b0)
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers, and more, of the base and of its inverse."""
     if not _POWERS or len(_POWERS["r"]) < n:
         m = max(n, CHUNK_BYTES + (1 << 18))
-        for name, r in (("r", _R), ("inv", _R_INV)):
-            p = np.full(m, r, np.uint64)
-            p[0] = 1
-            _POWERS[name] = np.multiply.accumulate(p)
+        for name, r in (("r", _R), ("inv", pow(_R, -1, _PRIME))):
+            p = np.ones(1, np.uint64)
+            while len(p) < m:
+                p = np.concatenate([p, _times(p[: m - len(p)], np.uint64(pow(r, len(p), _PRIME)))])
+            _POWERS[name] = p
     return _POWERS["r"], _POWERS["inv"]
 
 
+def running(values: np.ndarray) -> np.ndarray:
+    """Running polynomial sums of small non-negative numbers (below 2 ** 16), for ``span_hash``."""
+    n = len(values)
+    power, out, carry = _powers(n + 1)[0], np.zeros(n + 1, np.uint64), np.uint64(0)
+    for a in range(0, n, _BLOCK):
+        v, p = values[a : a + _BLOCK].astype(np.uint64) + np.uint64(1), power[a : min(a + _BLOCK, n)]
+        high, low = np.cumsum(v * (p >> _31)), np.cumsum(v * (p & _LOW31))  # below 2 ** 63
+        high = _reduced(high)
+        part = _reduced((high >> _30) + ((high & _LOW30) << _31) + _reduced(low) + carry)
+        out[a + 1 : a + 1 + len(v)] = part
+        carry = part[-1]
+    return out
+
+
 def release() -> None:
     """Gives freed memory back to the system, so that a worker that waits for its next task holds little."""
     try:
@@ -64,9 +100,7 @@ class Chunk:
 
     def prefix(self) -> np.ndarray:
         """Running polynomial sums, for ``span_hash``."""
-        p = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * _powers(len(self.data) + 1)[0][: len(self.data)], out=p[1:])
-        return p
+        return running(self.data)
 
     def doc_of(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.offsets, at, side="right") - 1
@@ -74,8 +108,11 @@ class Chunk:
 
 def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit content hashes of ``data[start:end]``."""
-    inv = _powers(len(prefix))[1]
-    return mix((prefix[ends] - prefix[starts]) * inv[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    inv, out = _powers(len(prefix))[1], np.empty(len(starts), np.uint64)
+    for a in range(0, len(out), _BLOCK):
+        s, e = starts[a : a + _BLOCK], ends[a : a + _BLOCK]
+        out[a : a + _BLOCK] = mix(_times(_reduced(prefix[e] + (_P - prefix[s])), inv[s]) + (e - s).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return out
 
 
 def chunks(column: pa.Array | pa.ChunkedArray, lower: bool = False, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:

@@ -4,13 +4,15 @@ The model file is a public vocabulary, shipped to the executors as part of the j
 model scores pieces by merge rank only, so a piece of rank r gets the Zipf-Mandelbrot probability ``1 / (r + 2.7)``,
 normalised and raised to ``alpha``. Text is escaped as the model does it (a space in front, spaces as U+2581). Cutting
 it wherever no piece holds the two neighbouring characters gives segments whose lattices are independent. For each
-distinct segment of a chunk the forward pass sums path weights per node; every occurrence then walks backwards from
+distinct segment of a chunk (known by its hash and compared by its characters) the forward pass sums path weights per node; every occurrence then walks backwards from
 the last node and draws one incoming piece a step. The draws are hashes of (seed, row key, segment number, step): a
 row is segmented alike wherever and whenever it is processed. Characters without a piece become byte pieces, as does a
 literal U+2581, so ``decode_ids(encode(text)) == text`` for every text.
 
-Defined results: null text gives null ids and null decoded text; an empty text gives no ids; repeated rows of the same
-key get the same ids; an empty table gives an empty result.
+Defined results: null text gives null ids and null decoded text; an empty text gives no ids; long texts are segmented
+whole, alone in their chunk; repeated rows of the same key get the same ids, and rows of one key with different texts
+share their draws; between pieces of equal weight the draw alone decides; an empty table gives an empty result; extra
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -139,9 +141,14 @@ def _lattice(v: Vocabulary, cls: np.ndarray, starts: np.ndarray, lengths: np.nda
         total = np.add.reduceat(w, head)
         log_a[nodes] = top + np.log(total)
         share[e] = w / np.repeat(total, n)
-    cum = np.cumsum(share)
-    before = np.concatenate([[0.0], cum])[first[:-1]]
-    return base, first, src, piece, cum - np.repeat(before, np.diff(first))
+    # node by node, so that no sum depends on the segments around it
+    at = first[:-1][np.diff(first) > 1] + 1
+    end = first[1:][np.diff(first) > 1]
+    while len(at):
+        share[at] += share[at - 1]
+        more = at + 1 < end
+        at, end = at[more] + 1, end[more]
+    return base, first, src, piece, share
 
 
 def _uniform(key: np.ndarray, seg: np.ndarray, step: int, seed: int) -> np.ndarray:
@@ -149,6 +156,25 @@ def _uniform(key: np.ndarray, seg: np.ndarray, step: int, seed: int) -> np.ndarr
     return (h >> np.uint64(11)).astype(np.float64) * 2.0**-53
 
 
+def _exact(cls: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which: np.ndarray, some: np.ndarray, of: np.ndarray):
+    """Corrects the distinct segments ``some`` and the one of each of ``which``, found by hash, where characters differ."""
+    n, model = lengths[which], some[of]
+    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    odd = n != lengths[model]
+    there = np.minimum(starts[model], len(cls) - n)  # if of another length, any place will do
+    differ = cls[np.repeat(starts[which], n) + step] != cls[np.repeat(there, n) + step]
+    odd |= np.add.reduceat(differ, np.cumsum(n) - n) > 0
+    if odd.any():
+        number: dict[bytes, int] = {}
+        for i in np.flatnonzero(odd):
+            own = cls[starts[which[i]] : starts[which[i]] + n[i]].tobytes()
+            if own not in number:
+                number[own] = len(some)
+                some = np.append(some, which[i])
+            of[i] = number[own]
+    return some, of
+
+
 def encode_chunk(v: Vocabulary, chunk: _text.Chunk, keys: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids, offsets) of a chunk's documents."""
     points, doc_at = _points(chunk.data, chunk.offsets)
@@ -170,15 +196,14 @@ def encode_chunk(v: Vocabulary, chunk: _text.Chunk, keys: np.ndarray, seed: int)
     doc = np.searchsorted(doc_at, starts, side="right") - 1
     number = np.arange(len(starts)) - np.searchsorted(starts, doc_at)[doc]
     # distinct segments of this chunk
-    power = _text._powers(len(points) + 1)
-    prefix = np.zeros(len(points) + 1, np.uint64)
-    np.cumsum((cls.astype(np.uint64) + np.uint64(1)) * power[0][: len(points)], out=prefix[1:])
+    prefix = _text.running(cls)
     which = np.flatnonzero(known)
     counts = np.ones(len(starts), np.int64)
     steps: list[tuple[np.ndarray, np.ndarray]] = []
     if len(which):
         _, some, of = np.unique(_text.span_hash(prefix, starts[which], starts[which] + lengths[which]), return_index=True, return_inverse=True)
         some = which[some]
+        some, of = _exact(cls, starts, lengths, which, some, of)
         base, first, src, piece, cum = _lattice(v, cls, starts[some], lengths[some])
         root, node = base[of], base[of] + lengths[some][of]
         key, active, counts[which] = keys[doc[which]], np.arange(len(which)), 0
