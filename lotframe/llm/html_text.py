@@ -4,16 +4,18 @@ A page becomes a light element tree. Menus, headers, footers, sidebars, notices,
 reader comments go by element or role, and by class or id where they are no more than that: an element so named stays
 if it holds the page's article or main, or more unlinked text than the rest of the page, or, where the name is a loose
 one (``notice``, ``form``), more than a few lines. The header of an article keeps its headings and paragraphs. Every
-paragraph left passes points for its length and its commas to its ancestors, less to those further up; an element's
+paragraph left passes points for its length and its commas to its ancestors, half as many with each step up; an element's
 points are discounted by the share of its text that stands in links. The element with most points is the container. A
 ``main`` or ``article`` around it is preferred; without one, the container grows until it holds every paragraph that is
 left, and all blocks and bare text beside it that are not mostly links are kept with it. Character references are
-decoded, white space becomes one space, blocks are joined in page order by one space.
+decoded, white space becomes one space, blocks are joined in page order by one space. Every step is one pass over the
+page or its tree, so that the time is in proportion to the page whatever its markup.
 
 Defined results: null or empty html gives an empty text; so does a page without text. Broken markup never fails: an
 unclosed comment, script or style runs to the end, other tags whose content is skipped are ignored if they are unclosed
-or self-closed, unknown or unmatched end tags are ignored. Repeated rows give repeated results, an empty table an empty
-one; extra columns are ignored.
+or self-closed, unknown or unmatched end tags are ignored; a tag without an end is text, and once a quoted value has no
+end, quotes no longer hide the end of a tag on that page. Of elements with equal scores the first of the page counts.
+Long pages are read whole. Repeated rows give repeated results, an empty table an empty one; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*'|[\"'])*?)>", re.S)
+MARKUP = re.compile(r"<(?=[a-zA-Z/!?])")
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+QUOTE_OR_END = re.compile(r"[\"'>]")
 ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript template iframe noembed noframes xmp svg math canvas object audio video select".split())
@@ -36,7 +40,11 @@ BLOCK = frozenset(
 )
 PARAGRAPH = frozenset("p pre td blockquote li dd".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
-CLOSES = {"li": ("li", frozenset(("ul", "ol", "menu"))), "dt": ("dt dd", frozenset(("dl",))), "dd": ("dt dd", frozenset(("dl",))), "tr": ("tr td th", frozenset(("table",))), "td": ("td th", frozenset(("tr", "table"))), "th": ("td th", frozenset(("tr", "table")))}
+#: What an opening tag closes, and the elements that end the search for it.
+CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table")}
+CLOSES = {tag: (tuple(own.split()), tuple(walls.split())) for tag, (own, walls) in CLOSES.items()}
+#: In a page's table of open elements, all blocks but paragraphs.
+BLOCKS = "blocks"
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 #: What words of a class or id say of an element; the greater counts. HEAD and LOOSE words also name parts of articles.
 HEAD, LOOSE, FURNITURE, TALK, ADVERT = 1, 2, 3, 4, 5
@@ -57,18 +65,16 @@ GOOD = frozenset("article articlebody content main post entry story text body".s
 ENTRY = frozenset("article articlebody post entry story".split())
 NOT_NOISE_AFTER = frozenset("with has no without".split())
 NOT_NOISE_BEFORE = frozenset("open closed enabled disabled".split())
-#: An element this far above a paragraph still gets points, divided by the distance; beyond, they would not decide anything.
-FARTHEST = 16
 SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "good", "points", "chars", "linked", "noise", "entry", "inside", "head", "within", "titled")
+    __slots__ = ("tag", "parent", "children", "dropped", "good", "points", "chars", "linked", "commas", "noise", "entry", "inside", "head", "within", "titled")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.children = tag, parent, []
         self.dropped = self.good = False
-        self.points, self.chars, self.linked = 0.0, 0, 0
+        self.points, self.chars, self.linked, self.commas = 0.0, 0, 0, 0
         #: kind of noise by class or id; an article or the like; below one; cut to headings and paragraphs; nearest noise above; has an h1
         self.noise, self.entry, self.head, self.titled = 0, False, False, False
         self.inside = parent is not None and (parent.inside or parent.entry)
@@ -129,54 +135,117 @@ def _judge(node: Node, attributes: str) -> None:
             node.dropped = True
 
 
+class Scanner:
+    """Finds the ends of a page's tags, each in one step forward."""
+
+    def __init__(self, page: str):
+        self.page, self.last, self.quotes = page, page.rfind(">"), True
+
+    def tag_end(self, at: int) -> int:
+        """Where the tag whose name ends at ``at`` has its ``>``, or -1. A quote counts after an equals sign (and no
+        more than 63 spaces)."""
+        if at > self.last:
+            return -1
+        start = at
+        while self.quotes:
+            m = QUOTE_OR_END.search(self.page, at)
+            if not m:
+                self.quotes = False
+            elif m[0] == ">":
+                return m.start()
+            else:
+                at = m.end()
+                if self.page[max(start, m.start() - 64) : m.start()].rstrip().endswith("="):
+                    at = self.page.find(m[0], at) + 1
+                    self.quotes = at > 0
+        return self.page.find(">", start)
+
+
+class Open:
+    """The open elements: their path from the root, and for each tag their places in it."""
+
+    def __init__(self, root: Node):
+        self.path, self.at = [root], {}
+
+    def push(self, node: Node) -> None:
+        for key in (node.tag, BLOCKS) if node.tag in BLOCK and node.tag != "p" else (node.tag,):
+            self.at.setdefault(key, []).append(len(self.path))
+        self.path.append(node)
+
+    def deepest(self, tags: tuple) -> int:
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def close(self, depth: int) -> None:
+        """Closes the element at a depth and all inside it."""
+        while len(self.path) > depth:
+            tag = self.path.pop().tag
+            for key in (tag, BLOCKS) if tag in BLOCK and tag != "p" else (tag,):
+                self.at[key].pop()
+
+
 def parse(page: str) -> Node:
     """The element tree; a child is a Node or a decoded text."""
     root = Node("html", None)
-    at, open_node, end, unclosed = 0, root, len(page), set()
+    at, end, unclosed, scan, path = 0, len(page), set(), Scanner(page), Open(root)
+    text_from = 0
+
+    def flush(to: int) -> None:
+        if to > text_from:
+            text = page[text_from:to]
+            path.path[-1].children.append(_html.unescape(text) if "&" in text else text)
+
     while at < end:
-        m = TOKEN.search(page, at)
-        if not m or m.start() > at:
-            text = page[at : m.start() if m else end]
-            open_node.children.append(_html.unescape(text) if "&" in text else text)
+        m = MARKUP.search(page, at)
         if not m:
             break
-        at = m.end()
-        if not m[2]:
+        start = m.start()
+        if page.startswith("<!--", start):
+            flush(start)
+            stop = page.find("-->", start + 4)
+            at = text_from = stop + 3 if stop >= 0 else end
+            continue
+        closing = page[start + 1] == "/"
+        name = NAME.match(page, start + 1 + closing) if start < scan.last else None
+        if page[start + 1] in "!?":
+            stop = page.find(">", start) if start < scan.last else -1
+        else:
+            stop = scan.tag_end(name.end()) if name else -1
+        if stop < 0:
+            at = start + 1
             continue
-        tag = m[2].lower()
-        if m[1]:
-            node = open_node
-            while node is not root and node.tag != tag:
-                node = node.parent
-            if node is not root:
-                open_node = node.parent
+        flush(start)
+        at = text_from = stop + 1
+        if not name:
+            continue
+        tag, attributes = name[0].lower(), page[name.end() : stop]
+        if closing:
+            depth = path.deepest((tag,))
+            if depth:
+                path.close(depth)
             continue
         if tag in RAW:
             script = tag in ("script", "style")
-            if script or not m[3].endswith("/") and tag not in unclosed:
-                stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-                if stop or script:
-                    at = stop.end() if stop else end
+            if script or not attributes.endswith("/") and tag not in unclosed:
+                m = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I | re.A).search(page, at)
+                stop = page.find(">", m.end()) if m else -1
+                if stop >= 0 or script:
+                    at = text_from = stop + 1 if stop >= 0 else end
                 else:
                     unclosed.add(tag)
             continue
         if tag in ("html", "body"):
-            _judge(root, m[3])
+            _judge(root, attributes)
             continue
-        closes, walls = CLOSES.get(tag, ("p" if tag in BLOCK else "", BLOCK - {"p"}))
-        node = open_node
-        while closes and node is not root:
-            if node.tag in closes.split():
-                open_node = node.parent
-                break
-            if node.tag in walls:
-                break
-            node = node.parent
-        child = Node(tag, open_node)
-        open_node.children.append(child)
-        _judge(child, m[3])
-        if tag not in VOID and not m[3].endswith("/"):
-            open_node = child
+        own, walls = CLOSES.get(tag) or ((("p",), (BLOCKS,)) if tag in BLOCK else ((), ()))
+        depth = path.deepest(own)
+        if depth > path.deepest(walls):
+            path.close(depth)
+        child = Node(tag, path.path[-1])
+        path.path[-1].children.append(child)
+        _judge(child, attributes)
+        if tag not in VOID and not attributes.endswith("/"):
+            path.push(child)
+    flush(end)
     return root
 
 
@@ -226,11 +295,7 @@ def _prune(found: list[Node]) -> list[Node]:
         elif not gone:
             rest += clean[n]
         if gone:
-            up = n
-            n.dropped, chars, linked = True, n.chars, n.linked
-            while up is not None:
-                up.chars, up.linked, up = up.chars - chars, up.linked - linked, up.parent
-            n.parent.children = [c for c in n.parent.children if c is not n]
+            n.dropped = True
         else:
             for x in below.get(n, ()):
                 heapq.heappush(queue, (x not in holders, -free[x], place[x], x))
@@ -240,6 +305,20 @@ def _prune(found: list[Node]) -> list[Node]:
             out.add(n)
         else:
             left.append(n)
+    less = dict.fromkeys(left, (0, 0, 0))
+    for n in reversed(found):  # what was dropped no longer counts above
+        if n in out and n.parent not in out:
+            gone = (n.chars, n.linked, n.commas)
+        elif n in less:
+            gone = less[n]
+            n.chars, n.linked, n.commas = n.chars - gone[0], n.linked - gone[1], n.commas - gone[2]
+        else:
+            continue
+        if n.parent in less:
+            less[n.parent] = tuple(a + b for a, b in zip(less[n.parent], gone, strict=True))
+    for n in left:
+        if any(isinstance(c, Node) and c.dropped for c in n.children):
+            n.children = [c for c in n.children if isinstance(c, str) or not c.dropped]
     return left
 
 
@@ -259,6 +338,7 @@ def _weigh(node: Node) -> list[Node]:
                 n = len(child.strip())
                 node.chars += n
                 node.linked += n * in_link
+                node.commas += child.count(",")
             else:
                 child.within = node if node.noise else node.within
                 stack.append((node, i, in_link))
@@ -268,17 +348,19 @@ def _weigh(node: Node) -> list[Node]:
             if node.parent is not None:
                 node.parent.chars += node.chars
                 node.parent.linked += node.linked
+                node.parent.commas += node.commas
     found = _prune(found)
     for p in found:
-        if not (p.chars and _paragraph(p)):
-            continue
-        own = "".join(c if isinstance(c, str) else "" for c in p.children) if p.tag not in PARAGRAPH else _text_of([p])
-        points = (1.0 if len(own) >= 25 else 0.2) + own.count(",") + min(len(own) / 100, 3)
-        points *= 1 - p.linked / p.chars
-        up, level = p if p.tag not in PARAGRAPH else p.parent, 1
-        while up is not None and level <= FARTHEST:
-            up.points += points / level
-            up, level = up.parent, level + 1
+        if p.chars and _paragraph(p):
+            size, commas = p.chars, p.commas
+            if p.tag not in PARAGRAPH:
+                bare = [c for c in p.children if isinstance(c, str)]
+                size, commas = sum(len(c.strip()) for c in bare), sum(c.count(",") for c in bare)
+            up = p.parent if p.tag in PARAGRAPH and p.parent is not None else p
+            up.points += ((1.0 if size >= 25 else 0.2) + commas + min(size / 100, 3)) * (1 - p.linked / p.chars)
+    for n in reversed(found):
+        if n.parent is not None:
+            n.parent.points += n.points / 2
     return found
 
 
