@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotframe.schema import NA, TYPES, value_match
+from lotframe.schema import NA, TYPES, field_matches
 
 
 # predicates
@@ -65,13 +65,8 @@ def skip_counts(df: DataFrame) -> DataFrame:
 
 def has_value(df: DataFrame, target=NA, fields: Sequence[str] | None = None) -> Column:
     """Does any of the fields (all, if none are named) equal the target? Fields that are absent do not match."""
-    names = [f for f in (fields or df.columns) if f in df.columns]
-    texts = [value_match(F.col(f), target) for f in names if target is None or df.schema[f].dataType.simpleString() == _kind(target)]
-    return reduce(lambda a, b: a | b, texts, F.lit(False))
-
-
-def _kind(target) -> str:
-    return {str: "string", bool: "boolean", float: "double"}.get(type(target), "bigint" if isinstance(target, int) else "")
+    found = [field_matches(df, f, target) for f in (fields or df.columns) if f in df.columns]
+    return reduce(lambda a, b: a | b, (c for c in found if c is not None), F.lit(False))
 
 
 def value_filter(df: DataFrame, target=NA, fields: Sequence[str] | None = None, invert: bool = False) -> DataFrame:

@@ -7,13 +7,14 @@ as the observed behaviour never reaches them; ``k_aware`` mileage reads ``17k Mi
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotframe.functions.text import TRANSFORMS, first_match, first_of, py_strip, rx_first, short_date, to_int, unify_dashes, words_of
+from lotframe.functions.text import TRANSFORMS, first_match, first_of, not_empty, py_strip, rx, rx_first, short_date, to_int, unify_dashes, words_of
 from lotframe.schema import LISTING_SCHEMA
 
 # Patterns, words and names that results depend on.
@@ -26,7 +27,7 @@ MILEAGE_DETAIL = (r"([\d,]+)\s*(?:k\s+)?miles",)
 MILEAGE_DETAIL_K = (r"([\d,.]+\s*k?)\s*miles",)
 MILEAGE_TITLE = (r"(\d+\.?\d*)k-Mile",)
 MILEAGE_COMMENTS = (r"(\d{1,3}(?:,\d{3})*)\s*miles", r"odometer\s*(?:shows|reads)?\s*(\d{1,3}(?:,\d{3})*)")
-EXTERIOR = (r"(.+?Paint)",)
+EXTERIOR = (r"([^\n]+?Paint)",)
 INTERIOR_WORDS = ("leather", "cloth", "upholstery", "nappa", "alcantara", "vinyl", "suede", "interior")
 NOT_INTERIOR_WORDS = ("chassis", "miles", "turbo", "liter", "speed", "transmission", "engine", "brake", "exhaust")
 NO_VARIANT_WORDS = ("for", "with", "in", "at", "by", "from", "on", "and", "the")
@@ -67,6 +68,15 @@ class SiteProfile:
     )
 
 
+def read_profile(spark: SparkSession, path: str) -> SiteProfile:
+    """A profile from a JSON file: source_name, base_url, and rules by field, each with the attributes of ``FieldRule``.
+    What the file leaves out is that of the default profile."""
+    given = json.loads(spark.read.text(path, wholetext=True).first()[0])
+    rules = {f: tuple(FieldRule(**{**r, "patterns": tuple(r["patterns"])}) for r in some) for f, some in given.get("rules", {}).items()}
+    default = SiteProfile()
+    return SiteProfile(given.get("source_name", default.source_name), given.get("base_url", default.base_url), {**default.rules, **rules})
+
+
 #: Kinds of rules: how to get the array of texts that a rule reads from the raw columns.
 KINDS: dict[str, Callable[[dict[str, Column]], Column]] = {
     "detail": lambda raw: raw["details"],
@@ -76,8 +86,9 @@ KINDS: dict[str, Callable[[dict[str, Column]], Column]] = {
 }
 
 
-def cascade(raw: dict[str, Column], rules: Sequence[FieldRule], check: Callable[[Column], Column] | None = None, enable_comment_rules: bool = False) -> Column:
-    """The value of the first rule that succeeds; a value that fails ``check`` passes the turn to the next rule."""
+def cascade(raw: dict[str, Column], rules: Sequence[FieldRule], check: str | None = None, enable_comment_rules: bool = False) -> Column:
+    """The value of the first rule that succeeds; a value that is not what ``check`` matches passes the turn to the next
+    rule."""
     found = []
     for rule in rules:
         if rule.kind == "comments" and not enable_comment_rules:
@@ -85,7 +96,7 @@ def cascade(raw: dict[str, Column], rules: Sequence[FieldRule], check: Callable[
         texts = KINDS[rule.kind](raw)
         value = first_match(texts, rule.patterns, rule.group, unify_dashes if rule.dashes else (lambda c: c), rule.hint)
         value = TRANSFORMS[rule.transform](value)
-        found.append(F.when(check(value), value) if check else value)
+        found.append(rx_first(value, check, 0, ignore_case=False) if check else value)
     return F.coalesce(*found) if found else F.lit(None).cast("string")
 
 
@@ -112,24 +123,20 @@ def mileage(details: Column, title: Column, comments: Column | None = None, k_aw
 def vin(links: Column, comments: Column | None = None, rules: Sequence[FieldRule] | None = None) -> Column:
     """The first match of each rule has to be a VIN as it stands, in capitals; if not, the next rule is tried."""
     raw = {"links": links, "comments": comments}
-    return cascade(raw, rules or SiteProfile().rules["vin"], lambda v: v.rlike(VIN_WHOLE), enable_comment_rules=comments is not None)
+    return cascade(raw, rules or SiteProfile().rules["vin"], VIN_WHOLE, enable_comment_rules=comments is not None)
 
 
 def colors(details: Column) -> tuple[Column, Column]:
     """(exterior, interior). The interior is the detail after the exterior, whatever it says; failing that, the first
     short detail with an interior word and no word of another part."""
-    painted = lambda d: F.when(F.contains(F.lower(d), F.lit("paint")), F.coalesce(*(rx_first(d, p) for p in EXTERIOR)))
-    marked = F.transform(details, lambda d, i: F.struct(painted(d).alias("text"), i.alias("at")))
-    paint = F.try_element_at(F.filter(marked, lambda m: m["text"].isNotNull()), F.lit(1))
-    after = F.nullif(py_strip(F.get(details, paint["at"] + 1)), F.lit(""))
+    at = F.array_min(F.transform(details, lambda d, i: F.when(F.contains(F.lower(d), F.lit("paint")) & d.rlike(rx(EXTERIOR[0])), i)))
+    after = not_empty(py_strip(F.get(details, at + 1)))
 
     def is_interior(d: Column) -> Column:
         low = F.lower(d)
-        other = F.exists(F.array(*map(F.lit, NOT_INTERIOR_WORDS)), lambda w: F.contains(low, w))
-        inner = F.exists(F.array(*map(F.lit, INTERIOR_WORDS)), lambda w: F.contains(low, w))
-        return ~other & inner & F.size(words_of(d)).between(1, 8)
+        return low.rlike("|".join(INTERIOR_WORDS)) & ~low.rlike("|".join(NOT_INTERIOR_WORDS)) & F.size(words_of(d)).between(1, 8)
 
-    return py_strip(paint["text"]), F.coalesce(after, first_of(details, lambda d: F.when(is_interior(d), py_strip(d))))
+    return py_strip(rx_first(F.get(details, at), EXTERIOR[0])), F.coalesce(after, py_strip(F.get(F.filter(details, is_interior), F.lit(0))))
 
 
 def variant(title: Column, make: Column, model_short: Column) -> Column:

@@ -1,7 +1,8 @@
 """Filling missing values: a prompt per row that needs one, a user's batch generator, parsed, validated, merged back.
 
-Rows with nothing missing never reach the generator. Its answers are written before anything is counted, since a second
-run of it could answer differently.
+Rows with nothing missing never reach the generator. ``infer`` writes the answered rows as a table and returns that table
+as read back: whatever is made of it (results, statistics, errors, merged records) sees the same answers, and the
+generator is asked once for each row and attempt, but for tasks that are run again while the table is written.
 """
 
 from __future__ import annotations
@@ -10,12 +11,13 @@ import json
 import re
 from collections.abc import Callable, Iterable, Sequence
 
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotframe.schema import NA, infer_missing
+from lotframe.sources.shared import fresh_path, written
 
 # The default fields, the interface of a listing, and the wording of the prompt.
 DEFAULT_FIELDS = ("engine", "interior_color", "location", "seller_type")
@@ -108,7 +110,7 @@ def parse_answer(text: str, expected: Iterable[str]) -> dict:
         if not isinstance(value, dict):
             raise ValueError(f"answer is no JSON object: {text[:200]}")
         return {**dict.fromkeys(expected), **value}
-    raise ValueError(f"Could not parse response as JSON: {text[:200]}...")
+    raise ValueError(f"no JSON in the answer: {text[:200]}")
 
 
 def validate_value(value, kind: str | list[str]):
@@ -129,42 +131,44 @@ def _text(value) -> str | None:
     return None if value is None else value if isinstance(value, str) else json.dumps(value)
 
 
-ANSWER = [T.StructField("inferred", T.MapType(T.StringType(), T.StringType())), T.StructField("attempts", T.IntegerType()), T.StructField("error", T.StringType())]
+ANSWER = T.StructType([T.StructField("inferred", T.MapType(T.StringType(), T.StringType())), T.StructField("attempts", T.IntegerType()), T.StructField("error", T.StringType())])
 
 
-def infer(df: DataFrame, generate: Callable[[str], str], fields: Sequence[str] = DEFAULT_FIELDS, interface: Interface | None = None, max_retries: int = 3, parallelism: int | None = None) -> DataFrame:
+def ask(text: str, missing: Sequence[str], generate: Callable[[str], str], interface: Interface, max_retries: int) -> tuple[dict, int, str | None]:
+    """(values as text by field, attempts, error) of one prompt."""
+    error = None
+    for tried in range(1, max_retries + 1):
+        try:
+            answer = parse_answer(generate(text), missing)
+            return {f: _text(validate_value(answer.get(f), interface.get(f, "string"))) for f in missing}, tried, None
+        except Exception as e:
+            error = str(e)
+    return {}, max_retries, error
+
+
+def infer(
+    df: DataFrame,
+    generate: Callable[[str], str],
+    fields: Sequence[str] = DEFAULT_FIELDS,
+    interface: Interface | None = None,
+    max_retries: int = 3,
+    parallelism: int | None = None,
+    path: str | None = None,
+) -> DataFrame:
     """Adds na_fields, skipped_fields, prompt, and inferred (values as text; other JSON as its JSON text), attempts and error.
-    ``generate`` runs on the executors for rows that lack something; it and the parsing are tried ``max_retries`` times."""
+    ``generate`` runs on the executors, which are sent prompts and names of fields only; it and the parsing are tried
+    ``max_retries`` times. The answered rows are written to ``path``, or to a new one in the shared folder, and read back."""
     interface = INTERFACE if interface is None else interface
+
+    @F.pandas_udf(ANSWER)
+    def answers(prompts: pd.Series, missing: pd.Series) -> pd.DataFrame:
+        some = [({}, 0, None) if p is None else ask(p, list(m), generate, interface, max_retries) for p, m in zip(prompts, missing, strict=True)]
+        return pd.DataFrame(some, columns=ANSWER.names)
+
     rows = with_prompts(df, fields, interface)
-    needy, sound = rows.where(F.size("na_fields") > 0), rows.where(F.size("na_fields") == 0)
-    needy = needy.repartition(parallelism) if parallelism else needy
-    names = needy.columns
-
-    def run(batches):
-        from pyspark.sql.pandas.types import to_arrow_type
-
-        kind = to_arrow_type(T.MapType(T.StringType(), T.StringType()))
-        at_prompt, at_fields = names.index("prompt"), names.index("na_fields")
-        for batch in batches:
-            inferred, attempts, errors = [], [], []
-            for text, missing in zip(batch.column(at_prompt).to_pylist(), batch.column(at_fields).to_pylist(), strict=True):
-                values, error, tried = None, None, 0
-                while values is None and tried < max_retries:
-                    tried += 1
-                    try:
-                        answer = parse_answer(generate(text), missing)
-                        values = [(f, _text(validate_value(answer.get(f), interface.get(f, "string")))) for f in missing]
-                    except Exception as e:
-                        error = str(e)
-                inferred.append(values or [])
-                attempts.append(tried)
-                errors.append(None if values is not None else error)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(inferred, kind), pa.array(attempts, pa.int32()), pa.array(errors, pa.string())], [*names, "inferred", "attempts", "error"])
-
-    done = needy.mapInArrow(run, T.StructType([*needy.schema.fields, *ANSWER]))
-    skipped = sound.withColumns({"inferred": F.create_map().cast("map<string,string>"), "attempts": F.lit(0), "error": F.lit(None).cast("string")})
-    return done.union(skipped.select(done.columns))
+    rows = rows.repartition(parallelism) if parallelism else rows
+    done = rows.withColumn("_answer", answers("prompt", "na_fields")).select(*rows.columns, "_answer.*")
+    return written(done, path or fresh_path(df.sparkSession, "answers"))
 
 
 def merge(answered: DataFrame) -> DataFrame:

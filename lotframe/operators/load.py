@@ -67,22 +67,31 @@ def conform(listings: DataFrame) -> DataFrame:
 
 
 def with_ids(facts: DataFrame, makes: DataFrame, models: DataFrame, variants: DataFrame) -> DataFrame:
-    """Natural keys replaced by ids."""
-    out = facts.join(makes.select(F.col("id").alias("make_id"), F.col("name").alias("make")), "make")
-    out = out.join(models.select(F.col("id").alias("model_id"), "make_id", F.col("name").alias("model")), ["make_id", "model"])
-    out = out.join(variants.select(F.col("id").alias("variant_id"), "model_id", F.col("name").alias("variant")), ["model_id", "variant"])
+    """Natural keys replaced by ids; a fact whose key is in no dimension keeps null ids."""
+    out = facts.join(makes.select(F.col("id").alias("make_id"), F.col("name").alias("make")), "make", "left")
+    out = out.join(models.select(F.col("id").alias("model_id"), "make_id", F.col("name").alias("model")), ["make_id", "model"], "left")
+    out = out.join(variants.select(F.col("id").alias("variant_id"), "model_id", F.col("name").alias("variant")), ["model_id", "variant"], "left")
     return out.drop("make", "model", "variant")
 
 
 def quarantine(listings: DataFrame, strict: bool = False, price_present: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows to load, rows with ``_error``). Rows need a url; strict: a price that is present must not be null."""
-    error = F.when(F.col("url").isNull(), "no url")
+    """(rows to load, rows with ``_error``). Rows need a url, a make and a model; strict: a price that is present must not be
+    null."""
+    errors = [F.when(F.col(c).isNull(), f"no {c}") for c in ("url", "make", "model") if c in listings.columns]
     if strict:
-        error = F.coalesce(error, F.when((price_present if price_present is not None else F.lit(True)) & F.col("price").isNull(), "price is null"))
-    marked = listings.withColumn("_error", error)
+        errors.append(F.when((price_present if price_present is not None else F.lit(True)) & F.col("price").isNull(), "price is null"))
+    marked = listings.withColumn("_error", F.coalesce(*errors))
     return marked.where("_error is null").drop("_error"), marked.where("_error is not null")
 
 
+def load_facts(listings: DataFrame, makes: DataFrame | None = None, models: DataFrame | None = None, variants: DataFrame | None = None, strict: bool = False):
+    """(facts with ids, quarantined rows, the three dimensions with their new rows): every listing is in one of the first
+    two."""
+    sound, failed = quarantine(listings, strict)
+    found = dimensions(sound, makes, models, variants)
+    return with_ids(conform(sound), *found), failed, found
+
+
 def last_per_key(df: DataFrame, key: str = "url", pos: str = "_pos") -> DataFrame:
     last = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(pos)))
     return df.withColumn("_last", last).where("_last = 1").drop("_last")

@@ -18,32 +18,31 @@ def _guard(field: str, value: Column) -> tuple[Column, Column]:
     return value, value.isNotNull() & ~value.isin("", NA)
 
 
-def normalize_column(value: Column, rules: dict[str, str], field: str) -> Column:
-    """The same by a literal map, for small rule sets."""
-    pairs = [F.lit(x) for k, v in rules.items() for x in ((k.upper() if field == "variant" else k), v)]
-    if not pairs:
-        return value
-    key, may = _guard(field, value)
-    return F.when(may, F.coalesce(F.try_element_at(F.create_map(*pairs), key), value)).otherwise(value)
+def _keyed(rules: DataFrame) -> DataFrame:
+    """(field, key, value), one row a key: the last rule by ``_pos`` counts where there is such a column, as in a file read
+    in order, else that of the greatest to_value. Keys of variant are compared in capitals."""
+    key = F.when(F.col("field") == "variant", F.upper("from_value")).otherwise(F.col("from_value"))
+    value = F.max_by("to_value", "_pos") if "_pos" in rules.columns else F.max("to_value")
+    return rules.where(F.col("from_value").isNotNull()).groupBy("field", key.alias("key")).agg(value.alias("value"))
 
 
 def normalize(df: DataFrame, rules: DataFrame, fields: tuple[str, ...] = ("engine", "transmission", "variant")) -> DataFrame:
-    """All fields of all records; without rules, or for fields that are not there, nothing changes. The rules are counted
-    first: a small set becomes literal maps in the projection, a large one is joined once per field (each rule key is
-    unique, so rows never multiply), by broadcast or shuffle as its size tells Spark."""
+    """All fields of all records; without rules, or for fields that are not there, nothing changes. Rules of equal keys are
+    made one first. Then a small set becomes literal maps in the projection, and a large one is joined once per field
+    (each key is unique, so rows never multiply), by broadcast or shuffle as its size tells Spark; both give the same."""
     fields = tuple(f for f in fields if f in df.columns)
-    rules = rules.where(F.col("field").isin(*fields)) if fields else rules.limit(0)
-    some = rules.limit(LITERAL_RULES + 1).collect()
-    if len(some) <= LITERAL_RULES:
-        by_field: dict[str, dict[str, str]] = {}
-        for r in some:
-            by_field.setdefault(r["field"], {})[r["from_value"]] = r["to_value"]
-        return df.withColumns({f: normalize_column(F.col(f), by_field[f], f) for f in fields if f in by_field}) if by_field else df
+    keyed = _keyed(rules.where(F.col("field").isin(*fields)) if fields else rules.limit(0))
+    some = keyed.limit(LITERAL_RULES + 1).collect()
+    small = len(some) <= LITERAL_RULES
     for f in fields:
-        key = F.upper("from_value") if f == "variant" else F.col("from_value")
-        mine = rules.where(F.col("field") == f).groupBy(key.alias("_from")).agg(F.max("to_value").alias("_to"))
-        look, may = _guard(f, F.col(f))
-        df = df.withColumn("_look", F.when(may, look)).join(mine, F.col("_look") == F.col("_from"), "left")
+        key, may = _guard(f, F.col(f))
+        if small:
+            pairs = [F.lit(x) for r in some if r["field"] == f for x in (r["key"], r["value"])]
+            if pairs:
+                df = df.withColumn(f, F.when(may, F.coalesce(F.try_element_at(F.create_map(*pairs), key), f)).otherwise(F.col(f)))
+            continue
+        mine = keyed.where(F.col("field") == f).select(F.col("key").alias("_from"), F.col("value").alias("_to"))
+        df = df.withColumn("_look", F.when(may, key)).join(mine, F.col("_look") == F.col("_from"), "left")
         df = df.withColumn(f, F.coalesce("_to", f)).drop("_look", "_from", "_to")
     return df
 

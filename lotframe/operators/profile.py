@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotframe.schema import NA, infer_missing, quality_missing, value_match
+from lotframe.schema import NA, field_matches, infer_missing, quality_missing
 
 # The fields of the missing-field summary and of the frequency table.
 SUMMARY_FIELDS = ("vin", "lot_number", "seller", "seller_type", "high_bidder", "engine", "transmission", "exterior_color", "interior_color", "mileage", "location", "number_of_bids", "listing_details")
@@ -34,11 +34,11 @@ def missing_fields(df: DataFrame, fields: Sequence[str] = SUMMARY_FIELDS) -> Dat
 
 def value_occurrences(df: DataFrame, target=NA, fields: Sequence[str] | None = None) -> DataFrame:
     """(field, n, percent of all rows) where a field holds the target; fields without any are left out."""
-    kind = {str: "string", bool: "boolean", float: "double"}.get(type(target), "bigint")
-    names = [f for f in (fields or df.columns) if f in df.columns and (target is None or df.schema[f].dataType.simpleString() == kind)]
-    if not names:
+    found = {f: field_matches(df, f, target) for f in (fields or df.columns) if f in df.columns}
+    found = {f: c for f, c in found.items() if c is not None}
+    if not found:
         return df.sparkSession.createDataFrame([], "field string, n long, percent double")
-    return _counts(df, {f: value_match(F.col(f), target) for f in names}).where("n > 0").select("field", "n", _percent("n", "total").alias("percent"))
+    return _counts(df, found).where("n > 0").select("field", "n", _percent("n", "total").alias("percent"))
 
 
 def price_summary(df: DataFrame, price: str = "price") -> DataFrame:

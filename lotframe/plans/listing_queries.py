@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotframe.operators import curate, extract
@@ -13,6 +13,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan whose rows take long to work on: where it has fewer partitions than there are cores (small files), its rows
+    are dealt anew; a large table is left as it is."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles and details of made-up listings, one for each line item."""
     line = F.col("l_linenumber")
@@ -27,7 +34,7 @@ def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("Removable Top"),
         F.lit("Black Leather Seats"),
     )
-    joined = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    joined = spread(read(spark, sf_dir, "lineitem")).join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return joined.select(
         (F.col("l_orderkey") * 10 + line).alias("lot"),
         F.concat(F.year("l_shipdate").cast("string"), F.lit(" "), "p_brand", F.lit(" "), "p_name", suffix).alias("title"),
@@ -125,13 +132,11 @@ def high_bidders(spark: SparkSession, sf_dir: str) -> DataFrame:
     bids = read(spark, sf_dir, "events").select(
         F.substring("props", 1, 8).alias("auction"), "ts", "event_id", F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("bidder"), F.floor("value").alias("amount")
     )
-    top = Window.partitionBy("auction")
     at = F.struct("ts", "event_id")
-    marked = bids.withColumn("price", F.max("amount").over(top))
-    return marked.groupBy("auction").agg(
+    return bids.groupBy("auction").agg(
         F.max_by("bidder", at).alias("last_bidder"),
-        F.max("price").alias("price"),
-        F.max_by("bidder", F.when(F.col("amount") == F.col("price"), at)).alias("high_bidder"),
+        F.max("amount").alias("price"),
+        F.max_by("bidder", F.struct("amount", "ts", "event_id")).alias("high_bidder"),
         F.count("*").alias("number_of_bids"),
     )
 
@@ -195,13 +200,14 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First h1, texts of the list items, number of paragraphs with text, of every page."""
     css = {"title": "h1", "essentials": "nav", "excerpt": "article"}
     raw = read_pages(read(spark, sf_dir, "pages").select("page_id", "html"), ("title", "details", "excerpt"), css)
-    return raw.select("page_id", F.col("raw.title").alias("title"), F.col("raw.details").alias("items"))
+    return raw.select("page_id", F.col("raw.title").alias("title"), F.col("raw.details").alias("items"), F.size("raw.excerpt").alias("paragraphs"))
 
 
 PAGES_SQL = """
-WITH t AS (SELECT page_id, regexp_extract(html, '<h1>(.*?)</h1>', 1) AS h, regexp_extract_all(html, '<li><a [^>]*>(.*?)</a></li>', 1) AS i FROM pages)
+WITH t AS (SELECT page_id, regexp_extract(html, '<h1>(.*?)</h1>', 1) AS h, regexp_extract_all(html, '<li><a [^>]*>(.*?)</a></li>', 1) AS i, html FROM pages)
 SELECT page_id, trim(replace(replace(replace(replace(h, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS title,
-    list_transform(i, lambda x: trim(replace(replace(replace(replace(x, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'))) AS items
+    list_transform(i, lambda x: trim(replace(replace(replace(replace(x, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'))) AS items,
+    len(list_filter(string_split(regexp_extract(html, '(?s)<article.*?</article>'), '<p>')[2:], lambda x: trim(regexp_replace(x, '<[^>]*>', '', 'g')) <> ''))::INT AS paragraphs
 FROM t
 """
 

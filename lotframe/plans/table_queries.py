@@ -47,6 +47,24 @@ def stable_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 SORT_SQL = "SELECT p_type, p_size, p_partkey FROM part ORDER BY p_type DESC, p_size DESC, p_partkey"
 
 
+def sorted_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts by type, brand and size, ascending and strict: there are no nulls, so the order asked for is given."""
+    part = read(spark, sf_dir, "part").withColumn("_pos", F.col("p_partkey"))
+    return curate.sort_rows(part, ["p_type", "p_brand", "p_size"], strict=True).select("p_type", "p_brand", "p_size", "p_partkey")
+
+
+SORT_UP_SQL = "SELECT p_type, p_brand, p_size, p_partkey FROM part ORDER BY p_type, p_brand, p_size, p_partkey"
+
+
+def sorted_strictly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strict order by a column with nulls: the rows come in their first order."""
+    part = read(spark, sf_dir, "part").withColumns({"_pos": F.col("p_partkey"), "gap": F.when(F.col("p_partkey") % 9 != 0, F.col("p_size"))})
+    return curate.sort_rows(part, ["gap"], strict=True).select("gap", "p_partkey")
+
+
+STRICT_SQL = "SELECT CASE WHEN p_partkey % 9 <> 0 THEN p_size END AS gap, p_partkey FROM part ORDER BY p_partkey"
+
+
 def append_until_known(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New orders of each customer before the first one already known (keys that end in 3 and are divisible by 7)."""
     orders = read(spark, sf_dir, "orders").withColumns({"slug": F.col("o_custkey"), "_pos": F.col("o_orderkey"), "lot_number": F.col("o_orderkey").cast("string")})
@@ -98,7 +116,7 @@ def value_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 VALUE_SQL = "SELECT o_orderstatus, count(*) AS n, o_orderpriority <> '4-NOT SPECIFIED' AS inverted FROM orders GROUP BY ALL"
 
 
-def _gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings with gaps of all kinds."""
     view = listing_view(spark, sf_dir)
     f = fields(view)
@@ -130,7 +148,7 @@ GAPS = "engine IS NULL OR engine = 'N/A'", "interior_color IS NULL OR interior_c
 
 
 def missing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.missing_fields(_gappy(spark, sf_dir))
+    return profile.missing_fields(gappy(spark, sf_dir))
 
 
 MISSING_SQL = f"WITH {VIEW}{GAPPY}, c AS (" + " UNION ALL ".join(
@@ -139,7 +157,7 @@ MISSING_SQL = f"WITH {VIEW}{GAPPY}, c AS (" + " UNION ALL ".join(
 
 
 def value_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.value_occurrences(_gappy(spark, sf_dir))
+    return profile.value_occurrences(gappy(spark, sf_dir))
 
 
 VALUES_SQL = f"WITH {VIEW}{GAPPY}, c AS (" + " UNION ALL ".join(f"SELECT '{n}' AS field, count(*) FILTER (WHERE {n} = 'N/A') AS n, count(*) AS total FROM g" for n in ("engine", "interior_color", "seller_type", "title")) + ") SELECT field, n, n * 100.0::DOUBLE / total AS percent FROM c WHERE n > 0"
@@ -198,6 +216,22 @@ WITH a AS ({NORMALIZED_SQL}), b AS (
 """
 
 
+def reduction_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values before and after, of the fields with few of them."""
+    return profile.reduction_details(_parts(spark, sf_dir), normalized(spark, sf_dir))
+
+
+DETAILS_SQL = f"""
+WITH a AS ({NORMALIZED_SQL}), b AS (
+    SELECT CASE WHEN p_partkey % 9 = 0 THEN 'N/A' ELSE p_type END AS engine, p_brand AS transmission,
+        CASE WHEN p_partkey % 9 = 0 THEN 'N/A' ELSE array_to_string(list_transform(string_split(p_name, ' '), lambda x: upper(x[1]) || x[2:]), ' ') END AS variant FROM part
+), u AS (
+    {" UNION ALL ".join(f"SELECT '{f}' AS field, '{phase}' AS phase, {f} AS value FROM {t}" for f in ("engine", "transmission", "variant") for phase, t in (("before", "b"), ("after", "a")))}
+), few AS (SELECT field FROM u WHERE phase = 'before' GROUP BY field HAVING count(DISTINCT value) <= 20)
+SELECT field, phase, value, count(*) AS n FROM u JOIN few USING (field) GROUP BY ALL
+"""
+
+
 def rule_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.candidates(_parts(spark, sf_dir), pos="p_partkey")
 
@@ -225,7 +259,7 @@ def answer(prompt: str) -> str:
 
 
 def inference_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = infer.with_prompts(_gappy(spark, sf_dir), ASKED)
+    rows = infer.with_prompts(gappy(spark, sf_dir), ASKED)
     return rows.select("url", F.array_join("na_fields", ",").alias("na_fields"), F.array_join("skipped_fields", ",").alias("skipped_fields"), F.md5(F.col("prompt").cast("binary")).alias("prompt_md5"))
 
 
@@ -252,7 +286,7 @@ SELECT url, array_to_string(m, ',') AS na_fields, array_to_string(list_filter(['
 
 
 def inference_need(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.inference_need(_gappy(spark, sf_dir), ("engine", "interior_color", "seller_type"))
+    return profile.inference_need(gappy(spark, sf_dir), ("engine", "interior_color", "seller_type"))
 
 
 NEED_SQL = f"""
@@ -263,15 +297,27 @@ SELECT field, missing, total, needing, missing * 100.0::DOUBLE / total AS percen
 
 
 def dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.dry_run(_gappy(spark, sf_dir), ("engine", "interior_color", "seller_type"))
+    return profile.dry_run(gappy(spark, sf_dir), ("engine", "interior_color", "seller_type"))
 
 
 DRY_SQL = f"WITH n AS ({NEED_SQL}) SELECT any_value(needing) AS calls, sum(missing)::BIGINT AS fields_to_infer, any_value(needing) * 3 AS naive_fields, (any_value(needing) * 3 - sum(missing)) * 100.0::DOUBLE / (any_value(needing) * 3) AS saved_percent FROM n"
 
 
+def dry_run_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five rows that a run would ask for."""
+    rows = profile.dry_run_samples(gappy(spark, sf_dir), ("engine", "interior_color", "seller_type"))
+    return rows.select("_pos", "title", F.array_join("na_fields", ",").alias("na_fields"))
+
+
+SAMPLES_SQL = f"""
+WITH {VIEW}{GAPPY}, n AS (SELECT _pos, substr(title, 1, 50) AS title, list_filter([{", ".join(f"CASE WHEN {INFER_GAPS[f]} THEN '{f}' END" for f in ("engine", "interior_color", "seller_type"))}], lambda x: x IS NOT NULL) AS m FROM g)
+SELECT _pos, title, array_to_string(m, ',') AS na_fields FROM n WHERE len(m) > 0 ORDER BY _pos LIMIT 5
+"""
+
+
 def inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records after inference: only N/A texts are filled."""
-    rows = _gappy(spark, sf_dir)
+    rows = gappy(spark, sf_dir)
     return infer.merge(infer.infer(rows, answer, ASKED)).select("url", "engine", "interior_color", "seller_type")
 
 
@@ -286,7 +332,7 @@ FROM x
 
 
 def inference_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = infer.results(infer.infer(_gappy(spark, sf_dir), answer, ASKED), ASKED)
+    table = infer.results(infer.infer(gappy(spark, sf_dir), answer, ASKED), ASKED)
     counts = F.col("fields_inferred")
     stats = infer.run_stats(table, ASKED)
     return stats.select("total_entries", "entries_with_na", "entries_skipped", "llm_calls", "successful", "failed", *(counts[f].alias(f"filled_{f}") for f in ASKED))
@@ -308,7 +354,7 @@ FROM y
 def _orders(spark: SparkSession, sf_dir: str, where: str, shift: int) -> DataFrame:
     o = read(spark, sf_dir, "orders").where(where).join(read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     return o.select(
-        F.concat(F.lit("u"), (F.col("o_orderkey") % 5000).cast("string")).alias("url"),
+        F.concat(F.lit("u"), F.expr("o_orderkey div 6").cast("string")).alias("url"),
         F.col("o_orderkey").alias("_pos"),
         F.lower("c_mktsegment").alias("make"),
         F.lower("o_orderstatus").alias("model"),
@@ -337,10 +383,10 @@ def upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _CONFORMED = """
-SELECT 'u' || (o_orderkey % 5000) AS url, o_orderkey AS pos, c_mktsegment AS make, o_orderstatus AS model, CASE WHEN o_orderkey % 3 <> 0 THEN upper(o_orderpriority) ELSE 'STANDARD' END AS variant,
+SELECT 'u' || (o_orderkey // 6) AS url, o_orderkey AS pos, c_mktsegment AS make, o_orderstatus AS model, CASE WHEN o_orderkey % 3 <> 0 THEN upper(o_orderpriority) ELSE 'STANDARD' END AS variant,
     CASE WHEN o_orderkey % 4 <> 0 THEN (floor(o_totalprice)::BIGINT + {shift}) * 100 END AS sale_price, CASE WHEN o_orderkey % 4 <> 0 THEN true END AS reserve_met,
     CASE WHEN o_orderkey % 2 = 0 THEN '["' || o_orderpriority || '"]' END AS listing_details, 'bringatrailer' AS source, 'N/A' AS seller
-FROM orders JOIN customer ON o_custkey = c_custkey WHERE {where} QUALIFY row_number() OVER (PARTITION BY o_orderkey % 5000 ORDER BY o_orderkey DESC) = 1
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE {where} QUALIFY row_number() OVER (PARTITION BY o_orderkey // 6 ORDER BY o_orderkey DESC) = 1
 """
 _COLUMNS = ("make", "model", "variant", "sale_price", "reserve_met", "listing_details", "source", "seller")
 UPSERT_SQL = f"""
@@ -359,8 +405,8 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 COUNTS_SQL = """
-WITH j AS (SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey), c AS (SELECT DISTINCT o_orderkey % 5000 AS u FROM j WHERE o_orderkey % 3 <> 0),
-i AS (SELECT o_orderkey % 5000 AS u, o_orderkey FROM j WHERE o_orderkey % 4 = 1 OR o_orderkey % 3 = 0), s AS (SELECT * FROM i WHERE o_orderkey % 50 <> 0),
+WITH j AS (SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey), c AS (SELECT DISTINCT o_orderkey // 6 AS u FROM j WHERE o_orderkey % 3 <> 0),
+i AS (SELECT o_orderkey // 6 AS u, o_orderkey FROM j WHERE o_orderkey % 4 = 1 OR o_orderkey % 3 = 0), s AS (SELECT * FROM i WHERE o_orderkey % 50 <> 0),
 f AS (SELECT count(DISTINCT u) AS inserted FROM s WHERE u NOT IN (SELECT u FROM c))
 SELECT inserted, (SELECT count(*) FROM s) - inserted AS updated, (SELECT count(*) FROM i) - (SELECT count(*) FROM s) AS errors, (SELECT count(*) FROM i) AS total FROM f
 """
@@ -370,6 +416,8 @@ QUERIES = {
     "dedupe_counts": (dedupe_counts, DEDUPE_SQL),
     "limit_per_source": (limit_per_source, LIMIT_SQL),
     "stable_sort": (stable_sort, SORT_SQL),
+    "sort_ascending": (sorted_up, SORT_UP_SQL),
+    "sort_strict": (sorted_strictly, STRICT_SQL),
     "append_until_known": (append_until_known, UNTIL_SQL),
     "append_first_slug": (first_slug_with_yield, FIRST_SLUG_SQL),
     "join_targets": (targets_join, TARGETS_SQL),
@@ -381,6 +429,8 @@ QUERIES = {
     "normalize_fields": (normalized, NORMALIZED_SQL),
     "normalize_reduction": (reduction, REDUCTION_SQL),
     "normalize_candidates": (rule_candidates, CANDIDATES_SQL),
+    "normalize_details": (reduction_details, DETAILS_SQL),
+    "infer_samples": (dry_run_samples, SAMPLES_SQL),
     "infer_prompts": (inference_prompts, PROMPTS_SQL),
     "infer_need": (inference_need, NEED_SQL),
     "infer_dry_run": (dry_run, DRY_SQL),

@@ -52,6 +52,24 @@ def value_match(c: Column, target, present: Column | None = None) -> Column:
     return equal if present is None else equal & present
 
 
+_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+
+
+def field_matches(df: DataFrame, name: str, target) -> Column | None:
+    """``value_match`` of a column, by value as Python compares: numbers equal numbers of any width, and true and false equal
+    1 and 0. None if no value of the column's type can equal the target."""
+    kind, c = df.schema[name].dataType, F.col(name)
+    if target is None:
+        return c.isNull()
+    if isinstance(target, str):
+        return value_match(c, target) if isinstance(kind, T.StringType) else None
+    if isinstance(kind, T.BooleanType):
+        return value_match(c, bool(target)) if target in (0, 1) else F.lit(False)
+    if not isinstance(kind, _NUMBERS):
+        return None
+    return F.coalesce(c == F.lit(int(target) if isinstance(target, bool) else target), F.lit(False))
+
+
 def render(df: DataFrame) -> DataFrame:
     """A listing as it is written: text rendered by ``render_missing``, no country."""
     return df.select(*(F.col(c) if c in _NOT_TEXT else render_missing(F.col(c)).alias(c) for c in df.columns if c in TYPES and c != "country"))

@@ -16,19 +16,22 @@ from lotframe.schema import LISTING_SCHEMA, render, with_defaults
 
 
 def _files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(_file, path, body) in the order of the arguments; files that are missing have a null body."""
-    order = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "_file int, path string")
-    found = spark.read.format("binaryFile").option("ignoreMissingFiles", True)
-    there = [p for p in paths if _exists(spark, p)]
+    """(_file, path, body, length) in the order of the arguments; files that are missing have a null body."""
+    placed = [(i, p, _qualified(spark, p)) for i, p in enumerate(paths)]
+    order = spark.createDataFrame(placed, "_file int, path string, at string")
+    there = sorted({at for _, _, at in placed if at})
     if not there:
-        return order.withColumn("body", F.lit(None).cast("string")).withColumn("length", F.lit(None).cast("long"))
-    files = found.load(there).select(F.col("path").alias("at"), F.col("content").cast("string").alias("body"), "length")
-    return order.join(files, F.endswith("at", F.regexp_replace("path", "^[a-z]+:/*", "/")), "left").drop("at")
+        return order.drop("at").withColumns({"body": F.lit(None).cast("string"), "length": F.lit(None).cast("long")})
+    found = spark.read.format("binaryFile").option("ignoreMissingFiles", True).load(there)
+    files = found.select(F.col("path").alias("at"), F.col("content").cast("string").alias("body"), "length")
+    return order.join(files, "at", "left").drop("at")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _qualified(spark: SparkSession, path: str) -> str | None:
+    """The full name of a file as its file system gives it, or None if there is none."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    system = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.getFileStatus(hadoop).getPath().toString() if system.exists(hadoop) else None
 
 
 def _root(body: Column) -> Column:
@@ -68,6 +71,11 @@ def load_listings(spark: SparkSession, path: str) -> DataFrame:
     return listings_of(scan_records(spark, path))
 
 
+def read_listings(spark: SparkSession, path: str) -> DataFrame:
+    """Listings as ``save_listings`` wrote them, with the defaults of a read."""
+    return with_defaults(spark.read.schema(LISTING_SCHEMA).json(path))
+
+
 def known_lots(listings: DataFrame) -> DataFrame:
     """Lot numbers that are there already."""
     return listings.select("lot_number").where("lot_number is not null and lot_number <> 'N/A'").distinct()
@@ -78,6 +86,17 @@ def save_listings(df: DataFrame, path: str, mode: str = "errorifexists") -> None
     render(df).write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
+def save_arrays(records: DataFrame, path: str, pos: str = "_pos", per_file: int = 10_000) -> list[str]:
+    """JSON text (column ``json``) as files of one array each, ``per_file`` positions to a file, in order of position; the
+    names of the files are returned. For readers that want arrays: an array is one record, so files are kept small."""
+    part = F.floor(F.col(pos) / per_file).cast("long").alias("part")
+    arrays = records.groupBy(part).agg(F.sort_array(F.collect_list(F.struct(F.col(pos).alias("at"), "json"))).alias("items"))
+    body = F.concat(F.lit("["), F.array_join("items.json", ","), F.lit("]"))
+    arrays.select(body.alias("value"), "part").write.partitionBy("part").text(path)
+    names = records.sparkSession.read.format("binaryFile").load(path).select("part", F.col("path")).orderBy("part").collect()
+    return [r["path"] for r in names]
+
+
 def save_batch(df: DataFrame, base: str) -> str:
     """Append mode: the batch goes to ``{base}_n{count}``; that path is returned."""
     path = f"{base}_n{df.count()}"

@@ -59,6 +59,9 @@ def test_projection_and_value_filter(spark):
     r = curate.project(df, ["price"]).first()
     assert (r["url"], r["vin"], r["price"], r["excerpt"], r["other"]) == ("", None, 5, [], "k")
     assert curate.value_filter(df, "N/A").count() == 1 and curate.value_filter(df, "N/A", ["url"]).count() == 0
+    typed = spark.createDataFrame([(2003, 2003, 2003.0, True, "2003"), (1, None, 0.5, False, None)], "year int, n bigint, x double, flag boolean, s string")
+    assert [curate.value_filter(typed, v, [f]).count() for v, f in ((2003, "year"), (2003, "n"), (2003, "x"), (1, "flag"), (True, "year"), ("2003", "s"), (2003, "s"), (0.5, "x"), (None, "n"), (2.5, "year"))] == [1, 1, 1, 1, 1, 1, 0, 1, 1, 0]
+    assert {r["field"]: r["n"] for r in profile.value_occurrences(typed, 2003).collect()} == {"year": 1, "n": 1, "x": 1}
     assert curate.value_filter(df, 5, ["price", "gone"]).count() == 1 and curate.value_filter(df, "N/A", invert=True).count() == 0
 
 
@@ -94,6 +97,10 @@ def test_normalize(spark, monkeypatch, literal):
     assert [tuple(r) for r in got.collect()] == [(0, "V8", "N/A", "Standard"), (1, "V8", None, "GT"), (2, "", "x", None)]
     assert normalize.normalize(got, rules).orderBy("_pos").collect() == got.collect()
     assert normalize.normalize(df, rules.limit(0)).collect() == df.collect()
+    twice = spark.createDataFrame([("variant", "gt coupe", "Z"), ("variant", "GT Coupe", "B"), ("engine", "v8", None)], "field string, from_value string, to_value string")
+    assert normalize.normalize(df, twice).where("_pos = 1").first()["variant"] == "Z"
+    placed = twice.withColumn("_pos", F.when(F.col("to_value") == "Z", 0).otherwise(1))
+    assert normalize.normalize(df, placed).where("_pos = 1").first()["variant"] == "B"
     assert {r["field"]: (r["before"], r["after"]) for r in profile.reduction(df, got).collect()}["engine"] == (2, 1)
 
 
@@ -123,9 +130,16 @@ def test_infer_merge_and_stats(spark):
             raise RuntimeError("down")
         return json.dumps({"engine": "V8", "seller_type": "Nobody"})
 
+    asked = spark.sparkContext.accumulator(0)
+    answer = generate
+
+    def generate(prompt):
+        asked.add(1)
+        return answer(prompt)
+
     rows = [(0, "u0", "t", "N/A", "N/A", ["d"], []), (1, "u1", "t", None, "Dealer", ["d"], []), (2, "u2", "t", "N/A", "Dealer", ["bad"], []), (3, "u3", "t", "V6", "Dealer", [], [])]
     df = spark.createDataFrame(rows, "_pos int, url string, title string, engine string, seller_type string, listing_details array<string>, excerpt array<string>")
-    done = infer.infer(df, generate, ["engine", "seller_type"]).cache()
+    done = infer.infer(df, generate, ["engine", "seller_type"])
     merged = {r["url"]: (r["engine"], r["seller_type"]) for r in infer.merge(done).collect()}
     assert merged == {"u0": ("V8", "N/A"), "u1": (None, "Dealer"), "u2": ("N/A", "Dealer"), "u3": ("V6", "Dealer")}
     table = infer.results(done, ["engine", "seller_type"])
@@ -133,6 +147,13 @@ def test_infer_merge_and_stats(spark):
     assert (stats["total_entries"], stats["entries_with_na"], stats["entries_skipped"], stats["llm_calls"], stats["successful"], stats["failed"]) == (4, 3, 1, 5, 3, 1)
     assert stats["fields_inferred"] == {"engine": 2, "seller_type": 0}
     assert [tuple(r) for r in infer.errors(table).collect()] == [(2, "down")]
+    assert asked.value == 5  # once for each row and attempt, however often the table is read
+
+
+def test_infer_writes_where_told(spark, tmp_path):
+    df = spark.createDataFrame([(0, "N/A", ["d"], [])], "_pos int, engine string, listing_details array<string>, excerpt array<string>")
+    infer.infer(df, lambda p: '{"engine": "V8"}', ["engine"], path=str(tmp_path / "a"))
+    assert spark.read.parquet(str(tmp_path / "a")).first()["inferred"] == {"engine": "V8"}
 
 
 def test_load(spark):
@@ -154,3 +175,13 @@ def test_load(spark):
     twice = load.upsert(after.drop("action"), incoming)
     assert {r[:2] for r in map(tuple, twice.collect())} == {r[:2] for r in map(tuple, after.collect())}
     assert load.load_counts(sound, current.where("url = 'b'"), bad).first()[:] == (1, 1, 1, 3)
+
+
+def test_no_fact_is_lost(spark):
+    kind = "_pos int, url string, make string, model string, variant string, price bigint, listing_details array<string>, source string"
+    df = spark.createDataFrame([(0, "a", None, "m3", "gt", 1, [], "s"), (1, "b", "bmw", None, None, 2, [], "s"), (2, "c", "bmw", "m3", None, 3, [], "s")], kind)
+    loaded, failed, _ = load.load_facts(df)
+    assert sorted((r["_pos"], r["_error"]) for r in failed.collect()) == [(0, "no make"), (1, "no model")]
+    assert [(r["_pos"], r["variant_id"] is None) for r in loaded.collect()] == [(2, False)]
+    makes = spark.createDataFrame([], "id bigint, name string")
+    assert load.with_ids(load.conform(df), makes, spark.createDataFrame([], "id bigint, make_id bigint, name string"), spark.createDataFrame([], "id bigint, model_id bigint, name string")).count() == 3

@@ -31,6 +31,34 @@ def test_scan_records(spark, write):
     assert J.load_listings(spark, "/nowhere/x.json").count() == 0
 
 
+def test_paths_are_whole_names(spark, write, tmp_path, monkeypatch):
+    """A name that ends another's, a relative one, and one given twice."""
+    a, data = write("a.json", [{"url": "short"}]), write("data.json", [{"url": "long"}, {"url": "long"}])
+    monkeypatch.chdir(tmp_path)
+    rows = J.scan_records(spark, data, a, a).select("_file", J.field("url").alias("url"))
+    assert sorted(map(tuple, rows.collect())) == [(0, "long"), (0, "long"), (1, "short"), (2, "short")]
+    assert J.scan_records(spark, f"file:{a}").count() == 1
+
+
+def test_arrays_are_read_as_written(spark, tmp_path):
+    rows = spark.range(25).select(F.col("id").alias("_pos"), F.to_json(F.struct("id")).alias("json"))
+    paths = J.save_arrays(rows, str(tmp_path / "arrays"), per_file=10)
+    got = J.scan_records(spark, *paths).select("_file", "_pos", J.field("id", "bigint").alias("id")).orderBy("_file", "_pos").collect()
+    assert len(paths) == 3 and [tuple(r) for r in got] == [(i // 10, i % 10, i) for i in range(25)]
+
+
+def test_shared_folder(spark):
+    from lotframe.sources import shared
+
+    class Elsewhere:
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("S", (), {"master": "spark://x", "applicationId": "y"})
+
+    assert shared.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    with pytest.raises(ValueError):
+        shared.shared_folder(Elsewhere())
+
+
 def test_targets_rules_interface(spark, write):
     t = write("t.json", [{"slug": "s1", "make": "A", "modelSHort": "X ", "minYear": 1990}, {"slug": ["s2", "s3"], "make": "B", "modelfull": "Full"}, {"slug": "s4", "make": "C", "modelShort": "", "modelFull": "F"}])
     got = [tuple(r)[1:] for r in J.scan_targets(spark, t).orderBy("car", "slug_ord").collect()]
@@ -64,14 +92,14 @@ def test_sinks(spark, write, tmp_path):
 
 
 def test_stream(spark, tmp_path):
-    html = '<h1 class="post-title">2003 BMW M3 GT</h1><div class="essentials"><ul><li><a>WBSBL93473JR21452</a></li></ul></div>'
+    html = '<h1 class="post-title">2003 BMW M3 GT</h1><div class="essentials"><ul><li><a>NVT00Y7654321098B</a></li></ul></div>'
     spark.createDataFrame([("u1", "s", html), ("u2", "s", "<p>")], "url string, slug string, html string").write.parquet(str(tmp_path / "pages"))
     targets = spark.createDataFrame([("s", "BMW", "M3", "M3", 2000, None)], "slug string, make string, model_full string, model_short string, min_year int, max_year int")
     pages = spark.readStream.schema("url string, slug string, html string").parquet(str(tmp_path / "pages"))
     for _ in range(2):
         streaming.extract_stream(pages, targets, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
     kept = spark.read.parquet(str(tmp_path / "out" / "listings")).collect()
-    assert [(r["url"], r["variant"], r["vin"]) for r in kept] == [("u1", "GT", "WBSBL93473JR21452")]
+    assert [(r["url"], r["variant"], r["vin"]) for r in kept] == [("u1", "GT", "NVT00Y7654321098B")]
     bad = spark.read.parquet(str(tmp_path / "out" / "quarantine"))
     assert [r["_error"] for r in bad.select(F.col("_error")).collect()] == ["year is null"]
 
