@@ -2,30 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-_OWN: dict[str, str] = {}
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder. Only where none is set, as in tests, a temporary one is made for the application."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        app = spark.sparkContext.applicationId
-        folder = _OWN.get(app) or _OWN.setdefault(app, tempfile.mkdtemp(prefix="lotframe-"))
-    return folder.rstrip("/")
+from lotframe.sources.shared import fresh_path, written
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` as Parquet into the shared folder and reads it back, so that a lost executor costs no recomputation
-    and later uses start from the files."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/lotframe-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    and later uses start from the files. The files stay until the folder is cleared, as the result may be read lazily."""
+    return written(df, fresh_path(df.sparkSession, name))
 
 
 def partitions(spark: SparkSession) -> int:

@@ -1,10 +1,9 @@
 """Near-duplicate documents: MinHash bands find candidates, odd sketches sift them, full sets confirm them.
 
 1. ``signatures``: a map over whole texts gives the set size, a 128-bit fingerprint of the shingle set, the hashes of
-   the MinHash bands, and two odd sketches. A sketch folds the shingles of smallest hash (all of them in a set of up to
-   ``SAMPLES``, else those below a bound that halves with each doubling of the size) into a bitmap: each flips one bit.
-   The bits in which two sketches differ count the shingles that only one set has, which estimates high similarities
-   closely. The second sketch has half the bound, so that sets on both sides of a doubling can be compared.
+   the MinHash bands, and an odd sketch. The sketch folds the samples of a one-permutation MinHash (the smallest shingle
+   hash of each of ``BINS`` ranges of hashes, empty ranges giving none) into a bitmap: each sample flips one bit. The bits
+   in which two sketches differ count the samples that only one set has, which estimates high similarities closely.
 2. Documents of equal sets form a class; its smallest doc_id stands for it from here on, so copies cost nothing more.
 3. Representatives meet in band buckets. A bucket above ``BLOCK`` members is dealt into blocks, and each pair of blocks
    is a group of its own. Groups of the same members are one. In a group, pairs whose sketches differ by more than chance
@@ -18,8 +17,10 @@
 The number of bands makes a linked pair share one with a probability of at least ``1 - MISS``.
 
 Defined results: null and empty texts have no shingles, a set size of 0, and are linked with nothing; a text of fewer
-words than a shingle has one shingle, the whole; rows with a null key are linked with nothing and not kept; repeated
-rows each get the same result; an empty table gives an empty result; extra columns are ignored.
+words than a shingle has one shingle, the whole; long texts count whole; rows with a null key are linked with nothing and
+not kept; repeated rows each get the same result; rows of one doc_id with different texts are versions of one document,
+which is linked to what any of them is linked to, and each row has its own set size; sets whose similarity equals the
+threshold are linked; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,8 +38,9 @@ from lotframe.llm.repeats import _opened, _squeeze
 
 ROWS = 4
 MISS = 1e-7
-BITS = 1024
-SAMPLES = 2048
+#: Bits of a sketch, and ranges of hashes that give it a sample each.
+BITS = 2048
+BINS = 1024
 SIGMAS = 5.0
 BLOCK = 2048
 FIRST = 1
@@ -48,23 +50,15 @@ def bands_for(threshold: float, rows: int = ROWS) -> int:
     return math.ceil(math.log(MISS) / math.log(1 - threshold**rows))
 
 
-def _level(n: np.ndarray) -> np.ndarray:
-    """How often the bound on hashes is halved in the first sketch of a set of n shingles."""
-    return np.maximum(np.ceil(np.log2(np.maximum(n, 1) / SAMPLES)), 0).astype(np.int64)
-
-
-def _sketches(doc: np.ndarray, h: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """The two odd sketches of each document, as bytes."""
-    place = _text.mix(h + np.uint64(0x8CB92BA72F3D8DD7))
-    bit = (place >> np.uint64(54)).astype(np.int64)  # BITS places
-    level = _level(n)[doc]
-    out = []
-    for extra in (0, 1):
-        below = (h >> (np.uint64(64) - np.minimum(level + extra, 63).astype(np.uint64))) == 0
-        below |= level + extra == 0
-        flips = np.bincount(doc[below] * BITS + bit[below], minlength=len(n) * BITS) & 1
-        out.append(np.packbits(flips.astype(bool).reshape(len(n), BITS), axis=1))
-    return np.concatenate(out, axis=1)
+def _sketches(doc: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
+    """The odd sketch of each of n documents, as bytes. Hashes are sorted by document and value, so that the smallest of a
+    range is the first."""
+    bin_of = h >> np.uint64(64 - BINS.bit_length() + 1)
+    sample = np.ones(len(h), bool)
+    sample[1:] = (bin_of[1:] != bin_of[:-1]) | (doc[1:] != doc[:-1])
+    place = _text.mix(h[sample] + np.uint64(0x8CB92BA72F3D8DD7)) >> np.uint64(64 - BITS.bit_length() + 1)
+    flips = np.bincount(doc[sample] * BITS + place.astype(np.int64), minlength=n * BITS) & 1
+    return np.packbits(flips.astype(bool).reshape(n, BITS), axis=1)
 
 
 def _signatures(chunk: _text.Chunk, k: int, bands: int) -> tuple[np.ndarray, ...]:
@@ -88,7 +82,7 @@ def _signatures(chunk: _text.Chunk, k: int, bands: int) -> tuple[np.ndarray, ...
                 np.multiply(scratch, seeds[2 * i + 1] | np.uint64(1), out=scratch)
                 mixed = _text.mix(mixed * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(scratch, head))
             band[full, b] = mixed
-    sketch = np.concatenate([_sketches(doc[x:y] - a, h[x:y], n[a:c]) for a, c, x, y in _parts(doc, chunk.n)]) if chunk.n else np.zeros((0, BITS // 4), np.uint8)
+    sketch = np.concatenate([_sketches(doc[x:y] - a, h[x:y], c - a) for a, c, x, y in _parts(doc, chunk.n)]) if chunk.n else np.zeros((0, BITS // 8), np.uint8)
     return n, out1.view(np.int64), out2.view(np.int64), band.view(np.int64), sketch
 
 
@@ -106,41 +100,38 @@ def signatures(docs: DataFrame, k: int, bands: int) -> DataFrame:
             for chunk in _text.chunks(batch.column(1), lower=True):
                 n, f1, f2, band, sketch = _signatures(chunk, k, bands)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, band.size + 1, bands, dtype=np.int32)), pa.array(band.ravel()))
-                bits = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BITS // 4), chunk.n, [None, pa.py_buffer(sketch.tobytes())]).cast(pa.binary())
+                bits = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BITS // 8), chunk.n, [None, pa.py_buffer(sketch.tobytes())]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0)[chunk.rows], pa.array(n), pa.array(f1), pa.array(f2), lists, bits], ["doc_id", "n", "f1", "f2", "bands", "sketch"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n long, f1 long, f2 long, bands array<long>, sketch binary")
 
 
-def _limits(n: np.ndarray, m: np.ndarray, level: int, threshold: float) -> np.ndarray:
+def _limits(n: np.ndarray, m: np.ndarray, threshold: float) -> np.ndarray:
     """The most bits in which sketches of linked sets of n and m shingles differ, but for chance."""
-    sampled = (n + m) * (1 - threshold) / (1 + threshold) * 0.5**level
-    if level:
-        sampled = sampled + SIGMAS * np.sqrt(sampled)
+    union = (n + m) / (1 + threshold)  # at most, if linked
+    filled = BINS * (1 - (1 - 1 / BINS) ** union)
+    filled = np.minimum(filled + SIGMAS * np.sqrt(filled * (1 - filled / BINS)), union)
+    # a range differs with a probability of 1 - similarity, and then flips two bits at most
+    apart = filled * (1 - threshold)
+    flips = 2 * np.minimum(apart + SIGMAS * np.sqrt(apart * threshold), union * (1 - threshold))
     # the parities of d flips over BITS places: at most d are odd; mean and variance are those of d balls in BITS bins
-    one, two = (1 - 2 / BITS) ** sampled, (1 - 4 / BITS) ** sampled
+    one, two = (1 - 2 / BITS) ** flips, (1 - 4 / BITS) ** flips
     spread = np.sqrt(np.maximum(BITS + BITS * (BITS - 1) * two - (BITS * one) ** 2, 0)) / 2
-    return np.minimum(BITS * (1 - one) / 2 + SIGMAS * spread, sampled) + 1e-6
+    return np.minimum(BITS * (1 - one) / 2 + SIGMAS * spread, flips) + 1e-6
 
 
 def _fits(sizes: np.ndarray, bits: np.ndarray, threshold: float) -> np.ndarray:
     """Which members of a group may be linked, as a matrix."""
     m = len(sizes)
     out = np.zeros((m, m), bool)
-    level, half = _level(sizes), bits.shape[1] // 2
-    for at in np.unique(level):
-        own, lower = np.flatnonzero(level == at), np.flatnonzero(level == at - 1)
-        some = np.concatenate([own, lower])
-        sketch = np.concatenate([bits[own, :half], bits[lower, half:]])
-        for a in range(0, len(own), 256):
-            row = own[a : a + 256]
-            differ = np.zeros((len(row), len(some)), np.int32)
-            for w in range(half):
-                differ += np.bitwise_count(sketch[a : a + len(row), w, None] ^ sketch[None, :, w])
-            x, y = sizes[row][:, None].astype(float), sizes[some][None].astype(float)
-            near = (np.minimum(x, y) >= threshold * np.maximum(x, y) - 1e-9) & (differ <= _limits(x, y, int(at), threshold))
-            out[np.ix_(row, some)] |= near
-            out[np.ix_(some, row)] |= near.T
+    columns = np.ascontiguousarray(bits.T)
+    every = sizes[None].astype(float)
+    for a in range(0, m, 256):
+        differ = np.zeros((min(256, m - a), m), np.int32)
+        for w in columns:
+            differ += np.bitwise_count(w[a : a + 256, None] ^ w[None])
+        x = sizes[a : a + 256][:, None].astype(float)
+        out[a : a + 256] = (np.minimum(x, every) >= threshold * np.maximum(x, every) - 1e-9) & (differ <= _limits(x, every, threshold))
     return out
 
 
@@ -253,7 +244,7 @@ def _groups(reps: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(id, s): the sorted shingle hashes of the documents named. Texts travel compressed, once."""
+    """(id, s): the sorted shingle hashes of the documents named, one row a version. Texts travel compressed, once."""
 
     def run(batches):
         for batch in batches:
@@ -266,7 +257,7 @@ def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
                     found += [h[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "s"])
 
-    texts = _squeeze(docs.where("doc_id is not null")).join(ids.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    texts = _squeeze(docs.where("doc_id is not null")).join(ids.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id", "z"])
     return materialize(texts.select("doc_id", "z").mapInArrow(run, "id long, s binary"), "sets")
 
 
@@ -307,16 +298,28 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
+def _versions(full: DataFrame, classes: DataFrame) -> DataFrame:
+    """(u, v): classes that rows of one doc_id are in, linked to the first of them."""
+    own = full.groupBy("doc_id").agg(F.collect_set(F.struct("f1", "f2", "n")).alias("sets")).where(F.size("sets") > 1)
+    found = own.select("doc_id", F.explode("sets").alias("set")).select("doc_id", "set.*").join(classes, ["f1", "f2", "n"])
+    first = found.groupBy("doc_id").agg(F.min("class_id").alias("u"))
+    return found.join(first, "doc_id").where("u <> class_id").select("u", F.col("class_id").alias("v"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 3, hundredths: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and class_id (the smallest doc_id of an equal set), one row a document."""
     threshold = hundredths / 100
     bands = bands_for(threshold)
     signed = materialize(signatures(docs, k, bands), "signatures")
     full = signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = full.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("class_id"))
-    reps = full.join(classes, ["f1", "f2", "n"]).where("doc_id = class_id").dropDuplicates(["doc_id"])
+    same = ["f1", "f2", "n"]
+    classes = materialize(full.groupBy(*same).agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies")), "classes")
+    # a class's representative is found by its doc_id, so that the copies of a text do not meet in one task
+    mine = classes.select("class_id", *(F.col(c).alias(f"_{c}") for c in same)).withColumnRenamed("class_id", "doc_id")
+    reps = full.join(mine, "doc_id").where("f1 = _f1 and f2 = _f2 and n = _n").drop("_f1", "_f2", "_n").dropDuplicates(["doc_id", *same])
     groups = _groups(reps).join(reps.select("doc_id", "n", "sketch"), "doc_id").withColumn("comp", F.col("doc_id"))
-    lo, hi, links, labels, sets = 0, FIRST, None, None, None
+    links = materialize(_versions(full.select("doc_id", *same), classes), "versions")
+    lo, hi, labels, sets = 0, FIRST, None, None
     while True:
         found = materialize(_named(groups, lo, hi, threshold), "pairs")
         pairs = found.where("u is not null").select("u", "v").distinct()
@@ -324,20 +327,22 @@ def near_duplicates(docs: DataFrame, k: int = 3, hundredths: int = 85) -> DataFr
             sets = _sets(docs, pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), k)
         confirmed = materialize(_confirm(sets, pairs, hundredths), "confirmed")
         if labels is None or not confirmed.isEmpty():
-            links = confirmed if links is None else links.union(confirmed)
+            links = links.union(confirmed)
             labels = components(links)
         left = found.where("u is null").select("g1", "g2", "doc_id", "n", "sketch")
         if left.isEmpty():
             break
         groups = left.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
         lo, hi = hi, hi + 8 * (hi - lo)
-    of_class = classes.join(labels.select(F.col("id").alias("class_id"), "comp"), "class_id", "left").select("f1", "f2", "n", "class_id", F.coalesce("comp", "class_id").alias("comp"))
-    out = signed.select("doc_id", "n", "f1", "f2").join(of_class, ["f1", "f2", "n"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
-    return out.select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
+    of_class = classes.join(labels.select(F.col("id").alias("class_id"), "comp"), "class_id", "left").select(*same, "class_id", F.coalesce("comp", "class_id").alias("comp"), "copies")
+    rows = signed.select("doc_id", *same)
+    alone = rows.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("comp"), F.col("doc_id").alias("class_id"))
+    others = rows.where("n > 0 and doc_id is not null")
+    # classes that hold a large share of all rows are few: they are broadcast, and only the rows of others are shuffled
+    least = (classes.agg(F.sum("copies")).first()[0] or 0) / (4 * partitions(docs.sparkSession))
+    hot = F.broadcast(of_class.where(F.col("copies") > least).drop("copies"))
+    common = others.join(hot, same).select("doc_id", "n", "comp", "class_id")
+    rare = others.join(hot, same, "left_anti").join(of_class.where(F.col("copies") <= least), same).select("doc_id", "n", "comp", "class_id")
+    return alone.union(common).union(rare).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("comp"), F.lit(False)).alias("kept"), "class_id"
     )

@@ -432,6 +432,19 @@ def test_main_text_is_whole(page, want):
     assert html_text.main_text(page) == want
 
 
+@pytest.mark.parametrize(
+    "page",
+    ["<a " + '"' * (1 << 20), "<a " + '"' * (1 << 20) + ">", "<a x " * 200_000, "<" * (1 << 20), '<a x="' + 'x="<a ' * 170_000 + ">", "<script></script " * 60_000, "<div>" * 20_000 + "<li></li>" * 20_000,
+     "<div>" * 30_000 + "</x>" * 30_000, "<ul><li>a, " * 20_000, "<div>" * 20_000 + "<div class=ad>x</div>" * 20_000, "<table><tr><td><table>" + "<i>" * 30_000 + "<tr></tr>" * 30_000, "<!-" * 300_000],
+)
+def test_markup_of_any_kind_takes_time_in_proportion(page):
+    import time
+
+    began = time.perf_counter()
+    html_text.main_text(page)
+    assert time.perf_counter() - began < 5
+
+
 def test_html_query(spark):
     d = spark.createDataFrame([(1, "u", f"<article><p>{P} é</article>", "x"), (2, None, None, "y")], "page_id bigint, url string, html string, text string")
     assert [tuple(r) for r in html_text.extract(d).orderBy("page_id").collect()] == [(1, "u", f"{P} é", len(P) + 2), (2, None, "", 0)]
@@ -476,18 +489,61 @@ def test_near_duplicates(spark, texts, k, hundredths, block, monkeypatch):
     assert got == brute_components(more, k, hundredths)
 
 
-def test_sketches_of_large_sets():
-    """The estimate holds across sizes and sampling levels."""
+def test_sketches_of_all_sizes():
     rng = np.random.default_rng(3)
-    for size in (100, 3000, 9000, 40000):
-        common = rng.integers(0, 1 << 63, size, dtype=np.uint64)
-        for j, linked in ((0.9, True), (0.5, False)):
-            own = int(size * (1 - j) / (2 * j))
-            sets = [np.unique(np.concatenate([common, rng.integers(0, 1 << 63, own, dtype=np.uint64) * np.uint64(2)])) for _ in range(2)]
-            n = np.array([len(s) for s in sets])
-            bits = near_duplicates._sketches(np.repeat([0, 1], n), _text.mix(np.concatenate(sets)), n)
-            fits = near_duplicates._fits(n, np.ascontiguousarray(bits).view(np.uint64).reshape(2, -1), 0.85)
-            assert fits[0, 1] == fits[1, 0] == linked
+    for size in (3, 20, 100, 3000, 9000, 40000):
+        for _ in range(10):
+            common = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+            for j, linked in ((0.86, True), (0.5, False)):
+                own = int(size * (1 - j) / (2 * j))
+                if not linked and size < 20:
+                    continue
+                sets = [np.unique(_text.mix(np.unique(np.concatenate([common, rng.integers(0, 1 << 63, own, dtype=np.uint64) * np.uint64(2)])))) for _ in range(2)]
+                n = np.array([len(s) for s in sets])
+                bits = near_duplicates._sketches(np.repeat([0, 1], n), np.concatenate(sets), 2)
+                fits = near_duplicates._fits(n, np.ascontiguousarray(bits).view(np.uint64).reshape(2, -1), 0.85)
+                assert fits[0, 1] == fits[1, 0] == linked
+
+
+def test_versions_of_a_document(spark):
+    """Two texts under one doc_id: both count, whichever is the smaller, and neither is lost."""
+    base = [f"w{i}" for i in range(100)]
+    rows = [(5, " ".join(base)), (5, "another text altogether, of some words"), (7, " ".join([*base, "x"])), (3, "another text altogether, of some words"), (9, "alone here"), (9, "alone there")]
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in got) == [(3, 4, 3, True), (5, 4, 3, False), (5, 98, 3, False), (7, 99, 3, False), (9, 1, 9, True), (9, 1, 9, True)]
+
+
+def alternating(n, x="a", y="b"):
+    """A text of regular structure, and its opposite, whose polynomials agree modulo any power of two."""
+    t = x
+    while len(t) < n:
+        t += t.translate({ord(x): y, ord(y): x})
+    return t, t.translate({ord(x): y, ord(y): x})
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_regular_texts_are_told_apart(spark, n):
+    t, u = alternating(n)
+    assert quality_rules.measure(spark.createDataFrame([(1, f"{t}\n{u}\nend")], "doc_id bigint, text string")).first()["n_dup_lines"] == 0
+    pair = spark.createDataFrame([(1, f"{t} {t} {t}"), (2, f"{u} {u} {u}")], "doc_id bigint, text string")
+    assert {r["component_id"] for r in near_duplicates.near_duplicates(pair).collect()} == {1, 2}
+    texts = {1: t * 2, 2: u * 2}
+    assert {r[0]: tuple(r)[1:] for r in repeats.repeat_digests(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()} == brute_repeats(texts)
+    if os.path.exists(PIECES):
+        rows = [(1, f"z {t} q {u}"), (2, "".join(alternating(n, "e", "t")))]
+        assert sentencepiece.encode(spark.createDataFrame(rows, "doc_id bigint, text string"), PIECES).where("not lossless").count() == 0
+
+
+def test_hash_is_the_polynomial():
+    rng = np.random.default_rng(0)
+    data = rng.integers(0, 256, 70_000).astype(np.uint8)
+    prime, got, total, power = _text._PRIME, _text.running(data), 0, 1
+    for i, x in enumerate(data.tolist()):
+        total, power = (total + (x + 1) * power) % prime, power * _text._R % prime
+        if i % 997 == 0:
+            assert int(got[i + 1]) == total
+    a, b = rng.integers(0, prime, 1000, dtype=np.uint64), rng.integers(0, prime, 1000, dtype=np.uint64)
+    assert [int(x) for x in _text._times(a, b)] == [int(x) * int(y) % prime for x, y in zip(a, b, strict=True)]
 
 
 def test_components(spark):
@@ -627,5 +683,13 @@ def test_pipeline(spark, tmp_path):
     assert set(seen[1]) == {*range(40), 44, 45}
     assert set(seen[2]) == set(seen[1]) and passage in seen[2][44] and passage not in seen[2][45] and seen[2][5] == texts[5]
     assert set(seen[3]) <= set(seen[2]) and len(seen[3]) > 20
+    two = spark.createDataFrame([(5, good(), "en", "s", 1), (5, good(), "en", "s", 1), (6, texts[0], None, None, None), (6, texts[0], None, None, None), (None, texts[0], None, None, None)], docs.schema)
+    kept = corpus_pipeline.near_duplicate_stage(spark, two, "").collect()
+    assert sorted(r["doc_id"] for r in kept) == [5, 5, 6]  # versions are rows of their own, copies are not
+    extra = two.selectExpr("doc_id", "text", "source", "'x' as n", "map('a', 1) as row", "1 as comp", "'y' as key", "array(1) as z", "null as found")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        for some in (extra, extra.limit(0)):
+            out = stage(spark, some, "")
+            assert out.columns == extra.columns and out.count() <= 5
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.where("not lossless").count() == 0 and {r["doc_id"] for r in out.collect()} == set(seen[3])
