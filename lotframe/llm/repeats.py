@@ -5,12 +5,17 @@ The strings of ``LENGTH`` bytes (windows) of all texts are to be matched without
 * Parse. A rolling hash over ``K`` bytes triggers phrases: the trigger of a window is its ``K``-gram of smallest hash
   (the first, if several). A phrase is a run of windows of one trigger; neighbouring phrases overlap by LENGTH - 1 bytes,
   so that every window lies in exactly one phrase, and equal windows have equal triggers at equal places.
-* Dictionary. A map task keeps the earliest occurrence of each distinct phrase it meets; later ones are repeats on the
-  spot. What is kept is shuffled by trigger: occurrences of a phrase after its first in corpus order are repeats whole.
-  A trigger in two or more distinct phrases sends these phrases on; all others hold no repeated window.
-* Suffix order. The contents of those phrases, first thinned of windows that the same task holds earlier, are
+* Dictionary and parse order. A map task keeps the earliest occurrence of each distinct phrase it meets; later ones are
+  repeats on the spot. What is kept is shuffled by trigger and sorted by (phrase, doc_id, start): the suffixes of the
+  parse in order of their first phrase, ties in corpus order. No window passes the end of its phrase, so no further
+  phrase of a parse suffix could decide anything, and the array is sorted to that depth. Occurrences of a phrase after
+  its first are repeats whole. A trigger in two or more distinct phrases sends these phrases on; all others hold no
+  repeated window.
+* Dictionary suffixes. The contents of those phrases, first thinned of windows that the same task holds earlier, are
   shuffled by trigger. Each block of a task's dictionary is suffix-sorted to depth LENGTH by prefix doubling; suffixes
-  equal to that depth are one window, and the parse's (doc_id, start) tells its first occurrence in corpus order.
+  equal to that depth are one window.
+* Both combined give the windows in order of content, and of equal content in corpus order (``_later``): all but the
+  first of a content are repeats.
 * Hot triggers. A trigger with more than ``HOT_TASK`` distinct phrases in one flush of a map task has them dealt by
   (trigger, content), and a mark tells the others of that trigger; one with more than ``HOT`` in all is found by their
   task. The windows of such phrases, first thinned like the others, are dealt by their own hash and matched by two.
@@ -18,9 +23,11 @@ The strings of ``LENGTH`` bytes (windows) of all texts are to be matched without
 A passage shared by any number of documents sends at most one row per map task; no task gathers more phrases of a
 trigger than ``HOT_TASK`` from each flush, nor sorts the contents of more than ``HOT``.
 
-Defined results: null text counts as empty; texts below LENGTH bytes lose nothing; rows with a null doc_id take no
+Defined results: null text counts as empty; texts below LENGTH bytes lose nothing; long texts are matched whole; of equal
+strings the first by doc_id and start stays, so there are no ties; rows with a null doc_id take no
 part and lose nothing; rows of one doc_id are versions of one document and an interval found in one applies to all,
-as far as they reach (equal rows so get equal results); an empty table gives an empty result.
+as far as they reach (equal rows so get equal results); an empty table gives an empty result; extra columns are ignored
+by ``repeat_digests`` and kept by ``without_repeats``, which names its own column so that it clashes with none.
 """
 
 from __future__ import annotations
@@ -87,6 +94,13 @@ def _runs(doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     return (doc[first], at[first], at[last]) if len(doc) else (doc, at, at)
 
 
+def _later(new: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of rows sorted by content, then corpus order: those that stand elsewhere than the first of their content, which
+    ``new`` marks."""
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    return ~new & ((doc != doc[first]) | (at != at[first]))
+
+
 def _merge(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Intervals of windows, joined where they touch."""
     if not len(doc):
@@ -135,8 +149,7 @@ def _parse(batches):
         kh, sh, doc, lo, hi = kh[order], sh[order], doc[order], lo[order], hi[order]
         new = np.ones(len(kh), bool)
         new[1:] = (kh[1:] != kh[:-1]) | (sh[1:] != sh[:-1])
-        first = np.flatnonzero(new)[np.cumsum(new) - 1]
-        again = ~new & ((doc != doc[first]) | (lo != lo[first]))
+        again = _later(new, doc, lo)
         once = kh[new]
         run = np.sort(once)
         hot = np.unique(run[HOT_TASK:][run[HOT_TASK:] == run[:-HOT_TASK]])
@@ -175,7 +188,8 @@ def _whole_groups(batches, key: str):
         if cut == 0 and rest and rest[-1].column(key)[0].as_py() == k[-1]:
             rest.append(table)
             continue
-        yield pa.concat_tables([*rest, table.slice(0, cut)]).combine_chunks()
+        if rest or cut:
+            yield pa.concat_tables([*rest, table.slice(0, cut)]).combine_chunks()
         rest = [table.slice(cut)]
     if rest:
         yield pa.concat_tables(rest).combine_chunks()
@@ -198,8 +212,7 @@ def _dictionary(batches):
         group[1:] = kh[1:] != kh[:-1]
         new = group.copy()
         new[1:] |= sh[1:] != sh[:-1]
-        first = np.flatnonzero(new)[np.cumsum(new) - 1]
-        again = ~new & ((doc != doc[first]) | (lo != lo[first]))
+        again = _later(new, doc, lo)
         if again.any():
             yield _repeat_rows(*_merge(doc[again], lo[again].astype(np.int64), hi[again].astype(np.int64)))
         number = np.cumsum(group) - 1
@@ -275,8 +288,7 @@ def _contents(batches):
                 order = np.lexsort((inside, doc, h))
                 new = np.ones(len(h), bool)
                 new[1:] = h[order][1:] != h[order][:-1]
-                head = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
-                again = ~new & ((doc[order] != doc[head]) | (inside[order] != inside[head]))
+                again = _later(new, doc[order], inside[order])
                 gone = np.zeros(len(h), bool)
                 gone[order[again]] = True
                 dup = _runs(doc[gone], inside[gone])
@@ -339,17 +351,16 @@ def _suffixes(batches):
             h, half, d, at = h[order], half[order], d[order], at[order]
             new = np.ones(len(h), bool)
             new[1:] = (h[1:] != h[:-1]) | (half[1:] != half[:-1])
-            head = np.flatnonzero(new)[np.cumsum(new) - 1]
-            again = ~new & ((d != d[head]) | (at != at[head]))
+            again = _later(new, d, at)
             if again.any():
                 yield _repeat_rows(*_runs(d[again], at[again]))
         parts = ~empty & ~alone
         number = np.cumsum(np.append(0, kh[1:] != kh[:-1]))
         use = np.flatnonzero(parts & (np.bincount(number, weights=parts)[number] > 1))
         sizes = (hi - lo + LENGTH).astype(np.int64)
-        a = 0
+        total, a = np.append(0, np.cumsum(sizes[use])), 0
         while a < len(use):
-            b = max(a + 1, int(np.searchsorted(np.cumsum(sizes[use[a:]]), BLOCK_BYTES)) + a)
+            b = max(a + 1, int(np.searchsorted(total, total[a] + BLOCK_BYTES)) - 1)
             while b < len(use) and kh[use[b]] == kh[use[b - 1]]:  # a trigger's phrases stay together
                 b += 1
             block = use[a:b]
@@ -362,10 +373,10 @@ def _suffixes(batches):
             order = np.lexsort((at, d, rank))
             new = np.ones(len(order), bool)
             new[1:] = rank[order][1:] != rank[order][:-1]
-            head = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
-            again = ~new & ((d[order] != d[head]) | (at[order] != at[head]))
+            d, at = d[order], at[order]
+            again = _later(new, d, at)
             if again.any():
-                yield _repeat_rows(*_runs(d[order][again], at[order][again]))
+                yield _repeat_rows(*_runs(d[again], at[again]))
             a = b
 
 
