@@ -1,5 +1,7 @@
 """From raw documents to token ids in five stages. Each takes (spark, docs, sf_dir) and works on all that the one before
-kept; its result is written as Parquet and read again as the next one's docs."""
+kept; its result is written as Parquet and read again as the next one's docs. Null texts and empty ones are rejected by
+the first stage, long ones are processed whole, empty tables give empty tables, and columns besides doc_id, text and
+source are carried along, whatever their names."""
 
 from __future__ import annotations
 
@@ -18,18 +20,27 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, similarity 0.8) stays: that of the smallest doc_id.
-    Rows without a doc_id belong to no group and stay; of rows of one doc_id one stays."""
-    kept = near_duplicates.near_duplicates(docs, k=5, hundredths=80).where("kept").select("doc_id").distinct()
-    stay = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return stay.select(*docs.columns).union(docs.where("doc_id is null"))
+    """One row of each group of near duplicates (five words, similarity 0.8) stays: that of the smallest doc_id, null last.
+    Rows are told apart by what all their columns hold, so different texts under one doc_id are judged each on their own;
+    of rows that are equal throughout one stays."""
+    plain = [c for c in docs.columns if "map<" not in docs.schema[c].dataType.simpleString()]
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.xxhash64(*(F.col(f"`{c}`") for c in plain)).alias("key"))
+    found = near_duplicates.near_duplicates(rows.select(F.col("key").alias("doc_id"), "row.text"), k=5, hundredths=80)
+    named = rows.select("key", F.col("row.doc_id").alias("id")).join(found.select(F.col("doc_id").alias("key"), "component_id").distinct(), "key")
+    first = named.groupBy("component_id").agg(F.min_by("key", F.struct(F.col("id").isNull(), "id", "key")).alias("key"))
+    return rows.join(first, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 100 bytes and more that an earlier document holds are cut out; documents of which nothing is left go."""
-    cut = repeats.without_repeats(docs).where((F.size("removed_spans") == 0) | (F.trim("text") != ""))
-    n_chars = F.when(F.size("removed_spans") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
-    return cut.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    """Passages of 100 bytes and more that an earlier document holds are cut out; documents of which nothing is left go.
+    A column n_chars, where there is one, follows the text."""
+    cut = repeats.without_repeats(docs)
+    spans = next(c for c in cut.columns if c not in docs.columns)
+    cut = cut.where((F.size(spans) == 0) | (F.trim("text") != ""))
+    if "n_chars" in docs.columns:
+        n_chars = F.when(F.size(spans) > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+        cut = cut.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
+    return cut.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
