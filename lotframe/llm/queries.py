@@ -49,7 +49,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(_read(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "virtual_finish")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +113,7 @@ OP9_SQL = r"""
 WITH sized AS (
     SELECT doc_id, source IS NULL AS no_source, coalesce(source, '') AS source_key,
            len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-           md5(coalesce(doc_id::VARCHAR, '') || ':mix') AS o
+           md5(coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) || ':mix') AS o
     FROM documents
 ), sources AS (
     SELECT no_source, source_key, sum(size)::BIGINT AS source_size FROM sized GROUP BY ALL
@@ -132,12 +132,22 @@ WITH sized AS (
 ), targets AS (
     SELECT no_source, source_key, source_size, least(cap::DOUBLE, coalesce(water * weight, cap::DOUBLE)) AS target FROM leveled CROSS JOIN water
 ), served AS (
-    SELECT *, sum(size) OVER (PARTITION BY no_source, source_key ORDER BY o, size ROWS UNBOUNDED PRECEDING) - size AS before
+    SELECT *, sum(size) OVER (PARTITION BY no_source, source_key ORDER BY o, size ROWS UNBOUNDED PRECEDING)::BIGINT - size AS before,
+        floor(sum(size) OVER () * 1.5)::BIGINT AS budget
     FROM sized JOIN targets USING (no_source, source_key)
+), passes AS (
+    SELECT *, r * source_size + before AS begin FROM served, range(0, 2) AS x(r)
+), cut AS (
+    SELECT *, CASE WHEN begin < target AND begin + size > target THEN least(size, 4096) ELSE 1 END AS pieces FROM passes
+), pieces AS (
+    SELECT *, unnest(range(0, pieces)) AS j FROM cut
+), words AS (
+    SELECT *, size * (j + 1) // pieces - size * j // pieces AS words, CASE WHEN target > 0 THEN (begin + size * (j + 1) // pieces)::DOUBLE / target END AS finish FROM pieces
+), total AS (
+    SELECT *, sum(words) OVER (ORDER BY finish NULLS LAST, no_source, source_key, o, size, r, j ROWS UNBOUNDED PRECEDING)::BIGINT - words AS so_far FROM words
 )
-SELECT doc_id, size, source_size, target,
-       (greatest(0, least(size, floor(target)::BIGINT - before)) + greatest(0, least(size, floor(target)::BIGINT - source_size - before)))::BIGINT AS taken
-FROM served
+SELECT doc_id, size, source_size, target, sum(greatest(0, least(words, budget - so_far)))::BIGINT AS taken, max(CASE WHEN r = 0 THEN finish END) AS virtual_finish
+FROM total GROUP BY ALL
 """
 
 OP10_SQL = r"""
