@@ -4,12 +4,14 @@ Documents of equal text form a group that stays together. Groups are dealt into
 largest first, a group goes to the bin with the highest dot product of its (bytes, tokens, rows) and the bin's residual
 capacity. The bins of all cells are then placed on the shards by the same rule, on the driver: their number is
 ``MAX_CELLS`` times the number of shards at most, whatever the input. Only a group above ``1 / shards`` of any total,
-which no shard can hold in its share, is split, into pieces of a part of a shard by a hash of doc_id. The rows of a group
+which no shard can hold in its share, is split, into pieces of a part of a shard by a hash of doc_id, or of the row where
+one doc_id alone makes a piece. The rows of a group
 above ``1 / (HOT * shards)`` of any total are dealt to several tasks by the same hash, whether they stay together or not;
 at most ``3 * HOT * shards`` groups are so large, which bounds what is broadcast.
 
-Defined results: a null text has the size of an empty one; repeated rows each get a slot of their own; an empty table
-gives an empty result; extra columns are ignored. Reruns over the same rows give the same shards.
+Defined results: a null text has the size of an empty one; long texts count whole; repeated rows each get a slot of their
+own; equal groups are placed in order of their hash; an empty table gives an empty result; extra columns are ignored.
+Reruns over the same files give the same shards.
 """
 
 from __future__ import annotations
@@ -54,6 +56,7 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
             F.regexp_count(text, F.lit(WORD)).cast("long").alias("tokens"),
             F.crc32(text).alias("text_crc32"),
             F.xxhash64(text).alias("text_hash"),
+            F.monotonically_increasing_id().alias("row"),  # fixed by being written
         ),
         "sizes",
     )
@@ -64,9 +67,16 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
     cells = max(1, min(MAX_CELLS, totals["n"] // GROUPS_A_CELL))
     share = F.greatest(*(F.col(d) * float(HOT * shards) / float(totals[d] or 1) for d in DIMENSIONS))
     hot = groups.where(share > 1).select(*same, F.ceil(share).cast("int").alias("pieces"), (share > HOT).alias("split"))
+    # doc_ids on so many rows of a hot group that they must be dealt row by row; no more than hot pieces
+    many = narrow.join(F.broadcast(hot), same).groupBy(*same, "doc_id").agg(F.count("*").alias("times"), F.sum(F.col("size")).alias("_bytes"), F.sum("tokens").alias("_tokens"))
+    own = F.greatest(F.col("_bytes") / float(totals["bytes"] or 1), F.col("_tokens") / float(totals["tokens"] or 1), F.col("times") / float(totals["rows"] or 1))
+    many = many.where(own * (HOT * shards) > 0.5).select(*(F.col(c).alias(f"_{c}") for c in [*same, "doc_id"]))
+    found = [F.col(c) == F.col(f"_{c}") for c in same] + [F.col("doc_id").eqNullSafe(F.col("_doc_id"))]
+    spread = F.xxhash64("doc_id", F.when(F.col("_size").isNotNull(), F.col("row"))).alias("spread")
+    salted = narrow.join(F.broadcast(many), found, "left").select(*narrow.columns, spread)
     dealt = (
-        narrow.join(F.broadcast(hot), same, "left")
-        .withColumn("part", F.when(F.col("pieces").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("pieces"))).cast("int"))
+        salted.join(F.broadcast(hot), same, "left")
+        .withColumn("part", F.when(F.col("pieces").isNull(), 0).otherwise(F.pmod(F.col("spread"), F.col("pieces"))).cast("int"))
         .withColumn("piece", F.when(F.col("split"), F.col("part")).otherwise(0))
         .withColumn("cell", F.pmod(F.xxhash64(*same, "piece"), F.lit(cells)).cast("int"))
     )

@@ -595,6 +595,38 @@ def test_sharding_keeps_what_fits_a_shard(spark):
     assert len(load) == 24 and max(load.values()) < 1.03 * min(load.values())
 
 
+def test_sharding_of_repeated_rows(spark):
+    """Rows of one doc_id, or of none, that no shard could hold are dealt row by row."""
+    rng = random.Random(9)
+    for key in (7, None):
+        rows = [(key, "again and again " * 10)] * 3000 + [(i, f"{i} " + "w " * rng.randint(1, 200)) for i in range(10, 3010)]
+        load, slots = collections.Counter(), collections.defaultdict(list)
+        for r in sharding.shard_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect():
+            load[r["shard"]] += r["size"]
+            slots[r["shard"]].append(r["slot"])
+        assert len(load) == 24 and max(load.values()) < 1.05 * min(load.values())
+        assert sum(map(len, slots.values())) == 6000 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def brute_pack(sizes, shards):
+    """The greedy rule, item by item."""
+    total = [sum(s[d] for s in sizes) or 1 for d in range(3)]
+    share = [[s[d] / total[d] * shards for d in range(3)] for s in sizes]
+    residual, out = [[1.0] * 3 for _ in range(shards)], [0] * len(sizes)
+    for i in sorted(range(len(sizes)), key=lambda i: -max(share[i])):
+        room = [[r[0], max(r[1], 0.0), max(r[2], 0.0)] for r in residual]
+        dots = [sum(w * x * y for w, x, y in zip((4.0, 1.0, 1.0), r, share[i], strict=True)) for r in room]
+        out[i] = dots.index(max(dots))
+        residual[out[i]] = [a - b for a, b in zip(residual[out[i]], share[i], strict=True)]
+    return out
+
+
+def test_pack_is_the_greedy_rule():
+    rng = random.Random(2)
+    sizes = [[rng.randint(1, 400), rng.randint(1, 90), 1] for _ in range(300)]
+    assert sharding.pack(np.array(sizes, float), 7).tolist() == brute_pack(sizes, 7)
+
+
 # 9
 
 
