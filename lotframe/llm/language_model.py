@@ -8,7 +8,11 @@ holds more than a shard or a block, and a word that is everywhere costs one row
 A shard's trie has a level of contexts and a level of successors. Keys and pointers are Elias-Fano sequences; the
 successors of a context are stored relative to what precedes its range, which keeps the level monotone, and are found by
 successor search inside the range that two pointers give. Each node has a smoothed probability of 8 bits. The levels
-are written to a file and memory-mapped while the shard answers.
+are written to a file, memory-mapped, and searched as they are: high parts are read from the packed unary bits with the
+help of a sample of their places, one in ``EVERY``.
+
+A block sends a row only to shards that hold something of it, so there are never more rows than the blocks have distinct
+words and pairs, and their number stays linear in the corpus however many blocks and shards there are.
 
 The successors of a context are spread over ``BRANCHES`` shards by their hash, so that no context is too large for one:
 
@@ -19,8 +23,9 @@ absolute discounting, whose discount goes to all unknown words together. Quantis
 Words are known by 64-bit hashes, successors of a context by 40 bits of them.
 
 Defined results: null text counts as empty and holds only the end; rows with a null doc_id are scored, but neither held
-out nor learned from; without training rows every probability is 1; repeated rows get equal results and count in
-training as often as they occur; an empty table gives an empty result.
+out nor learned from; without training rows every probability is 1; long texts are scored whole (a block holds one at
+least); repeated rows get equal results, count in training as often as they occur and are dealt to blocks row by row;
+there are no ties to break; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,8 +44,8 @@ from lotframe.llm import _text
 from lotframe.llm._store import materialize
 from lotframe.llm.repeats import _opened, _squeeze
 
-BLOCK_BYTES = 16 << 20
-SHARD_BYTES = 16 << 20
+BLOCK_BYTES = 10 << 20
+SHARD_BYTES = 10 << 20
 BRANCHES = 16
 BRANCH_WEIGHT = 8.0
 DISCOUNT = 0.5
@@ -53,30 +58,59 @@ LOWEST, CODES = -8.0, 254
 # Elias-Fano sequences
 
 
+EVERY = 8  # one high part in so many has its place in the sample
+
+
 def _elias_fano(values: np.ndarray) -> list[np.ndarray]:
-    """Byte arrays of a sequence of sorted 64-bit integers: low bytes, high parts in unary, and (length, low bytes each)."""
+    """Byte arrays of a sequence of sorted 64-bit integers: low bits (in whole bytes), high parts in unary with eight empty
+    bytes behind, the places of every EVERY-th one, and (length, low bits)."""
     n = len(values)
     top = int(values[-1]) if n else 0
-    width = max(0, (top // max(n, 1)).bit_length() - 1) // 8  # whole bytes
-    low = np.ascontiguousarray(values).view(np.uint8).reshape(n, 8)[:, :width]
-    high = (values >> np.uint64(8 * width)).astype(np.int64)
-    unary = np.zeros(n + (top >> (8 * width)) + 1, bool)
-    unary[high + np.arange(n)] = True
-    return [np.ascontiguousarray(low).ravel(), np.packbits(unary), np.array([n, width], np.int64).view(np.uint8)]
+    bits = max(0, (top // max(n, 1)).bit_length() - 1)
+    low = np.ascontiguousarray(values & np.uint64((1 << bits) - 1)).view(np.uint8).reshape(n, 8)[:, : -(-bits // 8)]
+    ones = (values >> np.uint64(bits)).astype(np.int64) + np.arange(n)
+    unary = np.zeros((top >> bits) + n + 65, bool)
+    unary[ones] = True
+    return [np.ascontiguousarray(low).ravel(), np.packbits(unary, bitorder="little"), np.ascontiguousarray(ones[::EVERY]).view(np.uint8), np.array([n, bits], np.int64).view(np.uint8)]
 
 
 class Sequence:
-    """A stored Elias-Fano sequence."""
+    """A stored Elias-Fano sequence; nothing of it is unpacked but what is asked for."""
+
+    def __init__(self, low: np.ndarray, unary: np.ndarray, sample: np.ndarray, shape: np.ndarray):
+        self.n, self.bits = np.frombuffer(shape.tobytes(), np.int64).tolist()
+        self.low = low.reshape(self.n, -1) if len(low) else np.zeros((self.n, 0), np.uint8)
+        self.unary, self.sample = unary, sample.view(np.int64) if not sample.ctypes.data % 8 else np.frombuffer(sample.tobytes(), np.int64)
 
-    def __init__(self, low: np.ndarray, unary: np.ndarray, shape: np.ndarray):
-        self.n, self.width = np.frombuffer(shape.tobytes(), np.int64).tolist()
-        self.low = low.reshape(self.n, self.width)
-        self.ones = np.flatnonzero(np.unpackbits(unary)) - np.arange(self.n)  # the high parts
+    def _window(self, at: np.ndarray) -> np.ndarray:
+        """57 bits or more of the unary part from bit ``at`` on."""
+        byte = at >> 3
+        out = self.unary[byte].astype(np.uint64)
+        for k in range(1, 8):
+            out |= self.unary[byte + k].astype(np.uint64) << np.uint64(8 * k)
+        return out >> (at & 7).astype(np.uint64)
 
     def get(self, i: np.ndarray) -> np.ndarray:
-        out = self.ones[i].astype(np.uint64)
-        for b in range(self.width - 1, -1, -1):
-            out = out << np.uint64(8) | self.low[i, b]
+        at, skip = self.sample[i // EVERY], i % EVERY
+        window = self._window(at)
+        # pass over the ones before; windows with too few are moved on
+        have = np.bitwise_count(window).astype(np.int64)
+        short = np.flatnonzero(have <= skip)
+        while len(short):
+            skip[short] -= have[short]
+            at[short] += 64 - (at[short] & 7)
+            last = len(self.unary) * 8 - 64
+            inside = at[short] <= last
+            short = short[inside]
+            window[short] = self._window(at[short])
+            have[short] = np.bitwise_count(window[short])
+            short = short[have[short] <= skip[short]]
+        for k in range(EVERY - 1):
+            window = np.where(skip > k, window & (window - np.uint64(1)), window)
+        place = at + np.bitwise_count((window & (~window + np.uint64(1))) - np.uint64(1))
+        out = (place - i).astype(np.uint64) << np.uint64(self.bits)
+        for b in range(self.low.shape[1]):
+            out |= self.low[i, b].astype(np.uint64) << np.uint64(8 * b)
         return out
 
     def successor(self, lo: np.ndarray, hi: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -131,8 +165,9 @@ class Trie:
         at = np.append(0, np.cumsum([p.nbytes for p in parts]))
         levels = np.memmap(path, np.uint8, "r") if at[-1] else np.zeros(0, np.uint8)
         mapped = [levels[a:b] for a, b in zip(at, at[1:], strict=False)]
-        self.contexts, self.pointers, self.words = Sequence(*mapped[:3]), Sequence(*mapped[3:6]), Sequence(*mapped[6:9])
-        self.seen, self.left, self.total = mapped[9], mapped[10], mapped[11].view(np.uint32)
+        self.contexts, self.pointers, self.words = (Sequence(*mapped[k : k + 4]) for k in (0, 4, 8))
+        self.seen, self.left, self.total = mapped[12], mapped[13], np.frombuffer(mapped[14].tobytes(), np.uint32)
+        self.bytes = int(at[-1])
 
     def look_up(self, context: np.ndarray, owner: np.ndarray, word: np.ndarray):
         """(total, left) of each context and the code of each word after context[owner]."""
@@ -267,15 +302,15 @@ class Block:
         self.contexts = key[head]
         self.context_shard = (((self.contexts >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
 
-    def parts(self, shards: int):
+    def parts(self):
         """(shard, words, contexts, pairs) as index arrays or slices, for every shard concerned."""
         by_shard = np.argsort(self.word_shard, kind="stable")
-        w = np.searchsorted(self.word_shard[by_shard], np.arange(shards + 1))
-        c = np.searchsorted(self.context_shard, np.arange(shards + 1))
+        some = np.union1d(self.word_shard, self.context_shard)
+        w = np.searchsorted(self.word_shard[by_shard], np.append(some, 1 << 40))
+        c = np.searchsorted(self.context_shard, np.append(some, 1 << 40))
         first = np.append(np.searchsorted(self.owner, np.arange(len(self.contexts))), len(self.owner))
-        for s in range(shards):
-            if w[s] < w[s + 1] or c[s] < c[s + 1]:
-                yield s, by_shard[w[s] : w[s + 1]], slice(c[s], c[s + 1]), slice(first[c[s]], first[c[s + 1]])
+        for k, s in enumerate(some.tolist()):
+            yield s, by_shard[w[k] : w[k + 1]], slice(c[k], c[k + 1]), slice(first[c[k]], first[c[k + 1]])
 
 
 def _binary(column: list[bytes]) -> pa.Array:
@@ -288,7 +323,7 @@ def _asked(folds: int, shards: int):
     def run(key, table):
         block, number = Block(table, folds, shards), key[0].as_py()
         rows = []
-        for s, w, c, p in block.parts(shards):
+        for s, w, c, p in block.parts():
             kinds = np.bincount(block.owner[p] - c.start, minlength=c.stop - c.start).astype(np.uint32)
             rows.append(
                 (s, number, _pack(block.words[w], block.word_count[w]), _pack(block.contexts[c], kinds, block.pair_count[p]), _pack_prints(block.prints[p]))
@@ -345,7 +380,7 @@ def _scored(folds: int, shards: int, tokens: np.ndarray, kinds: np.ndarray):
         given = {s: (w.as_py(), p.as_py()) for s, w, p in zip(right.column("shard").to_pylist(), right.column("words"), right.column("pairs"), strict=True)}
         count = np.zeros(len(block.words), np.int64)
         total, rest, seen = np.zeros(len(block.contexts), np.int64), np.zeros(len(block.contexts), np.uint8), np.zeros(len(block.prints), np.uint8)
-        for s, w, c, p in block.parts(shards):
+        for s, w, c, p in block.parts():
             count[w] = _unpack(given[s][0], np.uint32)[0]
             total[c], rest[c], seen[p] = _unpack(given[s][1], np.uint32, np.uint8, np.uint8)
         c = count[block.word]
@@ -383,8 +418,8 @@ def score_documents(docs: DataFrame, folds: int = 10, block_bytes: int = BLOCK_B
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score, one row a document."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks, shards = size // block_bytes + 1, size // shard_bytes + 1
-    key = F.xxhash64("doc_id", F.xxhash64("z")).alias("key")
-    dealt = _squeeze(docs).withColumn("block", F.pmod(key, F.lit(blocks)).cast("int"))
+    squeezed = _squeeze(docs).withColumn("block", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int"))
+    dealt = materialize(squeezed, "blocks")  # which fixes the rows of each block
     asked = dealt.groupBy("block").applyInArrow(_asked(folds, shards), "shard int, block int, words binary, pairs binary, prints binary")
     answers = materialize(asked.groupBy("shard").applyInArrow(_answered, "block int, shard int, words binary, pairs binary"), "answers")
     tokens, kinds = np.zeros(BRANCHES, np.int64), np.zeros(BRANCHES, np.int64)

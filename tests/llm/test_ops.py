@@ -204,6 +204,52 @@ def test_language_model(docs, texts):
     assert all(whole[i] == pytest.approx(got[i]["score"]) for i in whole)  # blocks and shards decide nothing
 
 
+def test_scores_by_an_independent_model(spark, texts):
+    """The model's probabilities from plain counts in dictionaries."""
+    m = language_model
+    code_of = lambda w: (m.END if w is None else np.uint64(hashes[w]))
+    chunk = next(_text.chunks(pa.array([" ".join({w for t in texts.values() for w in words_of(t)})]), limit=1 << 30))
+    w = _text.words(chunk)
+    names = [chunk.data[a:b].tobytes().decode() for a, b in zip(w.starts, w.ends, strict=True)]
+    hashes = dict(zip(names, _text.span_hash(chunk.prefix(), w.starts, w.ends).tolist(), strict=True))
+    branch = lambda x: int(code_of(x) % np.uint64(m.BRANCHES))
+    unigram, pairs = collections.Counter(), collections.defaultdict(collections.Counter)
+    for i, t in texts.items():
+        if zlib.crc32(str(i).encode()) % 10:
+            before = "<start>"
+            for x in [*words_of(t), None]:
+                unigram[x] += 1
+                pairs[before, branch(x)][x] += 1
+                before = x
+    n, v = sum(unigram.values()), len(unigram)
+    tokens, kinds = collections.Counter(), collections.Counter()
+    for x, c in unigram.items():
+        tokens[branch(x)] += c
+        kinds[branch(x)] += 1
+    unknown = m.DISCOUNT * v / n
+    rounded = lambda p: float(m._value(m._code(np.array([p])))[0])
+    got = {r["doc_id"]: r["score"] for r in m.score_documents(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"), block_bytes=20_000, shard_bytes=30_000).collect()}
+    for i, t in texts.items():
+        total, before = 0.0, "<start>"
+        for x in [*words_of(t), None]:
+            p1 = (unigram[x] - m.DISCOUNT) / n if unigram[x] else unknown
+            pb = (tokens[branch(x)] - m.DISCOUNT * kinds[branch(x)]) / n + unknown / m.BRANCHES
+            after = pairs.get((before, branch(x)), {})
+            size, types = sum(after.values()), len(after)
+            inside = (size + m.BRANCH_WEIGHT * pb) / (unigram[None if before == "<start>" else before] + m.BRANCH_WEIGHT)
+            seen = rounded(after[x] / (size + types)) if after and x in after else 0.0
+            left = rounded(types / (size + types)) if after else 1.0
+            total += math.log10(inside * (seen + left * p1 / pb))
+            before = x
+        assert got[i] == pytest.approx(total, rel=1e-9)
+
+
+def test_repeated_rows_are_scored(spark):
+    d = spark.createDataFrame([(1, "the same words over and over")] * 300 + [(None, "x y")] * 5 + [(2, None)], "doc_id bigint, text string")
+    got = language_model.score_documents(d, block_bytes=1000, shard_bytes=1000).collect()
+    assert len(got) == 306 and len({(r["doc_id"], r["score"]) for r in got}) == 3 and {r["train_tokens"] for r in got} == {301 * 1 + 300 * 6}
+
+
 def test_probabilities_sum_to_one_at_most(spark):
     """Over all known words, the end, and the class of unknown words, after a known context."""
     learned = ["a b a c", "a b d", "b a b a", "c c a"] * 3
@@ -223,6 +269,13 @@ def test_elias_fano_and_trie(tmp_path):
         s = language_model.Sequence(*language_model._elias_fano(x))
         assert np.array_equal(s.get(np.arange(n)), x)
         q = np.concatenate([x, rng.integers(0, 1 << 60, 50, dtype=np.uint64)])
+        uneven = np.sort(np.concatenate([x, rng.integers(0, 1000, n, dtype=np.uint64)]))
+        u = language_model.Sequence(*language_model._elias_fano(uneven))
+        assert np.array_equal(u.get(np.arange(2 * n)), uneven)
+        # no more than the low bytes, three bits of high parts, and the sample, whatever the values
+        for values in (x, uneven):
+            low, *others, shape = language_model._elias_fano(values)
+            assert sum(map(len, others)) <= len(values) * (3 / 8 + 8 / language_model.EVERY) + 32 and len(low) <= 8 * len(values)
         assert np.array_equal(s.successor(np.zeros(len(q), np.int64), np.full(len(q), n), q), np.searchsorted(x, q))
     context = np.sort(rng.integers(0, 50, 400).astype(np.uint64) * np.uint64(1 << 40))
     pairs = np.unique(np.stack([context, rng.integers(0, 1 << 40, 400).astype(np.uint64)], 1), axis=0)
