@@ -1,8 +1,8 @@
 """A quality classifier: a linear support vector machine on n-gram indicators scaled by Naive Bayes log-count ratios.
 
 Indicators: byte pairs, hashed byte triples, and ranges of the shares of words in repeated 8-word windows, of repeated
-lines and of words equal to the one before, and of the number of words. r = log of the ratio of an indicator's smoothed shares in the classes; the hinge
-loss of r-scaled indicators is minimised by dual coordinate descent. A logistic link fitted on labelled rows that the
+lines and of words equal to the one before, and of the number of words. r = log of the ratio of an indicator's smoothed
+shares in the classes; the hinge loss of r-scaled indicators is minimised by dual coordinate descent. A logistic link fitted on labelled rows that the
 machine has not seen turns margins into scores from 0 to 1.
 
 The model is fitted in one task on at most ``SAMPLE`` labelled rows, those with the smallest hash of doc_id; that bound
@@ -10,7 +10,9 @@ and the fixed number of indicators bound its memory, the model (about a megabyte
 Scoring reads every whole text once, map-only.
 
 Defined results: null and empty texts get the score of a text without n-grams; without rows of both labels every score
-is the share of label 1 in the sample (0.5 without rows); labels other than 0 and 1 and null keys are no training rows.
+is the share of label 1 in the sample (0.5 without rows); labels other than 0 and 1 and null keys are no training rows; of
+contradicting labels of a key 1 counts; of rows of one doc_id one teaches, all are scored; long texts are read whole; a
+score at the threshold is predicted as 1; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -145,12 +147,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.binary())], ["doc_id", "y", "x"])
 
     def learn(pdf):
-        pdf = pdf.sort_values("doc_id").drop_duplicates("doc_id")
+        pdf = pdf.sort_values("doc_id")
         table, slope, intercept = fit([np.frombuffer(x, np.int32) for x in pdf["x"]], pdf["y"].to_numpy())
         return pd.DataFrame({"table": [table.tobytes()], "slope": [slope], "intercept": [intercept]})
 
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")  # at most ``sample`` keys
-    rows = rows.mapInArrow(features, "doc_id long, y int, x binary")
+    # of rows of one doc_id that of the least indicators teaches; repeats are combined where they are read
+    rows = rows.mapInArrow(features, "doc_id long, y int, x binary").groupBy("doc_id", "y").agg(F.min("x").alias("x"))
     found = rows.groupBy().applyInPandas(learn, "table binary, slope double, intercept double").first()
     if found is None:
         return fit([], np.zeros(0))

@@ -5,7 +5,8 @@ the failures into one integer per document. Policies are versioned masks over th
 comparing two of them or finding what one rule alone rejects (``ablation``) is bitwise aggregation of a narrow table
 and reads no text again.
 
-Defined results: a null text counts as empty (all measurements 0); an empty table gives an empty result; repeated rows
+Defined results: a null text counts as empty (all measurements 0); long texts are measured whole; a measurement at a
+rule's bound passes it, so there are no ties; an empty table gives an empty result; repeated rows
 give repeated results; extra columns of the input are ignored, and a clash with a measurement's name is harmless
 because only the key and the text are read.
 """

@@ -57,6 +57,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
 
 
+def ablation_of_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the policy rejects, and what it alone does."""
+    return quality_rules.ablation(quality_rules.quality_ledger(_read(spark, sf_dir, "documents")))
+
+
 OP4_SQL = r"""
 WITH d AS (
     SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
@@ -180,6 +185,12 @@ WITH base AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM bits
 """
 
+_RULES = ", ".join(f"('{r.name}', {1 << i})" for i, r in enumerate(quality_rules.RULES))
+ABLATION_SQL = f"""
+WITH l AS ({OP10_SQL}), r(rule, bit) AS (VALUES {_RULES})
+SELECT rule, count(*) FILTER (WHERE fail_bits & bit <> 0) AS n_failed, count(*) FILTER (WHERE fail_bits = bit) AS n_only FROM l CROSS JOIN r GROUP BY rule
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_lm_scoring": op2_lm_scoring,
@@ -191,5 +202,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
+    "ablation_of_quality_rules": ablation_of_quality_rules,
 }
-ORACLE_SQL: dict[str, str] = {"op4_suffix_repeats": OP4_SQL, "op5_top_k_search": OP5_SQL, "op7_near_duplicates": OP7_SQL, "op9_mixing": OP9_SQL, "op10_quality_rules": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_suffix_repeats": OP4_SQL, "op5_top_k_search": OP5_SQL, "op7_near_duplicates": OP7_SQL, "op9_mixing": OP9_SQL, "op10_quality_rules": OP10_SQL, "ablation_of_quality_rules": ABLATION_SQL}

@@ -2,22 +2,29 @@
 
 Components become integers floor(scale * x). Adding the component sqrt(M^2 - |x|^2), where M is the largest norm, makes
 the largest inner products the smallest distances. Every vector is keyed by its nearest pivot and its distance to it;
-the distances of a pivot are cut into rings, sorted annuli around the pivot. A query first visits the annuli nearest to
-it until they hold enough vectors. Its k-th best score then bounds the search: by the triangle inequality no vector of an
-annulus is nearer than the gap between the query's distance to the pivot and the annulus, so annuli that cannot hold a
-score as high are never visited, and all others are. Results are exact; pivots only decide how much is visited.
-
-Work is dealt by (annulus, chunk of it, chunk of queries), each of at most about ``CHUNK`` rows, so neither a crowded
-annulus nor many queries make a large task. Pivots (``PIVOTS`` rows of smallest hash) and the directory of annuli
-(PIVOTS * RINGS rows at most) are all that is broadcast.
+quantiles of a pivot's distances cut its vectors into rings, sorted annuli of about equal numbers. Of each annulus the
+directory holds the least and greatest distance to its pivot and to the first ``GUIDES`` pivots. A query first visits the
+annuli nearest to it until they hold enough vectors. Its k-th best score then bounds the search: by the triangle
+inequality no vector of an annulus is nearer than the gap between the query's distance to any of those pivots and the
+annulus, so annuli that cannot hold a score as high are never visited, and all others are. Results are exact; pivots only
+decide how much is visited (``visited_share`` tells; data without clusters let little be passed over).
+
+Queries are dealt into sets by their nearest pivot, so that those of a set visit the same annuli. Work is dealt by
+(annulus, part of it, set of queries), each of at most about ``CHUNK`` rows, so neither a crowded annulus nor many queries
+make a large task; vectors are sent only to sets of which a query visits their annulus. The number of pivots grows with
+the square root of the number of vectors, up to ``MOST_PIVOTS``; pivots (rows of smallest hash) and the directory
+(pivots * RINGS rows at most) are all that is broadcast.
 
 Defined results: vectors that are null or hold null or non-finite components, and rows of null vec_id, take no part; of
-rows sharing a vec_id the smallest vector counts; vectors of fewer dimensions are filled with zeros; ties go to the
-smaller vec_id; without vectors the result is empty.
+rows sharing a vec_id the smallest vector counts; vectors of fewer dimensions are filled with zeros, and empty ones are
+zero throughout; vectors of any length count whole; ties go to the smaller vec_id; scores are exact, and those beyond the
+range of a long are its ends, as are components; without vectors the result is empty; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -26,9 +33,11 @@ from pyspark.sql import functions as F
 
 from lotframe.llm._store import materialize
 
-PIVOTS = 32
+MOST_PIVOTS = 1024
 RINGS = 16
+GUIDES = 16
 CHUNK = 2048
+LONG = np.iinfo(np.int64)
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
@@ -42,11 +51,14 @@ def _matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer inner products of rows: exact in doubles below 2 ** 53, else in 64-bit integers."""
-    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
+    """Integer inner products of rows: exact in doubles below 2 ** 53, in 64-bit integers below 2 ** 63, else in integers of
+    any size, which end at those of a long."""
+    most = float(np.abs(a.astype(np.float64)).max(initial=0)) * float(np.abs(b.astype(np.float64)).max(initial=0)) * a.shape[1]
     if most < 2**53:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+    if most < 2**62:
+        return a @ b.T
+    return np.clip(a.astype(object) @ b.astype(object).T, LONG.min, LONG.max).astype(np.int64)
 
 
 def _distances(x: np.ndarray, extra: np.ndarray, pivots: np.ndarray, pivot_extra: np.ndarray) -> np.ndarray:
@@ -56,17 +68,26 @@ def _distances(x: np.ndarray, extra: np.ndarray, pivots: np.ndarray, pivot_extra
 
 
 class Directory:
-    """Pivots, the largest squared norm, and the annuli: pivot, ring, lowest and highest distance, number of vectors."""
+    """Pivots, the largest squared norm, and the annuli: pivot, ring, number of vectors, and the least and greatest distance
+    to the pivot and to each guide."""
 
     def __init__(self, pivots: np.ndarray, largest: float, annuli: pd.DataFrame):
         self.pivots, self.largest = pivots, largest
         self.extra = np.sqrt(np.maximum(largest - (pivots.astype(np.float64) ** 2).sum(1), 0))
-        self.annuli = annuli
+        self.annuli, self.guides = annuli, min(GUIDES, len(pivots))
+
+    def distances(self, x: np.ndarray, queries: bool = False) -> np.ndarray:
+        extra = np.zeros(len(x)) if queries else np.sqrt(np.maximum(self.largest - (x.astype(np.float64) ** 2).sum(1), 0))
+        return _distances(x, extra, self.pivots, self.extra)
 
     def gaps(self, q: np.ndarray) -> np.ndarray:
         """Lower bounds of the distance from each query to anything in each annulus."""
-        d = _distances(q, np.zeros(len(q)), self.pivots, self.extra)[:, self.annuli["pivot"].to_numpy()]
-        return np.maximum(np.maximum(d - self.annuli["hi"].to_numpy(), self.annuli["lo"].to_numpy() - d), 0)
+        d, t = self.distances(q, True), self.annuli
+        own = d[:, t["pivot"].to_numpy()]
+        out = np.maximum(np.maximum(own - t["hi"].to_numpy(), t["lo"].to_numpy() - own), 0)
+        for g in range(self.guides):
+            np.maximum(out, np.maximum(d[:, g, None] - t[f"hi{g}"].to_numpy(), t[f"lo{g}"].to_numpy() - d[:, g, None]), out=out)
+        return out
 
     def highest(self, q: np.ndarray, gaps: np.ndarray) -> np.ndarray:
         """Upper bounds of the inner products, raised by more than the rounding of doubles."""
@@ -82,46 +103,70 @@ class Directory:
         return out
 
 
-def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, pivots: int = PIVOTS, rings: int = RINGS, chunk: int = CHUNK, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """query_id, rank, vec_id, score: the k best of all other rows for each row whose id is divisible by ``every``."""
+def pivots_for(n: int) -> int:
+    return min(MOST_PIVOTS, max(16, math.isqrt(n) // 4))
+
+
+class Index:
+    """The index of a table of vectors: ``rows`` (vec_id, v, annulus) and the directory."""
+
+    def __init__(self, vectors: DataFrame, scale: int, pivots: int | None, rings: int, chunk: int, id_col: str, vector_col: str):
+        spark = vectors.sparkSession
+        whole = F.transform(vector_col, lambda x: F.floor(x.cast("double") * scale))
+        sound = F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
+        rows = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & sound)
+        rows = materialize(rows.select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v")), "vectors")
+        norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+        self.n, largest, dims = rows.agg(F.count("*"), F.max(norm), F.max(F.size("v"))).first()
+        if not self.n:
+            return
+        self.dims = dims = max(dims, 1)
+        some = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots or pivots_for(self.n)).select("v").collect()
+        rng = np.random.default_rng(0)
+        chosen = np.unique(np.array([list(r[0]) + [0] * (dims - len(r[0])) for r in some], np.int64), axis=0)
+        chosen = chosen[rng.permutation(len(chosen))]
+        frame = spark.sparkContext.broadcast(Directory(chosen, largest, pd.DataFrame()))
+        guides = frame.value.guides
+
+        def key(batches):
+            d = frame.value
+            for batch in batches:
+                far = d.distances(_matrix(batch.column(1), dims))
+                near = far.argmin(1).astype(np.int32) if len(far) else np.zeros(0, np.int32)
+                towards = pa.FixedSizeListArray.from_arrays(pa.array(far[:, :guides].ravel()), guides).cast(pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near), pa.array(far[np.arange(len(far)), near]), towards], ["vec_id", "v", "pivot", "distance", "towards"])
+
+        keyed = materialize(rows.mapInArrow(key, "vec_id long, v array<long>, pivot int, distance double, towards array<double>"), "index")
+        cuts = keyed.groupBy("pivot").agg(F.percentile_approx("distance", [i / rings for i in range(1, rings)], 1000).alias("cuts"))
+        ring = F.size(F.filter("cuts", lambda c: c < F.col("distance"))).alias("ring")
+        placed = keyed.join(F.broadcast(cuts), "pivot").select("vec_id", "v", "pivot", ring, "distance", "towards")  # a row a pivot
+        bounds = [f(F.col("towards")[g]).alias(f"{name}{g}") for g in range(guides) for f, name in ((F.min, "lo"), (F.max, "hi"))]
+        annuli = placed.groupBy("pivot", "ring").agg(F.min("distance").alias("lo"), F.max("distance").alias("hi"), F.count("*").alias("n"), *bounds).toPandas()
+        annuli = annuli.sort_values(["pivot", "ring"], ignore_index=True)
+        annuli["annulus"], annuli["chunks"] = np.arange(len(annuli)), (annuli["n"] + chunk - 1) // chunk
+        self.directory = spark.sparkContext.broadcast(Directory(chosen, largest, annuli))
+        known = spark.createDataFrame(annuli[["pivot", "ring", "annulus", "chunks"]].astype("int32"), "pivot int, ring int, annulus int, chunks int")
+        part = F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int").alias("part")
+        self.rows = placed.join(F.broadcast(known), ["pivot", "ring"]).select("vec_id", "v", "pivot", "annulus", part)
+
+
+def top_k(
+    vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, pivots: int | None = None, rings: int = RINGS, chunk: int = CHUNK, id_col: str = "vec_id", vector_col: str = "embedding", visited: list | None = None
+) -> DataFrame:
+    """query_id, rank, vec_id, score: the k best of all other rows for each row whose id is divisible by ``every``. A list
+    given as ``visited`` gets the share of all (query, vector) pairs that were computed, at the cost of one more job."""
     spark = vectors.sparkSession
-    whole = F.transform(vector_col, lambda x: F.floor(x.cast("double") * scale))
-    sound = F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
-    rows = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & sound)
-    rows = materialize(rows.select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v")), "vectors")
-    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    largest, dims = rows.agg(F.max(norm), F.max(F.size("v"))).first()
-    empty = "query_id long, rank int, vec_id long, score long"
-    if largest is None:
-        return spark.createDataFrame([], empty)
-    dims = max(dims, 1)
-    some = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).select("v").collect()
-    chosen = np.unique(np.array([list(r[0]) + [0] * (dims - len(r[0])) for r in some], np.int64), axis=0)
-    frame = spark.sparkContext.broadcast(Directory(chosen, largest, pd.DataFrame()))
-
-    def key(batches):
-        d = frame.value
-        for batch in batches:
-            x = _matrix(batch.column(1), dims)
-            extra = np.sqrt(np.maximum(d.largest - (x.astype(np.float64) ** 2).sum(1), 0))
-            far = _distances(x, extra, d.pivots, d.extra)
-            near = far.argmin(1).astype(np.int32) if len(x) else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near), pa.array(far[np.arange(len(x)), near])], ["vec_id", "v", "pivot", "distance"])
-
-    index = materialize(rows.mapInArrow(key, "vec_id long, v array<long>, pivot int, distance double"), "index")
-    reach = index.agg(F.max("distance")).first()[0]
-    ring = F.least(F.lit(rings - 1), F.floor(F.col("distance") * rings / (reach or 1.0))).cast("int")
-    index = index.withColumn("ring", ring)
-    annuli = index.groupBy("pivot", "ring").agg(F.min("distance").alias("lo"), F.max("distance").alias("hi"), F.count("*").alias("n")).toPandas()
-    annuli = annuli.sort_values(["pivot", "ring"], ignore_index=True)
-    annuli["annulus"], annuli["chunks"] = np.arange(len(annuli)), (annuli["n"] + chunk - 1) // chunk
-    directory = spark.sparkContext.broadcast(Directory(chosen, largest, annuli))
-    known = spark.createDataFrame(annuli[["pivot", "ring", "annulus", "chunks"]].astype("int32"), "pivot int, ring int, annulus int, chunks int")
-    asking = index.where(F.pmod(F.col("vec_id"), F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), "v")
-    query_chunks = max(1, -(-asking.count() // chunk))
-    placed = index.join(F.broadcast(known), ["pivot", "ring"]).select("annulus", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int").alias("part"), "vec_id", "v")
-    placed = placed.withColumn("questions", F.explode(F.sequence(F.lit(0), F.lit(query_chunks - 1))))
-    questions = F.pmod(F.xxhash64("query_id"), F.lit(query_chunks)).cast("int").alias("questions")
+    index = Index(vectors, scale, pivots, rings, chunk, id_col, vector_col)
+    if not index.n:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    directory, dims = index.directory, index.dims
+    asking = index.rows.where(F.pmod(F.col("vec_id"), F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), "v", "pivot")
+    sets = asking.groupBy("pivot").agg(F.ceil(F.count("*") / chunk).cast("int").alias("sets"))
+    before = F.coalesce(F.sum("sets").over(Window.orderBy("pivot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int")
+    sets = sets.withColumn("before", before)  # a row a pivot
+    of_set = (F.col("before") + F.pmod(F.xxhash64("query_id"), F.col("sets"))).cast("int").alias("questions")
+    asking = materialize(asking.join(F.broadcast(sets), "pivot").select("query_id", "v", of_set), "questions")
+    keys = ["annulus", "part", "questions"]
 
     def visits(first: bool):
         def run(batches):
@@ -131,14 +176,14 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, piv
                 gaps = d.gaps(q)
                 go = d.nearest(gaps, 4 * k + 1)
                 if not first:
-                    least = batch.column(2).fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+                    least = batch.column(3).fill_null(LONG.min).to_numpy(zero_copy_only=False)
                     go = ~go & (d.highest(q, gaps) >= least[:, None].astype(np.float64))
                 row, at = np.nonzero(go)
                 parts = d.annuli["chunks"].to_numpy()[at]
                 row, at = np.repeat(row, parts), np.repeat(at, parts)
                 part = np.arange(len(at)) - np.repeat(np.cumsum(parts) - parts, parts)
                 take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(at.astype(np.int32)), pa.array(part.astype(np.int32))], ["query_id", "v", "annulus", "part"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in (0, 1, 2)), pa.array(at.astype(np.int32)), pa.array(part.astype(np.int32))], ["query_id", "v", "questions", "annulus", "part"])
 
         return run
 
@@ -159,15 +204,20 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, piv
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
 
     def search(asked: DataFrame, first: bool, name: str) -> DataFrame:
-        visit = asked.mapInArrow(visits(first), "query_id long, v array<long>, annulus int, part int").select("*", questions)
-        keys = ["annulus", "part", "questions"]
-        found = placed.groupBy(keys).cogroup(visit.groupBy(keys)).applyInArrow(best, "query_id long, vec_id long, score long")
+        visit = asked.mapInArrow(visits(first), "query_id long, v array<long>, questions int, annulus int, part int")
+        visit = materialize(visit, f"visits-{name}")
+        wanted = visit.select(*(F.col(c).alias(c) for c in keys)).distinct()
+        sent = index.rows.select("annulus", "part", "vec_id", "v").join(wanted, ["annulus", "part"])
+        if visited is not None:
+            sizes = spark.createDataFrame(directory.value.annuli[["annulus", "n"]].astype("int64"), "annulus int, n long")
+            visited.append((visit.select("query_id", "annulus").distinct().join(sizes, "annulus").agg(F.sum("n")).first()[0] or 0) / (asking.count() * index.n))
+        found = sent.groupBy(keys).cogroup(visit.groupBy(keys)).applyInArrow(best, "query_id long, vec_id long, score long")
         ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).cast("int"))
         return materialize(ranked.where(F.col("rank") <= k), name)
 
     near = search(asking, True, "near")
     bound = near.where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
-    far = search(asking.join(bound, "query_id", "left").select("query_id", "v", "least"), False, "far")
+    far = search(asking.join(bound, "query_id", "left").select("query_id", "v", "questions", "least"), False, "far")
     both = near.union(far).select("query_id", "vec_id", "score")
     final = both.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).cast("int"))
     return final.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

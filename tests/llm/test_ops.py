@@ -314,6 +314,9 @@ def test_quality_model_learns(spark):
     flipped = y.withColumn("quality", F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, 1 - F.col("quality")).otherwise(F.col("quality")))
     again = {r["doc_id"]: r["score"] for r in quality_model.score_documents(d, flipped).collect()}
     assert all(again[r["doc_id"]] == r["score"] for r in got)  # held-out labels teach nothing
+    more = d.union(d.where("doc_id < 50")).union(d.where("doc_id < 50").selectExpr("doc_id", "concat(text, ' other')")).repartition(7)
+    first, second = ({(r["doc_id"], r["score"]) for r in quality_model.score_documents(x, y).collect()} for x in (more, more.repartition(3)))
+    assert first == second  # of rows of one doc_id the same one teaches, wherever they lie
     one = quality_model.score_documents(d, y.where("quality = 1")).select("score").distinct().collect()
     assert len(one) == 1 and one[0][0] > 0.99
 
@@ -430,6 +433,34 @@ def test_top_k(spark):
     assert [(r["query_id"], r["rank"]) for r in vector_search.top_k(few).orderBy("rank").collect()] == [(0, 1), (0, 2)]
 
 
+def test_top_k_passes_over_what_cannot_match(spark):
+    """Clustered vectors: most annuli are never visited, and the results are those of brute force."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(30, 16)) * 4
+    x = (centres[rng.integers(0, 30, 4000)] + rng.normal(size=(4000, 16)) * 0.1).round(3)
+    d = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    share: list = []
+    got = vector_search.top_k(d, pivots=60, visited=share).collect()
+    whole = np.floor(256 * x).astype(np.int64)
+    for q in range(0, 4000, 50):
+        score = whole @ whole[q]
+        want = [(r + 1, i, int(score[i])) for r, i in enumerate(sorted((i for i in range(4000) if i != q), key=lambda i: (-score[i], i))[:5])]
+        assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q) == want
+    assert sum(share) < 0.45
+
+
+def test_top_k_of_large_components(spark):
+    rows = [(0, [1e9, -3.0]), (1, [1e9, 5.0]), (2, [1e14, 0.0]), (3, [-1e300, 1.0]), (50, [2.0**40, 1.5])]
+    d = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    ends = np.iinfo(np.int64)
+    whole = {i: [max(min(math.floor(256 * c), ends.max), ends.min) for c in v] for i, v in rows}
+    want = []
+    for q in (0, 50):
+        score = {i: max(min(sum(a * b for a, b in zip(whole[q], v, strict=True)), ends.max), ends.min) for i, v in whole.items() if i != q}
+        want += [(q, r + 1, i, score[i]) for r, i in enumerate(sorted(score, key=lambda i: (-score[i], i))[:5])]
+    assert sorted(map(tuple, vector_search.top_k(d).collect())) == sorted(want)
+
+
 # 6
 
 P = "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore."
