@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 _PRIME = (1 << 61) - 1
 _P = np.uint64(_PRIME)
 _R = 0x9E3779B97F4A7C15 % _PRIME

@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from lotframe.llm import _text
 
 SPACE = 0x2581
-CHUNK = 2 << 20
+CHUNK = 1 << 20
+COMPARED = 1 << 16  # characters compared at a time
 _CLASSES = 1 << 12
 
 
@@ -159,11 +160,18 @@ def _uniform(key: np.ndarray, seg: np.ndarray, step: int, seed: int) -> np.ndarr
 def _exact(cls: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which: np.ndarray, some: np.ndarray, of: np.ndarray):
     """Corrects the distinct segments ``some`` and the one of each of ``which``, found by hash, where characters differ."""
     n, model = lengths[which], some[of]
-    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     odd = n != lengths[model]
-    there = np.minimum(starts[model], len(cls) - n)  # if of another length, any place will do
-    differ = cls[np.repeat(starts[which], n) + step] != cls[np.repeat(there, n) + step]
-    odd |= np.add.reduceat(differ, np.cumsum(n) - n) > 0
+    place = np.minimum(starts[model], len(cls) - n)  # if of another length, any place will do
+    ends = np.cumsum(n)
+    a = 0
+    while a < len(n):
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + COMPARED)))
+        size = n[a:b]
+        first = np.cumsum(size) - size
+        step = np.arange(size.sum()) - np.repeat(first, size)
+        differ = cls[np.repeat(starts[which[a:b]], size) + step] != cls[np.repeat(place[a:b], size) + step]
+        odd[a:b] |= np.add.reduceat(differ, first)
+        a = b
     if odd.any():
         number: dict[bytes, int] = {}
         for i in np.flatnonzero(odd):
