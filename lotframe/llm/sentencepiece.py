@@ -170,7 +170,7 @@ def _exact(cls: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which: np.n
         first = np.cumsum(size) - size
         step = np.arange(size.sum()) - np.repeat(first, size)
         differ = cls[np.repeat(starts[which[a:b]], size) + step] != cls[np.repeat(place[a:b], size) + step]
-        odd[a:b] |= np.add.reduceat(differ, first)
+        odd[a:b] |= np.logical_or.reduceat(differ, first)
         a = b
     if odd.any():
         number: dict[bytes, int] = {}
