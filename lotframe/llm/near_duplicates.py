@@ -1,9 +1,13 @@
 """Near-duplicate documents: MinHash bands find candidates, odd sketches sift them, full sets confirm them.
 
 1. ``signatures``: a map over whole texts gives the set size, a 128-bit fingerprint of the shingle set, the hashes of
-   the MinHash bands, and an odd sketch. The sketch folds the samples of a one-permutation MinHash (the smallest shingle
-   hash of each of ``BINS`` ranges of hashes, empty ranges giving none) into a bitmap: each sample flips one bit. The bits
-   in which two sketches differ count the samples that only one set has, which estimates high similarities closely.
+   the MinHash bands, and two odd sketches. A sketch folds bottom MinHash samples, the shingles of smallest hash, into a
+   bitmap: each flips one bit. All shingles are samples in a set of up to ``SAMPLES``; in larger ones those below a bound
+   that halves with each doubling of the size, so that the samples of two sets can be compared. The bits in which two
+   sketches differ count the samples that only one set has, exactly for sets without a bound and with small error for
+   others. The second sketch has half the bound, for sets on both sides of a doubling. (One sample from each of 1024
+   ranges of hashes was tried and is too coarse: on groups of near copies it let so many pairs through that confirmed
+   pairs grew with the square of the group.)
 2. Documents of equal sets form a class; its smallest doc_id stands for it from here on, so copies cost nothing more.
 3. Representatives meet in band buckets. A bucket above ``BLOCK`` members is dealt into blocks, and each pair of blocks
    is a group of its own. Groups of the same members are one. In a group, pairs whose sketches differ by more than chance
@@ -38,9 +42,9 @@ from lotframe.llm.repeats import _opened, _squeeze
 
 ROWS = 4
 MISS = 1e-7
-#: Bits of a sketch, and ranges of hashes that give it a sample each.
-BITS = 2048
-BINS = 1024
+#: Bits of a sketch, and the most samples that are folded into it, about.
+BITS = 1024
+SAMPLES = 2048
 SIGMAS = 5.0
 BLOCK = 2048
 FIRST = 1
@@ -50,15 +54,23 @@ def bands_for(threshold: float, rows: int = ROWS) -> int:
     return math.ceil(math.log(MISS) / math.log(1 - threshold**rows))
 
 
-def _sketches(doc: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
-    """The odd sketch of each of n documents, as bytes. Hashes are sorted by document and value, so that the smallest of a
-    range is the first."""
-    bin_of = h >> np.uint64(64 - BINS.bit_length() + 1)
-    sample = np.ones(len(h), bool)
-    sample[1:] = (bin_of[1:] != bin_of[:-1]) | (doc[1:] != doc[:-1])
-    place = _text.mix(h[sample] + np.uint64(0x8CB92BA72F3D8DD7)) >> np.uint64(64 - BITS.bit_length() + 1)
-    flips = np.bincount(doc[sample] * BITS + place.astype(np.int64), minlength=n * BITS) & 1
-    return np.packbits(flips.astype(bool).reshape(n, BITS), axis=1)
+def _level(n: np.ndarray) -> np.ndarray:
+    """How often the bound on hashes is halved in the first sketch of a set of n shingles."""
+    return np.maximum(np.ceil(np.log2(np.maximum(n, 1) / SAMPLES)), 0).astype(np.int64)
+
+
+def _sketches(doc: np.ndarray, h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The two odd sketches of each document, as bytes: its bottom samples, each flipping the bit that its hash names."""
+    place = _text.mix(h + np.uint64(0x8CB92BA72F3D8DD7))
+    bit = (place >> np.uint64(54)).astype(np.int64)  # BITS places
+    level = _level(n)[doc]
+    out = []
+    for extra in (0, 1):
+        below = (h >> (np.uint64(64) - np.minimum(level + extra, 63).astype(np.uint64))) == 0
+        below |= level + extra == 0
+        flips = np.bincount(doc[below] * BITS + bit[below], minlength=len(n) * BITS) & 1
+        out.append(np.packbits(flips.astype(bool).reshape(len(n), BITS), axis=1))
+    return np.concatenate(out, axis=1)
 
 
 def _signatures(chunk: _text.Chunk, k: int, bands: int) -> tuple[np.ndarray, ...]:
@@ -82,7 +94,7 @@ def _signatures(chunk: _text.Chunk, k: int, bands: int) -> tuple[np.ndarray, ...
                 np.multiply(scratch, seeds[2 * i + 1] | np.uint64(1), out=scratch)
                 mixed = _text.mix(mixed * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(scratch, head))
             band[full, b] = mixed
-    sketch = np.concatenate([_sketches(doc[x:y] - a, h[x:y], c - a) for a, c, x, y in _parts(doc, chunk.n)]) if chunk.n else np.zeros((0, BITS // 8), np.uint8)
+    sketch = np.concatenate([_sketches(doc[x:y] - a, h[x:y], n[a:c]) for a, c, x, y in _parts(doc, chunk.n)]) if chunk.n else np.zeros((0, BITS // 4), np.uint8)
     return n, out1.view(np.int64), out2.view(np.int64), band.view(np.int64), sketch
 
 
@@ -100,38 +112,41 @@ def signatures(docs: DataFrame, k: int, bands: int) -> DataFrame:
             for chunk in _text.chunks(batch.column(1), lower=True):
                 n, f1, f2, band, sketch = _signatures(chunk, k, bands)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, band.size + 1, bands, dtype=np.int32)), pa.array(band.ravel()))
-                bits = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BITS // 8), chunk.n, [None, pa.py_buffer(sketch.tobytes())]).cast(pa.binary())
+                bits = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BITS // 4), chunk.n, [None, pa.py_buffer(sketch.tobytes())]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0)[chunk.rows], pa.array(n), pa.array(f1), pa.array(f2), lists, bits], ["doc_id", "n", "f1", "f2", "bands", "sketch"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n long, f1 long, f2 long, bands array<long>, sketch binary")
 
 
-def _limits(n: np.ndarray, m: np.ndarray, threshold: float) -> np.ndarray:
+def _limits(n: np.ndarray, m: np.ndarray, level: int, threshold: float) -> np.ndarray:
     """The most bits in which sketches of linked sets of n and m shingles differ, but for chance."""
-    union = (n + m) / (1 + threshold)  # at most, if linked
-    filled = BINS * (1 - (1 - 1 / BINS) ** union)
-    filled = np.minimum(filled + SIGMAS * np.sqrt(filled * (1 - filled / BINS)), union)
-    # a range differs with a probability of 1 - similarity, and then flips two bits at most
-    apart = filled * (1 - threshold)
-    flips = 2 * np.minimum(apart + SIGMAS * np.sqrt(apart * threshold), union * (1 - threshold))
+    sampled = (n + m) * (1 - threshold) / (1 + threshold) * 0.5**level
+    if level:
+        sampled = sampled + SIGMAS * np.sqrt(sampled)
     # the parities of d flips over BITS places: at most d are odd; mean and variance are those of d balls in BITS bins
-    one, two = (1 - 2 / BITS) ** flips, (1 - 4 / BITS) ** flips
+    one, two = (1 - 2 / BITS) ** sampled, (1 - 4 / BITS) ** sampled
     spread = np.sqrt(np.maximum(BITS + BITS * (BITS - 1) * two - (BITS * one) ** 2, 0)) / 2
-    return np.minimum(BITS * (1 - one) / 2 + SIGMAS * spread, flips) + 1e-6
+    return np.minimum(BITS * (1 - one) / 2 + SIGMAS * spread, sampled) + 1e-6
 
 
 def _fits(sizes: np.ndarray, bits: np.ndarray, threshold: float) -> np.ndarray:
     """Which members of a group may be linked, as a matrix."""
     m = len(sizes)
     out = np.zeros((m, m), bool)
-    columns = np.ascontiguousarray(bits.T)
-    every = sizes[None].astype(float)
-    for a in range(0, m, 256):
-        differ = np.zeros((min(256, m - a), m), np.int32)
-        for w in columns:
-            differ += np.bitwise_count(w[a : a + 256, None] ^ w[None])
-        x = sizes[a : a + 256][:, None].astype(float)
-        out[a : a + 256] = (np.minimum(x, every) >= threshold * np.maximum(x, every) - 1e-9) & (differ <= _limits(x, every, threshold))
+    level, half = _level(sizes), bits.shape[1] // 2
+    for at in np.unique(level):
+        own, lower = np.flatnonzero(level == at), np.flatnonzero(level == at - 1)
+        some = np.concatenate([own, lower])
+        sketch = np.concatenate([bits[own, :half], bits[lower, half:]])
+        for a in range(0, len(own), 256):
+            row = own[a : a + 256]
+            differ = np.zeros((len(row), len(some)), np.int32)
+            for w in range(half):
+                differ += np.bitwise_count(sketch[a : a + len(row), w, None] ^ sketch[None, :, w])
+            x, y = sizes[row][:, None].astype(float), sizes[some][None].astype(float)
+            near = (np.minimum(x, y) >= threshold * np.maximum(x, y) - 1e-9) & (differ <= _limits(x, y, int(at), threshold))
+            out[np.ix_(row, some)] |= near
+            out[np.ix_(some, row)] |= near.T
     return out
 
 
