@@ -9,7 +9,8 @@ inequality no vector of an annulus is nearer than the gap between the query's di
 annulus, so annuli that cannot hold a score as high are never visited, and all others are. Results are exact; pivots only
 decide how much is visited (``visited_share`` tells; data without clusters let little be passed over).
 
-Queries are dealt into sets by their nearest pivot, so that those of a set visit the same annuli. Work is dealt by
+Queries are dealt into sets by their nearest pivot (pivots with few queries share a set), so that those of a set visit
+much the same annuli. Work is dealt by
 (annulus, part of it, set of queries), each of at most about ``CHUNK`` rows, so neither a crowded annulus nor many queries
 make a large task; vectors are sent only to sets of which a query visits their annulus. The number of pivots grows with
 the square root of the number of vectors, up to ``MOST_PIVOTS``; pivots (rows of smallest hash) and the directory
@@ -161,9 +162,9 @@ def top_k(
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     directory, dims = index.directory, index.dims
     asking = index.rows.where(F.pmod(F.col("vec_id"), F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), "v", "pivot")
-    sets = asking.groupBy("pivot").agg(F.ceil(F.count("*") / chunk).cast("int").alias("sets"))
-    before = F.coalesce(F.sum("sets").over(Window.orderBy("pivot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int")
-    sets = sets.withColumn("before", before)  # a row a pivot
+    sets = asking.groupBy("pivot").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("pivot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sets = sets.select("pivot", F.floor(before / chunk).alias("before"), F.ceil(F.col("n") / chunk).alias("sets"))  # a row a pivot
     of_set = (F.col("before") + F.pmod(F.xxhash64("query_id"), F.col("sets"))).cast("int").alias("questions")
     asking = materialize(asking.join(F.broadcast(sets), "pivot").select("query_id", "v", of_set), "questions")
     keys = ["annulus", "part", "questions"]
