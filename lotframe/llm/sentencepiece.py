@@ -277,14 +277,15 @@ def _kind(df: DataFrame, key: str) -> str:
 
 def encode(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text", seed: int = 0, alpha: float = 1.0) -> DataFrame:
     """(key, ids, n_tokens, lossless): sampled ids of each text and whether decoding them gave the text again. Map-only."""
-    v = docs.sparkSession.sparkContext.broadcast(load(model_file, alpha))  # of the vocabulary's size, whatever the input
+    arrays = docs.sparkSession.sparkContext.broadcast(vars(load(model_file, alpha)))  # of the vocabulary's size, whatever the input
 
     def run(batches):
+        v = Vocabulary(**arrays.value)
         for batch in batches:
             keys, column = row_keys(batch.column(0)), batch.column(1)
             for chunk in _text.chunks(column, limit=CHUNK):
-                ids, at = encode_chunk(v.value, chunk, keys[chunk.rows], seed)
-                data, back = decode_ids(v.value, ids, at)
+                ids, at = encode_chunk(v, chunk, keys[chunk.rows], seed)
+                data, back = decode_ids(v, ids, at)
                 if np.array_equal(back, chunk.offsets) and np.array_equal(data, chunk.data):
                     same = np.ones(chunk.n, bool)
                 else:
@@ -299,15 +300,16 @@ def encode(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "t
 
 def decode(encoded: DataFrame, model_file: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(key, text) of rows of ids; null ids give null text."""
-    v = encoded.sparkSession.sparkContext.broadcast(load(model_file))
+    arrays = encoded.sparkSession.sparkContext.broadcast(vars(load(model_file)))
 
     def run(batches):
+        v = Vocabulary(**arrays.value)
         for batch in batches:
             column = batch.column(1)
             null = column.is_null().to_numpy(zero_copy_only=False)
             sizes = np.where(null, 0, column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
             at = np.concatenate([[0], np.cumsum(sizes)])
-            data, back = decode_ids(v.value, column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), at)
+            data, back = decode_ids(v, column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), at)
             texts = pa.LargeStringArray.from_buffers(len(column), pa.py_buffer(back.astype(np.int64)), pa.py_buffer(data.tobytes())).cast(pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.compute.if_else(pa.array(~null), texts, pa.scalar(None, pa.string()))], [key, "text"])
 

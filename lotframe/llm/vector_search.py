@@ -126,11 +126,11 @@ class Index:
         rng = np.random.default_rng(0)
         chosen = np.unique(np.array([list(r[0]) + [0] * (dims - len(r[0])) for r in some], np.int64), axis=0)
         chosen = chosen[rng.permutation(len(chosen))]
-        frame = spark.sparkContext.broadcast(Directory(chosen, largest, pd.DataFrame()))
-        guides = frame.value.guides
+        frame = spark.sparkContext.broadcast((chosen, largest, pd.DataFrame()))  # parts of a Directory, as executors may lack this module
+        guides = Directory(*frame.value).guides
 
         def key(batches):
-            d = frame.value
+            d = Directory(*frame.value)
             for batch in batches:
                 far = d.distances(_matrix(batch.column(1), dims))
                 near = far.argmin(1).astype(np.int32) if len(far) else np.zeros(0, np.int32)
@@ -145,7 +145,7 @@ class Index:
         annuli = placed.groupBy("pivot", "ring").agg(F.min("distance").alias("lo"), F.max("distance").alias("hi"), F.count("*").alias("n"), *bounds).toPandas()
         annuli = annuli.sort_values(["pivot", "ring"], ignore_index=True)
         annuli["annulus"], annuli["chunks"] = np.arange(len(annuli)), (annuli["n"] + chunk - 1) // chunk
-        self.directory = spark.sparkContext.broadcast(Directory(chosen, largest, annuli))
+        self.directory = spark.sparkContext.broadcast((chosen, largest, annuli))
         known = spark.createDataFrame(annuli[["pivot", "ring", "annulus", "chunks"]].astype("int32"), "pivot int, ring int, annulus int, chunks int")
         part = F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int").alias("part")
         self.rows = placed.join(F.broadcast(known), ["pivot", "ring"]).select("vec_id", "v", "pivot", "annulus", part)
@@ -171,7 +171,7 @@ def top_k(
 
     def visits(first: bool):
         def run(batches):
-            d = directory.value
+            d = Directory(*directory.value)
             for batch in batches:
                 q = _matrix(batch.column(1), dims)
                 gaps = d.gaps(q)
@@ -210,7 +210,7 @@ def top_k(
         wanted = visit.select(*(F.col(c).alias(c) for c in keys)).distinct()
         sent = index.rows.select("annulus", "part", "vec_id", "v").join(wanted, ["annulus", "part"])
         if visited is not None:
-            sizes = spark.createDataFrame(directory.value.annuli[["annulus", "n"]].astype("int64"), "annulus int, n long")
+            sizes = spark.createDataFrame(Directory(*directory.value).annuli[["annulus", "n"]].astype("int64"), "annulus int, n long")
             visited.append((visit.select("query_id", "annulus").distinct().join(sizes, "annulus").agg(F.sum("n")).first()[0] or 0) / (asking.count() * index.n))
         found = sent.groupBy(keys).cogroup(visit.groupBy(keys)).applyInArrow(best, "query_id long, vec_id long, score long")
         ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).cast("int"))

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import os
+import pickle
 import random
 import re
 import zlib
@@ -11,6 +12,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import SparkContext
 from pyspark.sql import functions as F
 
 from lotframe.llm import _text, html_text, language_model, mixing, near_duplicates, quality_model, quality_rules, repeats, sentencepiece, sharding, vector_search
@@ -793,6 +795,24 @@ def test_quality_rules(spark, docs, texts):
 
 
 @needs_pieces
+def test_broadcasts_hold_no_class_of_this_package(spark, docs, monkeypatch):
+    """Executors may have no copy of the package, and broadcasts are pickled by reference, but for functions (bytes by then)."""
+    sent, send = [], SparkContext.broadcast
+
+    def note(self, value):
+        if not isinstance(value, bytes):
+            sent.append(pickle.dumps(value))
+        return send(self, value)
+
+    monkeypatch.setattr(SparkContext, "broadcast", note)
+    if os.path.exists(PIECES):
+        coded = sentencepiece.encode(docs, PIECES)
+        sentencepiece.decode(coded, PIECES)
+    quality_model.score_documents(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality"))
+    vector_search.top_k(spark.createDataFrame([(i, [float(i), 1.0]) for i in range(20)], "vec_id bigint, embedding array<double>"))
+    assert len(sent) >= 3 and not any(b"lotframe" in value for value in sent)
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
