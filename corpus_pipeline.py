@@ -22,13 +22,13 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates (five words, similarity 0.8) stays: that of the smallest doc_id, null last.
     Rows are told apart by what all their columns hold, so different texts under one doc_id are judged each on their own;
-    of rows that are equal throughout one stays."""
-    plain = [c for c in docs.columns if "map<" not in docs.schema[c].dataType.simpleString()]
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.xxhash64(*(F.col(f"`{c}`") for c in plain)).alias("key"))
+    of rows that are equal throughout one stays. Where different rows share a key by chance, they share their fate too."""
+    plain = [F.col(f"`{c}`") for c in docs.columns if "map<" not in docs.schema[c].dataType.simpleString()]
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.xxhash64(*plain).alias("key"), F.xxhash64(F.lit(1), *plain).alias("check"))
     found = near_duplicates.near_duplicates(rows.select(F.col("key").alias("doc_id"), "row.text"), k=5, hundredths=80)
-    named = rows.select("key", F.col("row.doc_id").alias("id")).join(found.select(F.col("doc_id").alias("key"), "component_id").distinct(), "key")
+    named = rows.groupBy("key").agg(F.min("row.doc_id").alias("id")).join(found.select(F.col("doc_id").alias("key"), "component_id").distinct(), "key")
     first = named.groupBy("component_id").agg(F.min_by("key", F.struct(F.col("id").isNull(), "id", "key")).alias("key"))
-    return rows.join(first, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
+    return rows.join(first, "key", "left_semi").dropDuplicates(["key", "check"]).select("row.*")
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
