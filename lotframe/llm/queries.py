@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotframe.llm import html_text, language_model, mixing, near_duplicates, quality_model, quality_rules, repeats, sentencepiece, sharding, vector_search
+from lotframe.llm import html_text, language_model, mixing, near_duplicates, periodic_runs, quality_model, quality_rules, repeats, sentencepiece, sharding, token_counts, vector_search
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -57,6 +58,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(_read(spark, sf_dir, "documents"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_read(spark, sf_dir, "documents"), BYTE_LEVEL)
+
+
 def ablation_of_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each rule of the policy rejects, and what it alone does."""
     return quality_rules.ablation(quality_rules.quality_ledger(_read(spark, sf_dir, "documents")))
@@ -202,6 +211,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_counts": op13_token_counts,
     "ablation_of_quality_rules": ablation_of_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {"op4_suffix_repeats": OP4_SQL, "op5_top_k_search": OP5_SQL, "op7_near_duplicates": OP7_SQL, "op9_mixing": OP9_SQL, "op10_quality_rules": OP10_SQL, "ablation_of_quality_rules": ABLATION_SQL}
