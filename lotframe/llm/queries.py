@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotframe.llm import html_text, language_model, mixing, near_duplicates, periodic_runs, quality_model, quality_rules, repeats, sentencepiece, sharding, token_counts, vector_search
+from lotframe.llm import conversation_trie, html_text, language_model, mixing, near_duplicates, periodic_runs, quality_model, quality_rules, repeats, sentencepiece, sharding, token_counts, vector_search
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
@@ -58,6 +58,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(_read(spark, sf_dir, "conversations"), exchange=(100, 5))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(_read(spark, sf_dir, "documents"))
 
@@ -194,6 +198,42 @@ WITH base AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM bits
 """
 
+OP11_SQL = r"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, sha256(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS id
+    FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT conv_id, id, length(text) AS chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, id) AS place FROM t
+), c AS (
+    SELECT conv_id, conv_id - conv_id % 100 AS base, count(*) AS n,
+        xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+            lambda a, b: list_reduce([xor(a, b), 1, 1, 1, 1, 1, 1, 1, 1], lambda x, y: xor(x >> 1, (x & 1) * 3988292384)))) % 6 AS h
+    FROM own GROUP BY conv_id
+), turns AS (
+    SELECT c.conv_id, place, id, chars FROM c JOIN own ON own.conv_id = c.base AND place <= h
+    UNION ALL
+    SELECT c.conv_id, least(c.h, coalesce(b.n, 0)) + place - c.h, id, chars FROM c JOIN own USING (conv_id) LEFT JOIN c b ON b.conv_id = c.base WHERE place > c.h
+), s AS (
+    SELECT conv_id, coalesce(ids, []) AS ids, coalesce(chars, []) AS chars
+    FROM c LEFT JOIN (SELECT conv_id, list(id ORDER BY place) AS ids, list(chars ORDER BY place) AS chars FROM turns GROUP BY conv_id) USING (conv_id)
+), paths AS (
+    SELECT conv_id, d, md5(array_to_string(ids[1:d], '')) AS node, d = len(ids) AS ends, CASE WHEN d > 0 THEN chars[d] ELSE 0 END AS chars FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS d FROM s)
+), nodes AS (
+    SELECT node, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars, bool_and(ends) AS leaf,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM paths GROUP BY node, d
+), inside AS (
+    SELECT DISTINCT a.node AS top, a.d AS top_depth, b.node FROM paths a JOIN paths b ON a.conv_id = b.conv_id AND b.d >= a.d
+), sums AS (
+    SELECT top AS node, count(*) FILTER (leaf) AS n_leaves, sum((n_convs - 1) * chars)::BIGINT AS saved_tokens, count(*) FILTER (depth = top_depth + 1) AS n_children
+    FROM inside JOIN nodes USING (node) GROUP BY top
+), above AS (
+    SELECT DISTINCT a.node, b.node AS parent FROM paths a JOIN paths b ON a.conv_id = b.conv_id AND b.d = a.d - 1
+)
+SELECT nodes.conv_id, nodes.depth, p.conv_id AS parent_conv_id, nodes.n_convs, n_children, n_leaves, saved_tokens, nodes.ends_sha256
+FROM nodes JOIN sums USING (node) LEFT JOIN above USING (node) LEFT JOIN nodes p ON p.node = parent
+"""
+
 _RULES = ", ".join(f"('{r.name}', {1 << i})" for i, r in enumerate(quality_rules.RULES))
 ABLATION_SQL = f"""
 WITH l AS ({OP10_SQL}), r(rule, bit) AS (VALUES {_RULES})
@@ -211,8 +251,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_token_counts": op13_token_counts,
     "ablation_of_quality_rules": ablation_of_quality_rules,
 }
-ORACLE_SQL: dict[str, str] = {"op4_suffix_repeats": OP4_SQL, "op5_top_k_search": OP5_SQL, "op7_near_duplicates": OP7_SQL, "op9_mixing": OP9_SQL, "op10_quality_rules": OP10_SQL, "ablation_of_quality_rules": ABLATION_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_suffix_repeats": OP4_SQL, "op5_top_k_search": OP5_SQL, "op7_near_duplicates": OP7_SQL, "op9_mixing": OP9_SQL, "op10_quality_rules": OP10_SQL, "op11_conversation_trie": OP11_SQL, "ablation_of_quality_rules": ABLATION_SQL}
