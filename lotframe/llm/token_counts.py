@@ -1,13 +1,16 @@
 """Token counts of texts, made from counts of their pre-tokens.
 
 A byte-level BPE never merges across pre-tokens, so a text has as many tokens as its pre-tokens have pieces. Each task
-cuts its texts into pre-tokens and writes, for every ``CHUNK_BYTES`` of text, one row: the distinct pre-tokens of the
-chunk, and the frequencies of each document as numbers into them. The pre-tokens of all chunks are brought together by
-key and sorted, so that the pieces of each distinct one are counted once in the whole corpus; the counts are joined to
-the chunks, where a document's tokens are the sum of pieces times frequency. No list of token ids is ever made of a text.
+cuts its texts into pre-tokens and writes, for every ``CHUNK_BYTES`` of text, the frequencies of each document as numbers
+into the distinct pre-tokens of the chunk, and these in packets by shard of their hash. A shard brings together what all
+chunks hold of its pre-tokens, so that the pieces of each distinct one are counted once in the whole corpus; the counts
+are joined to the chunks, where a document's tokens are the sum of pieces times frequency. No list of token ids is ever
+made of a text.
 
-A pre-token that is everywhere has one row a chunk, not one a document, so no key is hot. Texts are cut at a space between
-two ASCII letters every ``SPAN`` characters, which is always a border of pre-tokens.
+A pre-token that is everywhere is sent once a chunk, not once a document, so no shard is hot; their number follows the
+corpus (``SHARD_BYTES``), and a chunk sends packets only to shards of which it holds something, so there are never more of
+them than distinct pre-tokens of all chunks. Texts are cut at a space between two ASCII letters every ``SPAN`` characters,
+which is always a border of pre-tokens.
 
 Which characters are letters, numbers and white space is asked of the tokenizer itself, once a worker, for the first
 65,536 code points; sections with characters beyond them are cut by the tokenizer's own pre-tokenizer.
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import os
 import re
+import zlib
 from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -33,10 +37,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotframe.llm import _text
-from lotframe.llm._store import materialize, partitions
+from lotframe.llm._store import materialize
 from lotframe.llm.language_model import _pack, _unpack
 
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 8 << 20
+SHARD_BYTES = 32 << 20
 SPAN = 1 << 20
 LIMIT = 1024
 #: Distinct pre-tokens whose pieces are counted in one call of the library.
@@ -118,62 +123,88 @@ def _opened(path: str) -> PreTokens:
     return _OPEN[path]
 
 
-CHUNKS = "chunk long, tokens array<string>, documents binary, entries binary"
+CHUNKS = "chunk long, shard int, tokens binary, documents binary, entries binary"
 
 
-def _chunked(path: str, chunk_bytes: int):
-    """Rows of chunks: their distinct pre-tokens, (doc_id, no id, bytes, entries) of each document, and (pre-token,
-    frequency) of each entry."""
+def _packet(tokens: list[str]) -> bytes:
+    import zstandard
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pre = _opened(path)
-        number, size = TaskContext.get().partitionId() << 32, 0
-        index: defaultdict = defaultdict()
-        index.default_factory = index.__len__
-        rows, at, often = [array("q") for _ in range(4)], array("i"), array("i")
-
-        def chunk() -> pa.RecordBatch:
-            kept = [np.frombuffer(a, np.int64) for a in rows]
-            entries = np.frombuffer(at, np.int32), np.frombuffer(often, np.int32)
-            row = [pa.array([number], pa.int64()), pa.array([list(index)], pa.list_(pa.string())), pa.array([_pack(*kept)], pa.binary()), pa.array([_pack(*entries)], pa.binary())]
-            return pa.RecordBatch.from_arrays(row, names=["chunk", "tokens", "documents", "entries"])
+    raw = [t.encode() for t in tokens]
+    sizes = _pack(np.array([len(t) for t in raw], np.uint32))
+    return len(sizes).to_bytes(4, "little") + sizes + zstandard.ZstdCompressor(level=1).compress(b"".join(raw))
+
+
+def _unpacked(packet: bytes) -> list[str]:
+    import zstandard
+
+    at = 4 + int.from_bytes(packet[:4], "little")
+    ends = np.cumsum(_unpack(packet[4:at], np.uint32)[0], dtype=np.int64)
+    raw = zstandard.ZstdDecompressor().decompress(packet[at:])
+    return [raw[a:b].decode() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
+
+class _Chunk:
+    """The distinct pre-tokens of some documents and how often each document holds them."""
+
+    def __init__(self, number: int):
+        self.number, self.size = number, 0
+        self.index: defaultdict = defaultdict()
+        self.index.default_factory = self.index.__len__
+        self.rows, self.at, self.often = [array("q") for _ in range(4)], array("i"), array("i")
 
+    def add(self, doc_id: int | None, n_bytes: int, found: Counter) -> None:
+        self.at.extend([self.index[t] for t in found])
+        self.often.extend(found.values())
+        for column, x in zip(self.rows, (doc_id or 0, doc_id is None, n_bytes, len(found)), strict=True):
+            column.append(x)
+        self.size += n_bytes
+
+    def written(self, shards: int) -> pa.RecordBatch:
+        """A row of (doc_id, no id, bytes, entries) of each document and (pre-token, frequency) of each entry, and one of
+        pre-tokens for each shard concerned. Pre-tokens are numbered by shard."""
+        tokens = list(self.index)
+        shard = np.array([zlib.crc32(t.encode()) % shards for t in tokens], np.int64)
+        order = np.argsort(shard, kind="stable")
+        number = np.empty(len(order), np.int32)
+        number[order] = np.arange(len(order))
+        entries = _pack(number[np.frombuffer(self.at, np.int32)] if len(order) else np.zeros(0, np.int32), np.frombuffer(self.often, np.int32))
+        rows = [(self.number, -1, None, _pack(*(np.frombuffer(a, np.int64) for a in self.rows)), entries)]
+        some, first = np.unique(shard[order], return_index=True)
+        for s, a, b in zip(some.tolist(), first.tolist(), [*first[1:].tolist(), len(order)], strict=True):
+            rows.append((self.number, s, _packet([tokens[i] for i in order[a:b].tolist()]), None, None))
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["chunk", "shard", "tokens", "documents", "entries"])
+
+
+def _chunked(path: str, chunk_bytes: int, shards: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pre, chunk = _opened(path), _Chunk(TaskContext.get().partitionId() << 32)
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                n, text = len(text.as_buffer()) if text.is_valid else 0, text.as_py() or ""
-                found = pre.frequencies(text)
-                at.extend([index[t] for t in found])
-                often.extend(found.values())
-                for a, x in zip(rows, (doc_id.as_py() or 0, not doc_id.is_valid, n, len(found)), strict=True):
-                    a.append(x)
-                size += n
-                if size >= chunk_bytes:
-                    yield chunk()
-                    number, size = number + 1, 0
-                    index.clear()
-                    rows, at, often = [array("q") for _ in range(4)], array("i"), array("i")
-        if len(rows[0]):
-            yield chunk()
+                n_bytes = len(text.as_buffer()) if text.is_valid else 0
+                chunk.add(doc_id.as_py(), n_bytes, pre.frequencies(text.as_py() or ""))
+                if chunk.size >= chunk_bytes:
+                    yield chunk.written(shards)
+                    chunk = _Chunk(chunk.number + 1)
+        if len(chunk.rows[0]):
+            yield chunk.written(shards)
         _text.release()
 
     return run
 
 
 def _pieces(path: str):
-    """(chunk, place, pieces) of rows sorted by pre-token: equal ones lie together, and the first of them is counted."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pre, last, known = _opened(path), None, 0
-        for batch in batches:
-            runs = batch.column(2).to_pylist()
-            new = [i for i, t in enumerate(runs) if t != (runs[i - 1] if i else last)]
-            counts = np.append(np.int32(known), pre.pieces([runs[i] for i in new]))
-            mark = np.zeros(len(runs), np.int64)
-            mark[new] = 1
-            n = counts[np.cumsum(mark)]
-            if len(runs):
-                last, known = runs[-1], int(n[-1])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int32())], names=["chunk", "place", "n"])
+    """A shard's rows (chunk, shard, pieces): each distinct pre-token is counted once, and every chunk gets its own."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        held = [_unpacked(x.as_py()) for x in table.column("tokens")]
+        index: dict = {}
+        for tokens in held:
+            for t in tokens:
+                index.setdefault(t, len(index))
+        n = _opened(path).pieces(list(index))
+        answers = [_pack(n[[index[t] for t in tokens]]) for tokens in held]
+        return pa.table([table.column("chunk").combine_chunks(), pa.array([key[0].as_py()] * len(held), pa.int32()), pa.array(answers, pa.binary())], names=["chunk", "shard", "pieces"])
 
     return run
 
@@ -183,24 +214,21 @@ COUNTED = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 def _summed(limit: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        parts = []
-        n = np.zeros(right.num_rows, np.int64)
-        n[right.column("place").to_numpy()] = right.column("n").to_numpy()
-        for documents, entries in zip(left.column("documents"), left.column("entries"), strict=True):
-            doc_id, no_id, n_bytes, kinds = _unpack(documents.as_py(), *[np.int64] * 4)
-            at, often = _unpack(entries.as_py(), np.int32, np.int32)
-            total = _text.per_doc(n[at] * often, np.append(0, np.cumsum(kinds)))
-            parts.append(pa.table([pa.array(doc_id, mask=no_id > 0), pa.array(n_bytes), pa.array(total), pa.array(total > limit)], names=["doc_id", "n_bytes", "n_tokens", "over_limit"]))
-        return pa.concat_tables(parts)
+        answers = sorted(zip(right.column("shard").to_pylist(), right.column("pieces").to_pylist(), strict=True))
+        n = np.concatenate([np.zeros(0, np.int32), *(_unpack(x, np.int32)[0] for _, x in answers)]).astype(np.int64)
+        doc_id, no_id, n_bytes, kinds = _unpack(left.column("documents")[0].as_py(), *[np.int64] * 4)
+        at, often = _unpack(left.column("entries")[0].as_py(), np.int32, np.int32)
+        total = _text.per_doc(n[at] * often, np.append(0, np.cumsum(kinds)))
+        return pa.table([pa.array(doc_id, mask=no_id > 0), pa.array(n_bytes), pa.array(total), pa.array(total > limit)], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     return run
 
 
-def token_counts(docs: DataFrame, tokenizer: str, limit: int = LIMIT, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def token_counts(docs: DataFrame, tokenizer: str, limit: int = LIMIT, chunk_bytes: int = CHUNK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_tokens and whether they are more than ``limit``, one row a document. ``tokenizer``: the path of a
     byte-level tokenizer file, the same on all machines."""
-    chunks = materialize(docs.select("doc_id", "text").mapInArrow(_chunked(tokenizer, chunk_bytes), CHUNKS), "frequencies")
-    tokens = chunks.select("chunk", F.posexplode("tokens").alias("place", "token"))
-    by_token = tokens.repartition(partitions(docs.sparkSession), "token").sortWithinPartitions("token")
-    counts = by_token.mapInArrow(_pieces(tokenizer), "chunk long, place int, n int")
-    return chunks.drop("tokens").groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(_summed(limit), COUNTED)
+    shards = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // shard_bytes + 1
+    chunks = materialize(docs.select("doc_id", "text").mapInArrow(_chunked(tokenizer, chunk_bytes, shards), CHUNKS), "frequencies")
+    counts = chunks.where("shard >= 0").select("chunk", "shard", "tokens").groupBy("shard").applyInArrow(_pieces(tokenizer), "chunk long, shard int, pieces binary")
+    own = chunks.where("shard < 0").select("chunk", "documents", "entries")
+    return own.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(_summed(limit), COUNTED)

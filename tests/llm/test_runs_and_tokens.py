@@ -135,9 +135,9 @@ def library():
     return lambda text: len(t.encode(text or "", add_special_tokens=False).ids)
 
 
-@pytest.mark.parametrize("chunk_bytes", [1, 4000, 1 << 25])
-def test_token_counts(frame, rows, library, chunk_bytes):
-    got = token_counts.token_counts(frame, BYTE_LEVEL, limit=100, chunk_bytes=chunk_bytes).collect()
+@pytest.mark.parametrize(("chunk_bytes", "shard_bytes"), [(1, 1000), (4000, 300), (1 << 25, 1 << 25)])
+def test_token_counts(frame, rows, library, chunk_bytes, shard_bytes):
+    got = token_counts.token_counts(frame, BYTE_LEVEL, limit=100, chunk_bytes=chunk_bytes, shard_bytes=shard_bytes).collect()
     want = [(i, len((t or "").encode()), library(t), library(t) > 100) for i, t in rows]
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
 
@@ -177,6 +177,7 @@ def test_each_distinct_pre_token_is_counted_once(monkeypatch):
             return np.array([len(t) for t in tokens], np.int32)
 
     monkeypatch.setitem(token_counts._OPEN, "fake", Fake())
-    batch = lambda words: pa.RecordBatch.from_arrays([pa.array(range(len(words)), pa.int64()), pa.array(range(len(words)), pa.int32()), pa.array(words)], names=["chunk", "place", "token"])
-    out = list(token_counts._pieces("fake")(iter([batch(["a", "a", "bb"]), batch([]), batch(["bb", "bb", "ccc"])])))
-    assert [x for b in out for x in b.column(2).to_pylist()] == [1, 1, 2, 2, 2, 3] and asked == ["a", "bb", "ccc"]
+    packets = [["a", "bb"], ["bb", "", "ccc"], ["a"]]
+    table = pa.table({"chunk": pa.array([5, 6, 7]), "shard": pa.array([2] * 3), "tokens": [token_counts._packet(p) for p in packets]})
+    out = token_counts._pieces("fake")((pa.scalar(2),), table)
+    assert [token_counts._unpack(x, np.int32)[0].tolist() for x in out.column("pieces").to_pylist()] == [[1, 2], [2, 0, 3], [1]] and asked == ["a", "bb", "", "ccc"]
