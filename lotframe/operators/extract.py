@@ -1,4 +1,9 @@
-"""Listing fields from a page's raw texts, as native expressions built from an ordered rule configuration.
+"""Listing fields from a page's raw texts, as native expressions built from a site profile.
+
+A profile is one JSON file (``read_profile``): the selectors of the site, the rules of each field, those of colours, and
+the site's constants. ``extract_pages`` compiles it: the columns asked for decide which raw texts are needed, these
+decide which selectors the page reader matches, and the rules become Columns. Rules may name a selector of their own and
+an attribute, so that a profile can describe fields that the listing record does not have.
 
 A raw record has title, details (texts of the details list), and what ``lotframe.sources.pages`` reads from a page. Rules
 are tried in order and the first success counts. Comment rules are built but off by default (``enable_comment_rules``),
@@ -8,7 +13,7 @@ as the observed behaviour never reaches them; ``k_aware`` mileage reads ``17k Mi
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +21,7 @@ from pyspark.sql import functions as F
 
 from lotframe.functions.text import TRANSFORMS, first_match, first_of, not_empty, py_strip, rx, rx_first, short_date, to_int, unify_dashes, words_of
 from lotframe.schema import LISTING_SCHEMA
+from lotframe.sources.pages import NEEDS, PLAIN, SELECTORS, read_pages
 
 # Patterns, words and names that results depend on.
 VIN_TEXT = r"([A-HJ-NPR-Z0-9]{17})"
@@ -36,27 +42,57 @@ BASE_URL = "https://bringatrailer.com"
 SOURCE_NAME = "bringatrailer"
 
 
+#: Kinds of rules: the raw texts that a rule reads.
+KINDS = {"detail": "details", "title": "title", "links": "links", "comments": "comments", "author_comments": "author_comments", "selector": "picks"}
+#: Kinds that count only where comment rules are enabled.
+COMMENTS = ("comments", "author_comments")
+
+
 @dataclass(frozen=True)
 class FieldRule:
-    """One way to find a field. kind: detail, title, links or comments (which raw column is read); hint: see ``first_match``."""
+    """One way to find a field. kind: detail, title, links, comments or author_comments (which raw texts are read), or
+    selector, with the selector and the attribute (or ``text``) of its own; hint: see ``first_match``."""
 
     kind: str
-    patterns: tuple[str, ...]
+    patterns: tuple[str, ...] = ("(?s)(.+)",)
     group: int = 1
     transform: str = "identity"
     dashes: bool = False
     hint: str = ""
+    selector: str = ""
+    attribute: str = "text"
+
+    def __post_init__(self):
+        if self.kind not in KINDS or self.transform not in TRANSFORMS or (self.kind == "selector") != bool(self.selector):
+            raise ValueError(f"not a rule: {self}")
+
+    @property
+    def pick(self) -> str:
+        return f"{self.selector} @{self.attribute}"
+
+
+@dataclass(frozen=True)
+class ColorRules:
+    """How colours are found: the exterior in the first detail that holds ``marker`` and fits a pattern; the interior in the
+    next one (``next_is_interior``) or in the first short detail with a keyword and no word of another part."""
+
+    marker: str = "paint"
+    patterns: tuple[str, ...] = EXTERIOR
+    next_is_interior: bool = True
+    keywords: tuple[str, ...] = INTERIOR_WORDS
+    skip_keywords: tuple[str, ...] = NOT_INTERIOR_WORDS
+    most_words: int = 8
 
 
 @dataclass(frozen=True)
 class SiteProfile:
-    """Rules by field and the constants of a site; another site is another profile."""
+    """Selectors, rules by field, colour rules and the constants of a site; another site is another profile."""
 
     source_name: str = SOURCE_NAME
     base_url: str = BASE_URL
     rules: dict[str, tuple[FieldRule, ...]] = field(
         default_factory=lambda: {
-            "vin": (FieldRule("links", (VIN_TEXT,)), FieldRule("comments", VIN_COMMENTS)),
+            "vin": (FieldRule("links", (VIN_TEXT,)), FieldRule("author_comments", VIN_COMMENTS)),
             "engine": (FieldRule("detail", ENGINE, 0, dashes=True),),
             "transmission": (FieldRule("detail", TRANSMISSION, 0, dashes=True, hint="-speed"),),
             "mileage": (
@@ -66,24 +102,30 @@ class SiteProfile:
             ),
         }
     )
+    selectors: dict[str, str] = field(default_factory=dict)
+    colors: ColorRules = ColorRules()
+
+
+def profile_of(text: str) -> SiteProfile:
+    """A profile from the text of a JSON file; see ``read_profile``."""
+    given, default = json.loads(text), SiteProfile()
+    unknown = set(given) - {"source_name", "base_url", "rules", "selectors", "colors"} | set(given.get("selectors", {})) - set(SELECTORS) - set(PLAIN)
+    if unknown:
+        raise ValueError(f"not part of a profile: {', '.join(sorted(unknown))}")
+    listed = lambda r: {k: tuple(v) if isinstance(v, list) else v for k, v in r.items()}
+    rules = {f: tuple(FieldRule(**listed(r)) for r in some) for f, some in given.get("rules", {}).items()}
+    return SiteProfile(
+        given.get("source_name", default.source_name), given.get("base_url", default.base_url), {**default.rules, **rules}, given.get("selectors", {}), ColorRules(**listed(given.get("colors", {})))
+    )
 
 
 def read_profile(spark: SparkSession, path: str) -> SiteProfile:
-    """A profile from a JSON file: source_name, base_url, and rules by field, each with the attributes of ``FieldRule``.
-    What the file leaves out is that of the default profile."""
-    given = json.loads(spark.read.text(path, wholetext=True).first()[0])
-    rules = {f: tuple(FieldRule(**{**r, "patterns": tuple(r["patterns"])}) for r in some) for f, some in given.get("rules", {}).items()}
-    default = SiteProfile()
-    return SiteProfile(given.get("source_name", default.source_name), given.get("base_url", default.base_url), {**default.rules, **rules})
-
-
-#: Kinds of rules: how to get the array of texts that a rule reads from the raw columns.
-KINDS: dict[str, Callable[[dict[str, Column]], Column]] = {
-    "detail": lambda raw: raw["details"],
-    "title": lambda raw: F.array(raw["title"]),
-    "links": lambda raw: raw["links"],
-    "comments": lambda raw: raw["comments"],
-}
+    """A profile from a JSON file: source_name, base_url, selectors by name, rules by field, each with the attributes of
+    ``FieldRule``, and colors with those of ``ColorRules``. What the file leaves out is that of the default profile; names that
+    a profile does not have are refused."""
+    return profile_of(spark.read.text(path, wholetext=True).first()[0])
+
+
 
 
 def cascade(raw: dict[str, Column], rules: Sequence[FieldRule], check: str | None = None, enable_comment_rules: bool = False) -> Column:
@@ -91,9 +133,13 @@ def cascade(raw: dict[str, Column], rules: Sequence[FieldRule], check: str | Non
     rule."""
     found = []
     for rule in rules:
-        if rule.kind == "comments" and not enable_comment_rules:
+        if rule.kind in COMMENTS and not enable_comment_rules:
             continue
-        texts = KINDS[rule.kind](raw)
+        texts = raw[KINDS[rule.kind]]
+        if rule.kind == "title":
+            texts = F.array(texts)
+        elif rule.kind == "selector":
+            texts = F.try_element_at(texts, F.lit(rule.pick))
         value = first_match(texts, rule.patterns, rule.group, unify_dashes if rule.dashes else (lambda c: c), rule.hint)
         value = TRANSFORMS[rule.transform](value)
         found.append(rx_first(value, check, 0, ignore_case=False) if check else value)
@@ -116,27 +162,31 @@ def mileage(details: Column, title: Column, comments: Column | None = None, k_aw
     rules = list(rules or SiteProfile().rules["mileage"])
     if k_aware:
         rules[0] = FieldRule("detail", MILEAGE_DETAIL_K, transform="handle_k_miles")
-    raw = {"details": details, "title": title, "comments": comments}
+    raw = {"details": details, "title": title, "comments": comments, "author_comments": comments}
     return cascade(raw, rules, enable_comment_rules=comments is not None).cast("int")
 
 
 def vin(links: Column, comments: Column | None = None, rules: Sequence[FieldRule] | None = None) -> Column:
     """The first match of each rule has to be a VIN as it stands, in capitals; if not, the next rule is tried."""
-    raw = {"links": links, "comments": comments}
+    raw = {"links": links, "comments": comments, "author_comments": comments}
     return cascade(raw, rules or SiteProfile().rules["vin"], VIN_WHOLE, enable_comment_rules=comments is not None)
 
 
-def colors(details: Column) -> tuple[Column, Column]:
+def colors(details: Column, rules: ColorRules | None = None) -> tuple[Column, Column]:
     """(exterior, interior). The interior is the detail after the exterior, whatever it says; failing that, the first
     short detail with an interior word and no word of another part."""
-    at = F.array_min(F.transform(details, lambda d, i: F.when(F.contains(F.lower(d), F.lit("paint")) & d.rlike(rx(EXTERIOR[0])), i)))
-    after = not_empty(py_strip(F.get(details, at + 1)))
+    rules = rules or ColorRules()
+    fits = lambda d: F.contains(F.lower(d), F.lit(rules.marker)) & F.greatest(*(d.rlike(rx(p)) for p in rules.patterns), F.lit(False))
+    at = F.array_min(F.transform(details, lambda d, i: F.when(fits(d), i)))
 
     def is_interior(d: Column) -> Column:
         low = F.lower(d)
-        return low.rlike("|".join(INTERIOR_WORDS)) & ~low.rlike("|".join(NOT_INTERIOR_WORDS)) & F.size(words_of(d)).between(1, 8)
+        other = low.rlike("|".join(rules.skip_keywords)) if rules.skip_keywords else F.lit(False)
+        return low.rlike("|".join(rules.keywords)) & ~other & F.size(words_of(d)).between(1, rules.most_words)
 
-    return py_strip(rx_first(F.get(details, at), EXTERIOR[0])), F.coalesce(after, py_strip(F.get(F.filter(details, is_interior), F.lit(0))))
+    named = py_strip(F.get(F.filter(details, is_interior), F.lit(0))) if rules.keywords else F.lit(None).cast("string")
+    after = not_empty(py_strip(F.get(details, at + 1))) if rules.next_is_interior else F.lit(None).cast("string")
+    return py_strip(F.coalesce(*(rx_first(F.get(details, at), p) for p in rules.patterns))), F.coalesce(after, named)
 
 
 def variant(title: Column, make: Column, model_short: Column) -> Column:
@@ -208,44 +258,102 @@ def card_links(pages: DataFrame, base_url: str = BASE_URL) -> DataFrame:
     return pages.select("slug", F.posexplode("cards").alias("_pos", "href")).where("href is not null and href <> ''").select("slug", "_pos", link.alias("url"))
 
 
-def extract_listings(raw: DataFrame, profile: SiteProfile | None = None, price: Column | None = None, enable_comment_rules: bool = False, k_aware: bool = False) -> DataFrame:
-    """Listing records from raw page structs joined with their targets (make, model_full, model_short, and whatever
-    else; those other columns are kept). ``_error`` is set for pages that could not be read."""
+#: The raw texts that a column of the listing record reads; those of rules come from the rules.
+INPUTS = {
+    "title": ("title",),
+    "lot_number": ("essentials",),
+    "seller": ("essentials",),
+    "seller_type": ("essentials",),
+    "high_bidder": ("bids",),
+    "number_of_bids": ("stats",),
+    "year": ("title",),
+    "variant": ("title",),
+    "convertible": ("group_titles",),
+    "exterior_color": ("details",),
+    "interior_color": ("details",),
+    "location": ("essentials",),
+    "country": ("country",),
+    "listing_details": ("details",),
+    "excerpt": ("excerpt",),
+}
+RECORD = tuple(f.name for f in LISTING_SCHEMA if f.name != "url")
+
+
+def _rules(column: str, profile: SiteProfile, enable_comment_rules: bool) -> list[FieldRule]:
+    return [r for r in profile.rules.get(column, ()) if enable_comment_rules or r.kind not in COMMENTS]
+
+
+def inputs_of(columns: Iterable[str], profile: SiteProfile | None = None, enable_comment_rules: bool = False) -> tuple[list[str], list[tuple[str, str]]]:
+    """(raw texts, picks) that columns of a profile need: what the page reader has to look for."""
     profile = profile or SiteProfile()
-    price = price if price is not None else F.lit(None).cast("bigint")
+    rules = [r for c in columns for r in _rules(c, profile, enable_comment_rules)]
+    raw = [n for c in columns if c not in profile.rules for n in INPUTS.get(c, ())] + [KINDS[r.kind] for r in rules if r.kind != "selector"]
+    return [n for n in dict.fromkeys(raw) if n in NEEDS], list(dict.fromkeys((r.selector, r.attribute) for r in rules if r.kind == "selector"))
+
+
+def listing_columns(profile: SiteProfile, price: Column, targets: Iterable[str], enable_comment_rules: bool = False, k_aware: bool = False) -> dict[str, Callable[[], Column]]:
+    """Every column that a profile describes, by name, as a function that builds it: those not asked for are never built.
+    targets: columns that come with the page; make and model count as null where they do not."""
     r = F.col("raw")
-    comments = r["comments"] if enable_comment_rules else None
-    author = r["author_comments"] if enable_comment_rules else None
-    outside, inside = colors(r["details"])
-    fields = {
-        "source": F.lit(profile.source_name),
-        "title": F.coalesce(r["title"], F.lit("")),
-        "lot_number": lot_number(r["essentials"]),
-        "seller": seller(r["essentials"]),
-        "seller_type": seller_type(r["essentials"]),
-        "result": result(price),
-        "high_bidder": high_bidder(r["bids"], price),
-        "price": price.cast("bigint"),
-        "sale_date": F.lit(None).cast("string"),
-        "number_of_bids": number_of_bids(r["stats"]),
-        "vin": vin(r["links"], author, profile.rules["vin"]),
-        "year": year(r["title"]),
-        "make": F.col("make"),
-        "model": F.col("model_full"),
-        "variant": variant(F.coalesce(r["title"], F.lit("")), F.col("make"), F.col("model_short")),
-        "convertible": convertible(r["group_titles"]),
-        "engine": engine(r["details"], profile.rules["engine"]),
-        "transmission": transmission(r["details"], profile.rules["transmission"]),
-        "exterior_color": outside,
-        "interior_color": inside,
-        "mileage": mileage(r["details"], r["title"], comments, k_aware, profile.rules["mileage"]),
-        "location": location(r["essentials"]),
-        "country": r["country"],
-        "listing_details": F.coalesce(r["details"], F.array().cast("array<string>")),
-        "excerpt": F.coalesce(r["excerpt"], F.array().cast("array<string>")),
+    given = lambda name: F.col(name) if name in targets else F.lit(None).cast("string")
+    raw = {n: r[n] for n in dict.fromkeys(KINDS.values())}
+    built = {
+        "source": lambda: F.lit(profile.source_name),
+        "title": lambda: F.coalesce(r["title"], F.lit("")),
+        "lot_number": lambda: lot_number(r["essentials"]),
+        "seller": lambda: seller(r["essentials"]),
+        "seller_type": lambda: seller_type(r["essentials"]),
+        "result": lambda: result(price),
+        "high_bidder": lambda: high_bidder(r["bids"], price),
+        "price": lambda: price.cast("bigint"),
+        "sale_date": lambda: F.lit(None).cast("string"),
+        "number_of_bids": lambda: number_of_bids(r["stats"]),
+        "year": lambda: year(r["title"]),
+        "make": lambda: given("make"),
+        "model": lambda: given("model_full"),
+        "variant": lambda: variant(F.coalesce(r["title"], F.lit("")), given("make"), given("model_short")),
+        "convertible": lambda: convertible(r["group_titles"]),
+        "exterior_color": lambda: colors(r["details"], profile.colors)[0],
+        "interior_color": lambda: colors(r["details"], profile.colors)[1],
+        "location": lambda: location(r["essentials"]),
+        "country": lambda: r["country"],
+        "listing_details": lambda: F.coalesce(r["details"], F.array().cast("array<string>")),
+        "excerpt": lambda: F.coalesce(r["excerpt"], F.array().cast("array<string>")),
     }
-    others = [c for c in raw.columns if c not in fields and c not in ("raw", "url")]
-    return raw.select("url", *(fields[f.name].alias(f.name) for f in LISTING_SCHEMA if f.name != "url"), *others)
+
+    def ruled(name: str) -> Column:
+        rules = list(profile.rules[name])
+        if name == "mileage" and k_aware:
+            rules[0] = FieldRule("detail", MILEAGE_DETAIL_K, transform="handle_k_miles")
+        value = cascade(raw, rules, VIN_WHOLE if name == "vin" else None, enable_comment_rules)
+        if name in RECORD:  # a field of the record has the record's type
+            return py_strip(value) if name in ("engine", "transmission") else value.try_cast(LISTING_SCHEMA[name].dataType)
+        return value
+
+    return built | {name: (lambda name=name: ruled(name)) for name in profile.rules}
+
+
+def extract_listings(raw: DataFrame, profile: SiteProfile | None = None, price: Column | None = None, enable_comment_rules: bool = False, k_aware: bool = False, columns: Sequence[str] | None = None) -> DataFrame:
+    """Listing records from raw page structs joined with their targets (make, model_full, model_short, and whatever
+    else; those other columns are kept). ``columns``: those wanted, of the record or of the profile's rules; the whole record
+    if not given. ``_error`` is set for pages that could not be read."""
+    profile = profile or SiteProfile()
+    price = price if price is not None else F.lit(None).cast("bigint")
+    built = listing_columns(profile, price, raw.columns, enable_comment_rules, k_aware)
+    columns = RECORD if columns is None else tuple(columns)
+    others = [c for c in raw.columns if c not in columns and c not in ("raw", "url")]
+    if columns == RECORD:
+        others = [c for c in others if c not in built]
+    url = ["url"] if "url" in raw.columns else []
+    return raw.select(*url, *(built[c]().alias(c) for c in columns), *(F.col(f"`{c}`") for c in others))
+
+
+def extract_pages(pages: DataFrame, profile: SiteProfile | None = None, columns: Sequence[str] | None = None, price: Column | None = None, enable_comment_rules: bool = False, k_aware: bool = False) -> DataFrame:
+    """Records straight from pages (html, and whatever else) by a profile alone: only selectors that the wanted columns need
+    are matched, and only their rules are evaluated."""
+    profile = profile or SiteProfile()
+    wanted, picks = inputs_of(RECORD if columns is None else columns, profile, enable_comment_rules)
+    return extract_listings(read_pages(pages, wanted, profile.selectors, picks=picks), profile, price, enable_comment_rules, k_aware, columns)
 
 
 def quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -212,6 +214,43 @@ FROM t
 """
 
 
+#: The columns that the profile file beside this module describes and the query below asks for.
+PROFILED = ["headline", "language", "host", "first_link", "advert", "exterior_color", "interior_color"]
+
+
+def pages_by_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of every page by a profile file alone: selectors, rules and colour rules (of the page's list items)."""
+    profile = extract.profile_of((Path(__file__).parent / "page_profile.json").read_text())
+    pages = read(spark, sf_dir, "pages").select("page_id", "html")
+    return extract.extract_pages(pages, profile, PROFILED).drop("_error")
+
+
+def _decoded(text: str) -> str:
+    for name, sign in (("quot", '"'), ("lt", "<"), ("gt", ">"), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+        text = f"replace({text}, '&{name};', '{sign}')"
+    return f"trim({text})"
+
+
+_ITEM = _decoded("x")
+_HEADLINE = _decoded("regexp_extract(html, '<article><h1>(.*?)</h1>', 1)")
+_LINK = _decoded("""regexp_extract(html, '<li><a href="([^"]*)"', 1)""")
+_AD = _decoded("ad")
+PROFILE_SQL = rf"""
+WITH t AS (
+    SELECT page_id, html, regexp_extract(html, '(?s)<div class="ad">(.*?)</div>', 1) AS ad, regexp_extract(html, '(?s)<footer>(.*?)</footer>', 1) AS footer,
+        list_transform(regexp_extract_all(html, '<li><a [^>]*>(.*?)</a></li>', 1), lambda x: {_ITEM}) AS items FROM pages
+), c AS (
+    SELECT *, list_position(list_transform(items, lambda d: contains(lower(d), 'a') AND regexp_matches(d, '(?i)a')), true) AS place,
+        list_filter(items, lambda d: contains(lower(d), 'e') AND NOT contains(lower(d), 't') AND len(regexp_extract_all(d, '\S+')) = 1)[1] AS named FROM t
+)
+SELECT page_id, nullif({_HEADLINE}, '') AS headline, nullif(regexp_extract(html, '<html lang="([^"]*)"', 1), '') AS language,
+    nullif(regexp_extract(footer, '([\w-]+\.example\.com)', 1), '') AS host, nullif({_LINK}, '') AS first_link,
+    coalesce(nullif({_AD}, ''), CASE WHEN contains(footer, '&copy;') THEN '©' END) AS advert,
+    nullif(regexp_extract(items[place], '(?i)(a.*)', 1), '') AS exterior_color, coalesce(nullif(items[place + 1], ''), named) AS interior_color
+FROM c
+"""
+
+
 def card_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Absolute links of each page's cards (its list items), the first four of a page."""
     raw = read_pages(read(spark, sf_dir, "pages").select(F.col("page_id").alias("slug"), "html"), ("cards",), {"cards": "li"})
@@ -266,6 +305,7 @@ QUERIES = {
     "extract_high_bidders": (high_bidders, BIDDERS_SQL),
     "extract_essentials": (essentials, ESSENTIALS_SQL),
     "extract_page_texts": (page_texts, PAGES_SQL),
+    "extract_pages_by_profile": (pages_by_profile, PROFILE_SQL),
     "extract_card_links": (card_links, CARDS_SQL),
     "filter_skip_counts": (skip_counts, SKIP_SQL),
     "filter_kept_sold": (kept_sold, SOLD_SQL),

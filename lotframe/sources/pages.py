@@ -1,23 +1,23 @@
-"""Page html in a table -> one struct of raw texts per page, in one pass of ``mapInPandas``-like Arrow batches.
+"""Page html in a table -> one struct of raw texts per page, in one pass over Arrow batches.
 
-A small element tree stands in for a DOM. Selectors: ``tag``, ``.class``, ``#id``, ``[attr*="text"]``, combinations of
-them, descendants separated by blanks, and comma lists. The text of an element is that of its text nodes, each stripped,
-empty ones dropped, joined without a separator; scripts, styles and comments have none.
+Each page is read once by the forward scanner of ``markup``, which matches the selectors of the wanted texts and no others.
+What is wanted follows from the columns asked for (``operators.extract.extract_pages``).
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Iterator
-from html.parser import HTMLParser
+from collections.abc import Iterable, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset(("script", "style", "template"))
+from lotframe.sources.markup import Page, Selectors
+
+#: A page gives so many characters of text at most, counted as often as they are given; beyond that it is an error, as
+#: broken markup can nest a text in itself many times.
+MOST = 64 << 20
 
 # The selectors of a detail page and of a category page.
 SELECTORS = {
@@ -39,180 +39,91 @@ SELECTORS = {
     "results": ".item-results",
     "cards": ".listing-card",
 }
-
-
-class Element:
-    __slots__ = ("tag", "attributes", "children", "parent")
-
-    def __init__(self, tag: str, attributes: dict[str, str], parent: Element | None):
-        self.tag, self.attributes, self.children, self.parent = tag, attributes, [], parent
-
-    def elements(self) -> Iterator[Element]:
-        """All elements below, in page order."""
-        stack = list(reversed(self.children))
-        while stack:
-            x = stack.pop()
-            if isinstance(x, Element):
-                yield x
-                stack.extend(reversed(x.children))
-
-    def text(self) -> str:
-        out, stack = [], [self]
-        while stack:
-            x = stack.pop()
-            if isinstance(x, str):
-                out.append(x.strip())
-            elif x is self or x.tag not in SILENT:
-                stack.extend(reversed(x.children))
-        return "".join(out)
-
-
-class _Builder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = self.open = Element("", {}, None)
-
-    def handle_starttag(self, tag, attrs):
-        x = Element(tag, {k: v or "" for k, v in attrs}, self.open)
-        self.open.children.append(x)
-        if tag not in VOID:
-            self.open = x
-
-    def handle_startendtag(self, tag, attrs):
-        self.open.children.append(Element(tag, {k: v or "" for k, v in attrs}, self.open))
-
-    def handle_endtag(self, tag):
-        x = self.open
-        while x.parent is not None and x.tag != tag:
-            x = x.parent
-        if x.parent is not None:
-            self.open = x.parent
-
-    def handle_data(self, data):
-        self.open.children.append(data)
-
-
-def parse(html: str) -> Element:
-    b = _Builder()
-    b.feed(html)
-    b.close()
-    return b.root
-
-
-_PART = re.compile(r"([\w-]+)|\.([\w-]+)|#([\w-]+)|\[([\w-]+)(?:\*=\"([^\"]*)\")?\]")
-
-
-def compile_selector(selector: str) -> list[list[list[tuple[str, str, str]]]]:
-    """Alternatives of chains of compounds of (kind, name, value)."""
-    out = []
-    for alternative in selector.split(","):
-        chain = []
-        for compound in alternative.split():
-            parts, at = [], 0
-            while at < len(compound):
-                m = _PART.match(compound, at)
-                if not m:
-                    raise ValueError(f"selector not supported: {selector}")
-                kind = ("tag", "class", "id", "attribute")[next(i for i in range(4) if m[i + 1] is not None)]
-                parts.append((kind, m[m.lastindex if kind != "attribute" else 4], m[5] or ""))
-                at = m.end()
-            chain.append(parts)
-        out.append(chain)
-    return out
-
-
-def _fits(x: Element, compound: list[tuple[str, str, str]]) -> bool:
-    for kind, name, value in compound:
-        if kind == "tag" and x.tag != name.lower() or kind == "id" and x.attributes.get("id") != name:
-            return False
-        if kind == "class" and name not in x.attributes.get("class", "").split():
-            return False
-        if kind == "attribute" and (name not in x.attributes or value not in x.attributes[name]):
-            return False
-    return True
-
-
-def select(top: Element, compiled) -> Iterator[Element]:
-    """Elements below ``top`` that a selector fits, in page order. Ancestors above ``top`` count, as in CSS."""
-    for x in top.elements():
-        for chain in compiled:
-            if not _fits(x, chain[-1]):
-                continue
-            left, up = len(chain) - 2, x.parent
-            while left >= 0 and up is not None:
-                if _fits(up, chain[left]):
-                    left -= 1
-                up = up.parent
-            if left < 0:
-                yield x
-                break
+PLAIN = ("strong", "ul", "li", "p", "a")
 
 
 PAIR = "struct<label: string, value: string>"
 RAW_KIND = (
     "struct<title: string, country: string, group_titles: array<string>, essentials: array<struct<label: string, parent_text: string, map_link: string, member_link: string>>, "
     f"links: array<string>, details: array<string>, stats: array<{PAIR}>, bids: array<struct<bidder: string, text: string>>, excerpt: array<string>, comments: array<string>, "
-    "author_comments: array<string>, results: string, cards: array<string>>"
+    "author_comments: array<string>, results: string, cards: array<string>, picks: map<string, array<string>>>"
 )
 FIELDS = ("title", "country", "group_titles", "essentials", "links", "details", "stats", "bids", "excerpt", "comments", "author_comments", "results", "cards")
 
 
-def read_page(html: str, wanted: Iterable[str], css: dict) -> dict:
-    """The raw texts of a page; only the wanted ones are looked for."""
-    page = parse(html)
+#: The selectors that a wanted text needs.
+NEEDS = {name: (name,) for name in FIELDS} | {
+    "essentials": ("essentials", "strong", "map_link", "member_link"),
+    "details": ("essentials", "ul", "li"),
+    "stats": ("stats", "stat_row", "stat_label", "stat_value"),
+    "excerpt": ("excerpt", "p"),
+    "cards": ("cards", "a"),
+}
+
+
+def compiled(wanted: Iterable[str], selectors: Mapping[str, str] | None = None, picks: Iterable[tuple[str, str]] = ()) -> Selectors:
+    """The selectors that the wanted texts and picks need; others are not even looked at."""
+    css = {**SELECTORS, **(selectors or {}), **{n: n for n in PLAIN}}
+    names = dict.fromkeys(n for w in wanted for n in NEEDS[w])
+    return Selectors({n: css[n] for n in names} | {f"pick {selector}": selector for selector, _ in picks})
 
-    def all_of(name: str, top: Element = page) -> Iterator[Element]:
-        return select(top, css[name])
 
-    def first(name: str, top: Element = page) -> Element | None:
-        return next(all_of(name, top), None)
+def read_page(html: str, wanted: Iterable[str], css: Selectors, picks: Iterable[tuple[str, str]] = (), most: int = MOST) -> dict:
+    """The raw texts of a page; only the wanted ones are looked for. picks: (selector, attribute or ``text``), of which every
+    fitting element gives its value."""
+    page = Page(html, css)
+    given = 0
 
-    def text(x: Element | None) -> str | None:
-        return None if x is None else x.text()
+    def text(x: int | None) -> str | None:
+        nonlocal given
+        if x is None:
+            return None
+        given += page.end[x] - page.begin[x]
+        if given > most:
+            raise ValueError(f"elements hold more than {most} characters of text")
+        return page.text_of(x)
 
-    def texts(found: Iterable[Element]) -> list[str]:
-        return [t for t in (x.text() for x in found) if t]
+    def texts(found: Iterable[int]) -> list[str]:
+        return [t for t in map(text, found) if t]
 
     out: dict = {}
     for name in wanted:
+        box = page.first("essentials" if name == "details" else name)
         if name in ("title", "country", "results"):
-            out[name] = text(first(name))
+            out[name] = text(box)
         elif name in ("group_titles", "links", "author_comments"):
-            out[name] = [x.text() for x in all_of(name)]
+            out[name] = [text(x) for x in page.all_of(name)]
         elif name == "comments":
-            box = first(name)
-            out[name] = [] if box is None else [box.text()]
+            out[name] = [] if box is None else [text(box)]
         elif name == "essentials":
-            box = first(name)
-            strong = [] if box is None else select(box, css["strong"])
-            out[name] = [{"label": x.text(), "parent_text": x.parent.text(), "map_link": text(first("map_link", x.parent)), "member_link": text(first("member_link", x.parent))} for x in strong]
+            strong = [] if box is None else [(x, page.parent[x]) for x in page.all_of("strong", box)]
+            out[name] = [{"label": text(x), "parent_text": text(up), "map_link": text(page.first("map_link", up)), "member_link": text(page.first("member_link", up))} for x, up in strong]
         elif name == "details":
-            box = first("essentials")
-            items = None if box is None else next(select(box, css["ul"]), None)
-            out[name] = [] if items is None else texts(select(items, css["li"]))
+            items = None if box is None else page.first("ul", box)
+            out[name] = [] if items is None else texts(page.all_of("li", items))
         elif name == "excerpt":
-            box = first(name)
-            out[name] = [] if box is None else texts(select(box, css["p"]))
+            out[name] = [] if box is None else texts(page.all_of("p", box))
         elif name == "stats":
-            box = first(name)
-            rows = [] if box is None else all_of("stat_row", box)
-            out[name] = [{"label": text(first("stat_label", r)), "value": text(first("stat_value", r))} for r in rows]
+            rows = [] if box is None else page.all_of("stat_row", box)
+            out[name] = [{"label": text(page.first("stat_label", r)), "value": text(page.first("stat_value", r))} for r in rows]
         elif name == "bids":
-            out[name] = [{"bidder": x.text(), "text": (x.parent.parent or x.parent).text()} for x in all_of(name)]
+            out[name] = [{"bidder": text(x), "text": text(max(0, page.parent[page.parent[x]]))} for x in page.all_of(name)]
         elif name == "cards":
-            found = []
-            for card in all_of(name):
-                link = card if card.tag == "a" else next(select(card, css["a"]), None)
-                found.append(None if link is None else link.attributes.get("href"))
-            out[name] = found
+            links = [c if page.tag[c] == "a" else page.first("a", c) for c in page.all_of(name)]
+            out[name] = [None if x is None else page.attributes[x].get("href") for x in links]
+    if picks:
+        out["picks"] = [
+            (f"{selector} @{attribute}", [text(x) if attribute == "text" else page.attributes[x].get(attribute) for x in page.all_of(f"pick {selector}")])
+            for selector, attribute in picks
+        ]
     return out
 
 
-def read_pages(pages: DataFrame, wanted: Iterable[str] = FIELDS, selectors: dict[str, str] | None = None, html: str = "html") -> DataFrame:
+def read_pages(pages: DataFrame, wanted: Iterable[str] = FIELDS, selectors: Mapping[str, str] | None = None, html: str = "html", picks: Iterable[tuple[str, str]] = ()) -> DataFrame:
     """``pages`` with ``html`` replaced by ``raw`` (texts; what is not wanted is null) and ``_error`` (null, or why a page
     could not be read). A null html is an empty page. Pass only the fields needed: the others are then not looked for."""
-    wanted = tuple(wanted)
-    css = {k: compile_selector(v) for k, v in {**SELECTORS, **(selectors or {}), "strong": "strong", "ul": "ul", "li": "li", "p": "p", "a": "a"}.items()}
+    wanted, picks = tuple(wanted), tuple(dict.fromkeys(picks))
+    css = compiled(wanted, selectors, picks)
     others = [c for c in pages.columns if c != html]
     kind = pages.sparkSession.createDataFrame([], f"raw {RAW_KIND}").schema["raw"]
     schema = T.StructType([*(pages.schema[c] for c in others), kind, T.StructField("_error", T.StringType())])
@@ -225,7 +136,7 @@ def read_pages(pages: DataFrame, wanted: Iterable[str] = FIELDS, selectors: dict
             rows, errors = [], []
             for x in batch.column(0):
                 try:
-                    rows.append(read_page(x.as_py() or "", wanted, css))
+                    rows.append(read_page(x.as_py() or "", wanted, css, picks))
                     errors.append(None)
                 except Exception as e:  # one page never costs another
                     rows.append({})

@@ -6,16 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
 from lotframe.operators import curate
-from lotframe.operators.extract import SiteProfile, extract_listings, quarantine
-from lotframe.sources.pages import read_pages
+from lotframe.operators.extract import SiteProfile, extract_pages, quarantine
 
 
 def extract_batch(pages: DataFrame, targets: DataFrame, profile: SiteProfile | None = None) -> tuple[DataFrame, DataFrame]:
     """(kept listings, quarantined rows) of a table of pages (url, html, slug, ...)."""
-    raw = read_pages(curate.attach_targets(pages, targets))
-    sound, unread = quarantine(raw)
-    judged = curate.skip_reason(extract_listings(sound, profile))
-    good, bad = quarantine(judged)
+    read, unread = quarantine(extract_pages(curate.attach_targets(pages, targets), profile))
+    good, bad = quarantine(curate.skip_reason(read))
     return good.where("skip_reason is null").drop("skip_reason"), unread.select("url", "_error").union(bad.select("url", "_error"))
 
 
