@@ -14,13 +14,15 @@ help of a sample of their places, one in ``EVERY``.
 A block sends a row only to shards that hold something of it, so there are never more rows than the blocks have distinct
 words and pairs, and their number stays linear in the corpus however many blocks and shards there are.
 
-The successors of a context are spread over ``BRANCHES`` shards by their hash, so that no context is too large for one:
+The successors of a context are spread by their hash over ``BRANCHES`` shards, or more for contexts that are so frequent
+that a branch would hold more than the average of ``HOT`` shards (found by a pass over all texts), so that no context is too
+large for one:
 
     p(w | v) = P(branch of w | v) * (p(w | v, branch) + left(v, branch) * p(w) / P(branch))
 
 with Witten-Bell estimates p and left in a branch (those in the trie), Dirichlet-smoothed P(branch | v), and p(w) by
 absolute discounting, whose discount goes to all unknown words together. Quantised probabilities are rounded down.
-Words are known by 64-bit hashes, successors of a context by 40 bits of them.
+Words are known by 64-bit hashes, successors of a context by 40 bits of them. Counts of the corpus have 64 bits.
 
 Defined results: null text counts as empty and holds only the end; rows with a null doc_id are scored, but neither held
 out nor learned from; without training rows every probability is 1; long texts are scored whole (a block holds one at
@@ -47,6 +49,7 @@ from lotframe.llm.repeats import _opened, _squeeze
 BLOCK_BYTES = 10 << 20
 SHARD_BYTES = 10 << 20
 BRANCHES = 16
+HOT = 8
 BRANCH_WEIGHT = 8.0
 DISCOUNT = 0.5
 END = np.uint64(0x5851F42D4C957F2D)  # the end of a text, as a word
@@ -156,7 +159,7 @@ class Trie:
             *_elias_fano(word + np.repeat(base, kinds)),
             _code(count / np.repeat(total + kinds, kinds)),
             _code(kinds / (total + kinds)),
-            total.astype(np.uint32).view(np.uint8),
+            total.astype(np.int64).view(np.uint8),
         ]
         path = os.path.join(folder, "levels")
         with open(path, "wb") as f:
@@ -166,13 +169,13 @@ class Trie:
         levels = np.memmap(path, np.uint8, "r") if at[-1] else np.zeros(0, np.uint8)
         mapped = [levels[a:b] for a, b in zip(at, at[1:], strict=False)]
         self.contexts, self.pointers, self.words = (Sequence(*mapped[k : k + 4]) for k in (0, 4, 8))
-        self.seen, self.left, self.total = mapped[12], mapped[13], np.frombuffer(mapped[14].tobytes(), np.uint32)
+        self.seen, self.left, self.total = mapped[12], mapped[13], np.frombuffer(mapped[14].tobytes(), np.int64)
         self.bytes = int(at[-1])
 
     def look_up(self, context: np.ndarray, owner: np.ndarray, word: np.ndarray):
         """(total, left) of each context and the code of each word after context[owner]."""
         n = self.contexts.n
-        total, left, seen = np.zeros(len(context), np.uint32), np.zeros(len(context), np.uint8), np.zeros(len(word), np.uint8)
+        total, left, seen = np.zeros(len(context), np.int64), np.zeros(len(context), np.uint8), np.zeros(len(word), np.uint8)
         if not n:
             return total, left, seen
         i = self.contexts.successor(np.zeros(len(context), np.int64), np.full(len(context), n), context)
@@ -252,10 +255,26 @@ def _order(context: np.ndarray, prints: np.ndarray) -> np.ndarray:
     return order[np.argsort(rank.astype(np.uint64) << np.uint64(40) | prints[order])]
 
 
+Hot = tuple[np.ndarray, np.ndarray]
+#: Frequent words, sorted, and the number of branches of each as a context.
+NONE_HOT: Hot = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+def _branches(token: np.ndarray, before: np.ndarray, hot: Hot) -> np.ndarray:
+    """The branch that holds each token after the one before it: a number among those of all contexts with as many branches,
+    behind the numbers of contexts with fewer."""
+    many = np.full(len(token), BRANCHES, np.int64)
+    if len(hot[0]):
+        word = np.where(before == START, END, before)  # as many starts as ends
+        at = np.minimum(np.searchsorted(hot[0], word), len(hot[0]) - 1)
+        many = np.where(hot[0][at] == word, hot[1][at], many)
+    return ((token % many.astype(np.uint64)).astype(np.int64) + many - BRANCHES).astype(np.int32)
+
+
 class Block:
     """The words and pairs of some documents. ``word`` and ``pair`` are the tokens' numbers among the distinct ones."""
 
-    def __init__(self, table: pa.Table, folds: int, shards: int):
+    def __init__(self, table: pa.Table, folds: int, shards: int, hot: Hot = NONE_HOT):
         self.ids = table.column("doc_id").to_pylist()
         self.held = np.array([is_held_out(i, folds) for i in self.ids], bool)
         learn = np.array([i is not None and not h for i, h in zip(self.ids, self.held, strict=True)], bool)
@@ -275,10 +294,12 @@ class Block:
         weight = np.repeat(learn, self.sizes)
         self.words, word = np.unique(token, return_inverse=True)
         self.word = word.astype(np.int32)
+        if len(token) >= 1 << 32:
+            raise OverflowError("a block of 2 ** 32 tokens")  # its own counts have 32 bits
         self.word_count = np.bincount(self.word, weights=weight, minlength=len(self.words)).astype(np.uint32)
         self.word_shard = (_text.mix(self.words) % np.uint64(shards)).astype(np.int64)
         # distinct pairs in the order of context (with branch) and print of the word; shards are ranges of contexts
-        self.branch = (token % np.uint64(BRANCHES)).astype(np.uint8)
+        self.branch = _branches(token, before, hot)
         key = _text.mix(before + self.branch.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))  # a context's branch is a context of its own
         prints = token >> np.uint64(24)
         both = _text.mix(key + _text.mix(prints))
@@ -317,11 +338,11 @@ def _binary(column: list[bytes]) -> pa.Array:
     return pa.array(column, pa.binary())
 
 
-def _asked(folds: int, shards: int):
+def _asked(folds: int, shards: int, hot: Hot):
     """A block's rows (shard, block, words, pairs) for the shards."""
 
     def run(key, table):
-        block, number = Block(table, folds, shards), key[0].as_py()
+        block, number = Block(table, folds, shards, hot), key[0].as_py()
         rows = []
         for s, w, c, p in block.parts():
             kinds = np.bincount(block.owner[p] - c.start, minlength=c.stop - c.start).astype(np.uint32)
@@ -334,62 +355,116 @@ def _asked(folds: int, shards: int):
     return run
 
 
-def _answered(key, table):
-    """A shard's rows (block, shard, words, pairs) for the blocks, and one row of its totals by branch (block -1)."""
-    shard = key[0].as_py()
-    asked = [_unpack(x.as_py(), np.uint64, np.uint32) for x in table.column("words")]
-    pairs = [_unpack(x.as_py(), np.uint64, np.uint32, np.uint32) for x in table.column("pairs")]
-    prints = [_unpack_prints(x.as_py(), len(p[2])) for x, p in zip(table.column("prints"), pairs, strict=True)]
-    words, of = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
-    count = np.bincount(of, weights=np.concatenate([a[1] for a in asked]), minlength=len(words)).astype(np.int64)
-    branch = (words % np.uint64(BRANCHES)).astype(np.int64)
-    totals = np.stack([np.bincount(branch, weights=count, minlength=BRANCHES), np.bincount(branch, weights=count > 0, minlength=BRANCHES)]).astype(np.int64)
-    v = np.concatenate([np.repeat(p[0], p[1]) for p in pairs])
-    p, n = np.concatenate(prints), np.concatenate([x[2] for x in pairs]).astype(np.int64)
-    learned = n > 0
-    v, p, n = v[learned], p[learned], n[learned]
-    order = _order(v, p)
-    v, p, n = v[order], p[order], n[order]
-    new = np.ones(len(v), bool)
-    new[1:] = (v[1:] != v[:-1]) | (p[1:] != p[:-1])
-    n = np.add.reduceat(n, np.flatnonzero(new)) if len(n) else n
-    rows = [(-1, shard, _pack(totals.ravel()), b"")]
-    with tempfile.TemporaryDirectory() as folder:
-        trie, at = Trie(folder, v[new], p[new], n), 0
-        for block, a, x, y in zip(table.column("block").to_pylist(), asked, pairs, prints, strict=True):
-            total, left, seen = trie.look_up(x[0], np.repeat(np.arange(len(x[0])), x[1]), y)
-            rows.append((block, shard, _pack(count[of[at : at + len(a[0])]].astype(np.uint32)), _pack(total, left, seen)))
-            at += len(a[0])
-        del trie
-    columns = list(zip(*rows, strict=True))
-    return pa.table([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), *map(_binary, columns[2:])], names=["block", "shard", "words", "pairs"])
+def _answered(most: int):
+    """A shard's rows (block, shard, words, pairs) for the blocks, and one row of its totals by branch (block -1), of ``most``
+    branches."""
+
+    def run(key, table):
+        shard = key[0].as_py()
+        asked = [_unpack(x.as_py(), np.uint64, np.uint32) for x in table.column("words")]
+        pairs = [_unpack(x.as_py(), np.uint64, np.uint32, np.uint32) for x in table.column("pairs")]
+        prints = [_unpack_prints(x.as_py(), len(p[2])) for x, p in zip(table.column("prints"), pairs, strict=True)]
+        words, of = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
+        count = np.zeros(len(words), np.int64)
+        np.add.at(count, of, np.concatenate([a[1] for a in asked]).astype(np.int64))
+        branch = (words % np.uint64(most)).astype(np.int64)
+        totals = np.zeros((2, most), np.int64)
+        np.add.at(totals[0], branch, count)
+        np.add.at(totals[1], branch, count > 0)
+        v = np.concatenate([np.repeat(p[0], p[1]) for p in pairs])
+        p, n = np.concatenate(prints), np.concatenate([x[2] for x in pairs]).astype(np.int64)
+        learned = n > 0
+        v, p, n = v[learned], p[learned], n[learned]
+        order = _order(v, p)
+        v, p, n = v[order], p[order], n[order]
+        new = np.ones(len(v), bool)
+        new[1:] = (v[1:] != v[:-1]) | (p[1:] != p[:-1])
+        n = np.add.reduceat(n, np.flatnonzero(new)) if len(n) else n
+        rows = [(-1, shard, _pack(totals.ravel()), b"")]
+        with tempfile.TemporaryDirectory() as folder:
+            trie, at = Trie(folder, v[new], p[new], n), 0
+            for block, a, x, y in zip(table.column("block").to_pylist(), asked, pairs, prints, strict=True):
+                total, left, seen = trie.look_up(x[0], np.repeat(np.arange(len(x[0])), x[1]), y)
+                rows.append((block, shard, _pack(count[of[at : at + len(a[0])]]), _pack(total, left, seen)))
+                at += len(a[0])
+            del trie
+        columns = list(zip(*rows, strict=True))
+        return pa.table([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), *map(_binary, columns[2:])], names=["block", "shard", "words", "pairs"])
+
+    return run
+
+
+def _added(batches):
+    """The sum of packed vectors of one length."""
+    total = None
+    for batch in batches:
+        for x in batch.column(0):
+            numbers = _unpack(x.as_py(), np.int64)[0]
+            total = numbers if total is None else total + numbers
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([_binary([_pack(total)])], names=["sum"])
+
+
+def _frequent(least: float):
+    """(word, n, tokens) of words that make ``least`` of a chunk's tokens or more, and of each chunk's tokens (word null): a
+    word that makes as much of the corpus does so in some chunk, and is missed in others only where it is rarer."""
+
+    def run(batches):
+        for batch in batches:
+            for chunk in _text.chunks(pa.array(_opened(batch.column(0)), pa.binary()).cast(pa.large_string()), lower=True):
+                w = _text.words(chunk)
+                words, n = np.unique(_text.span_hash(chunk.prefix(), w.starts, w.ends), return_counts=True)
+                words, n = np.append(words, END), np.append(n, chunk.n)
+                some = n >= least * n.sum()
+                word = pa.concat_arrays([pa.array(words[some].view(np.int64)), pa.nulls(1, pa.int64())])
+                yield pa.RecordBatch.from_arrays([word, pa.array(np.append(n[some], n.sum()).astype(np.int64))], names=["word", "n"])
+
+    return run
+
+
+def hot_words(dealt: DataFrame, shards: int) -> Hot:
+    """Words that are so frequent that a branch of theirs would hold more than the average of ``HOT`` shards, and branches
+    enough for each. There are at most shards / (HOT * BRANCHES) of them."""
+    least = HOT * BRANCHES / shards
+    if least >= 1:  # no word can be
+        return NONE_HOT
+    found = dealt.select("z").mapInArrow(_frequent(least), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    tokens = found.where("word IS NULL").agg(F.sum("n")).first()[0] or 0
+    rows = found.where((F.col("word").isNotNull()) & (F.col("n") >= least * tokens)).collect()
+    many = {int(np.int64(r["word"]).view(np.uint64)): BRANCHES << max(0, math.ceil(math.log2(r["n"] / tokens / least))) for r in rows}
+    return np.array(sorted(many), np.uint64), np.array([many[w] for w in sorted(many)], np.int64)
 
 
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _scored(folds: int, shards: int, tokens: np.ndarray, kinds: np.ndarray):
-    """tokens, kinds: training tokens and distinct ones by branch."""
+def _scored(folds: int, shards: int, hot: Hot, tokens: np.ndarray, kinds: np.ndarray):
+    """tokens, kinds: training tokens and distinct ones by branch, of as many branches as any context has."""
     n, v = int(tokens.sum()), int(kinds.sum())
     unknown = DISCOUNT * v / n if n else 1.0
-    branch_p = (tokens - DISCOUNT * kinds) / n + unknown / BRANCHES if n else np.full(BRANCHES, 1.0)
+    branch_p, many = [], BRANCHES
+    while many <= len(tokens):
+        t, k = (x.reshape(-1, many).sum(axis=0) for x in (tokens, kinds))
+        branch_p.append((t - DISCOUNT * k) / n + unknown / many if n else np.full(many, 1.0))
+        many *= 2
+    branch_p = np.concatenate(branch_p)
     floor = 0.1 / (n + 0.1 * (v + 1))
 
     def run(left, right):
-        block = Block(left, folds, shards)
+        block = Block(left, folds, shards, hot)
         given = {s: (w.as_py(), p.as_py()) for s, w, p in zip(right.column("shard").to_pylist(), right.column("words"), right.column("pairs"), strict=True)}
         count = np.zeros(len(block.words), np.int64)
         total, rest, seen = np.zeros(len(block.contexts), np.int64), np.zeros(len(block.contexts), np.uint8), np.zeros(len(block.prints), np.uint8)
         for s, w, c, p in block.parts():
-            count[w] = _unpack(given[s][0], np.uint32)[0]
-            total[c], rest[c], seen[p] = _unpack(given[s][1], np.uint32, np.uint8, np.uint8)
+            count[w] = _unpack(given[s][0], np.int64)[0]
+            total[c], rest[c], seen[p] = _unpack(given[s][1], np.int64, np.uint8, np.uint8)
         c = count[block.word]
         p1 = np.where(c > 0, (c - DISCOUNT) / max(n, 1), unknown)
         # training tokens after each token's context: those of all branches together
         context, before = block.owner[block.pair], np.append(0, c)[:-1]
         starts = np.cumsum(block.sizes) - block.sizes
         before[starts] = count[np.searchsorted(block.words, END)] if len(block.words) else 0  # as many starts as ends
-        pb = branch_p[block.branch.astype(np.int64)]
+        pb = branch_p[block.branch]
         in_branch = (total[context] + BRANCH_WEIGHT * pb) / (before + BRANCH_WEIGHT)
         lower = np.where(total[context] > 0, _value(rest[context]), 1.0)
         p = in_branch * (_value(seen[block.pair]) + lower * p1 / pb) if n else np.ones(len(c))
@@ -420,10 +495,12 @@ def score_documents(docs: DataFrame, folds: int = 10, block_bytes: int = BLOCK_B
     blocks, shards = size // block_bytes + 1, size // shard_bytes + 1
     squeezed = _squeeze(docs).withColumn("block", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int"))
     dealt = materialize(squeezed, "blocks")  # which fixes the rows of each block
-    asked = dealt.groupBy("block").applyInArrow(_asked(folds, shards), "shard int, block int, words binary, pairs binary, prints binary")
-    answers = materialize(asked.groupBy("shard").applyInArrow(_answered, "block int, shard int, words binary, pairs binary"), "answers")
-    tokens, kinds = np.zeros(BRANCHES, np.int64), np.zeros(BRANCHES, np.int64)
-    for row in answers.where("block = -1").select("words").toLocalIterator():  # 2 * BRANCHES numbers a shard
-        t = _unpack(bytes(row[0]), np.int64)[0].reshape(2, BRANCHES)
-        tokens, kinds = tokens + t[0], kinds + t[1]
-    return dealt.groupBy("block").cogroup(answers.where("block >= 0").groupBy("block")).applyInArrow(_scored(folds, shards, tokens, kinds), SCORED)
+    hot = hot_words(dealt, shards)
+    most = int(max([BRANCHES, *hot[1]]))
+    asked = dealt.groupBy("block").applyInArrow(_asked(folds, shards, hot), "shard int, block int, words binary, pairs binary, prints binary")
+    answers = materialize(asked.groupBy("shard").applyInArrow(_answered(most), "block int, shard int, words binary, pairs binary"), "answers")
+    totals = np.zeros(2 * most, np.int64)
+    for row in answers.where("block = -1").select("words").mapInArrow(_added, "sum binary").toLocalIterator():  # one a partition
+        totals = totals + _unpack(bytes(row[0]), np.int64)[0]
+    tokens, kinds = totals.reshape(2, most)
+    return dealt.groupBy("block").cogroup(answers.where("block >= 0").groupBy("block")).applyInArrow(_scored(folds, shards, hot, tokens, kinds), SCORED)

@@ -246,6 +246,41 @@ def test_scores_by_an_independent_model(spark, texts):
         assert got[i] == pytest.approx(total, rel=1e-9)
 
 
+def test_counts_beyond_32_bits():
+    """Two blocks that hold one word and one pair 3,000,000,000 times each."""
+    m = language_model
+    word, context, prints = np.array([7], np.uint64), np.array([9], np.uint64), np.array([11], np.uint64)
+    many = np.array([3_000_000_000], np.uint32)
+    rows = [(b, m._pack(word, many), m._pack(context, np.array([1], np.uint32), many), m._pack_prints(prints)) for b in (0, 1)]
+    table = pa.table(dict(zip(("block", "words", "pairs", "prints"), zip(*rows, strict=True), strict=True)))
+    out = m._answered(m.BRANCHES)((pa.scalar(3),), table)
+    totals = m._unpack(out.column("words")[0].as_py(), np.int64)[0].reshape(2, -1)
+    assert totals.sum(axis=1).tolist() == [6_000_000_000, 1]
+    for k in (1, 2):
+        assert m._unpack(out.column("words")[k].as_py(), np.int64)[0].tolist() == [6_000_000_000]
+        assert m._unpack(out.column("pairs")[k].as_py(), np.int64, np.uint8, np.uint8)[0].tolist() == [6_000_000_000]
+
+
+def test_hot_contexts_get_more_branches(spark):
+    """One word makes a third of all tokens: with many shards its successors go to more branches, and the probabilities still
+    sum to one at most."""
+    rng = random.Random(6)
+    texts = [" ".join(f"the w{rng.randrange(400)} v{rng.randrange(400)}" for _ in range(60)) for _ in range(80)]
+    held = [i for i in range(10_000, 20_000) if zlib.crc32(str(i).encode()) % 10 == 0]
+    probes = [*(f"w{k}" for k in range(400)), *(f"v{k}" for k in range(400)), "the", "never"]
+    rows = [*enumerate(texts), *zip(held, [f"the {w}" for w in probes], strict=False)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    squeezed = language_model._squeeze(d)
+    words, many = language_model.hot_words(squeezed, 8000)
+    assert len(words) and max(many) >= 16 * language_model.BRANCHES and len(language_model.hot_words(squeezed, 100)[0]) == 0
+    got = {r["doc_id"]: r for r in language_model.score_documents(d, block_bytes=30_000, shard_bytes=30).collect()}
+    plain = {r["doc_id"]: r for r in language_model.score_documents(d).collect()}
+    assert all(got[i][c] == plain[i][c] for i in got for c in ("n_tokens", "n_known", "train_tokens", "base_score"))
+    p = [10 ** got[i]["score"] for i, _ in zip(held, probes, strict=False)]
+    assert sum(p) <= 1  # P(the) P(w | the) P(end | w) over all w
+    assert np.mean([got[i]["score"] for i in range(80)]) > np.mean([got[i]["base_score"] for i in range(80)])
+
+
 def test_repeated_rows_are_scored(spark):
     d = spark.createDataFrame([(1, "the same words over and over")] * 300 + [(None, "x y")] * 5 + [(2, None)], "doc_id bigint, text string")
     got = language_model.score_documents(d, block_bytes=1000, shard_bytes=1000).collect()
