@@ -1,8 +1,7 @@
 """Files of JSON arrays and parameter files, as DataFrames; and the sinks.
 
-A file that holds one array is one record to Spark, so these scans suit the reference's exports (thousands of records a
-file, any number of files). Large data belongs in Parquet or JSON lines, which the sinks write. Records keep their order
-as (_file, _pos). As VARIANT, a record tells an absent key from a null.
+Arrays are read by byte ranges (``json_arrays``), so a file may be of any size. Records keep their order as (_file, _pos). As
+VARIANT, a record tells an absent key from a null. Files that are looked for are listed by folder, one call each.
 """
 
 from __future__ import annotations
@@ -13,13 +12,46 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotframe.schema import LISTING_SCHEMA, render, with_defaults
+from lotframe.sources.json_arrays import read_arrays
+
+
+def _there(spark: SparkSession, paths: Sequence[str]) -> list[str | None]:
+    """The whole names of files, None for those that are not there: every folder concerned is listed once."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folders: dict[str, tuple[str, set[str]]] = {}
+    out = []
+    for path in paths:
+        folder, _, name = path.rpartition("/")
+        folder = folder or ("/" if path.startswith("/") else ".")
+        if folder not in folders:
+            at = jvm.org.apache.hadoop.fs.Path(folder)
+            system = at.getFileSystem(conf)
+            names = set()
+            if system.exists(at):
+                globbed = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(system.listStatus(at))
+                listed = jvm.java.util.Arrays.toString(globbed) if len(globbed) > 4096 else None
+                names = {x.rpartition("/")[2] for x in listed[1:-1].split(", ")} if listed else {p.getName() for p in globbed}
+            folders[folder] = at.makeQualified(system.getUri(), system.getWorkingDirectory()).toString(), names
+        whole, names = folders[folder]
+        out.append(f"{whole.rstrip('/')}/{name}" if name in names else None)
+    return out
+
+
+def _placed(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """(_file, path, at) in the order of the arguments, and the whole names of the files that are there."""
+    whole = _there(spark, paths)
+    rows = [(i, p, w) for i, (p, w) in enumerate(zip(paths, whole, strict=True))]
+    return spark.createDataFrame(rows, "_file int, path string, at string"), sorted({w for w in whole if w})
+
+
+def _plain(name: Column) -> Column:
+    """A whole name out of ``_metadata.file_path``, where blanks and other signs are escaped."""
+    return F.try_url_decode(F.regexp_replace(name, r"\+", "%2B"))
 
 
 def _files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(_file, path, body, length) in the order of the arguments; files that are missing have a null body."""
-    placed = [(i, p, _qualified(spark, p)) for i, p in enumerate(paths)]
-    order = spark.createDataFrame(placed, "_file int, path string, at string")
-    there = sorted({at for _, _, at in placed if at})
+    order, there = _placed(spark, paths)
     if not there:
         return order.drop("at").withColumns({"body": F.lit(None).cast("string"), "length": F.lit(None).cast("long")})
     found = spark.read.format("binaryFile").option("ignoreMissingFiles", True).load(there)
@@ -27,28 +59,25 @@ def _files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return order.join(files, "at", "left").drop("at")
 
 
-def _qualified(spark: SparkSession, path: str) -> str | None:
-    """The full name of a file as its file system gives it, or None if there is none."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    return system.getFileStatus(hadoop).getPath().toString() if system.exists(hadoop) else None
-
-
 def _root(body: Column) -> Column:
     return F.try_parse_json(body)
 
 
 def scan_records(spark: SparkSession, *paths: str, strict: bool = False) -> DataFrame:
     """(_file, _pos, record VARIANT) of all files. A file that is missing, unreadable or no array gives no rows; with
-    ``strict`` it is an error. If nothing at all was read from two or more files, that is an error too."""
-    files = _files(spark, paths).withColumn("root", _root(F.col("body")))
-    is_array = F.coalesce(F.startswith(F.schema_of_variant("root"), F.lit("ARRAY")), F.lit(False))
-    if strict:
-        bad = [r[0] for r in files.where(~is_array).select("path").collect()]
-        if bad:
+    ``strict`` it is an error. If of two or more files none is an array, that is an error too."""
+    order, there = _placed(spark, paths)
+    if there:
+        records, files = read_arrays(spark, there)
+        judged = order.join(files.select(_plain(F.col("path")).alias("at"), "is_array"), "at", "left")
+    if not there or strict or len(paths) > 1:  # one row for each name given
+        bad = [r[0] for r in judged.where("is_array IS NOT TRUE").select("path").collect()] if there else list(paths)
+        if bad and (strict or len(bad) == len(paths) > 1):
             raise ValueError(f"no JSON array: {bad}")
-    items = F.posexplode(F.expr("try_cast(root AS array<variant>)")).alias("_pos", "record")
-    return files.where(is_array).select("_file", items)
+        if not there:
+            return spark.createDataFrame([], "_file int, _pos int").withColumn("record", F.try_parse_json(F.lit("null")))
+    named = records.select(_plain(F.col("path")).alias("at"), F.col("_pos").cast("int").alias("_pos"), "record")
+    return named.join(F.broadcast(order.select("at", "_file")), "at").select("_file", "_pos", "record")
 
 
 def field(name: str, kind: str = "string", record: str = "record") -> Column:
