@@ -12,10 +12,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from lotframe.schema import NA, TYPES, field_matches
+from lotframe.sources.shared import fresh_path, written
+
+#: What ``skip_counts`` may count.
+OUTCOMES = ("kept", "country", "modified", "year", "vin", "year is null")
 
 
 # predicates
@@ -59,6 +63,15 @@ def skip_reason(df: DataFrame, min_year: str = "min_year", max_year: str = "max_
     return df.withColumns({"skip_reason": F.when(error.isNull(), reason), "_error": error})
 
 
+def write_kept(judged: DataFrame, path: str) -> dict[str, int]:
+    """Writes the kept rows and returns how many rows had each outcome, counted in the same pass."""
+    seen = Observation("outcomes")
+    outcome = F.when(F.col("_error").isNotNull(), F.col("_error")).otherwise(F.coalesce("skip_reason", F.lit("kept")))
+    counts = [F.count_if(outcome == o).alias(o) for o in OUTCOMES]
+    judged.observe(seen, *counts).where("skip_reason IS NULL AND _error IS NULL").drop("skip_reason", "_error").write.parquet(path)
+    return {k: n for k, n in seen.get.items() if n}
+
+
 def skip_counts(df: DataFrame) -> DataFrame:
     return df.groupBy(F.coalesce("_error", "skip_reason", F.lit("kept")).alias("outcome")).agg(F.count("*").alias("n"))
 
@@ -96,10 +109,39 @@ def attach_targets(pages: DataFrame, targets: DataFrame) -> DataFrame:
     return pages.join(targets, "slug")
 
 
-def mark_known(df: DataFrame, known: DataFrame, key: str = "lot_number") -> DataFrame:
-    """Adds ``known``: is the key in the table of known keys? Null and N/A never are."""
+#: The most bits of a key filter: 8 MB, as it is broadcast. More keys only let more others pass.
+FILTER_BITS = 1 << 26
+
+
+def key_filter(keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """(_bucket, _bits): a Bloom filter of one hash, as bitmaps of 32,768 bits. Built by one aggregation with map-side combine."""
+    at = F.pmod(F.xxhash64(key), F.lit(bits)) + 1
+    return keys.where(F.col(key).isNotNull()).groupBy(F.bitmap_bucket_number(at).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("_bits"))
+
+
+def may_hold(df: DataFrame, filtered: DataFrame, key: str, bits: int, name: str) -> DataFrame:
+    """Adds a flag: false only where the key is surely in no row that the filter was built of."""
+    at = F.pmod(F.xxhash64(key), F.lit(bits)) + 1
+    position = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.getbit(byte, (position % 8).cast("int")) == 1
+    marked = df.withColumn("_bucket", F.bitmap_bucket_number(at)).join(F.broadcast(filtered), "_bucket", "left")
+    return marked.withColumn(name, F.coalesce(hit, F.lit(False))).drop("_bucket", "_bits")
+
+
+def mark_known(df: DataFrame, known: DataFrame, key: str = "lot_number", prefilter: bool = False) -> DataFrame:
+    """Adds ``known``: is the key in the table of known keys? Null and N/A never are. ``prefilter``: for a large table of
+    known keys; a Bloom filter of it is broadcast first, and only rows that it lets pass are shuffled and joined."""
     found = known.select(F.col(key).alias("_known_key")).where(F.col(key).isNotNull() & (F.col(key).cast("string") != NA)).distinct()
-    return df.join(found, F.col(key) == F.col("_known_key"), "left").withColumn("known", F.col("_known_key").isNotNull()).drop("_known_key")
+
+    def joined(rows: DataFrame) -> DataFrame:
+        return rows.join(found, F.col(key) == F.col("_known_key"), "left").withColumn("known", F.col("_known_key").isNotNull()).drop("_known_key")
+
+    if not prefilter:
+        return joined(df)
+    bits = min(FILTER_BITS, max(1 << 15, 32 * found.count()))
+    passed = may_hold(df, key_filter(found, "_known_key", bits), key, bits, "_may")
+    return joined(passed.where("_may").drop("_may")).unionByName(passed.where("NOT _may").drop("_may").withColumn("known", F.lit(False)))
 
 
 # union, dedupe, order, limits
@@ -136,6 +178,24 @@ def sort_rows(df: DataFrame, fields: Sequence[str], reverse: bool = False, pos:
     return df.orderBy(*(F.col(f).desc_nulls_last() if reverse else F.col(f).asc_nulls_last() for f in fields), pos)
 
 
+def ranked(df: DataFrame, by: Sequence[str | Column], name: str = "rank", start: int | Column = 1) -> DataFrame:
+    """The rows with their places 1, 2, ... in the order of ``by``, which should tell all rows apart. The table is sorted by
+    ranges and written; a row's place is that in its range behind what earlier ranges hold, which is one number a range, so
+    no task sorts more than a range."""
+    spark = df.sparkSession
+    laid = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *by).sortWithinPartitions(*by)
+    laid = laid.withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    laid = written(laid.withColumn("_at", F.col("_at") - F.shiftleft(F.col("_range").cast("long"), 33)), fresh_path(spark, "ranked"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = laid.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
+    return laid.join(F.broadcast(ranges), "_range").withColumn(name, F.col("_ahead") + F.col("_at") + start).drop("_range", "_at", "_ahead")
+
+
+def rank_rows(df: DataFrame, fields: Sequence[str], reverse: bool = False, pos: str = "_pos", name: str = "rank") -> DataFrame:
+    """The order of ``sort_rows`` as a column."""
+    return ranked(df, [*(F.col(f).desc_nulls_last() if reverse else F.col(f).asc_nulls_last() for f in fields), F.col(pos)], name)
+
+
 def limit_per_group(df: DataFrame, group: str, n: int = 100, pos: str = "_pos") -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(group).orderBy(pos))
     return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")

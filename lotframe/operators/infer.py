@@ -1,18 +1,20 @@
 """Filling missing values: a prompt per row that needs one, a user's batch generator, parsed, validated, merged back.
 
-Rows with nothing missing never reach the generator. ``infer`` writes the answered rows as a table and returns that table
-as read back: whatever is made of it (results, statistics, errors, merged records) sees the same answers, and the
-generator is asked once for each row and attempt, but for tasks that are run again while the table is written.
+Rows with nothing missing never reach the generator. Equal prompts are asked once: answers are kept in a store, a table
+keyed by the SHA-256 of the prompt and its fields. Prompts are asked in rounds, each of which is added to the store when it
+is done; a run that was broken off goes on where it stopped when it is given the same store, and asks again only what its
+last round had begun. ``infer`` writes the answered rows as a table and returns that table as read back: whatever is made of
+it (results, statistics, errors, merged records) sees the same answers.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,7 +133,9 @@ def _text(value) -> str | None:
     return None if value is None else value if isinstance(value, str) else json.dumps(value)
 
 
-ANSWER = T.StructType([T.StructField("inferred", T.MapType(T.StringType(), T.StringType())), T.StructField("attempts", T.IntegerType()), T.StructField("error", T.StringType())])
+#: Parts in which prompts are asked; each is kept when it is done.
+ROUNDS = 4
+ANSWER = T.StructType([T.StructField("_key", T.StringType()), T.StructField("inferred", T.MapType(T.StringType(), T.StringType())), T.StructField("attempts", T.IntegerType()), T.StructField("error", T.StringType())])
 
 
 def ask(text: str, missing: Sequence[str], generate: Callable[[str], str], interface: Interface, max_retries: int) -> tuple[dict, int, str | None]:
@@ -154,21 +158,45 @@ def infer(
     max_retries: int = 3,
     parallelism: int | None = None,
     path: str | None = None,
+    store: str | None = None,
+    rounds: int = ROUNDS,
+    ask_failed: bool = False,
 ) -> DataFrame:
     """Adds na_fields, skipped_fields, prompt, and inferred (values as text; other JSON as its JSON text), attempts and error.
     ``generate`` runs on the executors, which are sent prompts and names of fields only; it and the parsing are tried
-    ``max_retries`` times. The answered rows are written to ``path``, or to a new one in the shared folder, and read back."""
+    ``max_retries`` times. ``store``: where answers are kept, for this run and later ones; ``ask_failed``: prompts whose stored
+    answer is an error are asked again. The answered rows are written to ``path``, or to a new one in the shared folder, and
+    read back. attempts are those of the answer, which rows of equal prompts share."""
+    spark = df.sparkSession
     interface = INTERFACE if interface is None else interface
-
-    @F.pandas_udf(ANSWER)
-    def answers(prompts: pd.Series, missing: pd.Series) -> pd.DataFrame:
-        some = [({}, 0, None) if p is None else ask(p, list(m), generate, interface, max_retries) for p, m in zip(prompts, missing, strict=True)]
-        return pd.DataFrame(some, columns=ANSWER.names)
-
-    rows = with_prompts(df, fields, interface)
-    rows = rows.repartition(parallelism) if parallelism else rows
-    done = rows.withColumn("_answer", answers("prompt", "na_fields")).select(*rows.columns, "_answer.*")
-    return written(done, path or fresh_path(df.sparkSession, "answers"))
+    store = store or fresh_path(spark, "answer-store")
+    rows = with_prompts(df, fields, interface).withColumn("_key", F.sha2(F.concat_ws("\0", F.array_join("na_fields", "\0"), "prompt"), 256))
+    rows = rows.withColumn("_key", F.when(F.col("prompt").isNotNull(), F.col("_key")))
+    questions = rows.where("_key IS NOT NULL").groupBy("_key").agg(F.first("prompt").alias("prompt"), F.first("na_fields").alias("na_fields"))
+    questions = written(questions.withColumn("round", F.pmod(F.xxhash64("_key"), F.lit(rounds)).cast("int")), fresh_path(spark, "questions"))
+
+    def answers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            some = [(k, *ask(p, list(m), generate, interface, max_retries)) for k, p, m in zip(batch["_key"], batch["prompt"], batch["na_fields"], strict=True)]
+            yield pd.DataFrame(some, columns=ANSWER.names)
+
+    for number in range(rounds):
+        known = answer_store(spark, store)
+        todo = questions.where(F.col("round") == number).drop("round").join((known.where("error IS NULL") if ask_failed else known).select("_key"), "_key", "left_anti")
+        todo = todo.repartition(parallelism) if parallelism else todo
+        todo.mapInPandas(answers, ANSWER).write.mode("append").parquet(store)
+    found = answer_store(spark, store)
+    best = F.max_by(F.struct("inferred", "attempts", "error"), F.struct(F.col("error").isNull(), "attempts")).alias("a")  # a later good answer counts
+    found = found.groupBy("_key").agg(best).select("_key", "a.*")
+    done = rows.join(found, "_key", "left").withColumns({"inferred": F.coalesce("inferred", F.create_map().cast("map<string,string>")), "attempts": F.coalesce("attempts", F.lit(0))})
+    return written(done.drop("_key"), path or fresh_path(spark, "answers"))
+
+
+def answer_store(spark: SparkSession, path: str) -> DataFrame:
+    """(_key, inferred, attempts, error) of the answers kept so far; none if nothing was kept yet."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    return spark.read.schema(ANSWER).parquet(path) if there else spark.createDataFrame([], ANSWER)
 
 
 def merge(answered: DataFrame) -> DataFrame:

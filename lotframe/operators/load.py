@@ -1,7 +1,9 @@
 """Conforming listings and loading them into dimensions and a fact table by keyed upsert, set-based.
 
-Surrogate ids are hashes of the natural key, so a rerun gives the same ids and no counter is shared. Plain Parquet knows
-no MERGE: ``upsert`` returns the new snapshot with the action of each row; write it to a new path and swap.
+Surrogate ids are dense: new keys are numbered in their order after the greatest id there is, by ranges of the sorted keys,
+so a rerun gives the same ids and no counter is shared. Plain Parquet knows no MERGE: ``upsert`` returns a new snapshot with
+the action of each row, and ``Snapshot`` keeps a table in hash buckets of its key, of which an upsert rewrites only those
+that it touches.
 
 Deviations from the row-at-a-time original, on purpose: a bad row goes to quarantine and costs no other row; a null price
 loads as null cents (``strict=True`` quarantines a present null, as the original fails on it).
@@ -9,9 +11,14 @@ loads as null cents (``strict=True`` quarantines a present null, as the original
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lotframe.operators.curate import ranked
+from lotframe.sources.shared import fresh_path, written
+
 # The columns of the fact table besides url and the ids.
 FACT_COLUMNS = (
     "source lot_number seller seller_type result high_bidder title vin year listing_details engine transmission "
@@ -24,12 +31,13 @@ def variant_key(variant: Column) -> Column:
 
 
 def dimension(existing: DataFrame | None, keys: DataFrame) -> DataFrame:
-    """Existing rows and one new row for each natural key (all columns of ``keys``) not there yet; ``id`` hashes the key."""
+    """Existing rows and one new row for each natural key (all columns of ``keys``) not there yet, with the next ids."""
     names = keys.columns
     new = keys.dropDuplicates(names).where(F.col(names[-1]).isNotNull())
     if existing is not None:
         new = new.join(existing.select(*names), names, "left_anti")
-    new = new.select(F.xxhash64(*names).alias("id"), *names)
+    last = 0 if existing is None else existing.agg(F.max("id")).first()[0] or 0
+    new = ranked(new, names, "id", last + 1).select("id", *names)
     return new if existing is None else existing.select("id", *names).unionByName(new)
 
 
@@ -107,6 +115,61 @@ def upsert(current: DataFrame, incoming: DataFrame, key: str = "url", pos: str =
     return both.select(key, *(F.when(F.col("_new"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in columns), action.alias("action"))
 
 
+class Snapshot:
+    """A table in hash buckets of its key. A version is a list of the folder that holds each bucket; an upsert writes the
+    buckets that it touches to new folders and then a new list, which counts from the moment it is complete, so readers of
+    the version before see no change and a broken upsert leaves none. Files of other buckets stay as they are. One writer at
+    a time."""
+
+    def __init__(self, spark: SparkSession, path: str, key: str = "url", buckets: int = 64):
+        self.spark, self.path, self.key, self.buckets = spark, path.rstrip("/"), key, buckets
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        self._path, self._system = hadoop, hadoop(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def version(self) -> int:
+        """The number of the last complete version, 0 if there is none."""
+        at = self._path(f"{self.path}/versions")
+        found = [s.getPath() for s in self._system.listStatus(at)] if self._system.exists(at) else []
+        return max([0, *(int(p.getName()) for p in found if self._system.exists(self._path(p, "_SUCCESS")))])
+
+    def _folders(self, version: int) -> dict[int, str]:
+        if not version:
+            return {}
+        rows = self.spark.read.schema("bucket int, folder string, buckets int").json(f"{self.path}/versions/{version}").collect()  # one a bucket
+        if any(r["buckets"] != self.buckets for r in rows):
+            raise ValueError(f"{self.path} has another number of buckets")
+        return {r["bucket"]: r["folder"] for r in rows}
+
+    def read(self, version: int | None = None, buckets: list[int] | None = None) -> DataFrame | None:
+        """The rows of a version, the last if not given, or of some buckets of it; None if there are none."""
+        folders = self._folders(self.version() if version is None else version)
+        some = sorted(f for b, f in folders.items() if buckets is None or b in buckets)
+        return self.spark.read.parquet(*(f"{self.path}/{f}" for f in some)) if some else None
+
+    def upsert(self, incoming: DataFrame, pos: str = "_pos") -> dict[str, int]:
+        """Rows of ``incoming`` replace those of their key, the last one of each; returns the numbers of rows inserted and
+        updated, and of buckets written."""
+        number = self.version()
+        folders, new = self._folders(number), number + 1
+        bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+        last = written(last_per_key(incoming, self.key, pos).drop(pos).withColumn("bucket", bucket), fresh_path(self.spark, "incoming"))
+        touched = [r[0] for r in last.select("bucket").distinct().collect()]
+        if not touched:
+            return {"inserted": 0, "updated": 0, "buckets": 0}
+        columns = [c for c in last.columns if c != "bucket"]
+        current = self.read(number, touched)
+        current = last.select(*columns).limit(0) if current is None else current.select(*columns)
+        after = upsert(current, last.withColumn(pos, F.lit(0)), self.key, pos)
+        seen = Observation("upsert")
+        after = after.withColumn("bucket", bucket).observe(seen, *(F.count_if(F.col("action") == a).alias(a) for a in ("inserted", "updated")))
+        folder = f"data/{new}-{uuid.uuid4().hex}"  # that of a broken upsert is never met again
+        after.drop("action").repartition("bucket").write.partitionBy("bucket").parquet(f"{self.path}/{folder}")
+        folders |= {b: f"{folder}/bucket={b}" for b in touched}
+        rows = [(b, f, self.buckets) for b, f in sorted(folders.items())]
+        self.spark.createDataFrame(rows, "bucket int, folder string, buckets int").coalesce(1).write.mode("overwrite").json(f"{self.path}/versions/{new}")
+        return {**seen.get, "buckets": len(touched)}
+
+
 def load_counts(incoming: DataFrame, current: DataFrame, failed: DataFrame | None = None, key: str = "url", pos: str = "_pos") -> DataFrame:
     """One row: inserted, updated, errors, total. Every incoming row counts: the first of a new key as inserted, all others
     as updated."""

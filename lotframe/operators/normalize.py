@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotframe.schema import NA
@@ -55,4 +55,12 @@ def candidates(df: DataFrame, fields: tuple[str, ...] = ("engine", "transmission
 
 
 def save_rules(rules: DataFrame, path: str) -> None:
-    rules.select("field", "from_value", "to_value").write.mode("overwrite").json(path)
+    """Rules as JSON lines, with their positions where they have them, so that they mean the same when read back."""
+    rules.select("field", "from_value", "to_value", *[c for c in ("_pos",) if c in rules.columns]).write.mode("overwrite").json(path)
+
+
+def read_rules(spark: SparkSession, path: str) -> DataFrame:
+    """Rules as ``save_rules`` wrote them."""
+    found = spark.read.json(path)
+    kind = "field string, from_value string, to_value string" + (", _pos " + found.schema["_pos"].dataType.simpleString() if "_pos" in found.columns else "")
+    return spark.read.schema(kind).json(path)

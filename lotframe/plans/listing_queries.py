@@ -251,6 +251,20 @@ FROM c
 """
 
 
+def pages_that_fail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The country text and the number of links of every page, but for pages with more text in them than allowed."""
+    raw = read_pages(read(spark, sf_dir, "pages").select("page_id", "html"), ("country", "links"), {"country": "head title", "links": "nav li"}, most=80)
+    return raw.select("page_id", F.col("raw.country").alias("country"), F.size("raw.links").alias("links"), F.col("_error").isNotNull().alias("failed"))
+
+
+_TITLE = _decoded("regexp_extract(html, '<title>(.*?)</title>', 1)")
+FAILED_SQL = f"""
+WITH t AS (SELECT page_id, {_TITLE} AS title, list_transform(regexp_extract_all(html, '<li><a [^>]*>(.*?)</a></li>', 1), lambda x: {_ITEM}) AS items FROM pages),
+f AS (SELECT *, length(title) + length(array_to_string(items, '')) > 80 AS failed FROM t)
+SELECT page_id, CASE WHEN NOT failed THEN title END AS country, CASE WHEN NOT failed THEN len(items) END::INT AS links, failed FROM f
+"""
+
+
 def card_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Absolute links of each page's cards (its list items), the first four of a page."""
     raw = read_pages(read(spark, sf_dir, "pages").select(F.col("page_id").alias("slug"), "html"), ("cards",), {"cards": "li"})
@@ -306,6 +320,7 @@ QUERIES = {
     "extract_essentials": (essentials, ESSENTIALS_SQL),
     "extract_page_texts": (page_texts, PAGES_SQL),
     "extract_pages_by_profile": (pages_by_profile, PROFILE_SQL),
+    "extract_pages_that_fail": (pages_that_fail, FAILED_SQL),
     "extract_card_links": (card_links, CARDS_SQL),
     "filter_skip_counts": (skip_counts, SKIP_SQL),
     "filter_kept_sold": (kept_sold, SOLD_SQL),

@@ -38,6 +38,18 @@ SELECT CASE WHEN f = 1 THEN 0 ELSE f END::INT AS _file, p::INT AS _pos, 'u' || o
 """
 
 
+def scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files as listings with the defaults of a read; every file has to be an array."""
+    rows = J.listings_of(J.scan_records(spark, *_order_arrays(spark, sf_dir), strict=True))
+    return rows.select("_file", "_pos", "url", "source", "title", "price", "convertible", F.size("excerpt").alias("excerpts"))
+
+
+TYPED_SQL = f"""
+SELECT (dense_rank() OVER (ORDER BY o_orderkey // {PER_FILE}) - 1)::INT AS _file, (row_number() OVER (PARTITION BY o_orderkey // {PER_FILE} ORDER BY o_orderkey) - 1)::INT AS _pos,
+    'u' || o_orderkey AS url, 'unknown' AS source, '' AS title, floor(o_totalprice)::BIGINT AS price, false AS convertible, 0 AS excerpts FROM orders
+"""
+
+
 def preflight(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reports on the same files and on one that is missing."""
     paths = _order_arrays(spark, sf_dir)
@@ -244,6 +256,7 @@ SELECT o_orderkey AS _pos, CASE WHEN error IS NULL THEN upper(c_mktsegment) END
 
 QUERIES = {
     "scan_arrays": (scan_arrays, ARRAYS_SQL),
+    "scan_typed": (scan_typed, TYPED_SQL),
     "scan_preflight": (preflight, PREFLIGHT_SQL),
     "scan_saved_listings": (save_and_read, SAVED_SQL),
     "scan_targets": (targets, TARGETS_SQL),

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotframe import streaming
 from lotframe.operators import curate, infer, load, normalize, profile
 from lotframe.plans.listing_queries import VIEW, fields, listing_view, read
+from lotframe.sources.shared import fresh_path
 
 
 def union_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +72,7 @@ def append_until_known(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New orders of each customer before the first one already known (keys that end in 3 and are divisible by 7)."""
     orders = read(spark, sf_dir, "orders").withColumns({"slug": F.col("o_custkey"), "_pos": F.col("o_orderkey"), "lot_number": F.col("o_orderkey").cast("string")})
     known = orders.where("o_orderkey % 7 = 3").select("lot_number")
-    return curate.until_known(curate.mark_known(orders, known)).select("o_custkey", "o_orderkey")
+    return curate.until_known(curate.mark_known(orders, known, prefilter=True)).select("o_custkey", "o_orderkey")
 
 
 UNTIL_SQL = """
@@ -78,6 +81,30 @@ SELECT o_custkey, o_orderkey FROM orders LEFT JOIN cut USING (o_custkey) WHERE c
 """
 
 
+def append_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same orders as cards that arrive in three batches, in order of key."""
+    orders = read(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("slug"), F.col("o_orderkey").alias("_pos"), F.col("o_orderkey").cast("string").alias("lot_number"))
+    known = orders.where("_pos % 7 = 3").select("lot_number")
+    low, high = orders.agg(F.min("_pos"), F.max("_pos")).first()
+    cards, out = fresh_path(spark, "cards"), fresh_path(spark, "appended")
+    third = F.floor((F.col("_pos") - low) * 3 / max(1, high - low + 1))
+    for part in range(3):
+        orders.where(third == part).write.mode("append").parquet(cards)
+        arrived = spark.readStream.schema(orders.schema).parquet(cards)
+        streaming.append_stream(arrived, known, out, f"{out}-state").awaitTermination()
+    found = spark.read.parquet(out)
+    return found.select(F.col("slug").cast("long").alias("o_custkey"), F.col("_pos").alias("o_orderkey"))
+
+
+def rank_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The places of parts by type and size, descending, as a column."""
+    part = read(spark, sf_dir, "part").select("p_type", "p_size", "p_partkey").withColumn("_pos", F.col("p_partkey"))
+    return curate.rank_rows(part, ["p_type", "p_size"], reverse=True).select("p_partkey", "rank")
+
+
+RANK_SQL = "SELECT p_partkey, row_number() OVER (ORDER BY p_type DESC, p_size DESC, p_partkey) AS rank FROM part"
+
+
 def first_slug_with_yield(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each customer, the first priority class (as slug) in which an order above 400,000 is kept, and its orders."""
     orders = read(spark, sf_dir, "orders").withColumns(
@@ -201,6 +228,14 @@ FROM part
 """
 
 
+def normalized_by_saved_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by rules that were saved and read back, some of them overruled by later ones."""
+    rows = [(0, f, a, "overruled") for f, a, _ in RULES] + [(1 + i, *r) for i, r in enumerate(RULES)]
+    path = fresh_path(spark, "rules")
+    normalize.save_rules(spark.createDataFrame(rows, "_pos int, field string, from_value string, to_value string"), path)
+    return normalize.normalize(_parts(spark, sf_dir), normalize.read_rules(spark, path))
+
+
 def reduction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.reduction(_parts(spark, sf_dir), normalized(spark, sf_dir))
 
@@ -397,6 +432,66 @@ FROM c FULL OUTER JOIN n ON c.url = n.url
 """
 
 
+def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two loads into a table in hash buckets, of which the second rewrites those that it touches."""
+    table = load.Snapshot(spark, fresh_path(spark, "facts"), buckets=16)
+    table.upsert(load.conform(_orders(spark, sf_dir, "o_orderkey % 3 <> 0", 0)))
+    table.upsert(load.conform(_orders(spark, sf_dir, "o_orderkey % 4 = 1 OR o_orderkey % 3 = 0", 7)))
+    return table.read().select("url", *_COLUMNS)
+
+
+SNAPSHOT_SQL = f"SELECT * EXCLUDE (action) FROM ({UPSERT_SQL})"
+
+
+def dense_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of models after two loads, the second of which brings new ones."""
+    o = _orders(spark, sf_dir, "true", 0)
+    first = load.dimensions(o.where("model <> 'p'"))
+    makes, models, _ = load.dimensions(o, *first)
+    return models.join(makes.select(F.col("id").alias("make_id"), F.col("name").alias("make")), "make_id").select("id", "make", F.col("name").alias("model"))
+
+
+DENSE_SQL = """
+WITH m AS (SELECT DISTINCT c_mktsegment AS make, o_orderstatus AS model FROM orders JOIN customer ON o_custkey = c_custkey),
+makes AS (SELECT make, min(model = 'P') AS late FROM m GROUP BY make), made AS (SELECT make, row_number() OVER (ORDER BY late, make) AS make_id FROM makes)
+SELECT row_number() OVER (ORDER BY model = 'P', make_id, model) AS id, make, model FROM m JOIN made USING (make)
+"""
+
+
+def first_make_and_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Make and model of the first record for the whole batch."""
+    rows = load.conform(load.batch_make_model(_orders(spark, sf_dir, "o_orderkey % 5 = 2", 0)))
+    return rows.select(F.col("_pos").alias("o_orderkey"), "make", "model", "variant")
+
+
+FIRST_SQL = """
+WITH j AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 5 = 2)
+SELECT o_orderkey, (SELECT c_mktsegment FROM j ORDER BY o_orderkey LIMIT 1) AS make, (SELECT o_orderstatus FROM j ORDER BY o_orderkey LIMIT 1) AS model,
+    CASE WHEN o_orderkey % 3 <> 0 THEN upper(o_orderpriority) ELSE 'STANDARD' END AS variant FROM j
+"""
+
+
+def typed_answer(prompt: str) -> str:
+    """Numbers and truth values in many forms, made of the size that the prompt speaks of."""
+    n = int(re.search(r"size (\d+)", prompt)[1])
+    return json.dumps({"mileage": [n, str(n), n + 0.5, f"about {n}"][n % 4], "convertible": [True, "Yes", "no", 1][n % 3]})
+
+
+def typed_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Integers and truth values as their type allows them. Parts of one size ask the same and are answered once."""
+    rows = read(spark, sf_dir, "part").select(
+        "p_partkey", F.lit(None).cast("int").alias("mileage"), F.lit(None).cast("boolean").alias("convertible"),
+        F.array(F.concat(F.lit("size "), F.col("p_size").cast("string"))).alias("listing_details"), F.array().cast("array<string>").alias("excerpt"),
+    )
+    found = infer.infer(rows, typed_answer, ["mileage", "convertible"])
+    return found.select("p_partkey", *(F.try_element_at("inferred", F.lit(c)).alias(c) for c in ("mileage", "convertible")), "attempts")
+
+
+TYPED_SQL = """
+SELECT p_partkey, CASE WHEN p_size % 4 <> 3 THEN p_size::VARCHAR END AS mileage, CASE WHEN p_size % 3 = 2 THEN 'false' ELSE 'true' END AS convertible, 1 AS attempts FROM part
+"""
+
+
 def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     current = _orders(spark, sf_dir, "o_orderkey % 3 <> 0", 0)
     incoming = _orders(spark, sf_dir, "o_orderkey % 4 = 1 OR o_orderkey % 3 = 0", 7).withColumn("url", F.when(F.col("_pos") % 50 != 0, F.col("url")))
@@ -419,6 +514,8 @@ QUERIES = {
     "sort_ascending": (sorted_up, SORT_UP_SQL),
     "sort_strict": (sorted_strictly, STRICT_SQL),
     "append_until_known": (append_until_known, UNTIL_SQL),
+    "append_stream": (append_stream, UNTIL_SQL),
+    "rank_parts": (rank_parts, RANK_SQL),
     "append_first_slug": (first_slug_with_yield, FIRST_SLUG_SQL),
     "join_targets": (targets_join, TARGETS_SQL),
     "filter_value": (value_filter, VALUE_SQL),
@@ -427,6 +524,7 @@ QUERIES = {
     "profile_prices": (price_summary, PRICES_SQL),
     "profile_frequencies": (frequencies, FREQUENCY_SQL),
     "normalize_fields": (normalized, NORMALIZED_SQL),
+    "normalize_saved_rules": (normalized_by_saved_rules, NORMALIZED_SQL),
     "normalize_reduction": (reduction, REDUCTION_SQL),
     "normalize_candidates": (rule_candidates, CANDIDATES_SQL),
     "normalize_details": (reduction_details, DETAILS_SQL),
@@ -438,5 +536,9 @@ QUERIES = {
     "infer_stats": (inference_stats, STATS_SQL),
     "load_dimensions": (dimension_rows, DIMENSIONS_SQL),
     "load_upsert": (upserted, UPSERT_SQL),
+    "load_snapshot": (snapshot, SNAPSHOT_SQL),
+    "load_dense_ids": (dense_ids, DENSE_SQL),
+    "load_first_make_and_model": (first_make_and_model, FIRST_SQL),
+    "infer_typed": (typed_answers, TYPED_SQL),
     "load_counts": (load_counts, COUNTS_SQL),
 }

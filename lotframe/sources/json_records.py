@@ -6,9 +6,10 @@ VARIANT, a record tells an absent key from a null. Files that are looked for are
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lotframe.schema import LISTING_SCHEMA, render, with_defaults
@@ -128,8 +129,15 @@ def save_arrays(records: DataFrame, path: str, pos: str = "_pos", per_file: int
 
 def save_batch(df: DataFrame, base: str) -> str:
     """Append mode: the batch goes to ``{base}_n{count}``; that path is returned."""
-    path = f"{base}_n{df.count()}"
-    save_listings(df, path)
+    seen, spark = Observation("batch"), df.sparkSession
+    draft = f"{base}_{uuid.uuid4().hex}"
+    save_listings(df.observe(seen, F.count("*").alias("n")), draft)  # counted while it is written
+    path = f"{base}_n{seen.get['n']}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    system = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(hadoop(path)) or not system.rename(hadoop(draft), hadoop(path)):
+        system.delete(hadoop(draft), True)
+        raise FileExistsError(path)
     return path
 
 

@@ -119,7 +119,7 @@ def read_page(html: str, wanted: Iterable[str], css: Selectors, picks: Iterable[
     return out
 
 
-def read_pages(pages: DataFrame, wanted: Iterable[str] = FIELDS, selectors: Mapping[str, str] | None = None, html: str = "html", picks: Iterable[tuple[str, str]] = ()) -> DataFrame:
+def read_pages(pages: DataFrame, wanted: Iterable[str] = FIELDS, selectors: Mapping[str, str] | None = None, html: str = "html", picks: Iterable[tuple[str, str]] = (), most: int = MOST) -> DataFrame:
     """``pages`` with ``html`` replaced by ``raw`` (texts; what is not wanted is null) and ``_error`` (null, or why a page
     could not be read). A null html is an empty page. Pass only the fields needed: the others are then not looked for."""
     wanted, picks = tuple(wanted), tuple(dict.fromkeys(picks))
@@ -136,7 +136,7 @@ def read_pages(pages: DataFrame, wanted: Iterable[str] = FIELDS, selectors: Mapp
             rows, errors = [], []
             for x in batch.column(0):
                 try:
-                    rows.append(read_page(x.as_py() or "", wanted, css, picks))
+                    rows.append(read_page(x.as_py() or "", wanted, css, picks, most))
                     errors.append(None)
                 except Exception as e:  # one page never costs another
                     rows.append({})

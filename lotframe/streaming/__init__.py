@@ -1,12 +1,19 @@
-"""Arriving pages: the batch jobs run on each micro-batch; no operator of theirs needs state beyond the tables."""
+"""Arriving pages and cards: the batch jobs run on each micro-batch, and ``until_known`` keeps, for each group, the place of
+its first known row from one micro-batch to the next."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lotframe.operators import curate
 from lotframe.operators.extract import SiteProfile, extract_pages, quarantine
+from lotframe.schema import NA
 
 
 def extract_batch(pages: DataFrame, targets: DataFrame, profile: SiteProfile | None = None) -> tuple[DataFrame, DataFrame]:
@@ -26,3 +33,35 @@ def extract_stream(pages: DataFrame, targets: DataFrame, out: str, checkpoint: s
         bad.write.mode("overwrite").parquet(f"{out}/quarantine/batch={number}")
 
     return pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def until_known(rows: DataFrame, group: str = "slug", pos: str = "_pos", known: str = "known") -> DataFrame:
+    """``curate.until_known`` on a stream (append mode): the rows of each group before its first known row. The state of a
+    group is the place of that row. Micro-batches give what one batch gives if a group's rows come in order of ``pos`` from
+    batch to batch; inside one they may come in any order. A row that came too early cannot be taken back. A null place is
+    after all others and is kept only while nothing known has come; a null ``known`` is false. What is held in memory at a
+    time is what a group gets in one micro-batch; bound it by the source's limits per trigger."""
+    kind = rows.schema[pos].dataType.simpleString()
+    if kind not in ("int", "bigint", "smallint", "tinyint"):
+        raise ValueError(f"{pos} must be a whole number, not {kind}")
+
+    def cut_off(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = pd.concat(list(frames), ignore_index=True)
+        places = held.loc[held[known].fillna(False).astype(bool), pos]
+        cuts = [state.get[0]] if state.exists else []
+        if len(places):
+            cuts.append(int(places.min()) if places.notna().any() else (1 << 63) - 1)
+        if cuts:
+            state.update((min(cuts),))
+            held = held[held[pos].notna() & (held[pos] < min(cuts))]
+        yield held
+
+    return rows.groupBy(group).applyInPandasWithState(cut_off, rows.schema, "cut long", "append", GroupStateTimeout.NoTimeout)
+
+
+def append_stream(cards: DataFrame, known: DataFrame, out: str, checkpoint: str, key: str = "lot_number") -> StreamingQuery:
+    """Appends the cards of each slug before its first known one to ``out``. cards: a stream with slug, _pos and the key;
+    known: the table of known keys, as it is when a micro-batch begins."""
+    found = known.select(F.col(key).alias("_known_key")).where(F.col(key).isNotNull() & (F.col(key).cast("string") != NA)).distinct()
+    marked = cards.join(found, F.col(key) == F.col("_known_key"), "left").withColumn("known", F.col("_known_key").isNotNull()).drop("_known_key")
+    return until_known(marked).drop("known").writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
