@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,9 +24,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: The paths handed out since each ``scratch`` that is open began.
+_SCRATCH: list[list[str]] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/lotframe-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/lotframe-{name}-{uuid.uuid4().hex}"
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession, *paths: str) -> Iterator[None]:
+    """Deletes what is written to fresh paths inside, and ``paths``, when the work inside is done; its result has to be
+    written elsewhere by then. If the work fails, everything stays."""
+    _SCRATCH.append([*paths])
+    try:
+        yield
+        for path in _SCRATCH[-1]:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    finally:
+        _SCRATCH.pop()
 
 
 def written(df: DataFrame, path: str) -> DataFrame:
