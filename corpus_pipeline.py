@@ -1,7 +1,8 @@
 """From raw documents to token ids in five stages. Each takes (spark, docs, sf_dir) and works on all that the one before
 kept; its result is written as Parquet and read again as the next one's docs. Null texts and empty ones are rejected by
 the first stage, long ones are processed whole, empty tables give empty tables, and columns besides doc_id, text and
-source are carried along, whatever their names."""
+source are carried along to the end, whatever their names (but for those that the encoding makes: ids, n_tokens and
+lossless). Tables that a stage writes for itself are deleted when its result is written."""
 
 from __future__ import annotations
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotframe.llm import mixing, near_duplicates, quality_rules, repeats, sentencepiece
-from lotframe.llm._store import materialize
+from lotframe.sources.shared import fresh_path, scratch, written
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -49,8 +50,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, and whether they decode to its text."""
-    return sentencepiece.encode(docs, PIECES)
+    """Token ids of each document, sampled anew for each time it is served, and whether they decode to its text."""
+    return sentencepiece.encode(docs, PIECES, carry=True, servings=True)
 
 
 STAGES = [
@@ -66,7 +67,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = fresh_path(spark, name.replace(" ", "-"))
+        with scratch(spark, *filter(None, [before])):
+            docs = written(stage(spark, docs, sf_dir), path)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -252,6 +252,15 @@ def _opened(column: pa.Array) -> list[bytes]:
     return [z.decompress(x.as_buffer()) for x in column]
 
 
+def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Are the windows that begin at a and at b equal, byte by byte?"""
+    out = np.empty(len(a), bool)
+    windows = np.lib.stride_tricks.sliding_window_view(data, LENGTH) if len(data) >= LENGTH else np.zeros((0, LENGTH), np.uint8)
+    for k in range(0, len(a), 1 << 15):
+        out[k : k + (1 << 15)] = (windows[a[k : k + (1 << 15)]] == windows[b[k : k + (1 << 15)]]).all(axis=1)
+    return out
+
+
 def _contents(batches):
     """Contents of phrases to look into, without the windows that this batch holds earlier; those are repeats. Of a wide
     trigger every window is a row: its hash as the key, the hash of its first half as the bytes."""
@@ -288,7 +297,9 @@ def _contents(batches):
                 order = np.lexsort((inside, doc, h))
                 new = np.ones(len(h), bool)
                 new[1:] = h[order][1:] != h[order][:-1]
-                again = _later(new, doc[order], inside[order])
+                again = np.flatnonzero(_later(new, doc[order], inside[order]))
+                first_of = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+                again = again[_same_bytes(data, at[order[again]], at[order[first_of[again]]])]  # a hash alone removes nothing
                 gone = np.zeros(len(h), bool)
                 gone[order[again]] = True
                 dup = _runs(doc[gone], inside[gone])

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lotframe.llm import _text
 
@@ -275,14 +276,33 @@ def _kind(df: DataFrame, key: str) -> str:
     return df.schema[key].dataType.simpleString()
 
 
-def encode(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text", seed: int = 0, alpha: float = 1.0) -> DataFrame:
-    """(key, ids, n_tokens, lossless): sampled ids of each text and whether decoding them gave the text again. Map-only."""
+def _servings(keys: np.ndarray, last: tuple[int, int]) -> tuple[np.ndarray, tuple[int, int]]:
+    """How many rows of the same key stand directly before each row, and (key, number) of the last. last: that of the rows
+    before."""
+    if not len(keys):
+        return keys, last
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    at = np.arange(len(keys))
+    number = at - np.maximum.accumulate(np.where(new, at, 0))
+    if int(keys[0]) == last[0]:
+        number[: np.append(np.flatnonzero(new)[1:], len(keys))[0]] += last[1] + 1
+    return number.astype(np.uint64), (int(keys[-1]), int(number[-1]))
+
+
+def encode(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text", seed: int = 0, alpha: float = 1.0, carry: bool = False, servings: bool = False) -> DataFrame:
+    """(key, ids, n_tokens, lossless): sampled ids of each text and whether decoding them gave the text again. Map-only.
+    ``carry``: the other columns come along, but for those of these names. ``servings``: rows of one key that stand directly
+    behind each other, as documents that a mix serves more than once, are sampled anew each time."""
     arrays = docs.sparkSession.sparkContext.broadcast(vars(load(model_file, alpha)))  # of the vocabulary's size, whatever the input
 
     def run(batches):
-        v = Vocabulary(**arrays.value)
+        v, last = Vocabulary(**arrays.value), (-1, 0)
         for batch in batches:
             keys, column = row_keys(batch.column(0)), batch.column(1)
+            if servings:
+                number, last = _servings(keys, last)
+                keys = np.where(number > 0, _text.mix(keys + number * np.uint64(0xD6E8FEB86659FD93)), keys)
             for chunk in _text.chunks(column, limit=CHUNK):
                 ids, at = encode_chunk(v, chunk, keys[chunk.rows], seed)
                 data, back = decode_ids(v, ids, at)
@@ -293,9 +313,13 @@ def encode(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "t
                 part = slice(chunk.rows.start, chunk.rows.stop)
                 null = column[part].is_null().to_numpy(zero_copy_only=False) if column.null_count else np.zeros(chunk.n, bool)
                 lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids), mask=pa.array(null) if null.any() else None)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[part], lists, pa.array(np.diff(at), mask=null), pa.array(same, mask=null)], [key, "ids", "n_tokens", "lossless"])
+                found = [batch.column(0)[part], lists, pa.array(np.diff(at), mask=null), pa.array(same, mask=null)]
+                yield pa.RecordBatch.from_arrays([*found, *(c[part] for c in batch.columns[2:])], [*names, *others])
 
-    return docs.select(key, F.col(text).cast("string")).mapInArrow(run, f"`{key}` {_kind(docs, key)}, ids array<int>, n_tokens long, lossless boolean")
+    names = [key, "ids", "n_tokens", "lossless"]
+    others = [c for c in docs.columns if c != text and c not in names] if carry else []
+    schema = T.StructType([docs.schema[key], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("lossless", T.BooleanType()), *(docs.schema[c] for c in others)])
+    return docs.select(F.col(f"`{key}`"), F.col(f"`{text}`").cast("string"), *(F.col(f"`{c}`") for c in others)).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, model_file: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:

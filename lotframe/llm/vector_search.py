@@ -10,9 +10,10 @@ annulus, so annuli that cannot hold a score as high are never visited, and all o
 decide how much is visited (``visited_share`` tells; data without clusters let little be passed over).
 
 Queries are dealt into sets by their nearest pivot (pivots with few queries share a set), so that those of a set visit
-much the same annuli. Work is dealt by
-(annulus, part of it, set of queries), each of at most about ``CHUNK`` rows, so neither a crowded annulus nor many queries
-make a large task; vectors are sent only to sets of which a query visits their annulus. The number of pivots grows with
+much the same annuli. Small annuli that follow each other on one pivot travel together, as cells of about ``CHUNK`` vectors:
+a query that visits one of them is sent to the cell. Work is dealt by
+(cell, part of it, set of queries), each of at most about ``CHUNK`` rows, so neither a crowded annulus nor many queries
+make a large task; vectors are sent only to sets of which a query visits their cell. The number of pivots grows with
 the square root of the number of vectors, up to ``MOST_PIVOTS``; pivots (rows of smallest hash) and the directory
 (pivots * RINGS rows at most) are all that is broadcast.
 
@@ -144,11 +145,13 @@ class Index:
         bounds = [f(F.col("towards")[g]).alias(f"{name}{g}") for g in range(guides) for f, name in ((F.min, "lo"), (F.max, "hi"))]
         annuli = placed.groupBy("pivot", "ring").agg(F.min("distance").alias("lo"), F.max("distance").alias("hi"), F.count("*").alias("n"), *bounds).toPandas()
         annuli = annuli.sort_values(["pivot", "ring"], ignore_index=True)
-        annuli["annulus"], annuli["chunks"] = np.arange(len(annuli)), (annuli["n"] + chunk - 1) // chunk
+        inside = (annuli.groupby("pivot")["n"].cumsum() - annuli["n"]) // chunk
+        annuli["cell"] = pd.factorize(annuli["pivot"].astype("int64") * (1 << 40) + inside)[0]
+        annuli["chunks"] = (annuli.groupby("cell")["n"].transform("sum") + chunk - 1) // chunk
         self.directory = spark.sparkContext.broadcast((chosen, largest, annuli))
-        known = spark.createDataFrame(annuli[["pivot", "ring", "annulus", "chunks"]].astype("int32"), "pivot int, ring int, annulus int, chunks int")
+        known = spark.createDataFrame(annuli[["pivot", "ring", "cell", "chunks"]].astype("int32"), "pivot int, ring int, cell int, chunks int")
         part = F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int").alias("part")
-        self.rows = placed.join(F.broadcast(known), ["pivot", "ring"]).select("vec_id", "v", "pivot", "annulus", part)
+        self.rows = placed.join(F.broadcast(known), ["pivot", "ring"]).select("vec_id", "v", "pivot", "cell", part)
 
 
 def top_k(
@@ -167,7 +170,7 @@ def top_k(
     sets = sets.select("pivot", F.floor(before / chunk).alias("before"), F.ceil(F.col("n") / chunk).alias("sets"))  # a row a pivot
     of_set = (F.col("before") + F.pmod(F.xxhash64("query_id"), F.col("sets"))).cast("int").alias("questions")
     asking = materialize(asking.join(F.broadcast(sets), "pivot").select("query_id", "v", of_set), "questions")
-    keys = ["annulus", "part", "questions"]
+    keys = ["cell", "part", "questions"]
 
     def visits(first: bool):
         def run(batches):
@@ -175,16 +178,17 @@ def top_k(
             for batch in batches:
                 q = _matrix(batch.column(1), dims)
                 gaps = d.gaps(q)
-                go = d.nearest(gaps, 4 * k + 1)
+                begin = np.flatnonzero(np.diff(d.annuli["cell"].to_numpy(), prepend=-1))
+                go = np.logical_or.reduceat(d.nearest(gaps, 4 * k + 1), begin, axis=1)
                 if not first:
                     least = batch.column(3).fill_null(LONG.min).to_numpy(zero_copy_only=False)
-                    go = ~go & (d.highest(q, gaps) >= least[:, None].astype(np.float64))
+                    go = ~go & np.logical_or.reduceat(d.highest(q, gaps) >= least[:, None].astype(np.float64), begin, axis=1)
                 row, at = np.nonzero(go)
-                parts = d.annuli["chunks"].to_numpy()[at]
+                parts = d.annuli["chunks"].to_numpy()[begin[at]]
                 row, at = np.repeat(row, parts), np.repeat(at, parts)
                 part = np.arange(len(at)) - np.repeat(np.cumsum(parts) - parts, parts)
                 take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in (0, 1, 2)), pa.array(at.astype(np.int32)), pa.array(part.astype(np.int32))], ["query_id", "v", "questions", "annulus", "part"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in (0, 1, 2)), pa.array(at.astype(np.int32)), pa.array(part.astype(np.int32))], ["query_id", "v", "questions", "cell", "part"])
 
         return run
 
@@ -205,13 +209,13 @@ def top_k(
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
 
     def search(asked: DataFrame, first: bool, name: str) -> DataFrame:
-        visit = asked.mapInArrow(visits(first), "query_id long, v array<long>, questions int, annulus int, part int")
+        visit = asked.mapInArrow(visits(first), "query_id long, v array<long>, questions int, cell int, part int")
         visit = materialize(visit, f"visits-{name}")
         wanted = visit.select(*(F.col(c).alias(c) for c in keys)).distinct()
-        sent = index.rows.select("annulus", "part", "vec_id", "v").join(wanted, ["annulus", "part"])
+        sent = index.rows.select("cell", "part", "vec_id", "v").join(wanted, ["cell", "part"])
         if visited is not None:
-            sizes = spark.createDataFrame(Directory(*directory.value).annuli[["annulus", "n"]].astype("int64"), "annulus int, n long")
-            visited.append((visit.select("query_id", "annulus").distinct().join(sizes, "annulus").agg(F.sum("n")).first()[0] or 0) / (asking.count() * index.n))
+            sizes = spark.createDataFrame(Directory(*directory.value).annuli.groupby("cell", as_index=False)["n"].sum().astype("int64"), "cell int, n long")
+            visited.append((visit.select("query_id", "cell").distinct().join(sizes, "cell").agg(F.sum("n")).first()[0] or 0) / (asking.count() * index.n))
         found = sent.groupBy(keys).cogroup(visit.groupBy(keys)).applyInArrow(best, "query_id long, vec_id long, score long")
         ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).cast("int"))
         return materialize(ranked.where(F.col("rank") <= k), name)

@@ -162,6 +162,21 @@ def test_segmentation_round_trip(spark, docs, texts):
 
 
 @needs_pieces
+@needs_pieces
+def test_servings_are_sampled_anew_and_columns_carried(spark):
+    text = "several words that can be cut in many ways " * 8
+    rows = [(1, text, "a", 1), (1, text, "b", 2), (1, text, "c", 3), (2, text, "d", 4), (1, text, "e", 5), (None, None, "f", 6)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, source string, ids int").coalesce(1)
+    got = sentencepiece.encode(d, PIECES, carry=True, servings=True)
+    assert got.columns == ["doc_id", "ids", "n_tokens", "lossless", "source"]
+    ids = {r["source"]: (r["ids"], r["lossless"]) for r in got.collect()}
+    plain = [r["ids"] for r in sentencepiece.encode(d.limit(1), PIECES).collect()]
+    assert ids["a"][0] == ids["e"][0] == plain[0] and len({tuple(ids[k][0]) for k in "abc"}) == 3
+    assert all(ids[k][1] for k in "abcde") and ids["f"] == (None, None)
+    number, last = sentencepiece._servings(np.array([5, 5, 6], np.uint64), (5, 3))
+    assert number.tolist() == [4, 5, 0] and last == (6, 0)
+
+
 def test_segmentation_distribution():
     """Sampled paths of one word follow the product of their pieces' probabilities."""
     v = sentencepiece.load(PIECES, alpha=0.3)
@@ -440,6 +455,15 @@ def _frames(some):
     yield pa.array([zstandard.ZstdCompressor().compress(t.encode()) for t in some], pa.binary())
 
 
+def test_windows_are_compared_by_their_bytes(monkeypatch):
+    rng = np.random.default_rng(1)
+    data = rng.integers(0, 2, 4000).astype(np.uint8)
+    data[2000:2300] = data[100:400]
+    a, b = np.array([2000, 2100, 2200, 2201, 0]), np.array([100, 200, 300, 301, 1])
+    assert repeats._same_bytes(data, a, b).tolist() == [True, True, True, False, False] or not (data[2300] != data[400])
+    assert repeats._same_bytes(data[:50], a[:0], b[:0]).tolist() == []
+
+
 def test_suffix_ranks():
     data = np.random.default_rng(0).integers(97, 99, 600).astype(np.uint8)
     data[300:450] = data[:150]
@@ -875,5 +899,9 @@ def test_pipeline(spark, tmp_path):
         for some in (extra, extra.limit(0)):
             out = stage(spark, some, "")
             assert out.columns == extra.columns and out.count() <= 10
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = set(os.listdir(shared))
     out = corpus_pipeline.run(spark, str(tmp_path))
+    assert len(set(os.listdir(shared)) - before) == 1  # what the last stage reads
+    assert out.columns == ["doc_id", "ids", "n_tokens", "lossless", "lang", "source", "n_chars"]
     assert out.where("not lossless").count() == 0 and {r["doc_id"] for r in out.collect()} == set(seen[3])
