@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lotframe.schema import LISTING_SCHEMA, render, with_defaults
 from lotframe.sources.json_arrays import read_arrays
+from lotframe.sources.shared import fresh_path, written
 
 
 def _there(spark: SparkSession, paths: Sequence[str]) -> list[str | None]:
@@ -50,20 +51,6 @@ def _plain(name: Column) -> Column:
     return F.try_url_decode(F.regexp_replace(name, r"\+", "%2B"))
 
 
-def _files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(_file, path, body, length) in the order of the arguments; files that are missing have a null body."""
-    order, there = _placed(spark, paths)
-    if not there:
-        return order.drop("at").withColumns({"body": F.lit(None).cast("string"), "length": F.lit(None).cast("long")})
-    found = spark.read.format("binaryFile").option("ignoreMissingFiles", True).load(there)
-    files = found.select(F.col("path").alias("at"), F.col("content").cast("string").alias("body"), "length")
-    return order.join(files, "at", "left").drop("at")
-
-
-def _root(body: Column) -> Column:
-    return F.try_parse_json(body)
-
-
 def scan_records(spark: SparkSession, *paths: str, strict: bool = False) -> DataFrame:
     """(_file, _pos, record VARIANT) of all files. A file that is missing, unreadable or no array gives no rows; with
     ``strict`` it is an error. If of two or more files none is an array, that is an error too."""
@@ -195,22 +182,38 @@ def scan_interface(spark: SparkSession, path: str) -> DataFrame:
 
 def preflight(spark: SparkSession, *paths: str, key: str = "url") -> DataFrame:
     """One report row a file: exists, bytes, valid_json, is_list, n_items, first_is_object, first_keys, has_key, and ok
-    (an empty list is ok, with is_empty set; a missing key is ok too)."""
-    files = _files(spark, paths).withColumn("root", _root(F.col("body")))
-    listed = F.coalesce(F.startswith(F.schema_of_variant("root"), F.lit("ARRAY")), F.lit(False))
-    with_items = files.withColumn("is_list", listed).withColumn("items", F.when(F.col("is_list"), F.expr("try_cast(root AS array<variant>)")))
-    first = F.expr("try_variant_get(root, '$[0]', 'map<string,variant>')")
-    report = with_items.withColumn("keys", F.map_keys(first))
-    is_object = F.when(F.size("items") > 0, F.col("keys").isNotNull())
+    (an empty list is ok, with is_empty set; a missing key is ok too). Arrays are read by ranges; only files that are none
+    are parsed whole, to tell other JSON from none."""
+    order, there = _placed(spark, paths)
+    kind = "at string, length long, is_list boolean, n_items int, first variant, other string"
+    if there:
+        records, files = read_arrays(spark, there)
+        arrays = files.where("is_array").select(_plain(F.col("path")).alias("at"))
+        arrays = written(arrays.withColumn("is_list", F.lit(True)), fresh_path(spark, "arrays-found"))
+        listed = {r["at"] for r in arrays.collect()}  # of the files named
+        named = records.select(_plain(F.col("path")).alias("at"), "_pos", "record")
+        counts = named.groupBy("at").agg(F.count("*").cast("int").alias("n_items"))
+        first = named.where("_pos = 0").select("at", F.col("record").alias("first"))
+        sizes = spark.read.format("binaryFile").load(there).select(F.col("path").alias("at"), "length")
+        rest = [w for w in there if w not in listed]
+        other = spark.createDataFrame([], "at string, other string")
+        if rest:
+            other = spark.read.format("binaryFile").load(rest).select(F.col("path").alias("at"), F.schema_of_variant(F.try_parse_json(F.col("content").cast("string"))).alias("other"))
+        found = sizes.join(arrays, "at", "left").join(counts, "at", "left").join(first, "at", "left").join(other, "at", "left")
+    else:
+        found = spark.createDataFrame([], kind.replace("first variant, ", "")).withColumn("first", F.try_parse_json(F.lit("null")))
+    report = order.join(found, "at", "left").withColumn("there", F.col("length").isNotNull()).withColumn("is_list", F.coalesce("is_list", F.lit(False)))
+    report = report.withColumn("keys", F.map_keys(F.try_variant_get("first", "$", "map<string,variant>"))).withColumn("n_items", F.when(F.col("is_list"), F.coalesce("n_items", F.lit(0))))
+    is_object = F.when(F.col("n_items") > 0, F.col("keys").isNotNull())
     return report.select(
         "_file",
         "path",
-        F.col("body").isNotNull().alias("exists"),
+        F.col("there").alias("exists"),
         F.col("length").alias("bytes"),
-        F.col("root").isNotNull().alias("valid_json"),
+        (F.col("is_list") | F.col("other").isNotNull()).alias("valid_json"),
         "is_list",
-        F.when(F.col("is_list"), F.size("items")).alias("n_items"),
-        (F.size("items") == 0).alias("is_empty"),
+        "n_items",
+        (F.col("n_items") == 0).alias("is_empty"),
         is_object.alias("first_is_object"),
         F.slice("keys", 1, 5).alias("first_keys"),
         F.array_contains("keys", key).alias("has_key"),
