@@ -32,7 +32,7 @@ def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(line % 3 == 0, F.concat(qty, F.lit("k Miles"))).when(line % 3 == 1, F.concat(qty, F.lit(",500 Miles"))).otherwise("No odometer"),
         F.concat(F.col("p_size").cast("string"), F.when(F.col("p_partkey") % 2 == 0, ".2–Liter V8").otherwise(".2-Liter V8")),
         F.concat((line % 6 + 1).cast("string"), F.lit("-Speed Manual Gearbox")),
-        F.when(F.col("p_partkey") % 4 != 0, F.concat("l_linestatus", F.lit(" Orion Paint"))).otherwise("Recent Service"),
+        F.when(F.col("p_partkey") % 4 != 0, F.concat("l_linestatus", F.lit(" Cobble Paint"))).otherwise("Recent Service"),
         F.lit("Removable Top"),
         F.lit("Black Leather Seats"),
     )
@@ -57,7 +57,7 @@ listing AS (
          CASE l_linenumber % 3 WHEN 0 THEN l_quantity::INT::VARCHAR || 'k Miles' WHEN 1 THEN l_quantity::INT::VARCHAR || ',500 Miles' ELSE 'No odometer' END,
          p_size::VARCHAR || CASE WHEN p_partkey % 2 = 0 THEN '.2–Liter V8' ELSE '.2-Liter V8' END,
          (l_linenumber % 6 + 1)::VARCHAR || '-Speed Manual Gearbox',
-         CASE WHEN p_partkey % 4 <> 0 THEN l_linestatus || ' Orion Paint' ELSE 'Recent Service' END,
+         CASE WHEN p_partkey % 4 <> 0 THEN l_linestatus || ' Cobble Paint' ELSE 'Recent Service' END,
          'Removable Top', 'Black Leather Seats'] AS details,
         p_brand AS make, p_name AS model_short, p_type AS slug,
         CASE l_suppkey % 5 WHEN 0 THEN 'Canada' WHEN 1 THEN 'USA' END AS country,
@@ -177,7 +177,7 @@ def essentials(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = F.array(
         F.struct(F.lit("Views").alias("label"), F.lit("12").alias("value")), F.struct(F.lit("Total Bids").alias("label"), F.when(key % 2 == 0, F.concat(key.cast("string"), F.lit(",300"))).otherwise("none").alias("value"))
     )
-    titles = F.when(key % 2 == 0, F.array(F.lit("Coupes"), F.lit("Convertibles & Cabriolets"))).otherwise(F.array(F.lit("convertible tops")))
+    titles = F.when(key % 2 == 0, F.array(F.lit("Coupes"), F.lit("Open Convertible Roofs"))).otherwise(F.array(F.lit("convertible tops")))
     f = s.select("s_suppkey", facts.alias("facts"), stats.alias("stats"), titles.alias("titles"))
     return f.select(
         "s_suppkey",

@@ -10,7 +10,7 @@ a border of ranges are joined by their pieces, two a range at most. Each segment
 again a prefix sum over ranges.
 
 A file counts only as a whole: if any of its segments is no list of JSON values, or its brackets do not close, it is no
-array.
+array. Bytes that are no UTF-8 are read as replacement characters.
 """
 
 from __future__ import annotations
@@ -155,6 +155,7 @@ def read_arrays(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataF
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     # what the ranges hold, and the state in which each begins
     sizes = rows.groupBy(*RANGE).agg(F.sum(F.octet_length("value") + 1).alias("bytes"), F.first("file_size").alias("file_size"))
+    rows = rows.withColumn("value", F.make_valid_utf8("value"))
     ranges = rows.select(*RANGE, "value").mapInArrow(_summary, "path string, start long, odd int, outside long, inside long").join(sizes, RANGE)
     ranges = ranges.withColumn("in_string", (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2).cast("int"))
     ranges = ranges.withColumn("change", F.when(F.col("in_string") == 0, F.col("outside")).otherwise(F.col("inside")))

@@ -70,7 +70,7 @@ def test_prices_dates_and_transforms(spark):
 
 PAGE = """
 <html><body><h1 class="post-title">2003 BMW M3 <b>Coupe</b></h1><span class="show-country-name"> USA </span>
-<button class="group-title">Convertibles &amp; Cabriolets</button>
+<button class="group-title">Open Convertible Roofs &amp; more</button>
 <div class="essentials"><p><strong>Location</strong>: <a href="https://www.google.com/maps/x">Austin, Texas</a></p>
 <p><strong>Seller</strong>: <a href="/member/joe">joe</a></p><p><strong>Private Party or Dealer</strong>: Dealer</p><p><strong>Lot</strong> #123</p>
 <ul><li>Chassis: <a href="#">NVT00Y7654321098B</a></li><li> </li><li>3.2-Liter Inline-Six</li></ul><ul><li>second</li></ul></div>

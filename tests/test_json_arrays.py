@@ -74,6 +74,8 @@ def test_a_byte_order_mark_and_missing_files(spark, tmp_path):
     got = scanned(spark, str(tmp_path / "gone.json"), str(tmp_path / "n.json"), "/nowhere/x.json", str(tmp_path / "n.json"))
     assert [r[:2] for r in got] == [(1, 0), (1, 1), (3, 0), (3, 1)]
     assert len(scanned(spark, str(tmp_path / "m.json"))) == 1
+    (tmp_path / "b.json").write_bytes(b'[{"a": "x\xff}y"}, {"a": "\xe4"}]')
+    assert [json.loads(r[2])["a"] for r in scanned(spark, str(tmp_path / "b.json"))] == ["x\ufffd}y", "\ufffd"]
     with pytest.raises(ValueError):
         json_records.scan_records(spark, "/nowhere/x.json", str(tmp_path / "gone.json"))
     assert json_records.scan_records(spark, "/nowhere/x.json").count() == 0
