@@ -365,12 +365,9 @@ def _answered(most: int):
         pairs = [_unpack(x.as_py(), np.uint64, np.uint32, np.uint32) for x in table.column("pairs")]
         prints = [_unpack_prints(x.as_py(), len(p[2])) for x, p in zip(table.column("prints"), pairs, strict=True)]
         words, of = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
-        count = np.zeros(len(words), np.int64)
-        np.add.at(count, of, np.concatenate([a[1] for a in asked]).astype(np.int64))
+        count = np.bincount(of, weights=np.concatenate([a[1] for a in asked]), minlength=len(words)).astype(np.int64)  # exact below 2 ** 53
         branch = (words % np.uint64(most)).astype(np.int64)
-        totals = np.zeros((2, most), np.int64)
-        np.add.at(totals[0], branch, count)
-        np.add.at(totals[1], branch, count > 0)
+        totals = np.stack([np.bincount(branch, weights=x, minlength=most).astype(np.int64) for x in (count, count > 0)])
         v = np.concatenate([np.repeat(p[0], p[1]) for p in pairs])
         p, n = np.concatenate(prints), np.concatenate([x[2] for x in pairs]).astype(np.int64)
         learned = n > 0
