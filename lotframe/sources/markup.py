@@ -137,7 +137,7 @@ class Page:
         self.attributes: dict[int, dict[str, str]] = {}
         self._texts: list[str] = []
         self._length, self._silent = 0, 0
-        self._stack = [(0, 0)]  # open elements: number and bits
+        self._stack, self._bits = [0], [0]  # open elements
         self._open: dict[str, int] = {}
         self._scan(markup, selectors)
         self._close(0)
@@ -198,9 +198,8 @@ class Page:
         stack, length = self._stack, self._length
         if len(stack) >= DEPTH:
             self._close(len(stack) - 1)
-        number = len(self.tag)
-        top, state = stack[-1]
-        bits, names = selectors.fitting(tag, attributes, state)
+        number, top = len(self.tag), stack[-1]
+        bits, names = selectors.fitting(tag, attributes, self._bits[-1])
         self.tag.append(tag)
         self.parent.append(top)
         self.begin.append(length)
@@ -211,14 +210,15 @@ class Page:
             for name in names:
                 self.found[name].append(number)
         if tag not in VOID and not closed:
-            stack.append((number, bits))
+            stack.append(number)
+            self._bits.append(bits)
             self._open[tag] = self._open.get(tag, 0) + 1
             self._silent += tag in SILENT
 
     def _end_tag(self, tag: str) -> None:
         if self._open.get(tag):
             depth = len(self._stack) - 1
-            while self.tag[self._stack[depth][0]] != tag:
+            while self.tag[self._stack[depth]] != tag:
                 depth -= 1
             self._close(depth)
 
@@ -226,12 +226,13 @@ class Page:
         """Ends the open elements from ``depth`` on."""
         stack, length, last = self._stack, self._length, len(self.tag) - 1
         while len(stack) > depth:
-            number, _ = stack.pop()
+            number = stack.pop()
             tag = self.tag[number]
             self.end[number], self.last[number] = length, last
             if number:
                 self._open[tag] -= 1
                 self._silent -= tag in SILENT
+        del self._bits[depth:]
 
     def all_of(self, name: str, top: int = 0) -> list[int]:
         """The elements below ``top`` that a selector fits, in page order; elements above ``top`` count, as in CSS."""
