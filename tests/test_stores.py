@@ -167,3 +167,26 @@ def test_saved_rules_mean_the_same(spark, tmp_path):
     assert normalize.normalize(df, again).first()["engine"] == normalize.normalize(df, rules).first()["engine"] == "A"
     normalize.save_rules(rules.drop("_pos"), str(tmp_path / "plain"))
     assert normalize.read_rules(spark, str(tmp_path / "plain")).columns == ["field", "from_value", "to_value"]
+
+
+def test_inference_evaluates_its_input_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def engine(i):
+        made.add(1)
+        return "N/A" if i % 5 else "V6"
+
+    df = listings(spark, 100, 4).withColumn("engine", engine("_pos"))
+    done = infer.infer(df, lambda p: json.dumps({"engine": "E"}), ["engine"])
+    assert infer.merge(done).groupBy("engine").count().orderBy("engine").collect() == [("E", 80), ("V6", 20)]
+    assert made.value == 100
+
+
+def test_answered_rows_hold_no_prompts_unless_they_are_written_where_told(spark, tmp_path):
+    df, path = listings(spark, 60, 3), str(tmp_path / "told")
+    own, told = infer.infer(df, lambda p: "{}", ["engine"]), infer.infer(df, lambda p: "{}", ["engine"], path=path)
+    assert own.columns == told.columns and sorted(map(repr, own.collect())) == sorted(map(repr, told.collect()))
+    assert sorted(map(repr, own.select("url", "prompt").collect())) == sorted(map(repr, infer.with_prompts(df, ["engine"]).select("url", "prompt").collect()))
+    stored = [spark.read.parquet(f).columns for f in (own.inputFiles()[0], told.inputFiles()[0])]
+    assert ["prompt" in c for c in stored] == [False, True]
