@@ -190,3 +190,40 @@ def test_answered_rows_hold_no_prompts_unless_they_are_written_where_told(spark,
     assert sorted(map(repr, own.select("url", "prompt").collect())) == sorted(map(repr, infer.with_prompts(df, ["engine"]).select("url", "prompt").collect()))
     stored = [spark.read.parquet(f).columns for f in (own.inputFiles()[0], told.inputFiles()[0])]
     assert ["prompt" in c for c in stored] == [False, True]
+
+
+def test_a_stream_keeps_whole_numbers_and_groups_without_a_name(spark, tmp_path):
+    big, rows = 1 << 60, []
+    for i in range(900):
+        rows.append((None if i % 300 == 299 else f"s{i % 300}", None if i == 700 else big + i, None if i % 4 else big + 3 * i, i % 7 == 3 if i % 5 else None))
+    kind = "slug string, _pos bigint, n bigint, known boolean"
+    for part in range(3):
+        spark.createDataFrame(rows[300 * part : 300 * part + 300], kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "cards"))
+        kept = streaming.until_known(spark.readStream.schema(kind).parquet(str(tmp_path / "cards"))).writeStream.format("parquet")
+        kept.option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    cuts: dict = {}
+    for slug, pos, _, known in rows:
+        if known:
+            cuts[slug] = min(cuts.get(slug, 1 << 63), pos)
+    want = [r for r in rows if r[0] not in cuts or r[1] is not None and r[1] < cuts[r[0]]]
+    assert sorted(map(repr, map(tuple, spark.read.parquet(str(tmp_path / "out")).collect()))) == sorted(map(repr, want))
+
+
+def test_a_stream_calls_python_no_more_often_with_more_groups(spark, tmp_path, monkeypatch):
+    calls = spark.sparkContext.accumulator(0)
+    spark.range(500).selectExpr("concat('s', id) slug", "id _pos", "id % 2 = 0 known").write.parquet(str(tmp_path / "cards"))
+    cards = spark.readStream.schema("slug string, _pos bigint, known boolean").parquet(str(tmp_path / "cards"))
+    kind = type(cards.groupBy("slug"))
+    real = kind.applyInPandasWithState
+
+    def counted(self, f, *rest):
+        def call(key, frames, state):
+            calls.add(1)
+            yield from f(key, frames, state)
+
+        return real(self, call, *rest)
+
+    monkeypatch.setattr(kind, "applyInPandasWithState", counted)
+    kept = streaming.until_known(cards, buckets=4).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state"))
+    kept.trigger(availableNow=True).start().awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 250 and calls.value <= 4
