@@ -68,10 +68,10 @@ def compiled(wanted: Iterable[str], selectors: Mapping[str, str] | None = None,
     return Selectors({n: css[n] for n in names} | {f"pick {selector}": selector for selector, _ in picks})
 
 
-def read_page(html: str, wanted: Iterable[str], css: Selectors, picks: Iterable[tuple[str, str]] = (), most: int = MOST) -> dict:
+def read_page(html: str, wanted: Iterable[str], css: Selectors, picks: Iterable[tuple[str, str]] = (), most: int = MOST, closed: bool = False) -> dict:
     """The raw texts of a page; only the wanted ones are looked for. picks: (selector, attribute or ``text``), of which every
     fitting element gives its value."""
-    page = Page(html, css)
+    page = Page(html, css, closed)
     given = 0
 
     def text(x: int | None) -> str | None:
@@ -119,9 +119,10 @@ def read_page(html: str, wanted: Iterable[str], css: Selectors, picks: Iterable[
     return out
 
 
-def read_pages(pages: DataFrame, wanted: Iterable[str] = FIELDS, selectors: Mapping[str, str] | None = None, html: str = "html", picks: Iterable[tuple[str, str]] = (), most: int = MOST) -> DataFrame:
+def read_pages(pages: DataFrame, wanted: Iterable[str] = FIELDS, selectors: Mapping[str, str] | None = None, html: str = "html", picks: Iterable[tuple[str, str]] = (), most: int = MOST, closed: bool = False) -> DataFrame:
     """``pages`` with ``html`` replaced by ``raw`` (texts; what is not wanted is null) and ``_error`` (null, or why a page
-    could not be read). A null html is an empty page. Pass only the fields needed: the others are then not looked for."""
+    could not be read). A null html is an empty page. Pass only the fields needed: the others are then not looked for. closed:
+    only character references that end with a semicolon are decoded."""
     wanted, picks = tuple(wanted), tuple(dict.fromkeys(picks))
     css = compiled(wanted, selectors, picks)
     others = [c for c in pages.columns if c != html]
@@ -136,7 +137,7 @@ def read_pages(pages: DataFrame, wanted: Iterable[str] = FIELDS, selectors: Mapp
             rows, errors = [], []
             for x in batch.column(0):
                 try:
-                    rows.append(read_page(x.as_py() or "", wanted, css, picks, most))
+                    rows.append(read_page(x.as_py() or "", wanted, css, picks, most, closed))
                     errors.append(None)
                 except Exception as e:  # one page never costs another
                     rows.append({})

@@ -174,3 +174,26 @@ def test_country_links_and_author_comments_from_pages(spark):
     assert (row["vin"], row["mileage"]) == (vin, 17000)
     none = extract.extract_pages(pages.where(F.lit(False)))
     assert none.count() == 0 and re.match("url", none.columns[0])
+
+
+def test_references_without_a_semicolon():
+    text = "a &amp;&lt b &amp &copy; &notit; &nosuch; &#65;&#66 &#x43; &#99999999999; &"
+    assert decoded(text) == "a &< b & © ¬it; &nosuch; AB C � &"
+    assert decoded(text, closed=True) == "a &&lt b &amp © &notit; &nosuch; A&#66 C � &"
+
+
+def test_queries_over_pages_read_references_as_their_sql(spark, tmp_path):
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    page = '<html lang="en"><head><title>{0}</title></head><body><nav><ul><li><a href="/{0}">{0}</a></li></ul></nav><article><h1>{0}</h1><p>x</p></article><footer>&copy; a</footer></body></html>'
+    rows = [(i, page.format(t)) for i, t in enumerate(("a &amp; b", "a&amp", "a &amp;&am", "&quot;e&quot &lt"))]
+    spark.createDataFrame(rows, "page_id long, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    for name in ("extract_page_texts", "extract_pages_by_profile", "extract_pages_that_fail", "extract_card_links"):
+        found = entry.queries()[name](spark, str(tmp_path))
+        sql = con.execute(entry.oracle_sql()[name])
+        found, want = found.select(*(c[0] for c in sql.description)), sql.fetchall()
+        assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, want)), name
