@@ -130,3 +130,25 @@ def test_read_profile(spark, tmp_path):
     profile = extract.read_profile(spark, str(tmp_path / "p.json"))
     assert profile.source_name == "s" and profile.base_url == extract.BASE_URL and profile.rules["vin"] == extract.SiteProfile().rules["vin"]
     assert spark.range(1).select(extract.cascade({"title": F.lit("a V12")}, profile.rules["engine"])).first()[0] == "V12"
+
+
+def test_values_are_evaluated_once(spark):
+    """A rule's text is found once, however often its transform or what follows names it."""
+    df = spark.createDataFrame([("1999 Norvane Tessera RX Coupe", ["31k Miles"], "Norvane", "Tessera")], "title string, details array<string>, make string, model string")
+    plan = lambda c: df.select(c.alias("c"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(extract.mileage(F.col("details"), F.col("title"))).count("(?iU)([\\d,]+)\\s*(?:k\\s+)?miles") == 1
+    assert plan(extract.variant(F.col("title"), F.col("make"), F.col("model"))).count("-Speed.*") == 1
+
+
+@pytest.mark.parametrize("dash", ["-", "–", "‑", "—"])
+def test_hints_and_dashes_outside_ascii(spark, dash):
+    rows = [([f"4.1{dash}Liter V10 é", f"ſix{dash}Speed Manual"],), ([f"4.1{dash}Liter V10", f"Six{dash}ſpeed Manual"],), ([f"Six{dash}SPEED é—b"],), ([None, ""],), (None,)]
+    df = spark.createDataFrame(rows, "d array<string>")
+    got = [tuple(r) for r in df.select(extract.engine(F.col("d")), extract.transmission(F.col("d"))).collect()]
+    assert got == [("4.1-Liter V10 é", "ſix-Speed Manual"), ("4.1-Liter V10", "Six-ſpeed Manual"), (None, "Six-SPEED é-b"), (None, None), (None, None)]
+
+
+def test_variants_of_odd_titles(spark):
+    rows = [("Norvane Tessera", "Norvane", "Tessera"), ("Norvane GT", "Norvane", "Tessera"), (None, "a", "b"), ("x y z", None, "y"), ("x y z", "x", None), ("x y with z", "X", "Y"), ("x y z 5-Speed w", "x", "Y "), ("y x z", "x", "y")]
+    df = spark.createDataFrame(rows, "t string, a string, b string")
+    assert [r[0] for r in df.select(extract.variant(F.col("t"), F.col("a"), F.col("b"))).collect()] == ["Standard"] * 6 + ["z", "Standard"]
