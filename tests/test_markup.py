@@ -197,3 +197,66 @@ def test_queries_over_pages_read_references_as_their_sql(spark, tmp_path):
         sql = con.execute(entry.oracle_sql()[name])
         found, want = found.select(*(c[0] for c in sql.description)), sql.fetchall()
         assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, want)), name
+
+
+NESTED = {
+    "advert": '<html lang="en"><body><nav><ul><li><a href="/a">Kale</a></li><li><a href="/b">Sea</a></li></ul></nav><article><h1>Top</h1></article>' + '<div class="ad">buy ' * 60_000 + "</div>" * 512 + "<footer>&copy; a.example.com</footer>",
+    "items": '<html lang="en"><body><div class="ad">buy</div><article><h1>Top</h1></article><footer>a.example.com</footer><nav><ul>' + "<li>kale é " * 60_000,
+}
+
+
+def test_a_page_with_much_text_gives_its_fields_and_not_nulls(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    spark.createDataFrame(list(NESTED.items()), "page_id string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r["page_id"]: r for r in entry.queries()["extract_pages_by_profile"](spark, str(tmp_path)).collect()}
+    r = got["advert"]
+    assert (r["headline"], r["language"], r["first_link"], r["exterior_color"], r["interior_color"]) == ("Top", "en", "/a", "ale", "Sea")
+    assert r["advert"].startswith("buy" * 60_000) and r["host"].endswith("a.example.com")
+    r = got["items"]
+    assert (r["headline"], r["language"], r["host"], r["advert"]) == ("Top", "en", "a.example.com", "buy")
+    assert (r["exterior_color"], r["interior_color"]) == (("kale é" * 60_000)[1:], "kale é" * 59_999)
+    got = {r["page_id"]: r for r in entry.queries()["extract_page_texts"](spark, str(tmp_path)).selectExpr("page_id", "title", "size(items) AS n").collect()}
+    assert got["items"]["title"] == "Top" and got["items"]["n"] == 60_000
+
+
+@pytest.mark.parametrize("name", ["extract_pages_by_profile", "extract_page_texts", "extract_card_links"])
+def test_a_page_that_cannot_be_read_ends_queries_without_a_place_for_errors(spark, tmp_path, monkeypatch, name):
+    import __spark_entry__ as entry
+    from lotframe.sources import pages
+
+    spark.createDataFrame([(7, "<h1>a</h1>")], "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    monkeypatch.setattr(pages, "read_page", lambda *given: given[0].no_such_thing)
+    with pytest.raises(Exception, match="page .*7.* of 10 characters cannot be read: AttributeError"):
+        entry.queries()[name](spark, str(tmp_path)).collect()
+
+
+def test_bytes_that_are_no_utf_8_are_replaced(spark):
+    pages = spark.createDataFrame([(1, "<h1 class='post-title'>caf\xe9</h1>".encode("latin-1")), (2, "<h1 class='post-title'>café</h1>".encode())], "url int, html binary")
+    for whole in (False, True):
+        rows = read_pages(pages, ["title"], whole=whole).orderBy("url").collect()
+        assert [(r["raw"]["title"], r["_error"]) for r in rows] == [("caf�", None), ("café", None)]
+
+
+def test_pages_read_whole_give_the_same_records(spark):
+    vin = "NVT00Z1112223334C"
+    lists = ["", "<ul></ul>", "<ul><li><li>17k Miles<li>Blue Paint<li>Black Leather</ul>", "<ul><li>é 4.0–Liter V8</li><li> Grün Paint, café</li><li>5‑Speed Manual</li><li>Tan Cloth</li></ul><ul><li>No</ul>"]
+    links = ["", f"<a>x</a><a>{vin}</a>", "<a>short</a>"]
+    rest = ["", f'<div id="comments"><i class="bypostauthor">chassis: {vin.lower()}, vin: {vin}</i> 12,345 miles ü</div><div class="post-excerpt"><p>ä</p><p> </p><p>b<p>c</div><b class="group-title">Convertible</b>']
+    made = [f'<h1 class="post-title">1990 Nörvane 3.5k-Mile é</h1><div class="essentials">{a}{b}</div><img src="/é.png"><td class="motor">big <b>V8</b></td>{c}' for a in lists for b in links for c in rest]
+    pages = spark.createDataFrame([*enumerate(made), (len(made), None)], "url int, html string")
+    own = extract.profile_of(json.dumps({"selectors": {"country": "h1"}, "rules": {k: PROFILE["rules"][k] for k in ("engine", "picture")}, "colors": {"next_is_interior": False}}))
+    for profile, columns in ((None, None), (own, ["engine", "picture", "country", "exterior_color", "interior_color", "listing_details", "excerpt", "convertible", "vin", "mileage"])):
+        some = [extract.extract_pages(pages, profile, columns, enable_comment_rules=True, whole=whole).orderBy("url").collect() for whole in (False, True)]
+        assert some[0] == some[1] and all(r["_error"] is None for r in some[0])
+    assert {r["vin"] for r in some[1]} == {None, vin} and {r["engine"] for r in some[1]} == {"V8", None}
+    assert {r["interior_color"] for r in some[1]} == {None, "Blue PaintBlack Leather", "Tan Cloth"}
+
+
+def test_rows_are_handed_on_before_they_are_too_many(spark):
+    from lotframe.sources.pages import BATCH
+
+    long = f"<h1 class='post-title'>t</h1><p>{'x' * (BATCH // 2)}</p>"
+    pages = spark.range(0, 9, 1, 1).select("id", F.when(F.col("id") % 3 == 0, F.lit(long)).when(F.col("id") % 3 == 1, F.lit("<h1 class='post-title'>s</h1>")).alias("html"))
+    got = read_pages(pages, ["title"]).selectExpr("id", "raw.title").orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(i, ("t", "s", None)[i % 3]) for i in range(9)]
